@@ -141,7 +141,7 @@ p AS (SELECT i, value, (i - CASE WHEN n <= 10 THEN 0.375 ELSE 0.5 END) / (n + 1
 SCORES = f"a AS (SELECT i, value, p, {normal_ppf_sql('p')} AS z FROM p), s AS (SELECT i, value, {polish_sql('z', 'p')} AS z FROM a)"
 
 
-@query("qq_points", "i i, theoretical 8, sample 6",
+@query("qq_points", "i i, theoretical 6, sample 6",
        f"WITH {FILLIBEN}, {SCORES} SELECT i, z AS theoretical, value AS sample FROM s")
 def qq_points(spark, sf_dir):
     return bins.qq_points(table(spark, sf_dir, "events"), "value")
@@ -153,7 +153,7 @@ def qq_fit(spark, sf_dir):
     return bins.qq_fit(bins.qq_points(table(spark, sf_dir, "events"), "value"))
 
 
-@query("qq_points_r", "i i, theoretical 8, sample 6",
+@query("qq_points_r", "i i, theoretical 6, sample 6",
        f"WITH {PPOINTS}, {SCORES} SELECT i, z AS theoretical, value AS sample FROM s")
 def qq_points_r(spark, sf_dir):
     return bins.qq_points(table(spark, sf_dir, "events"), "value", "ppoints")

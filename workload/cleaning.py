@@ -80,7 +80,7 @@ def iqr_removal_counts(spark, sf_dir):
     return clean.iqr_removal_counts(table(spark, sf_dir, "events"), ["value", "user_id"])
 
 
-@query("standardize", "l_orderkey i, cents i, quantity 8, disc_price 8", f"""WITH {LINES}
+@query("standardize", "l_orderkey i, cents i, quantity 6, disc_price 6", f"""WITH {LINES}
 SELECT l_orderkey, cents, (quantity - avg(quantity) OVER ()) / stddev_pop(quantity) OVER () AS quantity,
   (disc_price - avg(disc_price) OVER ()) / stddev_pop(disc_price) OVER () AS disc_price FROM li""")
 def standardize(spark, sf_dir):

@@ -1,0 +1,229 @@
+"""Splits, linear models, principal components."""
+
+from pyspark.sql import functions as F
+
+from plumbline.operators import linear, split
+from workload.registry import LINE_KEYS, LINES, hash_sql, lines, query, t_tail_sql, table
+
+KEY_SQL = ", ".join(LINE_KEYS)
+
+
+@query("target_kind", "target s, rows i, kind s", f"""WITH {LINES}
+SELECT 'quantity' AS target, count(*) AS rows, CASE WHEN count(DISTINCT quantity) < 0.1 * count(*) THEN 'categorical' ELSE 'continuous' END AS kind FROM li
+UNION ALL SELECT 'price', count(*), CASE WHEN count(DISTINCT price) < 0.1 * count(*) THEN 'categorical' ELSE 'continuous' END FROM li""")
+def target_kind(spark, sf_dir):
+    rows = lines(spark, sf_dir)
+    frames = [split.target_kind(rows, c).withColumn("target", F.lit(c)) for c in ("quantity", "price")]
+    return frames[0].unionByName(frames[1])
+
+
+@query("label_encode", "o_orderkey i, o_orderpriority s, code i", """
+SELECT o_orderkey, o_orderpriority, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS code FROM orders""")
+def label_encode(spark, sf_dir):
+    return split.label_encode(table(spark, sf_dir, "orders"), "o_orderpriority", "code")
+
+
+def split_sql(source: str, keys, share: float, seed: int = 42) -> str:
+    return f"""CASE WHEN row_number() OVER (ORDER BY {hash_sql(keys, seed)}, {hash_sql(keys, seed, 1)})
+  <= ceil({share} * (SELECT count(*) FROM {source})) THEN 'test' ELSE 'train' END"""
+
+
+@query("train_test_split", "o_orderkey i, split s", f"SELECT o_orderkey, {split_sql('orders', ['o_orderkey'], 0.2)} AS split FROM orders")
+def train_test_split(spark, sf_dir):
+    return split.train_test_split(table(spark, sf_dir, "orders"), ["o_orderkey"], 0.2)
+
+
+@query("stratified_split", "doc_id i, quality i, split s", f"""
+WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1),
+k AS (SELECT *, n * ceil(0.3 * sum(n) OVER ()) / sum(n) OVER () AS exact, ceil(0.3 * sum(n) OVER ()) AS total FROM c),
+f AS (SELECT *, floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, quality)
+  <= total - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS size FROM k),
+r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY {hash_sql(['doc_id'], 42)}, {hash_sql(['doc_id'], 42, 1)}) AS i FROM labels)
+SELECT doc_id, quality, CASE WHEN i <= size THEN 'test' ELSE 'train' END AS split FROM r JOIN f USING (quality)""")
+def stratified_split(spark, sf_dir):
+    return split.stratified_split(table(spark, sf_dir, "labels"), "quality", ["doc_id"], 0.3)
+
+
+FEATURES = ["quantity", "disc_price"]
+TARGET = "price"
+
+
+def split_lines(spark, sf_dir, target=TARGET):
+    return split.train_test_split(lines(spark, sf_dir).select(*LINE_KEYS, *FEATURES, target), LINE_KEYS, 0.2)
+
+
+def models_sql(alpha: float, name: str, pca: bool = False) -> str:
+    """Two predictors (or their first component) by Cramer's rule on centred sums, with five folds."""
+    second = "0.0" if pca else "z2"
+    first = "(z1 + sign(r) * z2) / sqrt(2.0)" if pca else "z1"
+    det = "(s11 + {a}) * (s22 + {a}) - s12 * s12".format(a=alpha if not pca else 0.0)
+    if pca:
+        b1, b2 = f"s1y / (s11 + {alpha})", "0.0"
+    else:
+        b1, b2 = f"((s22 + {alpha}) * s1y - s12 * s2y) / ({det})", f"((s11 + {alpha}) * s2y - s12 * s1y) / ({det})"
+    return f"""sp AS (SELECT quantity AS x1, disc_price AS x2, {TARGET} AS y, {hash_sql(LINE_KEYS, 42, 1)} AS h, {split_sql('li', LINE_KEYS, 0.2)} AS split FROM li),
+tr AS (SELECT *, row_number() OVER (ORDER BY h) - 1 AS i, count(*) OVER () AS n FROM sp WHERE split = 'train'),
+sc AS (SELECT avg(x1) AS m1, stddev_pop(x1) AS d1, avg(x2) AS m2, stddev_pop(x2) AS d2, corr(x1, x2) AS r FROM tr),
+z0 AS (SELECT split, y, 0 AS i, 1 AS n, (x1 - m1) / d1 AS z1, (x2 - m2) / d2 AS z2, r FROM sp, sc),
+t0 AS (SELECT y, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1) ELSE (i - n % 5) // (n // 5) END AS fold,
+  (x1 - m1) / d1 AS z1, (x2 - m2) / d2 AS z2, r FROM tr, sc),
+z AS (SELECT split, y, {first} AS u, {second} AS v FROM z0), t AS (SELECT fold, y, {first} AS u, {second} AS v FROM t0),
+f AS (SELECT unnest(range(6)) AS f),
+s AS (SELECT f, avg(u) AS mu, avg(v) AS mv, avg(y) AS my, covar_pop(u, u) * count(*) AS s11, covar_pop(v, v) * count(*) AS s22, covar_pop(u, v) * count(*) AS s12,
+  covar_pop(u, y) * count(*) AS s1y, covar_pop(v, y) * count(*) AS s2y FROM f JOIN t ON fold <> f GROUP BY f),
+b AS (SELECT f, {b1} AS b1, {b2} AS b2, my, mu, mv FROM s), c AS (SELECT *, my - b1 * mu - b2 * mv AS b0 FROM b),
+cv AS (SELECT f, 1 - sum(power(y - b0 - b1 * u - b2 * v, 2)) / (var_pop(y) * count(*)) AS r2 FROM t JOIN c ON fold = f GROUP BY f),
+m AS (SELECT split, sqrt(avg(power(y - b0 - b1 * u - b2 * v, 2))) AS rmse, 1 - avg(power(y - b0 - b1 * u - b2 * v, 2)) / var_pop(y) AS r2,
+  avg(abs(y - b0 - b1 * u - b2 * v) / greatest(abs(y), 2.220446049250313e-16)) AS mape FROM z JOIN c ON f = 5 GROUP BY split),
+{name} AS ({'' if pca else "SELECT 'intercept' AS measure, b0 AS value FROM c WHERE f = 5 UNION ALL SELECT 'coefficient quantity', b1 FROM c WHERE f = 5 UNION ALL SELECT 'coefficient disc_price', b2 FROM c WHERE f = 5 UNION ALL "}
+  SELECT split || ' rmse' AS measure, rmse AS value FROM m UNION ALL SELECT split || ' r2', r2 FROM m UNION ALL SELECT split || ' mape', mape FROM m
+  UNION ALL SELECT 'cv mean', avg(r2) FROM cv UNION ALL SELECT 'cv sd', stddev_pop(r2) FROM cv
+  {"UNION ALL SELECT 'explained variance', (1 + abs(r)) / 2 FROM sc" if pca else ''})"""
+
+
+def _models(key: str, name: str, alpha: float):
+    @query(key, "model s, measure s, value 6", f"WITH {LINES}, {models_sql(alpha, 'res')} SELECT '{name}' AS model, measure, value FROM res")
+    def build(spark, sf_dir):
+        return linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, LINE_KEYS, {name: alpha})
+
+
+_models("linear_regression", "linear", 0.0)
+# a strong penalty, so that it shows on this many rows
+_models("ridge_regression", "ridge", 1000.0)
+
+
+def _component_models(key: str, name: str, alpha: float):
+    @query(key, "model s, measure s, value 6", f"WITH {LINES}, {models_sql(alpha, 'res', True)} SELECT '{name}' AS model, measure, value FROM res")
+    def build(spark, sf_dir):
+        # weights on a component carry its arbitrary sign, so they are left out of the comparison
+        found = linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, LINE_KEYS, {name: alpha}, True, 1)
+        return found.filter(~F.col("measure").startswith("coefficient") & (F.col("measure") != "intercept"))
+
+
+_component_models("pca_linear_regression", "linear", 0.0)
+_component_models("pca_ridge_regression", "ridge", 1000.0)
+
+SHOWN = "max(value) FILTER (measure = 'test r2') AS test_r2, max(value) FILTER (measure = 'test rmse') AS test_rmse, max(value) FILTER (measure = 'cv mean') AS cv_mean"
+
+
+@query("compare_models", "model s, test_r2 8, test_rmse 6, cv_mean 8", f"""
+SELECT 'linear' AS model, {SHOWN} FROM (WITH {LINES}, {models_sql(0.0, 'res')} SELECT * FROM res) AS plain
+UNION ALL SELECT 'ridge', {SHOWN} FROM (WITH {LINES}, {models_sql(1000.0, 'res')} SELECT * FROM res) AS penalised""")
+def compare_models(spark, sf_dir):
+    models = linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, LINE_KEYS, {"linear": 0.0, "ridge": 1000.0})
+    return linear.compare_models(models)
+
+
+@query("compare_pca", "model s, test_r2 8, pca_test_r2 8, diff_test_r2 8, test_rmse 6, pca_test_rmse 6, cv_mean 8, pca_cv_mean 8", f"""
+WITH a AS (SELECT {SHOWN} FROM (WITH {LINES}, {models_sql(0.0, 'res')} SELECT * FROM res) AS plain),
+p AS (SELECT {SHOWN} FROM (WITH {LINES}, {models_sql(0.0, 'res', True)} SELECT * FROM res) AS reduced)
+SELECT 'linear' AS model, a.test_r2, p.test_r2 AS pca_test_r2, p.test_r2 - a.test_r2 AS diff_test_r2, a.test_rmse, p.test_rmse AS pca_test_rmse,
+  a.cv_mean, p.cv_mean AS pca_cv_mean FROM a, p""")
+def compare_pca(spark, sf_dir):
+    rows = split_lines(spark, sf_dir)
+    plain = linear.regression_models(rows, FEATURES, TARGET, LINE_KEYS, {"linear": 0.0})
+    reduced = linear.regression_models(rows, FEATURES, TARGET, LINE_KEYS, {"linear": 0.0}, True, 1)
+    return linear.compare_components(plain, reduced)
+
+
+@query("kfold_cv", "fold i, r2 8", """
+WITH o AS (SELECT event_id, value AS y, CAST(user_id AS DOUBLE) AS x, row_number() OVER (ORDER BY event_id) - 1 AS i, count(*) OVER () AS n FROM events),
+t AS (SELECT x, y, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1) ELSE (i - n % 5) // (n // 5) END AS fold FROM o),
+f AS (SELECT unnest(range(5)) AS f),
+s AS (SELECT f, regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0 FROM f JOIN t ON fold <> f GROUP BY f)
+SELECT f AS fold, 1 - sum(power(y - b0 - b1 * x, 2)) / (var_pop(y) * count(*)) AS r2 FROM t JOIN s ON fold = f GROUP BY f""")
+def kfold_cv(spark, sf_dir):
+    folded = split.contiguous_folds(table(spark, sf_dir, "events"), "event_id", 5)
+    return linear.cv_scores(folded, ["user_id"], "value", "fold")
+
+
+# price on discounted price, one predictor: every classical quantity from regr_* aggregates
+SIMPLE = f"""{LINES}, s AS (SELECT count(*) AS n, regr_slope(price, disc_price) AS b1, regr_intercept(price, disc_price) AS b0, regr_sxx(price, disc_price) AS sxx,
+  regr_syy(price, disc_price) AS syy, regr_sxy(price, disc_price) AS sxy, avg(disc_price) AS mx FROM li),
+q AS (SELECT *, syy - sxy * sxy / sxx AS sse, n - 2 AS dof FROM s), e AS (SELECT *, sqrt(sse / dof) AS sigma FROM q)"""
+
+
+@query("lm_coefficients", "term s, estimate 6, std_error 8, t 4, p_value 6", f"""WITH {SIMPLE},
+c AS (SELECT 'intercept' AS term, b0 AS estimate, sigma * sqrt(1.0 / n + mx * mx / sxx) AS std_error, dof FROM e
+  UNION ALL SELECT 'disc_price', b1, sigma / sqrt(sxx), dof FROM e)
+SELECT term, estimate, std_error, estimate / std_error AS t, {t_tail_sql('(estimate / std_error)', 'dof')} AS p_value FROM c""")
+def lm_coefficients(spark, sf_dir):
+    return linear.lm_coefficients(lines(spark, sf_dir), ["disc_price"], "price")
+
+
+@query("lm_summary", "min_residual 6, q1_residual 6, median_residual 6, q3_residual 6, max_residual 6, sigma 6, df i, r2 8, adj_r2 8, f 0, p_value 8, equation s",
+       f"""WITH {SIMPLE}, r AS (SELECT price - (b0 + b1 * disc_price) AS r FROM li, e)
+SELECT min(r) AS min_residual, quantile_cont(r, 0.25) AS q1_residual, quantile_cont(r, 0.5) AS median_residual, quantile_cont(r, 0.75) AS q3_residual,
+  max(r) AS max_residual, any_value(sigma) AS sigma, any_value(dof) AS df, any_value(1 - sse / syy) AS r2, any_value(1 - sse / syy * (n - 1) / dof) AS adj_r2,
+  any_value((syy - sse) / (sse / dof)) AS f, 0.0 AS p_value, any_value(printf('price = %.2f + %.2f * disc_price', b0, b1)) AS equation FROM r, e""")
+def lm_summary(spark, sf_dir):
+    return linear.lm_summary(lines(spark, sf_dir), ["disc_price"], "price")
+
+
+RESIDUAL_KEYS = "l_orderkey i, cents i"
+
+
+@query("residuals", f"{RESIDUAL_KEYS}, fitted 2, residual 2",
+       f"WITH {SIMPLE} SELECT l_orderkey, cents, b0 + b1 * disc_price AS fitted, price - (b0 + b1 * disc_price) AS residual FROM li, e")
+def residuals(spark, sf_dir):
+    rows = lines(spark, sf_dir)
+    return linear.with_residuals(rows, linear.ordinary_fit(rows, ["disc_price"], "price"))
+
+
+@query("std_residuals", f"{RESIDUAL_KEYS}, std_residual 4", f"""WITH {SIMPLE}
+SELECT l_orderkey, cents, (price - (b0 + b1 * disc_price)) / (sigma * sqrt(1 - 1.0 / n - power(disc_price - mx, 2) / sxx)) AS std_residual FROM li, e""")
+def std_residuals(spark, sf_dir):
+    rows = lines(spark, sf_dir)
+    return linear.with_residuals(rows, linear.ordinary_fit(rows, ["disc_price"], "price"), standardized=True)
+
+
+@query("regression_metrics", "flag s, rmse 6, r2 8, mape 8", f"""WITH {LINES}
+SELECT flag, sqrt(avg(power(charge - price * 0.95, 2))) AS rmse, 1 - avg(power(charge - price * 0.95, 2)) / var_pop(charge) AS r2,
+  avg(abs(charge - price * 0.95) / greatest(abs(charge), 2.220446049250313e-16)) AS mape FROM li GROUP BY flag""")
+def regression_metrics(spark, sf_dir):
+    rows = lines(spark, sf_dir).withColumn("guess", F.col("price") * 0.95)
+    return linear.regression_metrics(rows, "charge", "guess", ["flag"])
+
+
+@query("pred_vs_actual", "l_orderkey i, cents i, charge 8, guess 8",
+       f"WITH {LINES} SELECT l_orderkey, cents, charge, price * 0.95 AS guess FROM li")
+def pred_vs_actual(spark, sf_dir):
+    return lines(spark, sf_dir).withColumn("guess", F.col("price") * 0.95)
+
+
+@query("pca_analysis", "component i, ratio 8, cumulative 8, kept b", f"""WITH {LINES},
+r AS (SELECT (1 + abs(corr(quantity, disc_price))) / 2 AS top FROM li)
+SELECT 1 AS component, top AS ratio, top AS cumulative, true AS kept FROM r UNION ALL SELECT 2, 1 - top, 1.0, top < 0.95 FROM r""")
+def pca_analysis(spark, sf_dir):
+    return linear.pca_variance(lines(spark, sf_dir), FEATURES)
+
+
+# three features: the top eigenvector of the correlation matrix by power iteration
+TOP_VECTOR = f"""{LINES}, r AS (SELECT corr(price, discount) AS a, corr(price, disc_price) AS b, corr(discount, disc_price) AS c FROM li),
+it AS (SELECT 0 AS i, 1.0::DOUBLE AS x, 0.5::DOUBLE AS y, 1.0::DOUBLE AS z FROM r
+  UNION ALL SELECT i + 1, (x + a * y + b * z) / greatest(abs(x + a * y + b * z), abs(a * x + y + c * z), abs(b * x + c * y + z)),
+    (a * x + y + c * z) / greatest(abs(x + a * y + b * z), abs(a * x + y + c * z), abs(b * x + c * y + z)),
+    (b * x + c * y + z) / greatest(abs(x + a * y + b * z), abs(a * x + y + c * z), abs(b * x + c * y + z)) FROM it, r WHERE i < 200),
+v AS (SELECT x / sqrt(x * x + y * y + z * z) AS x, y / sqrt(x * x + y * y + z * z) AS y, z / sqrt(x * x + y * y + z * z) AS z FROM it WHERE i = 200)"""
+THREE = ["price", "discount", "disc_price"]
+
+
+@query("pca_loadings", "component i, feature s, size 6", f"""WITH RECURSIVE {TOP_VECTOR}
+SELECT 1 AS component, 'price' AS feature, abs(x) AS size FROM v UNION ALL SELECT 1, 'discount', abs(y) FROM v UNION ALL SELECT 1, 'disc_price', abs(z) FROM v""")
+def pca_loadings(spark, sf_dir):
+    return linear.pca_loadings(lines(spark, sf_dir), THREE).filter("component = 1")
+
+
+@query("pca_scores", "l_orderkey i, cents i, PC1 4", f"""WITH RECURSIVE {TOP_VECTOR},
+m AS (SELECT avg(price) AS m1, stddev_pop(price) AS d1, avg(discount) AS m2, stddev_pop(discount) AS d2, avg(disc_price) AS m3, stddev_pop(disc_price) AS d3 FROM li)
+SELECT l_orderkey, cents, x * (price - m1) / d1 + y * (discount - m2) / d2 + z * (disc_price - m3) / d3 AS "PC1" FROM li, m, v""")
+def pca_scores(spark, sf_dir):
+    return linear.pca_scores(lines(spark, sf_dir), THREE, 1)
+
+
+@query("pca_embeddings", "component i, ratio 6, cumulative 6, kept b")
+def pca_embeddings(spark, sf_dir):
+    """Wide features: 64 columns through the block path of the Gram sums."""
+    rows = table(spark, sf_dir, "embeddings")
+    names = [f"e{i}" for i in range(64)]
+    return linear.pca_variance(rows.select(*[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]), names)

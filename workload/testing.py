@@ -10,7 +10,7 @@ from workload.sources import HOLES, with_holes
 
 
 @query("corr_matrix", "row s, col s, r 8", f"WITH {LINES} " + " UNION ALL ".join(
-    f"SELECT '{a}' AS \"row\", '{b}' AS col, {'1.0' if a == b else f'corr({a}, {b})'} AS r FROM li"
+    f"SELECT '{a}' AS \"row\", '{b}' AS col, corr({a}, {b}) AS r FROM li"
     for a in CORRELATED for b in CORRELATED))
 def corr_matrix(spark, sf_dir):
     return association.corr_matrix(lines(spark, sf_dir), CORRELATED)
@@ -18,7 +18,7 @@ def corr_matrix(spark, sf_dir):
 
 @query("corr_matrix_pairwise", "row s, col s, r 8", f"""WITH {HOLES},
 h AS (SELECT value, CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(user_id AS DOUBLE) END AS user_number, CAST(event_id AS DOUBLE) AS event_number FROM holes)
-""" + " UNION ALL ".join(f"SELECT '{a}' AS \"row\", '{b}' AS col, {'1.0' if a == b else f'corr({a}, {b})'} AS r FROM h"
+""" + " UNION ALL ".join(f"SELECT '{a}' AS \"row\", '{b}' AS col, corr({a}, {b}) AS r FROM h"
                          for a in ("value", "user_number", "event_number") for b in ("value", "user_number", "event_number")))
 def corr_matrix_pairwise(spark, sf_dir):
     holes = with_holes(spark, sf_dir).select(
@@ -143,7 +143,7 @@ SPEARMAN = ["quantity", "discount", "disc_price"]
 
 @query("spearman_matrix", "row s, col s, rho 8", f"""WITH {LINES},
 r AS (SELECT {', '.join(f'{rank_sql(c)} AS {c}' for c in SPEARMAN)} FROM li)
-""" + " UNION ALL ".join(f"SELECT '{a}' AS \"row\", '{b}' AS col, {'1.0' if a == b else f'corr({a}, {b})'} AS rho FROM r"
+""" + " UNION ALL ".join(f"SELECT '{a}' AS \"row\", '{b}' AS col, corr({a}, {b}) AS rho FROM r"
                          for a in SPEARMAN for b in SPEARMAN))
 def spearman_matrix(spark, sf_dir):
     return association.spearman_matrix(lines(spark, sf_dir), SPEARMAN)
