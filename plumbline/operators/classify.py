@@ -11,11 +11,11 @@ from itertools import combinations_with_replacement
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest, OneVsRestModel
+from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -85,7 +85,7 @@ class Logistic(Classifier):
 def train_logistic(train: DataFrame, features: Sequence[str], c: float = 1.0, max_iter: int = 1000) -> Logistic:
     """Multinomial fit with an L2 penalty of strength 1 / (C n), weights on the given scale."""
     n = train.count()
-    fitted = LogisticRegression(regParam=1.0 / (c * n), standardization=False, maxIter=max_iter, tol=1e-8,
+    fitted = LogisticRegression(regParam=1.0 / (c * n), standardization=False, maxIter=max_iter, tol=1e-6,
                                 family="multinomial").fit(_assemble(train, features))
     return Logistic(fitted, list(features))
 
@@ -280,69 +280,94 @@ class SupportVector(Classifier):
     features: list[str]
     options: KernelOptions
     gamma: float
-    machine: OneVsRestModel
-    platt: LogisticRegressionModel
+    pairs: list[tuple[int, int]]
+    coefficients: np.ndarray
+    intercepts: np.ndarray
+    classes: int
+    platt: LogisticRegressionModel | None = None
 
-    def _margins(self, df: DataFrame) -> DataFrame:
-        scored = self.machine.transform(kernel_features(df, self.features, self.options, self.gamma))
-        return scored.drop("features", "prediction").withColumnRenamed("rawPrediction", "margins")
+    def margins(self, df: DataFrame) -> DataFrame:
+        """Adds ``margins``: one per pair of classes, positive for the first of the two."""
+        mapping = feature_map(len(self.features), self.options, self.gamma)
+        coefficients, intercepts = self.coefficients, self.intercepts
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        """Class of the largest margin; probabilities from a logistic fit on the margins."""
-        scored = self.platt.transform(self._margins(df)).withColumn("probability", vector_to_array("probability"))
-        margins = vector_to_array("margins")
-        best = F.array_position(margins, F.array_max(margins)) - 1
-        return scored.withColumn("prediction", best.cast("int")).drop("margins", "rawPrediction")
+        @F.pandas_udf(ArrayType(DoubleType()))
+        def sides(*columns: pd.Series) -> pd.Series:
+            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            return pd.Series(list(mapping(x) @ coefficients.T + intercepts))
 
+        return df.withColumn("margins", sides(*[F.col(c) for c in self.features]))
 
-def kernel_features(df: DataFrame, features: Sequence[str], o: KernelOptions, gamma: float) -> DataFrame:
-    """Explicit feature map whose inner products give (rbf: approximate) the kernel."""
-    names = list(features)
+    def predict(self, df: DataFrame) -> DataFrame:
+        """Class with most pairwise votes, the lowest on a tie; probabilities from a logistic
+        fit on the margins."""
+        votes = []
+        for k in range(self.classes):
+            won = F.lit(0)
+            for i, (a, b) in enumerate(self.pairs):
+                side = F.col("margins")[i]
+                if k in (a, b):
+                    won = won + (side > 0 if k == a else side <= 0).cast("int")
+            votes.append(won)
+        tally = F.array(*votes)
+        scored = self.margins(df).withColumn("margin_vector", array_to_vector("margins"))
+        scored = self.platt.transform(scored).withColumn("probability", vector_to_array("probability"))
+        best = F.array_position(tally, F.array_max(tally)) - 1
+        return scored.withColumn("prediction", best.cast("int")).drop("margins", "margin_vector", "rawPrediction")
+
+
+def feature_map(inputs: int, o: KernelOptions, gamma: float):
+    """A function on row blocks whose inner products give (rbf: approximate) the kernel.
+
+    rbf uses random cosine waves; poly all products of exactly ``degree`` inputs, weighted
+    so that dot products equal (gamma <x, z>)^degree.
+    """
     if o.kernel == "linear":
-        return _assemble(df, names)
+        return lambda x: x
     if o.kernel == "poly":
-        return df.withColumn("features", array_to_vector(F.array(*_monomials(names, o.degree, gamma))))
+        terms = []
+        for combo in combinations_with_replacement(range(inputs), o.degree):
+            orders = math.factorial(o.degree)
+            for i in set(combo):
+                orders //= math.factorial(combo.count(i))
+            terms.append((list(combo), math.sqrt(orders) * gamma ** (o.degree / 2)))
+        return lambda x: np.column_stack([w * x[:, combo].prod(axis=1) for combo, w in terms])
     rng = np.random.default_rng(o.seed)
-    directions = rng.normal(0.0, math.sqrt(2 * gamma), (len(names), o.random_features))
+    directions = rng.normal(0.0, math.sqrt(2 * gamma), (inputs, o.random_features))
     phases = rng.uniform(0, 2 * math.pi, o.random_features)
+    return lambda x: np.cos(x @ directions + phases) * math.sqrt(2.0 / len(phases))
 
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def waves(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        return pd.Series(list(np.cos(x @ directions + phases) * math.sqrt(2.0 / len(phases))))
-
-    return df.withColumn("features", array_to_vector(waves(*[F.col(c) for c in names])))
 
-
-def _monomials(names: Sequence[str], degree: int, gamma: float) -> list[Column]:
-    """All products of exactly ``degree`` factors, weighted so that dot products equal (gamma <x, z>)^degree."""
-    out = []
-    for combo in combinations_with_replacement(range(len(names)), degree):
-        ways = math.factorial(degree)
-        for i in set(combo):
-            ways //= math.factorial(combo.count(i))
-        term = F.lit(math.sqrt(ways) * gamma ** (degree / 2))
-        for i in combo:
-            term = term * F.col(names[i])
-        out.append(term)
-    return out
-
-
-def train_svm(train: DataFrame, features: Sequence[str], options: KernelOptions = KernelOptions()) -> SupportVector:
-    """One-vs-rest linear machines on the kernel's feature map; gamma 'scale' is 1 / (d Var(X))."""
+def train_svm(train: DataFrame, features: Sequence[str], classes: int,
+              options: KernelOptions = KernelOptions()) -> SupportVector:
+    """Pairwise linear machines on the kernel's feature map; gamma 'scale' is 1 / (d Var(X))."""
     features = list(features)
-    row = train.agg(F.count(F.lit(1)).alias("n"), *[F.struct(F.avg(c).alias("m"), F.avg(F.col(c) * F.col(c)).alias("s"))
-                                                    .alias(c) for c in features]).first()
+    sums = train.agg(*[F.struct(F.avg(c).alias("m"), F.avg(F.col(c) * F.col(c)).alias("s")).alias(c) for c in features]).first()
+    counts = dict(train.groupBy("label").count().collect())
     gamma = options.gamma
     if gamma == "scale":
-        mean = sum(row[c]["m"] for c in features) / len(features)
-        gamma = 1.0 / (len(features) * (sum(row[c]["s"] for c in features) / len(features) - mean ** 2))
-    mapped = kernel_features(train.select(*features, "label"), features, options, gamma).select("features", "label")
-    base = LinearSVC(regParam=1.0 / (options.c * row["n"]), standardization=False, maxIter=options.max_iter, tol=1e-4)
-    machine = OneVsRest(classifier=base).fit(mapped)
-    margins = machine.transform(mapped).select(F.col("rawPrediction").alias("margins"), "label")
-    platt = LogisticRegression(featuresCol="margins", family="multinomial", maxIter=50).fit(margins)
-    return SupportVector(features, options, float(gamma), machine, platt)
+        mean = sum(sums[c]["m"] for c in features) / len(features)
+        gamma = 1.0 / (len(features) * (sum(sums[c]["s"] for c in features) / len(features) - mean ** 2))
+    mapping = feature_map(len(features), options, gamma)
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def mapped(*columns: pd.Series) -> pd.Series:
+        return pd.Series(list(mapping(np.column_stack([c.to_numpy(dtype=float) for c in columns]))))
+
+    pairs = [(a, b) for a in range(classes) for b in range(a + 1, classes) if counts.get(a) and counts.get(b)]
+    machines = []
+    for a, b in pairs:
+        # filtered before the map, so each row is mapped only for its own pairs; LinearSVC caches its blocks
+        two = train.filter(F.col("label").isin(a, b)).select(
+            array_to_vector(mapped(*[F.col(c) for c in features])).alias("features"), (F.col("label") == a).cast("double").alias("side"))
+        base = LinearSVC(labelCol="side", regParam=1.0 / (options.c * (counts[a] + counts[b])), standardization=False,
+                         maxIter=options.max_iter, tol=1e-4)
+        machines.append(base.fit(two))
+    model = SupportVector(features, options, float(gamma), pairs, np.array([m.coefficients.toArray() for m in machines]),
+                          np.array([m.intercept for m in machines]), classes)
+    margins = model.margins(train).select(array_to_vector("margins").alias("margin_vector"), "label")
+    model.platt = LogisticRegression(featuresCol="margin_vector", predictionCol="", family="multinomial", maxIter=50).fit(margins)
+    return model
 
 
 def accuracy_of(model: Classifier, df: DataFrame) -> float:
@@ -411,7 +436,7 @@ def parameter_sweep(task: Task, perceptron: PerceptronOptions = PerceptronOption
         model = train_perceptron(train, task.features, task.keys, len(task.classes), replace(perceptron, **change))
         rows.append(("perceptron", name, accuracy_of(model, task.test), model.iterations))
     for name, change in {"base": {}, **KERNEL_VARIANTS}.items():
-        model = train_svm(train, task.features, replace(kernel, **change))
+        model = train_svm(train, task.features, len(task.classes), replace(kernel, **change))
         rows.append(("support vector", name, accuracy_of(model, task.test), None))
     train.unpersist()
     return literal_rows(task.rows.sparkSession, rows,

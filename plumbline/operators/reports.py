@@ -125,7 +125,7 @@ def classification_report_full(df: DataFrame, features: Sequence[str], label: st
     task = classify.classification_task(df, features, label, keys)
     train = task.train.persist(StorageLevel.MEMORY_AND_DISK)
     models = {"perceptron": classify.train_perceptron(train, features, keys, len(task.classes), perceptron),
-              "support vector": classify.train_svm(train, features, kernel)}
+              "support vector": classify.train_svm(train, features, len(task.classes), kernel)}
     parts = [melt(describe.class_distribution(df, label), [label], "classes"),
              melt(describe.describe_quartiles(df, features), ["column"], "description"),
              melt(anova_f_scores(df, features, label), ["column"], "feature score"),

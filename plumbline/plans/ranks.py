@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALUES_PER_BUCKET = 200_000
-MAX_BUCKETS = 4_096
+FIRST_BUCKETS = 256
+MAX_BUCKETS = 8_192
 BROADCAST_ROWS = 500_000
 
 
@@ -24,13 +25,22 @@ def bucket_edges(df: DataFrame, value: str) -> tuple[list[float], int]:
     """Inner edges that leave no bucket more than its share of rows, hot values aside,
     and the estimated number of distinct values."""
     v = F.col(value).cast("double")
-    distinct = df.agg(F.approx_count_distinct(v, 0.03)).first()[0]
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(2, min(spread, math.ceil(distinct / 1000)), math.ceil(distinct / VALUES_PER_BUCKET))
-    buckets = min(MAX_BUCKETS, wanted)
-    shares = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile_approx(v, shares, max(10_000, 8 * buckets))).first()[0]
-    return sorted({e for e in (edges or []) if not math.isnan(e)}), distinct
+
+    def shares(parts: int) -> list[float]:
+        return [i / parts for i in range(1, parts)]
+
+    row = df.agg(F.approx_count_distinct(v, 0.03).alias("distinct"),
+                 F.percentile_approx(v, shares(FIRST_BUCKETS), 10_000).alias("edges")).first()
+    edges, wanted = row["edges"] or [], math.ceil(row["distinct"] / VALUES_PER_BUCKET)
+    if wanted > FIRST_BUCKETS:
+        # only a huge column pays a second pass for finer edges
+        parts = min(MAX_BUCKETS, wanted)
+        edges = df.agg(F.percentile_approx(v, shares(parts), 8 * parts)).first()[0]
+    else:
+        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        step = FIRST_BUCKETS // max(2, wanted, min(spread, FIRST_BUCKETS, math.ceil(row["distinct"] / 1000)))
+        edges = edges[step - 1::step]
+    return sorted({e for e in edges if not math.isnan(e)}), row["distinct"]
 
 
 def add_bucket(df: DataFrame, value: str, edges: Sequence[float], name: str = "bucket") -> DataFrame:

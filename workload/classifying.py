@@ -165,26 +165,26 @@ def mlp_weight_importance(spark, sf_dir):
 @query("svm_rbf", QUALITY)
 def svm_rbf(spark, sf_dir):
     task = ringed(spark, sf_dir)
-    return quality(classify.train_svm(task.train, task.features, KERNEL), task)
+    return quality(classify.train_svm(task.train, task.features, len(task.classes), KERNEL), task)
 
 
 @query("svm_linear", QUALITY)
 def svm_linear(spark, sf_dir):
     task = graded(spark, sf_dir)
-    return quality(classify.train_svm(task.train, task.features, replace(KERNEL, kernel="linear")), task)
+    return quality(classify.train_svm(task.train, task.features, len(task.classes), replace(KERNEL, kernel="linear")), task)
 
 
 @query("svm_poly", QUALITY)
 def svm_poly(spark, sf_dir):
     task = graded(spark, sf_dir)
-    return quality(classify.train_svm(task.train, task.features, replace(KERNEL, kernel="poly")), task)
+    return quality(classify.train_svm(task.train, task.features, len(task.classes), replace(KERNEL, kernel="poly")), task)
 
 
 @query("permutation_importance", "model s, feature s, importance 6, sd 6")
 def permutation_importance(spark, sf_dir):
     task = graded(spark, sf_dir)
     models = {"perceptron": classify.train_perceptron(task.train, task.features, task.keys, 3, PERCEPTRON),
-              "support vector": classify.train_svm(task.train, task.features, KERNEL)}
+              "support vector": classify.train_svm(task.train, task.features, len(task.classes), KERNEL)}
     return classify.permutation_importance(models, task.test, task.features, task.keys)
 
 
