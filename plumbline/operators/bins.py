@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.normal import normal_ppf
 from plumbline.operators.describe import literal_rows
 from plumbline.plans.order import exact_quantiles
-from plumbline.plans.ranks import expand_ties, running_counts
+from plumbline.plans.ranks import expand_ties, running_counts, survey
 from plumbline.sources.tables import unpivot
 
 MAX_GROUPS = 10_000
@@ -255,9 +255,9 @@ def boxplot_by_group(df: DataFrame, column: str, group: str, reach: float = 1.5)
 
 def qq_points(df: DataFrame, column: str, positions: str = "filliben") -> DataFrame:
     """(i, theoretical, sample) for every row; positions ``filliben`` or ``ppoints``."""
-    ranked = running_counts(df, column)
-    n = df.agg(F.count(column)).first()[0]
-    points = expand_ties(ranked)
+    spread = survey(df, column)
+    n = spread.rows
+    points = expand_ties(running_counts(df, column, spread=spread), spread.largest)
     i = F.col("i").cast("double")
     if positions == "filliben":
         end = 0.5 ** (1.0 / n)

@@ -22,7 +22,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from plumbline.operators.clean import apply_scaler, scaler
 from plumbline.operators.describe import literal_rows
 from plumbline.operators.metrics import classification_metrics
-from plumbline.operators.split import hash_folds, key_hash, label_codes, label_encode, stratified_split
+from plumbline.operators.split import hash_folds, key_hash, label_counts, label_encode, stratified_split
 
 
 @dataclass
@@ -48,8 +48,9 @@ def classification_task(df: DataFrame, features: Sequence[str], label: str, keys
     """Stratified split, scaler fitted on the training rows (or on all rows if asked), labels 0..k-1."""
     features, keys = list(features), list(keys)
     rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features], label).na.drop()
-    codes = label_codes(rows, label)
-    rows = stratified_split(label_encode(rows, label, "label", codes), label, keys, test_size, seed)
+    counts = label_counts(rows, label)
+    codes = {v: i for i, v in enumerate(counts)}
+    rows = stratified_split(label_encode(rows, label, "label", codes), label, keys, test_size, seed, counts)
     fitted = scaler(rows if scale_before_split else rows.filter(F.col("split") == "train"), features)
     return Task(apply_scaler(rows, fitted), features, keys, list(codes))
 

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.plans.order import exact_quantiles
+from plumbline.plans.order import exact_quantiles, quantiles_and
 from plumbline.plans.ranks import running_counts
-from plumbline.sources.tables import tidy, unpivot
+from plumbline.sources.tables import unpivot
 
 
 def literal_rows(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -28,57 +28,44 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.groupBy("column").agg(best.alias("mode"))
 
 
+def _table(df: DataFrame, columns: Sequence[str], probs: dict[str, float], measures: dict) -> DataFrame:
+    """(column, measures..., quantiles...): the measures ride on the first pass of the exact quantiles."""
+    extra = [build(F.col(c).cast("double")).alias(f"{name} of {c}!") for c in columns for name, build in measures.items()]
+    found, row = quantiles_and(df, columns, probs.values(), extra)
+    rows = [(c, *[row[f"{name} of {c}!"] for name in measures], *found[c]) for c in columns]
+    kinds = [f"{name} {'bigint' if name in ('n', 'count') else 'double'}" for name in measures]
+    return literal_rows(df.sparkSession, rows, ", ".join(["column string", *kinds, *[f"{p} double" for p in probs]]))
+
+
 def describe_params(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, median, mode, sample sd and variance, range, sum, biased excess kurtosis and skewness."""
-    medians = exact_quantiles(df, columns, [0.5])
-    cells = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        for measure, value in {
-            "mean": F.avg(x), "std": F.stddev_samp(x), "variance": F.var_samp(x), "min": F.min(x), "max": F.max(x),
-            "sum": F.sum(x), "kurtosis": F.kurtosis(x), "skewness": F.skewness(x),
-            "median": F.max(F.lit(medians[c][0]).cast("double")),
-        }.items():
-            cells.append(value.alias(f"{c}|{measure}"))
-    table = tidy(df.agg(*cells), columns,
-                 ["mean", "median", "std", "variance", "min", "max", "sum", "kurtosis", "skewness"])
-    return table.join(F.broadcast(modes(df, columns)), "column", "left")
+    table = _table(df, columns, {"median": 0.5}, {
+        "mean": F.avg, "std": F.stddev_samp, "variance": F.var_samp, "min": F.min, "max": F.max, "sum": F.sum,
+        "kurtosis": F.kurtosis, "skewness": F.skewness})
+    return table.join(modes(df, columns), "column", "left")
 
 
 def describe_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample sd, min, quartiles, max."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    cells = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        cells += [F.count(x).alias(f"{c}|count"), F.avg(x).alias(f"{c}|mean"), F.stddev_samp(x).alias(f"{c}|std"),
-                  F.min(x).alias(f"{c}|min"), F.max(x).alias(f"{c}|max")]
-        cells += [F.max(F.lit(q).cast("double")).alias(f"{c}|{m}") for q, m in zip(quartiles[c], ("q25", "q50", "q75"))]
-    return tidy(df.agg(*cells), columns, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
+    return _table(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, {
+        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
 
 
 def describe_psych(df: DataFrame, columns: Sequence[str], trim: float = 0.1) -> DataFrame:
     """n, mean, sd, median, trimmed mean, scaled MAD, range, type-3 skew and kurtosis, standard error."""
-    medians = {c: q[0] for c, q in exact_quantiles(df, columns, [0.5]).items()}
+    def shrink(x):
+        return (F.count(x) - 1) / F.count(x)
+
+    table = _table(df, columns, {"median": 0.5}, {
+        "n": F.count, "mean": F.avg, "sd": F.stddev_samp, "min": F.min, "max": F.max, "range": lambda x: F.max(x) - F.min(x),
+        "skew": lambda x: F.skewness(x) * F.pow(shrink(x), 1.5),
+        "kurtosis": lambda x: (F.kurtosis(x) + 3) * F.pow(shrink(x), 2.0) - 3,
+        "se": lambda x: F.stddev_samp(x) / F.sqrt(F.count(x))})
+    medians = {r["column"]: r["median"] for r in table.collect()}
     away = df.select(*[F.abs(F.col(c) - F.lit(medians[c]).cast("double")).alias(c) for c in columns])
-    mads = {c: q[0] for c, q in exact_quantiles(away, columns, [0.5]).items()}
-    trimmed = trimmed_means(df, columns, trim)
-    cells = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        n = F.count(x)
-        shrink = (n - 1) / n
-        mad = None if mads[c] is None else 1.4826 * mads[c]
-        for measure, value in {
-            "n": n, "mean": F.avg(x), "sd": F.stddev_samp(x), "min": F.min(x), "max": F.max(x),
-            "range": F.max(x) - F.min(x), "skew": F.skewness(x) * F.pow(shrink, 1.5),
-            "kurtosis": (F.kurtosis(x) + 3) * F.pow(shrink, 2.0) - 3, "se": F.stddev_samp(x) / F.sqrt(n),
-            "median": F.max(F.lit(medians[c]).cast("double")), "mad": F.max(F.lit(mad).cast("double")),
-        }.items():
-            cells.append(value.alias(f"{c}|{measure}"))
-    table = tidy(df.agg(*cells), columns,
-                 ["n", "mean", "sd", "median", "mad", "min", "max", "range", "skew", "kurtosis", "se"])
-    return table.join(F.broadcast(trimmed), "column")
+    mads = [(c, None if q[0] is None else 1.4826 * q[0]) for c, q in exact_quantiles(away, columns, [0.5]).items()]
+    return table.join(literal_rows(df.sparkSession, mads, "column string, mad double"), "column").join(
+        trimmed_means(df, columns, trim), "column", "left")
 
 
 def trimmed_means(df: DataFrame, columns: Sequence[str], trim: float = 0.1) -> DataFrame:

@@ -12,7 +12,7 @@ from plumbline.functions.normal import normal_cdf, normal_ppf
 from plumbline.functions.tails import kolmogorov_tail, normal_sf
 from plumbline.operators.association import interpret
 from plumbline.operators.describe import literal_rows
-from plumbline.plans.ranks import add_bucket, bucket_edges, expand_ties, running_counts
+from plumbline.plans.ranks import add_bucket, expand_ties, running_counts, survey
 from plumbline.sources.tables import unpivot
 
 
@@ -24,7 +24,7 @@ def differences(df: DataFrame, key: str, column: str) -> DataFrame:
     """
     rows = df.select(F.col(key).cast("double").alias("place"), F.col(key).alias(key), F.col(column).alias("x"))
     rows = rows.filter(F.col("x").isNotNull())
-    edges, _ = bucket_edges(rows, "place")
+    edges = survey(rows, "place").edges
     rows = add_bucket(rows, "place", edges)
     ends = {r["bucket"]: r["x"] for r in rows.groupBy("bucket").agg(F.max_by("x", key).alias("x")).collect()}
     carried, last = [], None
@@ -62,7 +62,9 @@ def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     values = unpivot(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, "column", "x")
     sizes = values.groupBy("column").agg(F.count("x").alias("rows"), F.var_pop("x").alias("var"))
-    scored = expand_ties(running_counts(values, "x", by=["column"]), ["column"]).join(F.broadcast(sizes), "column")
+    spread = survey(values, "x")
+    ranked = running_counts(values, "x", by=["column"], spread=spread)
+    scored = expand_ties(ranked, spread.largest, ["column"]).join(F.broadcast(sizes), "column")
     score = normal_ppf((F.col("i") - 0.375) / (F.col("rows") + 0.25))
     ends = {"first": F.lit(1), "second": F.lit(2), "last": F.col("rows"), "before_last": F.col("rows") - 1}
     sums = scored.withColumn("m", score).groupBy("column").agg(

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.association import levels
+from plumbline.operators.association import MAX_LEVELS, levels
 from plumbline.operators.bins import edges_below
 from plumbline.plans.order import order_statistics
 
@@ -48,15 +48,18 @@ def target_kind(df: DataFrame, target: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(row["rows"], kind)], "rows bigint, kind string")
 
 
-def _lowest(df: DataFrame, groups: dict[object, tuple[Column, int]], keys: Sequence[str], seed: int) -> dict[object, Column]:
-    """For each group (predicate, size), a predicate for its ``size`` rows of lowest hash."""
+def _lowest(df: DataFrame, groups: dict[object, tuple[Column, int, int]], keys: Sequence[str],
+            seed: int) -> dict[object, Column]:
+    """For each group (predicate, size, rows), a predicate for its ``size`` rows of lowest hash."""
     first, second = key_hash(keys, seed), key_hash(keys, seed, 1)
     names = {g: f"h{i}" for i, g in enumerate(groups)}
-    wanted = {g: size for g, (_, size) in groups.items() if size > 0}
+    wanted = {g: size for g, (_, size, _) in groups.items() if size > 0}
     if not wanted:
         return {g: F.lit(False) for g in groups}
     hashed = df.select(*[F.when(groups[g][0], first).alias(names[g]) for g in wanted])
-    found = order_statistics(hashed, {names[g]: [size - 1] for g, size in wanted.items()})
+    # hashes are nearly all distinct, so the group sizes stand for their distinct counts
+    found = order_statistics(hashed, {names[g]: [size - 1] for g, size in wanted.items()},
+                             sizes={names[g]: (groups[g][2], groups[g][2]) for g in wanted})
     cut = {g: found[names[g]][size - 1] for g, size in wanted.items()}
     around = hashed.agg(*[F.struct(F.count_if(F.col(names[g]) < cut[g]).alias("below"),
                                    F.count_if(F.col(names[g]) == cut[g]).alias("at")).alias(names[g]) for g in wanted]).first()
@@ -76,7 +79,7 @@ def _lowest(df: DataFrame, groups: dict[object, tuple[Column, int]], keys: Seque
 def train_test_split(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``split`` (train or test) with exactly ceil(test_size * n) test rows."""
     n = df.count()
-    chosen = _lowest(df, {0: (F.lit(True), math.ceil(test_size * n))}, keys, seed)
+    chosen = _lowest(df, {0: (F.lit(True), math.ceil(test_size * n), n)}, keys, seed)
     return df.withColumn("split", F.when(chosen[0], "test").otherwise("train"))
 
 
@@ -91,12 +94,20 @@ def shares(sizes: dict, total: int) -> dict:
     return out
 
 
-def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size: float = 0.3, seed: int = 42) -> DataFrame:
+def label_counts(df: DataFrame, label: str) -> dict:
+    """Rows of each category, in sorted order; the categories must be few."""
+    found = df.filter(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_LEVELS + 1).collect()
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"{label} has more than {MAX_LEVELS} categories")
+    return dict(sorted((r[0], r[1]) for r in found))
+
+
+def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size: float = 0.3, seed: int = 42,
+                     counts: dict | None = None) -> DataFrame:
     """Adds ``split``; every class keeps its share of the ceil(test_size * n) test rows."""
-    known = set(levels(df, label))
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect() if r[label] in known}
+    counts = counts or label_counts(df, label)
     sizes = shares(counts, math.ceil(test_size * sum(counts.values())))
-    chosen = _lowest(df, {g: (F.col(label) == F.lit(g), size) for g, size in sizes.items()}, keys, seed)
+    chosen = _lowest(df, {g: (F.col(label) == F.lit(g), size, counts[g]) for g, size in sizes.items()}, keys, seed)
     test = F.lit(False)
     for predicate in chosen.values():
         test = test | predicate

@@ -10,9 +10,9 @@ of all rows is settled by its count instead of being moved.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 BUFFER_VALUES = 100_000
@@ -25,15 +25,20 @@ def number(value: float) -> str:
 
 
 def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[int]], buffer_values: int = BUFFER_VALUES,
-                     accuracy: int = SKETCH_ACCURACY) -> dict[str, dict[int, float]]:
-    """Values at the 0-based ``wanted`` ranks of each column, nulls left out."""
+                     accuracy: int = SKETCH_ACCURACY,
+                     sizes: Mapping[str, tuple[int, int]] | None = None) -> dict[str, dict[int, float]]:
+    """Values at the 0-based ``wanted`` ranks of each column, nulls left out.
+
+    ``sizes`` gives (rows, distinct values) of each column where the caller knows them.
+    """
     answers: dict[str, dict[int, float]] = {name: {} for name in wanted}
     # an open search: (column, exclusive low, exclusive high, rows at or below low, ranks)
     searches = [(name, None, None, 0, sorted(set(ranks))) for name, ranks in wanted.items() if ranks]
+    known = [sizes[s[0]] for s in searches] if sizes else None
     while searches:
-        sizes = _sizes(df, searches)
+        counted, known = known or _sizes(df, searches), None
         buffered, wide = [], []
-        for search, (rows, distinct) in zip(searches, sizes):
+        for search, (rows, distinct) in zip(searches, counted):
             (buffered if distinct <= buffer_values else wide).append((*search, rows))
         _select(df, buffered, answers)
         searches = _narrow(df, wide, answers, accuracy)
@@ -54,7 +59,7 @@ def _sizes(df, searches):
     measures = []
     for i, (name, low, high, _, _) in enumerate(searches):
         inside = _inside(name, low, high)
-        measures += [F.count(inside).alias(f"n{i}"), F.approx_count_distinct(inside, 0.03).alias(f"d{i}")]
+        measures += [F.count(inside).alias(f"n{i}"), F.approx_count_distinct(inside).alias(f"d{i}")]
     row = df.agg(*measures).first()
     return [(row[f"n{i}"], row[f"d{i}"]) for i in range(len(searches))]
 
@@ -111,25 +116,31 @@ def _narrow(df, wide, answers, accuracy):
 def exact_quantiles(df: DataFrame, columns: Iterable[str], probs: Iterable[float],
                     buffer_values: int = BUFFER_VALUES) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles (numpy default, R type 7) per column."""
-    columns, probs = list(columns), list(probs)
-    sizes = df.agg(*[F.count(F.col(c).cast("double")).alias(c) for c in columns],
-                   *[F.approx_count_distinct(F.col(c).cast("double"), 0.03).alias(f"{c} distinct")
-                     for c in columns]).first()
-    narrow = [c for c in columns if 0 < sizes[f"{c} distinct"] <= buffer_values]
+    return quantiles_and(df, columns, probs, [], buffer_values)[0]
+
+
+def quantiles_and(df: DataFrame, columns: Iterable[str], probs: Iterable[float], extra: Sequence[Column],
+                  buffer_values: int = BUFFER_VALUES) -> tuple[dict[str, list[float | None]], Row]:
+    """Exact quantiles, and the row of ``extra`` aggregates taken in their first pass."""
+    columns, probs = list(columns), [float(p) for p in probs]
+    value = {c: F.col(c).cast("double") for c in columns}
+    sizes = df.agg(*[F.count(value[c]).alias(f"rows of {c}") for c in columns],
+                   *[F.approx_count_distinct(value[c]).alias(f"distinct of {c}") for c in columns], *extra).first()
+    rows = {c: sizes[f"rows of {c}"] for c in columns}
+    narrow = [c for c in columns if rows[c] and sizes[f"distinct of {c}"] <= buffer_values]
+    wide = [c for c in columns if rows[c] and c not in narrow]
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
     if narrow:
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), [float(p) for p in probs]).alias(c)
-                       for c in narrow]).first()
+        row = df.agg(*[F.percentile(value[c], probs).alias(c) for c in narrow]).first()
         out.update({c: list(row[c]) for c in narrow})
-    wide = [c for c in columns if sizes[f"{c} distinct"] > buffer_values]
-    wanted = {c: {r for p in probs for r in _neighbours(sizes[c], p)} for c in wide}
-    found = order_statistics(df, wanted, buffer_values)
+    found = order_statistics(df, {c: {r for p in probs for r in _neighbours(rows[c], p)} for c in wide}, buffer_values,
+                             sizes={c: (rows[c], sizes[f"distinct of {c}"]) for c in wide})
     for c in wide:
         for i, p in enumerate(probs):
-            low, high = _neighbours(sizes[c], p)
-            share = (sizes[c] - 1) * p - low
+            low, high = _neighbours(rows[c], p)
+            share = (rows[c] - 1) * p - low
             out[c][i] = found[c][low] * (1 - share) + found[c][high] * share
-    return out
+    return out, sizes
 
 
 def _neighbours(rows: int, p: float) -> tuple[int, int]:

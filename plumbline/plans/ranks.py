@@ -9,7 +9,9 @@ a value the same in every use and after the loss of an executor.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -21,17 +23,30 @@ MAX_BUCKETS = 8_192
 BROADCAST_ROWS = 500_000
 
 
-def bucket_edges(df: DataFrame, value: str) -> tuple[list[float], int]:
-    """Inner edges that leave no bucket more than its share of rows, hot values aside,
-    and the estimated number of distinct values."""
+@dataclass
+class Spread:
+    """How a column is spread: rows, estimated distinct values, literal bucket edges, and a
+    bound on the rows that share one value."""
+
+    rows: int
+    distinct: int
+    edges: list[float]
+    largest: int
+
+
+def survey(df: DataFrame, value: str) -> Spread:
+    """One pass of bounded sketches.  No bucket holds more than its share of rows, hot values aside."""
     v = F.col(value).cast("double")
 
     def shares(parts: int) -> list[float]:
         return [i / parts for i in range(1, parts)]
 
-    row = df.agg(F.approx_count_distinct(v, 0.03).alias("distinct"),
+    row = df.agg(F.count(v).alias("rows"), F.approx_count_distinct(v).alias("distinct"),
                  F.percentile_approx(v, shares(FIRST_BUCKETS), 10_000).alias("edges")).first()
     edges, wanted = row["edges"] or [], math.ceil(row["distinct"] / VALUES_PER_BUCKET)
+    # a value seen at k consecutive edges holds at most k + 1 shares (one more for the sketch error)
+    repeats = max(Counter(edges).values(), default=0)
+    largest = math.ceil(row["rows"] * (repeats + 2) / FIRST_BUCKETS)
     if wanted > FIRST_BUCKETS:
         # only a huge column pays a second pass for finer edges
         parts = min(MAX_BUCKETS, wanted)
@@ -40,7 +55,7 @@ def bucket_edges(df: DataFrame, value: str) -> tuple[list[float], int]:
         spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         step = FIRST_BUCKETS // max(2, wanted, min(spread, FIRST_BUCKETS, math.ceil(row["distinct"] / 1000)))
         edges = edges[step - 1::step]
-    return sorted({e for e in edges if not math.isnan(e)}), row["distinct"]
+    return Spread(row["rows"], row["distinct"], sorted({e for e in edges if not math.isnan(e)}), largest)
 
 
 def add_bucket(df: DataFrame, value: str, edges: Sequence[float], name: str = "bucket") -> DataFrame:
@@ -51,7 +66,7 @@ def add_bucket(df: DataFrame, value: str, edges: Sequence[float], name: str = "b
 
 
 def running_counts(df: DataFrame, value: str, by: Sequence[str] = (),
-                   sums: Mapping[str, Column] | None = None, edges: Sequence[float] | None = None) -> DataFrame:
+                   sums: Mapping[str, Column] | None = None, spread: Spread | None = None) -> DataFrame:
     """One row per distinct (by..., value): ``n``, each of ``sums``, and the totals
     of all smaller values in the same group as ``n_before``, ``<name>_before``."""
     by = list(by)
@@ -59,8 +74,7 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (),
     names = ["n", *sums]
     kept = df.select(*by, F.col(value).cast("double").alias("value"), *[c.alias(n) for n, c in sums.items()])
     kept = kept.filter(F.col("value").isNotNull())
-    if edges is None:
-        edges, _ = bucket_edges(kept, "value")
+    edges = (spread or survey(kept, "value")).edges
     counted = kept.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"), *[F.sum(s).alias(s) for s in sums])
     counted = add_bucket(counted, "value", edges)
     totals = add_bucket(kept, "value", edges).groupBy(*by, "bucket").agg(
@@ -87,10 +101,10 @@ def row_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Adds ``<column>_rank``, the average rank of each row's value."""
     out = df
     for c in columns:
-        edges, distinct = bucket_edges(df, c)
-        ranks = running_counts(df, c, edges=edges).select(
+        spread = survey(df, c)
+        ranks = running_counts(df, c, spread=spread).select(
             F.col("value").alias(c), average_rank().alias(f"{c}_rank"))
-        out = lookup(out.withColumn(c, F.col(c).cast("double")), ranks, [c], small=distinct * 1.2 <= BROADCAST_ROWS)
+        out = lookup(out.withColumn(c, F.col(c).cast("double")), ranks, [c], small=spread.distinct * 1.25 <= BROADCAST_ROWS)
     return out
 
 
@@ -105,13 +119,16 @@ def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], small: bool, salt
     return salted.join(copies, [*on, "salt"]).drop("salt")
 
 
-def expand_ties(ranked: DataFrame, keep: Sequence[str] = (), chunk: int = 1_000_000) -> DataFrame:
+def expand_ties(ranked: DataFrame, largest: int, keep: Sequence[str] = (), chunk: int = 1_000_000) -> DataFrame:
     """(keep..., value, i): every row back at its own 1-based rank.
 
-    Blocks of equal values longer than ``chunk`` are cut and spread over tasks first.
+    Where a block of equal values may be longer than ``chunk`` (``largest`` bounds it),
+    long blocks are cut and spread over tasks first.
     """
     keep = list(keep)
     first, last = F.col("n_before") + 1, F.col("n_before") + F.col("n")
+    if largest <= chunk:
+        return ranked.select(*keep, "value", F.explode(F.sequence(first, last)).alias("i"))
     short = ranked.filter(F.col("n") <= chunk).select(*keep, "value", F.explode(F.sequence(first, last)).alias("i"))
     pieces = ranked.filter(F.col("n") > chunk).select(
         *keep, "value", last.alias("last"), F.explode(F.sequence(first, last, F.lit(chunk))).alias("start"))

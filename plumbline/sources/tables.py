@@ -92,10 +92,3 @@ def scatter_points(df: DataFrame, pairs: Sequence[tuple[str, str]], label: str |
 
 def unpivot(df: DataFrame, columns: Sequence[str], name: str, value: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.unpivot(list(keep), list(columns), name, value)
-
-
-def tidy(row_frame: DataFrame, columns: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """One row of ``<column>|<measure>`` cells turned into one row per column."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}|{m}`").alias(m) for m in measures])
-                      for c in columns])
-    return row_frame.select(F.explode(cells).alias("s")).select("s.*")
