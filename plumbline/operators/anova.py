@@ -9,18 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.tails import f_sf, f_tail
-from plumbline.operators.describe import literal_rows
+from plumbline.operators.describe import literal_rows, settle
 from plumbline.sources.tables import unpivot
 
 MAX_CELLS = 10_000
 
 
 def _group_sums(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
-    """(column, n, k, ss_between, ss_within); group rows never leave the cluster."""
+    """(column, n, k, ss_between, ss_within), over any number of groups."""
     values = unpivot(df.filter(F.col(group).isNotNull()).select(group, *[F.col(c).cast("double").alias(c) for c in columns]),
                      columns, "column", "x", [group]).filter(F.col("x").isNotNull())
-    groups = values.groupBy("column", group).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
+    groups = settle(values.groupBy("column", group).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v")))
     totals = groups.groupBy("column").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"))
     gap = F.col("m") - F.col("grand")
     # one row per column name on the small side

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.tails import chi2_tail, t_tail
-from plumbline.operators.describe import literal_rows
+from plumbline.operators.describe import literal_rows, settle
 from plumbline.plans.gram import gram
 from plumbline.plans.ranks import row_ranks
 
@@ -71,8 +71,10 @@ def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def cell_counts(df: DataFrame, a: str, b: str) -> DataFrame:
     """(a, b, n) over the rows where both categories exist."""
-    return df.select(F.col(a).alias("a"), F.col(b).alias("b")).na.drop().groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("n"))
+    # plain null filters, the same that joins on a and b add: every use of the cells then
+    # has one and the same plan and its shuffle is reused
+    return settle(df.select(F.col(a).alias("a"), F.col(b).alias("b")).filter(
+        F.col("a").isNotNull() & F.col("b").isNotNull()).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
 
 
 def levels(df: DataFrame, column: str) -> list:
@@ -89,7 +91,7 @@ def crosstab(df: DataFrame, a: str, b: str, margins: bool = True) -> DataFrame:
     The table is cut to its cells first; the cube runs over the cells.
     """
     cells = cell_counts(df, a, b)
-    rows, cols = levels(df, a), levels(df, b)
+    rows, cols = levels(cells, "a"), levels(cells, "b")
     margin = ["All"] if margins else []
     grid = literal_rows(df.sparkSession, [(str(x), str(y)) for x in [*rows, *margin] for y in [*cols, *margin]],
                         "a string, b string")
@@ -105,12 +107,12 @@ def crosstab(df: DataFrame, a: str, b: str, margins: bool = True) -> DataFrame:
 def _with_totals(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Adds row, column and grand totals to the cells."""
     keys = list(keys)
-    rows = cells.groupBy(*keys, "a").agg(F.sum("n").alias("row_total"))
-    cols = cells.groupBy(*keys, "b").agg(F.sum("n").alias("col_total"))
-    total = cells.groupBy(*keys).agg(F.sum("n").alias("total"))
+    rows = cells.groupBy(*keys, "a").agg(F.sum("n").alias("row_total"), F.count(F.lit(1)).alias("row_cells"))
+    cols = cells.groupBy(*keys, "b").agg(F.sum("n").alias("col_total"), F.count(F.lit(1)).alias("col_cells"))
     joined = cells.join(rows, [*keys, "a"]).join(cols, [*keys, "b"])
-    # without keys the other side is a single row
-    return joined.join(total, keys) if keys else joined.crossJoin(F.broadcast(total))
+    if not keys:
+        return joined.withColumn("total", cells.agg(F.sum("n")).scalar())
+    return joined.join(cells.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
 
 
 def expected_counts(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -129,7 +131,9 @@ def _test_cells(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     full = _with_totals(cells, keys)
     sums = full.groupBy(*keys).agg(
         F.max("total").alias("n"),
-        F.count_distinct("a").alias("rows"), F.count_distinct("b").alias("cols"),
+        # every cell of a row adds its part of that row, so rows and columns count without a distinct
+        F.round(F.sum(1 / F.col("row_cells"))).cast("bigint").alias("rows"),
+        F.round(F.sum(1 / F.col("col_cells"))).cast("bigint").alias("cols"),
         F.sum(F.col("n") * F.col("n") / (F.col("row_total") * F.col("col_total"))).alias("share"),
         F.max(F.abs(F.col("n") - F.col("row_total") * F.col("col_total") / F.col("total"))).alias("gap"),
         F.max("row_total").alias("r1"), F.max("col_total").alias("c1"))
@@ -175,9 +179,12 @@ def chi2_all_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(x).alias("var_a"), F.lit(y).alias("var_b"), F.col(x).cast("string").alias("a"),
                                F.col(y).cast("string").alias("b")) for x, y in combinations(columns, 2)])
     # rows collapse on the columns themselves before they are spread over the pairs
-    small = df.na.drop(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
-    cells = small.select("rows", F.explode(pairs).alias("p")).select("rows", "p.*").groupBy(
-        "var_a", "var_b", "a", "b").agg(F.sum("rows").alias("n"))
+    small = df
+    for c in columns:
+        small = small.filter(F.col(c).isNotNull())
+    small = small.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+    cells = settle(small.select("rows", F.explode(pairs).alias("p")).select("rows", "p.*").groupBy(
+        "var_a", "var_b", "a", "b").agg(F.sum("rows").alias("n")))
     return _test_cells(cells, ["var_a", "var_b"]).select("var_a", "var_b", "chi2", "p_value", "dof", "n", "reject_h0")
 
 

@@ -139,7 +139,7 @@ def with_bins(df: DataFrame, edges: dict[str, list[float]], labels: dict[str, Se
         number = F.when(F.col(c).isNotNull(), edges_below(F.col(c), e[1:-1]) + 1)
         added[f"{c}_bin"] = number
         if labels:
-            added[f"{c}_label"] = F.element_at(F.array(*[F.lit(t) for t in labels[c]]), number)
+            added[f"{c}_label"] = F.get(F.array(*[F.lit(t) for t in labels[c]]), number - 1)
     return df.withColumns(added)
 
 

@@ -201,11 +201,11 @@ def train_perceptron(train: DataFrame, features: Sequence[str], keys: Sequence[s
     weights = np.concatenate(start)
     state = np.stack([weights, np.zeros_like(weights), np.zeros_like(weights)])
     held = key_hash(keys, o.seed + 1) < F.lit(o.validation * 16.0 ** 13)
-    n = train.count()
-    parts = max(1, min(train.sparkSession.sparkContext.defaultParallelism, n // (4 * o.batch)))
     rows = train.select(*features, F.col("label").cast("int").alias("label"), held.alias("held"), *keys)
-    # few files are spread by key, many partitions are kept as they are
-    spread = rows.repartition(parts, *keys) if rows.rdd.getNumPartitions() < parts else rows
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.spark_partition_id()).alias("parts")).first()
+    parts = min(train.sparkSession.sparkContext.defaultParallelism, size["n"] // (4 * o.batch))
+    # a table in few pieces is spread by key, one in many is kept as it is
+    spread = rows.repartition(parts, *keys) if size["parts"] < parts else rows
     spread = spread.drop(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     best, best_score, waited, steps, loss, epoch = weights, -1.0, 0, 0.0, math.nan, 0
     for epoch in range(1, o.max_iter + 2):

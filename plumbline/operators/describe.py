@@ -17,6 +17,13 @@ def literal_rows(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
 
+def settle(aggregated: DataFrame, limit: int = 10_000) -> DataFrame:
+    """An aggregated frame as literal rows when they are few, so that later steps do not scan the
+    table again; a longer one stays as it is."""
+    rows = aggregated.limit(limit + 1).collect()
+    return aggregated.sparkSession.createDataFrame(rows, aggregated.schema) if len(rows) <= limit else aggregated
+
+
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mode): the most frequent value, the smallest on ties.
 
@@ -84,10 +91,8 @@ def trimmed_means(df: DataFrame, columns: Sequence[str], trim: float = 0.1) -> D
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Count and percentage (two decimals) per class."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    # the other side is a single row
-    return counts.crossJoin(F.broadcast(total)).select(
-        label, "n", F.round(F.col("n") * 100.0 / F.col("total"), 2).alias("percent")).orderBy(F.desc("n"), label)
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select(label, "n", F.round(F.col("n") * 100.0 / total, 2).alias("percent")).orderBy(F.desc("n"), label)
 
 
 def group_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -32,7 +32,7 @@ def differences(df: DataFrame, key: str, column: str) -> DataFrame:
         carried.append(F.lit(last).cast("double"))
         last = ends.get(b, last)
     in_order = Window.partitionBy("bucket").orderBy(key)
-    before = F.coalesce(F.lag("x").over(in_order), F.element_at(F.array(*carried), F.col("bucket") + 1))
+    before = F.coalesce(F.lag("x").over(in_order), F.get(F.array(*carried), F.col("bucket")))
     return rows.select(key, (F.col("x") - before).alias("diff")).filter(F.col("diff").isNotNull())
 
 

@@ -21,6 +21,7 @@ VALUES_PER_BUCKET = 200_000
 FIRST_BUCKETS = 256
 MAX_BUCKETS = 8_192
 BROADCAST_ROWS = 500_000
+HOT_SHARES = 10_000
 
 
 @dataclass
@@ -62,7 +63,8 @@ def add_bucket(df: DataFrame, value: str, edges: Sequence[float], name: str = "b
     """Bucket number of each row by binary search in the literal edges."""
     splits = [-math.inf, *(edges or [0.0]), math.inf]
     bucketed = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
-    return bucketed.withColumn(name, F.col(name).cast("int"))
+    # never null, so no null check of it is pushed into the scans
+    return bucketed.withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(0)))
 
 
 def running_counts(df: DataFrame, value: str, by: Sequence[str] = (),
@@ -73,12 +75,14 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (),
     sums = dict(sums or {})
     names = ["n", *sums]
     kept = df.select(*by, F.col(value).cast("double").alias("value"), *[c.alias(n) for n, c in sums.items()])
-    kept = kept.filter(F.col("value").isNotNull())
+    # all join keys are filtered here, so both uses of the counts below have one and the same plan
+    for c in [*by, "value"]:
+        kept = kept.filter(F.col(c).isNotNull())
     edges = (spread or survey(kept, "value")).edges
     counted = kept.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"), *[F.sum(s).alias(s) for s in sums])
     counted = add_bucket(counted, "value", edges)
-    totals = add_bucket(kept, "value", edges).groupBy(*by, "bucket").agg(
-        F.count(F.lit(1)).alias("n_total"), *[F.sum(s).alias(f"{s}_total") for s in sums])
+    # same shuffle as above, which Spark reuses
+    totals = counted.groupBy(*by, "bucket").agg(*[F.sum(n).alias(f"{n}_total") for n in names])
     # at most one row per bucket and group reaches this window, whatever the table size
     earlier = Window.partitionBy(*by or [F.lit(0)]).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "bucket", *[F.coalesce(F.sum(f"{n}_total").over(earlier), F.lit(0)).alias(f"{n}_offset")
@@ -98,27 +102,26 @@ def average_rank() -> Column:
 
 
 def row_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Adds ``<column>_rank``, the average rank of each row's value."""
+    """Adds ``<column>_rank``, the average rank of each row's value; rows without a value go.
+
+    Few distinct values are broadcast, their number checked.  Otherwise only the hot
+    values are, of which there are fewer than HOT_SHARES by arithmetic, and the other
+    rows meet their ranks in a shuffle where no key is hot.
+    """
     out = df
     for c in columns:
         spread = survey(df, c)
-        ranks = running_counts(df, c, spread=spread).select(
-            F.col("value").alias(c), average_rank().alias(f"{c}_rank"))
-        out = lookup(out.withColumn(c, F.col(c).cast("double")), ranks, [c], small=spread.distinct * 1.25 <= BROADCAST_ROWS)
+        ranks = running_counts(df, c, spread=spread).select(F.col("value").alias(c), "n", average_rank().alias(f"{c}_rank"))
+        out = out.withColumn(c, F.col(c).cast("double"))
+        if spread.distinct * 1.25 <= BROADCAST_ROWS:
+            out = out.join(F.broadcast(ranks.drop("n")), c)
+        else:
+            is_hot = F.col("n") * HOT_SHARES > spread.rows
+            hot, cold = F.broadcast(ranks.filter(is_hot).drop("n")), ranks.filter(~is_hot).drop("n")
+            out = out.join(hot, c).unionByName(out.join(hot, c, "left_anti").join(cold, c))
     return out
 
 
-def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], small: bool, salts: int = 32) -> DataFrame:
-    """Join a table with one row per key: broadcast when its size was checked, otherwise a
-    salted join, so that the rows of one hot key are spread over ``salts`` tasks."""
-    on = list(on)
-    if small:
-        return df.join(F.broadcast(table), on)
-    salted = df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    copies = table.withColumn("salt", F.explode(F.array(*[F.lit(s).cast("bigint") for s in range(salts)])))
-    return salted.join(copies, [*on, "salt"]).drop("salt")
-
-
 def expand_ties(ranked: DataFrame, largest: int, keep: Sequence[str] = (), chunk: int = 1_000_000) -> DataFrame:
     """(keep..., value, i): every row back at its own 1-based rank.
 
