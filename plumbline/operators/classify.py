@@ -72,6 +72,17 @@ class Classifier:
         raise NotImplementedError
 
 
+def spread_out(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Training rows in enough partitions for all cores, and their number.
+
+    A table read in few pieces is dealt out once; one in many pieces is left as it is.
+    """
+    size = rows.select(F.spark_partition_id().alias("piece")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("piece").alias("pieces")).first()
+    cores = min(rows.sparkSession.sparkContext.defaultParallelism, size["n"] // 1000)
+    return (rows.repartition(cores) if size["pieces"] < cores else rows), size["n"]
+
+
 @dataclass
 class Logistic(Classifier):
     model: LogisticRegressionModel
@@ -85,9 +96,9 @@ class Logistic(Classifier):
 
 def train_logistic(train: DataFrame, features: Sequence[str], c: float = 1.0, max_iter: int = 1000) -> Logistic:
     """Multinomial fit with an L2 penalty of strength 1 / (C n), weights on the given scale."""
-    n = train.count()
+    rows, n = spread_out(train.select(*features, "label"))
     fitted = LogisticRegression(regParam=1.0 / (c * n), standardization=False, maxIter=max_iter, tol=1e-6,
-                                family="multinomial").fit(_assemble(train, features))
+                                family="multinomial").fit(_assemble(rows, features))
     return Logistic(fitted, list(features))
 
 
@@ -201,12 +212,8 @@ def train_perceptron(train: DataFrame, features: Sequence[str], keys: Sequence[s
     weights = np.concatenate(start)
     state = np.stack([weights, np.zeros_like(weights), np.zeros_like(weights)])
     held = key_hash(keys, o.seed + 1) < F.lit(o.validation * 16.0 ** 13)
-    rows = train.select(*features, F.col("label").cast("int").alias("label"), held.alias("held"), *keys)
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.spark_partition_id()).alias("parts")).first()
-    parts = min(train.sparkSession.sparkContext.defaultParallelism, size["n"] // (4 * o.batch))
-    # a table in few pieces is spread by key, one in many is kept as it is
-    spread = rows.repartition(parts, *keys) if size["parts"] < parts else rows
-    spread = spread.drop(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.select(*features, F.col("label").cast("int").alias("label"), held.alias("held"))
+    spread = spread_out(rows)[0].persist(StorageLevel.MEMORY_AND_DISK)
     best, best_score, waited, steps, loss, epoch = weights, -1.0, 0, 0.0, math.nan, 0
     for epoch in range(1, o.max_iter + 2):
         row = _epoch(spread, features, state, shapes, steps, epoch, o)
@@ -343,6 +350,7 @@ def train_svm(train: DataFrame, features: Sequence[str], classes: int,
               options: KernelOptions = KernelOptions()) -> SupportVector:
     """Pairwise linear machines on the kernel's feature map; gamma 'scale' is 1 / (d Var(X))."""
     features = list(features)
+    train = spread_out(train.select(*features, "label"))[0]
     sums = train.agg(*[F.struct(F.avg(c).alias("m"), F.avg(F.col(c) * F.col(c)).alias("s")).alias(c) for c in features]).first()
     counts = dict(train.groupBy("label").count().collect())
     gamma = options.gamma

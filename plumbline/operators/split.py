@@ -48,39 +48,46 @@ def target_kind(df: DataFrame, target: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(row["rows"], kind)], "rows bigint, kind string")
 
 
-def _lowest(df: DataFrame, groups: dict[object, tuple[Column, int, int]], keys: Sequence[str],
-            seed: int) -> dict[object, Column]:
-    """For each group (predicate, size, rows), a predicate for its ``size`` rows of lowest hash."""
+def uniform_guess(_: str, rank: int, rows: int) -> tuple[float, float]:
+    """Hashes are uniform: a rank lies within six standard deviations of its share of the range."""
+    share, top = (rank + 0.5) / rows, 16.0 ** HASH_DIGITS
+    reach = 6 * math.sqrt(share * (1 - share) / rows) + 2 / rows
+    return max(0.0, share - reach) * top, min(1.0, share + reach) * top
+
+
+def _lowest(df: DataFrame, groups: dict[object, tuple[Column, int, int]], keys: Sequence[str], seed: int) -> Column:
+    """Predicate for the rows of lowest hash: (predicate, wanted, rows) of each group."""
     first, second = key_hash(keys, seed), key_hash(keys, seed, 1)
-    names = {g: f"h{i}" for i, g in enumerate(groups)}
-    wanted = {g: size for g, (_, size, _) in groups.items() if size > 0}
+    wanted = {f"h{i}": group for i, group in enumerate(groups.values()) if group[1] > 0}
     if not wanted:
-        return {g: F.lit(False) for g in groups}
-    hashed = df.select(*[F.when(groups[g][0], first).alias(names[g]) for g in wanted])
+        return F.lit(False)
+    hashed = df.select(*[F.when(inside, first).alias(c) for c, (inside, _, _) in wanted.items()])
     # hashes are nearly all distinct, so the group sizes stand for their distinct counts
-    found = order_statistics(hashed, {names[g]: [size - 1] for g, size in wanted.items()},
-                             sizes={names[g]: (groups[g][2], groups[g][2]) for g in wanted})
-    cut = {g: found[names[g]][size - 1] for g, size in wanted.items()}
-    around = hashed.agg(*[F.struct(F.count_if(F.col(names[g]) < cut[g]).alias("below"),
-                                   F.count_if(F.col(names[g]) == cut[g]).alias("at")).alias(names[g]) for g in wanted]).first()
-    out: dict[object, Column] = {g: F.lit(False) for g in groups}
-    for g, size in wanted.items():
-        chosen = first <= F.lit(cut[g])
-        room = size - around[names[g]]["below"]
-        if around[names[g]]["at"] > room:
+    found = order_statistics(hashed, {c: [size - 1] for c, (_, size, _) in wanted.items()},
+                             sizes={c: (rows, rows) for c, (_, _, rows) in wanted.items()}, guess=uniform_guess)
+    cuts = {c: found[c][size - 1] for c, (_, size, _) in wanted.items()}
+    around = hashed.agg(*[F.struct(F.count_if(F.col(c) < cut).alias("below"), F.count_if(F.col(c) == cut).alias("at")).alias(c)
+                          for c, cut in cuts.items()]).first()
+    cut, edge = F.lit(None).cast("double"), F.lit(None).cast("double")
+    tied = False
+    for c, (inside, size, _) in wanted.items():
+        cut = F.when(inside, F.lit(cuts[c])).otherwise(cut)
+        room = size - around[c]["below"]
+        if around[c]["at"] > room:
             # several keys share the cutting hash: the second half of the digest decides
-            tied = df.select(F.when(groups[g][0] & (first == F.lit(cut[g])), second).alias("h"))
-            edge = order_statistics(tied, {"h": [room - 1]})["h"][room - 1]
-            chosen = (first < F.lit(cut[g])) | ((first == F.lit(cut[g])) & (second <= F.lit(edge)))
-        out[g] = groups[g][0] & chosen
-    return out
+            tied = True
+            last = order_statistics(df.select(F.when(inside & (first == cuts[c]), second).alias("h")), {"h": [room - 1]})
+            edge = F.when(inside, F.lit(last["h"][room - 1])).otherwise(edge)
+    if not tied:
+        return F.coalesce(first <= cut, F.lit(False))
+    return F.coalesce((first < cut) | ((first == cut) & (edge.isNull() | (second <= edge))), F.lit(False))
 
 
 def train_test_split(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``split`` (train or test) with exactly ceil(test_size * n) test rows."""
     n = df.count()
     chosen = _lowest(df, {0: (F.lit(True), math.ceil(test_size * n), n)}, keys, seed)
-    return df.withColumn("split", F.when(chosen[0], "test").otherwise("train"))
+    return df.withColumn("split", F.when(chosen, "test").otherwise("train"))
 
 
 def shares(sizes: dict, total: int) -> dict:
@@ -108,10 +115,7 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size:
     counts = counts or label_counts(df, label)
     sizes = shares(counts, math.ceil(test_size * sum(counts.values())))
     chosen = _lowest(df, {g: (F.col(label) == F.lit(g), size, counts[g]) for g, size in sizes.items()}, keys, seed)
-    test = F.lit(False)
-    for predicate in chosen.values():
-        test = test | predicate
-    return df.withColumn("split", F.when(F.coalesce(test, F.lit(False)), "test").otherwise("train"))
+    return df.withColumn("split", F.when(chosen, "test").otherwise("train"))
 
 
 def contiguous_folds(df: DataFrame, key: str, folds: int = 5, name: str = "fold") -> DataFrame:
@@ -135,8 +139,8 @@ def hash_folds(df: DataFrame, keys: Sequence[str], folds: int = 5, seed: int = 4
     for c in hashed.columns:
         lengths = [sizes[c] // folds + (i < sizes[c] % folds) for i in range(folds)]
         ends[c] = [sum(lengths[:i + 1]) - 1 for i in range(folds - 1)]
-    found = order_statistics(hashed, ends)
+    found = order_statistics(hashed, ends, sizes={c: (sizes[c], sizes[c]) for c in hashed.columns}, guess=uniform_guess)
     fold = F.lit(None).cast("int")
     for c, predicate in zip(hashed.columns, groups.values()):
-        fold = F.when(predicate, edges_below(h, [found[c][e] for e in ends[c]])).otherwise(fold)
-    return df.withColumn(name, fold)
+        fold = F.when(predicate, edges_below(F.col("fold hash"), [found[c][e] for e in ends[c]])).otherwise(fold)
+    return df.withColumn("fold hash", h).withColumn(name, fold).drop("fold hash")

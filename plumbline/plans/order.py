@@ -10,7 +10,8 @@ of all rows is settled by its count instead of being moved.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,24 +25,41 @@ def number(value: float) -> str:
     return f"CAST('{value!r}' AS DOUBLE)"
 
 
+@dataclass
+class Search:
+    """Ranks still open in a column, all between two exclusive bounds."""
+
+    column: str
+    low: float | None
+    high: float | None
+    below: int  # rows at or below ``low``
+    rows: int  # rows between the bounds
+    distinct: int  # their distinct values, or a bound on them
+    ranks: list[int]
+
+
 def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[int]], buffer_values: int = BUFFER_VALUES,
-                     accuracy: int = SKETCH_ACCURACY,
-                     sizes: Mapping[str, tuple[int, int]] | None = None) -> dict[str, dict[int, float]]:
+                     accuracy: int = SKETCH_ACCURACY, sizes: Mapping[str, tuple[int, int]] | None = None,
+                     guess: Callable[[str, int, int], tuple[float, float]] | None = None) -> dict[str, dict[int, float]]:
     """Values at the 0-based ``wanted`` ranks of each column, nulls left out.
 
-    ``sizes`` gives (rows, distinct values) of each column where the caller knows them.
+    ``sizes`` gives (rows, distinct values) of each column where the caller knows them;
+    ``guess(column, rank, rows)`` likely values around a rank, which save the first sketch
+    and may be wrong.
     """
     answers: dict[str, dict[int, float]] = {name: {} for name in wanted}
-    # an open search: (column, exclusive low, exclusive high, rows at or below low, ranks)
-    searches = [(name, None, None, 0, sorted(set(ranks))) for name, ranks in wanted.items() if ranks]
-    known = [sizes[s[0]] for s in searches] if sizes else None
+    searches = [Search(name, None, None, 0, 0, 0, sorted(set(ranks))) for name, ranks in wanted.items() if ranks]
+    if sizes:
+        for s in searches:
+            s.rows, s.distinct = sizes[s.column]
+    else:
+        _measure(df, searches)
     while searches:
-        counted, known = known or _sizes(df, searches), None
-        buffered, wide = [], []
-        for search, (rows, distinct) in zip(searches, counted):
-            (buffered if distinct <= buffer_values else wide).append((*search, rows))
-        _select(df, buffered, answers)
-        searches = _narrow(df, wide, answers, accuracy)
+        _select(df, [s for s in searches if s.distinct <= buffer_values], answers)
+        searches = _narrow(df, [s for s in searches if s.distinct > buffer_values], answers, accuracy, guess)
+        guess = None
+        # fewer rows than the buffer holds need no count of their distinct values
+        _measure(df, [s for s in searches if s.rows > buffer_values])
     return answers
 
 
@@ -55,62 +73,74 @@ def _inside(name: str, low, high) -> Column:
     return F.when(keep, value)
 
 
-def _sizes(df, searches):
+def _measure(df: DataFrame, searches: list[Search]) -> None:
+    """Rows and estimated distinct values between the bounds of each search."""
+    if not searches:
+        return
     measures = []
-    for i, (name, low, high, _, _) in enumerate(searches):
-        inside = _inside(name, low, high)
+    for i, s in enumerate(searches):
+        inside = _inside(s.column, s.low, s.high)
         measures += [F.count(inside).alias(f"n{i}"), F.approx_count_distinct(inside).alias(f"d{i}")]
     row = df.agg(*measures).first()
-    return [(row[f"n{i}"], row[f"d{i}"]) for i in range(len(searches))]
+    for i, s in enumerate(searches):
+        s.rows, s.distinct = row[f"n{i}"], row[f"d{i}"]
 
 
-def _select(df, buffered, answers):
-    """Ranks inside brackets whose distinct values fit one aggregation buffer."""
+def _select(df: DataFrame, searches: list[Search], answers) -> None:
+    """Ranks inside bounds whose distinct values fit one aggregation buffer."""
+    if not searches:
+        return
     measures = []
-    for i, (name, low, high, below, ranks, rows) in enumerate(buffered):
+    for i, s in enumerate(searches):
         # the middle of a rank's own share makes percentile_disc land on exactly that rank
-        shares = ", ".join(number((rank - below + 0.5) / rows) for rank in ranks)
+        shares = ", ".join(number((rank - s.below + 0.5) / s.rows) for rank in s.ranks)
         measures.append(F.expr(f"percentile_disc(array({shares})) WITHIN GROUP (ORDER BY v{i})").alias(f"q{i}"))
-    if not measures:
-        return
-    values = df.select(*[_inside(b[0], b[1], b[2]).alias(f"v{i}") for i, b in enumerate(buffered)])
+    values = df.select(*[_inside(s.column, s.low, s.high).alias(f"v{i}") for i, s in enumerate(searches)])
     row = values.agg(*measures).first()
-    for i, (name, _, _, _, ranks, _) in enumerate(buffered):
-        answers[name].update(zip(ranks, row[f"q{i}"]))
+    for i, s in enumerate(searches):
+        answers[s.column].update(zip(s.ranks, row[f"q{i}"]))
 
 
-def _narrow(df, wide, answers, accuracy):
-    if not wide:
+def _narrow(df: DataFrame, searches: list[Search], answers, accuracy: int, guess) -> list[Search]:
+    """Closer bounds for every rank: two likely values around it and the rows below and at them."""
+    if not searches:
         return []
-    probes = [(name, low, high, below, rank, rows) for name, low, high, below, ranks, rows in wide for rank in ranks]
-    slack = 2.0 / accuracy
-    sketches = []
-    for i, (name, low, high, below, rank, rows) in enumerate(probes):
-        share = (rank - below + 0.5) / rows
-        edges = [max(0.0, share - slack), min(1.0, share + slack)]
-        sketches.append(F.percentile_approx(_inside(name, low, high), edges, accuracy).alias(f"e{i}"))
-    edges = df.agg(*sketches).first()
+    probes = [(s, rank) for s in searches for rank in s.ranks]
+    if guess:
+        around = [guess(s.column, rank, s.rows) for s, rank in probes]
+    else:
+        slack, sketches = 2.0 / accuracy, []
+        for i, s in enumerate(searches):
+            shares = [(rank - s.below + 0.5) / s.rows for rank in s.ranks]
+            edges = [e for p in shares for e in (max(0.0, p - slack), min(1.0, p + slack))]
+            sketches.append(F.percentile_approx(_inside(s.column, s.low, s.high), edges, accuracy).alias(f"e{i}"))
+        row = df.agg(*sketches).first()
+        around = [tuple(row[f"e{i}"][2 * j:2 * j + 2]) for i, s in enumerate(searches) for j in range(len(s.ranks))]
     counts = []
-    for i, (name, *_ ) in enumerate(probes):
-        value = F.col(name).cast("double")
-        left, right = edges[f"e{i}"]
-        counts += [F.count_if(value < left).alias(f"a{i}"), F.count_if(value <= left).alias(f"b{i}"),
-                   F.count_if(value < right).alias(f"c{i}"), F.count_if(value <= right).alias(f"d{i}")]
+    for i, ((s, _), (left, right)) in enumerate(zip(probes, around)):
+        value = F.col(s.column).cast("double")
+        counts.append(F.struct(F.count_if(value < left), F.count_if(value <= left), F.count_if(value < right),
+                               F.count_if(value <= right)).alias(f"c{i}"))
     row = df.agg(*counts).first()
-    merged: dict[tuple, list[int]] = {}
-    for i, (name, low, high, below, rank, _) in enumerate(probes):
-        left, right = edges[f"e{i}"]
-        if rank < row[f"a{i}"]:
-            merged.setdefault((name, low, left, below), []).append(rank)
-        elif rank < row[f"b{i}"]:
-            answers[name][rank] = left
-        elif rank < row[f"c{i}"]:
-            merged.setdefault((name, left, right, row[f"b{i}"]), []).append(rank)
-        elif rank < row[f"d{i}"]:
-            answers[name][rank] = right
+    open_searches: dict[tuple, Search] = {}
+
+    def leave(s: Search, low, high, below: int, upto: int, rank: int) -> None:
+        found = open_searches.setdefault((s.column, low, high), Search(s.column, low, high, below, upto - below, upto - below, []))
+        found.ranks.append(rank)
+
+    for i, ((s, rank), (left, right)) in enumerate(zip(probes, around)):
+        under_left, upto_left, under_right, upto_right = row[f"c{i}"]
+        if rank < under_left:
+            leave(s, s.low, left, s.below, under_left, rank)
+        elif rank < upto_left:
+            answers[s.column][rank] = left
+        elif rank < under_right:
+            leave(s, left, right, upto_left, under_right, rank)
+        elif rank < upto_right:
+            answers[s.column][rank] = right
         else:
-            merged.setdefault((name, right, high, row[f"d{i}"]), []).append(rank)
-    return [(*key, ranks) for key, ranks in merged.items()]
+            leave(s, right, s.high, upto_right, s.below + s.rows, rank)
+    return list(open_searches.values())
 
 
 def exact_quantiles(df: DataFrame, columns: Iterable[str], probs: Iterable[float],
