@@ -17,13 +17,14 @@ def frame(spark, n=600):
     return pdf, spark.createDataFrame(pdf).repartition(4)
 
 
-def test_split_has_exact_size_and_ignores_partitioning(spark):
+@pytest.mark.parametrize("keys", [["id"], split.PortableKeys(["id"])])
+def test_split_has_exact_size_and_ignores_partitioning(spark, keys):
     _, df = frame(spark)
-    one = split.train_test_split(df, ["id"], 0.2)
-    two = split.train_test_split(df.coalesce(1), ["id"], 0.2)
+    one = split.train_test_split(df, keys, 0.2)
+    two = split.train_test_split(df.coalesce(1), keys, 0.2)
     assert one.filter("split = 'test'").count() == 120
     assert one.select("id", "split").exceptAll(two.select("id", "split")).count() == 0
-    other = split.train_test_split(df, ["id"], 0.2, seed=7)
+    other = split.train_test_split(df, keys, 0.2, seed=7)
     assert one.select("id", "split").exceptAll(other.select("id", "split")).count() > 0
 
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from plumbline.operators import linear, split
 from workload.registry import LINE_KEYS, LINES, hash_sql, lines, query, t_tail_sql, table
 
-KEY_SQL = ", ".join(LINE_KEYS)
+# hashed so that SQL can repeat the splits
+PORTABLE = split.PortableKeys(LINE_KEYS)
 
 
 @query("target_kind", "target s, rows i, kind s", f"""WITH {LINES}
@@ -30,7 +31,7 @@ def split_sql(source: str, keys, share: float, seed: int = 42) -> str:
 
 @query("train_test_split", "o_orderkey i, split s", f"SELECT o_orderkey, {split_sql('orders', ['o_orderkey'], 0.2)} AS split FROM orders")
 def train_test_split(spark, sf_dir):
-    return split.train_test_split(table(spark, sf_dir, "orders"), ["o_orderkey"], 0.2)
+    return split.train_test_split(table(spark, sf_dir, "orders"), split.PortableKeys(["o_orderkey"]), 0.2)
 
 
 @query("stratified_split", "doc_id i, quality i, split s", f"""
@@ -41,7 +42,7 @@ f AS (SELECT *, floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - flo
 r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY {hash_sql(['doc_id'], 42)}, {hash_sql(['doc_id'], 42, 1)}) AS i FROM labels)
 SELECT doc_id, quality, CASE WHEN i <= size THEN 'test' ELSE 'train' END AS split FROM r JOIN f USING (quality)""")
 def stratified_split(spark, sf_dir):
-    return split.stratified_split(table(spark, sf_dir, "labels"), "quality", ["doc_id"], 0.3)
+    return split.stratified_split(table(spark, sf_dir, "labels"), "quality", split.PortableKeys(["doc_id"]), 0.3)
 
 
 FEATURES = ["quantity", "disc_price"]
@@ -49,7 +50,7 @@ TARGET = "price"
 
 
 def split_lines(spark, sf_dir, target=TARGET):
-    return split.train_test_split(lines(spark, sf_dir).select(*LINE_KEYS, *FEATURES, target), LINE_KEYS, 0.2)
+    return split.train_test_split(lines(spark, sf_dir).select(*LINE_KEYS, *FEATURES, target), PORTABLE, 0.2)
 
 
 def models_sql(alpha: float, name: str, pca: bool = False) -> str:
@@ -84,7 +85,7 @@ m AS (SELECT split, sqrt(avg(power(y - b0 - b1 * u - b2 * v, 2))) AS rmse, 1 - a
 def _models(key: str, name: str, alpha: float):
     @query(key, "model s, measure s, value 6", f"WITH {LINES}, {models_sql(alpha, 'res')} SELECT '{name}' AS model, measure, value FROM res")
     def build(spark, sf_dir):
-        return linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, LINE_KEYS, {name: alpha})
+        return linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, PORTABLE, {name: alpha})
 
 
 _models("linear_regression", "linear", 0.0)
@@ -96,7 +97,7 @@ def _component_models(key: str, name: str, alpha: float):
     @query(key, "model s, measure s, value 6", f"WITH {LINES}, {models_sql(alpha, 'res', True)} SELECT '{name}' AS model, measure, value FROM res")
     def build(spark, sf_dir):
         # weights on a component carry its arbitrary sign, so they are left out of the comparison
-        found = linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, LINE_KEYS, {name: alpha}, True, 1)
+        found = linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, PORTABLE, {name: alpha}, True, 1)
         return found.filter(~F.col("measure").startswith("coefficient") & (F.col("measure") != "intercept"))
 
 
@@ -110,7 +111,7 @@ SHOWN = "max(value) FILTER (measure = 'test r2') AS test_r2, max(value) FILTER (
 SELECT 'linear' AS model, {SHOWN} FROM (WITH {LINES}, {models_sql(0.0, 'res')} SELECT * FROM res) AS plain
 UNION ALL SELECT 'ridge', {SHOWN} FROM (WITH {LINES}, {models_sql(1000.0, 'res')} SELECT * FROM res) AS penalised""")
 def compare_models(spark, sf_dir):
-    models = linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, LINE_KEYS, {"linear": 0.0, "ridge": 1000.0})
+    models = linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, PORTABLE, {"linear": 0.0, "ridge": 1000.0})
     return linear.compare_models(models)
 
 
@@ -121,8 +122,8 @@ SELECT 'linear' AS model, a.test_r2, p.test_r2 AS pca_test_r2, p.test_r2 - a.tes
   a.cv_mean, p.cv_mean AS pca_cv_mean FROM a, p""")
 def compare_pca(spark, sf_dir):
     rows = split_lines(spark, sf_dir)
-    plain = linear.regression_models(rows, FEATURES, TARGET, LINE_KEYS, {"linear": 0.0})
-    reduced = linear.regression_models(rows, FEATURES, TARGET, LINE_KEYS, {"linear": 0.0}, True, 1)
+    plain = linear.regression_models(rows, FEATURES, TARGET, PORTABLE, {"linear": 0.0})
+    reduced = linear.regression_models(rows, FEATURES, TARGET, PORTABLE, {"linear": 0.0}, True, 1)
     return linear.compare_components(plain, reduced)
 
 

@@ -4,7 +4,7 @@ from plumbline.operators import reports
 from workload.binning import bounds_sql, cut_sql
 from workload.classifying import FEATURES, KERNEL, PERCEPTRON
 from workload.modelling import FEATURES as PREDICTORS
-from workload.modelling import TARGET, models_sql
+from workload.modelling import PORTABLE, TARGET, models_sql
 from workload.registry import LINE_KEYS, LINES, chi2_even_sql, lines, query, table
 
 ROW = "section s, item s, statistic s, value 6"
@@ -56,7 +56,7 @@ def contingency_report(spark, sf_dir):
 SELECT 'linear' AS model, measure, value FROM (WITH {LINES}, {models_sql(0.0, 'res')} SELECT * FROM res) AS plain
 UNION ALL SELECT 'ridge', measure, value FROM (WITH {LINES}, {models_sql(1.0, 'res')} SELECT * FROM res) AS penalised""")
 def regression_report(spark, sf_dir):
-    return reports.regression_report(lines(spark, sf_dir), PREDICTORS, TARGET, LINE_KEYS)
+    return reports.regression_report(lines(spark, sf_dir), PREDICTORS, TARGET, PORTABLE)
 
 
 @query("regression_pca_report", "features s, model s, measure s, value 6")
