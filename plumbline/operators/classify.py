@@ -350,7 +350,7 @@ def train_svm(train: DataFrame, features: Sequence[str], classes: int,
               options: KernelOptions = KernelOptions()) -> SupportVector:
     """Pairwise linear machines on the kernel's feature map; gamma 'scale' is 1 / (d Var(X))."""
     features = list(features)
-    train = spread_out(train.select(*features, "label"))[0]
+    train = spread_out(train.select(*features, "label"))[0].persist(StorageLevel.MEMORY_AND_DISK)
     sums = train.agg(*[F.struct(F.avg(c).alias("m"), F.avg(F.col(c) * F.col(c)).alias("s")).alias(c) for c in features]).first()
     counts = dict(train.groupBy("label").count().collect())
     gamma = options.gamma
@@ -376,6 +376,7 @@ def train_svm(train: DataFrame, features: Sequence[str], classes: int,
                           np.array([m.intercept for m in machines]), classes)
     margins = model.margins(train).select(array_to_vector("margins").alias("margin_vector"), "label")
     model.platt = LogisticRegression(featuresCol="margin_vector", predictionCol="", family="multinomial", maxIter=50).fit(margins)
+    train.unpersist()
     return model
 
 
