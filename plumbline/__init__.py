@@ -5,3 +5,10 @@
 ``plans``      the shared distributed building blocks (order statistics, ranks, Gram sums)
 ``operators``  the statistics themselves, DataFrame in, DataFrame out
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions of this package travel to the executors by value, so that workers need no copy of it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
