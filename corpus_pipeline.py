@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from plumbline.llm import pii, quality  # noqa: E402
+from plumbline.llm import mixing, pii, quality  # noqa: E402
 from plumbline.llm.common import stored, table  # noqa: E402
 
 
@@ -26,7 +26,12 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pii.redact_pii(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("personal_data", personal_data)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their copies in a mix of all sources; those without a copy go."""
+    return mixing.mix_sources(docs).where("copies > 0")
+
+
+STAGES = [("quality_rules", quality_rules), ("personal_data", personal_data), ("mix", mix)]
 
 #: Compression ratios, XXH64 fingerprints and checksums have no counterpart in SQL.
 ORACLE_SQL = None

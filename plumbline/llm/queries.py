@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import pii, quality
+from plumbline.llm import mixing, pii, quality
 from plumbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, compression ratios and the verdict for every document."""
     return quality.measure_quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies and words of every document in a mix of all sources."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
+        "doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+ORACLES["op10_mixing"] = mixing.MIX_SQL
