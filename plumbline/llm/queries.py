@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing, pii, quality
+from plumbline.llm import licenses, mixing, pii, quality, secrets
 from plumbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure_quality(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and license notices in every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document, from a network trained on findings labelled in the same documents."""
+    docs, spans = table(spark, sf_dir, "documents"), F.col("spans")
+    return secrets.find_secrets(docs, secrets.labelled_findings(docs)).select(
+        "doc_id", *[F.size(of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(written(of_kind(spans, *secrets.BASE)), 256).alias("base_sha256"), written(spans).alias("spans"),
+        F.size(of_kind(spans, "model")).cast("long").alias("n_model"))
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies and words of every document in a mix of all sources."""
