@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import licenses, mixing, pii, quality, secrets, simhash
+from plumbline.llm import licenses, mixing, pii, quality, secrets, simhash, substring
 from plumbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,15 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, those in repeated windows, and a digest of the others."""
+    return substring.mark_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_substring"] = substring.SUBSTRING_SQL
+
+
 @query
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document, from a network trained on findings labelled in the same documents."""
