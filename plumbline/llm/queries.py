@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import licenses, mixing, pii, quality, secrets, simhash, substring
+from plumbline.llm import decontaminate, licenses, mixing, pii, quality, secrets, simhash, substring
 from plumbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,17 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(F.transform(spans, lambda s: s["score"])).alias("highest_score"))
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in windows of benchmark items, and these items."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op2_decontamination"] = decontaminate.CONTAMINATION_SQL
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, compression ratios and the verdict for every document."""
