@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, licenses, mixing, pii, quality, secrets, simhash, substring
+from plumbline.llm import decontaminate, licenses, mixing, pii, quality, secrets, simhash, substring, toxicity
 from plumbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,18 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(of_kind(spans, "model")).cast("long").alias("n_model"))
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learnt from four fifths of the labelled ones."""
+
+    def fifth(key: Column) -> Column:
+        return F.crc32(key.cast("string").cast("binary")) % 5
+
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fifth(F.col("id")) != 0)
+    return scored.select("doc_id", F.coalesce(fifth(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "flagged")
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies and words of every document in a mix of all sources."""
