@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from plumbline.llm import mixing, pii, quality  # noqa: E402
+from plumbline.llm import decontaminate, mixing, pii, quality, simhash  # noqa: E402
 from plumbline.llm.common import stored, table  # noqa: E402
 
 
@@ -21,6 +21,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filter_quality(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents whose fingerprints are linked, the one with the smallest id stays."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts becomes the name of its kind; every document stays."""
     return pii.redact_pii(docs)
@@ -31,7 +41,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).where("copies > 0")
 
 
-STAGES = [("quality_rules", quality_rules), ("personal_data", personal_data), ("mix", mix)]
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("personal_data", personal_data), ("mix", mix)]
 
 #: Compression ratios, XXH64 fingerprints and checksums have no counterpart in SQL.
 ORACLE_SQL = None

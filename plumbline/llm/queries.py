@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, licenses, mixing, pii, quality, secrets, simhash, substring, toxicity
+from plumbline.llm import classifier, decontaminate, licenses, mixing, pii, quality, secrets, simhash, substring, toxicity
 from plumbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,12 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(of_kind(spans, "model")).cast("long").alias("n_model"))
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes, posterior, score and verdict for every document."""
+    return classifier.score_quality(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document, learnt from four fifths of the labelled ones."""
