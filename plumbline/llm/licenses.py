@@ -93,15 +93,19 @@ def phrase_label(phrases) -> Column:
 def hits(docs: DataFrame, id_col: str, text_col: str, templates=TEMPLATES, phrases=PHRASES, k: int = K) -> DataFrame:
     """Places of phrases (``phrase``) and matches of template k-grams (``template`` and its columns)."""
     tokens = F.regexp_extract_all(lowered(F.col(f"`{text_col}`")), F.lit(LETTERED), F.lit(0))
-    rows = (docs.select(F.col(f"`{id_col}`").alias("id"), F.posexplode(grams(tokens, k)).alias("pos", "gram"))
+    # the words are a column of their own, so that they are cut once and not for every shifted copy
+    rows = (docs.select(F.col(f"`{id_col}`").alias("id"), tokens.alias("words"))
+            .select("id", F.posexplode(grams(F.col("words"), k)).alias("pos", "gram"))
             .select("id", "pos", "gram.*"))
     marked = rows.withColumn("hash", F.xxhash64(*[f"w{i}" for i in range(k)])).withColumn("phrase", phrase_label(phrases))
     known = template_grams(docs.sparkSession, templates, k)
-    same = marked["hash"] == known["hash"]
+    # the join has one number as its key; the words are compared on the few rows that it finds
+    same = F.lit(True)
     for i in range(k):
-        same = same & (F.col(f"w{i}") == F.col(f"t{i}"))
-    return (marked.join(F.broadcast(known), same, "left").where(F.col("phrase").isNotNull() | F.col("template").isNotNull())
-            .select("id", "pos", "phrase", "template", "label", "length", "place").distinct())
+        same = same & F.col(f"w{i}").eqNullSafe(F.col(f"t{i}"))
+    matched = [F.when(same, F.col(c)).alias(c) for c in ("template", "label", "length", "place")]
+    return (marked.join(F.broadcast(known), "hash", "left").where(F.col("phrase").isNotNull() | F.col("template").isNotNull())
+            .select("id", "pos", "phrase", *matched).where(F.col("phrase").isNotNull() | F.col("template").isNotNull()).distinct())
 
 
 def spans(found: DataFrame, k: int = K, slack: int = SLACK, template_share: float = TEMPLATE_SHARE,
