@@ -88,10 +88,11 @@ class LabelModel:
         patterns = sorted(counts)
         n = np.array([counts[p] for p in patterns], float)
         seen = np.array([[[c == v for v in (GOOD, BAD, NONE)] for c in p] for p in patterns], float)
+        seen = seen.reshape(len(patterns), -1, 3)
         # the start is the majority of the votes; it also says which class is the good one
         good, bad = seen[:, :, 0].sum(1), seen[:, :, 1].sum(1)
         posterior = (good + 0.5) / (good + bad + 1)
-        for _ in range(rounds):
+        for _ in range(rounds if patterns else 0):
             weight = np.stack([posterior, 1 - posterior]) * n
             self.share = (weight[0].sum() + prior) / (n.sum() + 2 * prior)
             table = np.einsum("cp,plv->clv", weight, seen[:, :, :2]) + prior

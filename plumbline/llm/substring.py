@@ -3,19 +3,21 @@
 1. Every task reads its documents in blocks of about ``BLOCK_WORDS`` words and computes a rolling 64-bit hash of each
    window. Windows that repeat inside a block are known to be repeated at once, and one entry stands for them from here
    on: a passage that is in a third of all documents travels once a block.
-2. The other windows are only counted. The columns of one count-min sketch are dealt over shards by the window's hash,
-   as many shards as keep each at about ``SHARD_WINDOWS`` windows, so the sketch grows with the input and no task with
-   it. Each block sends every shard its part as packed hashes beside the ids they come from. A shard adds up the partial
-   sketches of all blocks; a sum of counters is never below a window's true count.
-3. A second pass over the shard's own parts exactly groups only the windows whose estimate is two or more, and returns
-   those found twice to their documents. None is lost, since estimates are never too low.
+2. The other windows are only counted. The columns of one count-min sketch are dealt over shards, as many as keep each at
+   about ``SHARD_WINDOWS`` windows, so the sketch grows with the input and no task with it. A window's shard follows from
+   the smallest hash of the ``ANCHOR``-word sequences inside it: equal windows have equal ones, and neighbours mostly the
+   same, so a block sends each shard runs of neighbouring windows, packed: their hashes and, for each run, where it is. A
+   shard adds up the partial sketches of all blocks; a sum of counters is never below a window's true count.
+3. A second pass over the shard's own parts exactly groups only the windows whose estimate is two or more. Those found
+   twice go back, as runs of places, to the block they came from and from there to its documents. None is lost, since
+   estimates are never too low.
 
 Nothing is broadcast. Windows are compared by all 64 bits of the hash: with n windows the odds that any two different ones
 are taken for equal are n * n / 2**65 (0.0005 for 130 million).
 
-Null and empty texts have no words; texts shorter than a window lose nothing; very long texts are read whole; equal rows,
-and rows with equal ids, are repetitions of each other; an empty table gives an empty table; other columns, whatever
-their names, stay untouched in ``drop_repeats`` and are not read elsewhere.
+Null and empty texts have no words; texts shorter than a window lose nothing; very long texts are read whole; equal rows
+are repetitions of each other; rows with equal ids must have equal texts; an empty table gives an empty table; other
+columns, whatever their names, stay untouched in ``drop_repeats`` and are not read elsewhere.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from plumbline.llm.common import fresh
 WINDOW = 35
 BLOCK_WORDS = 1 << 20
 SHARD_WINDOWS = 1 << 21
+ANCHOR = 8
 #: Rows of the sketch; each has at least four counters per window of its shard.
 DEPTH = 2
 SEED = 6
@@ -77,77 +80,118 @@ def cells(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
     return ((hashes * np.uint64(MIX[row % 2] + 2 * row)) >> np.uint64(32)).astype(np.int64) & (width - 1)
 
 
-def block_rows(ids: list, hashes: list[np.ndarray], shards: int):
-    """Of one block: ids with their windows repeated in it, and per shard the packed single windows and the repeated ones."""
-    lengths = [len(h) for h in hashes]
-    joined = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+def anchors(words: np.ndarray, window: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For each window the smallest hash of the shorter sequences inside it."""
+    width = min(ANCHOR, window)
+    least, span, wanted = window_hashes(words, width, table), 1, window - width + 1
+    while span < wanted:
+        step = min(span, wanted - span)
+        least, span = np.minimum(least[:-step], least[step:]), span + step
+    return least * np.uint64(MIX[0])  # minima are small numbers; the product has all its leading bits again
+
+
+def runs_of(owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows, in order, as runs of neighbours: rows of owner, first place and length; and where each run begins."""
+    if not len(place):
+        return np.zeros((0, 3), np.uint32), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 1) | (np.diff(owner) != 0)]))
+    length = np.diff(np.append(first, len(place)))
+    return np.stack([owner[first], place[first], length], axis=1).astype(np.uint32), first
+
+
+def localized(runs: np.ndarray, ids: list) -> tuple[list, bytes]:
+    """Only the ids that own runs, and the runs with owners counted among these."""
+    owners, runs[:, 0] = np.unique(runs[:, 0], return_inverse=True)
+    return [ids[k] for k in owners], runs.tobytes()
+
+
+def block_rows(ids: list, hashes: list[np.ndarray], keys: list[np.ndarray], home: int, shards: int):
+    """Of one block: a row with the runs repeated in it, and a row per shard with the other windows and one entry for
+    each repeated one."""
+    joined, key = np.concatenate(hashes), np.concatenate(keys)
+    lengths = np.array([len(h) for h in hashes])
     owner = np.repeat(np.arange(len(ids)), lengths)
+    place = np.arange(len(joined)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    shard = (key >> np.uint64(65 - shards.bit_length())).astype(np.int64) if shards > 1 else np.zeros(len(key), np.int64)
     order = np.argsort(joined, kind="stable")
     ranked = joined[order]
-    same = ranked[1:] == ranked[:-1]
-    again = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(ranked) else np.zeros(0, bool)
+    same = np.concatenate([[False], ranked[1:] == ranked[:-1], [False]])
     repeated = np.zeros(len(joined), bool)
-    repeated[order[again]] = True
-    heavy = np.unique(joined[repeated])
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    for k in np.unique(owner[repeated]):
-        yield -1 - int(k) % shards, [ids[k]], b"", np.unique(hashes[k][repeated[starts[k]:starts[k + 1]]]).tobytes(), b""
-    shift = np.uint64(64 - shards.bit_length() + 1)
-    shard = (lambda h: (h >> shift).astype(np.int64)) if shards > 1 else (lambda h: np.zeros(len(h), np.int64))
+    repeated[order[same[1:] | same[:-1]]] = True
+    stands = order[same[1:] & ~same[:-1]]  # the first of each repeated window
+    at = np.flatnonzero(repeated)
+    if len(at):
+        yield -1 - home % shards, home, *localized(runs_of(owner[at], place[at])[0], ids), b"", b""
     single = np.flatnonzero(~repeated)
-    at = shard(joined[single])
-    by_shard = np.argsort(at, kind="stable")
-    single, at = single[by_shard], at[by_shard]
-    heavy_at = shard(heavy)  # sorted, since hashes are
+    single = single[np.argsort(shard[single], kind="stable")]
+    stands = stands[np.argsort(shard[stands], kind="stable")]
+    ends = [(np.searchsorted(shard[x], np.arange(shards + 1)), x) for x in (single, stands)]
     for s in range(shards):
-        part = single[np.searchsorted(at, s):np.searchsorted(at, s, "right")]
-        strong = heavy[np.searchsorted(heavy_at, s):np.searchsorted(heavy_at, s, "right")]
+        part, strong = (x[cut[s]:cut[s + 1]] for cut, x in ends)
         if len(part) or len(strong):
-            owners, counts = np.unique(owner[part], return_counts=True)
-            yield s, [ids[k] for k in owners], counts.astype(np.uint32).tobytes(), joined[part].tobytes(), strong.tobytes()
+            yield s, home, *localized(runs_of(owner[part], place[part])[0], ids), joined[part].tobytes(), joined[strong].tobytes()
+
 
+def numbers(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint64)
 
-def repeats_in_shard(rows: pd.DataFrame) -> Iterator[tuple[object, bytes]]:
-    """Ids and their windows that occur twice or more over all blocks of one shard."""
-    singles = [np.frombuffer(x, np.uint64) for x in rows["hashes"]]
-    heavies = [np.frombuffer(x, np.uint64) for x in rows["heavy"]]
+
+def repeats_in_shard(rows: pd.DataFrame) -> Iterator[tuple[int, list, bytes]]:
+    """Per block its ids and runs of windows that occur twice or more over all blocks of one shard."""
+    singles, heavies = [numbers(x) for x in rows["hashes"]], [numbers(x) for x in rows["heavy"]]
     width = 1 << max(10, (4 * sum(map(len, singles + heavies))).bit_length())
-    estimate = None
-    joined = np.concatenate(singles)
+    estimate, joined = None, np.concatenate(singles)
     for row in range(DEPTH):
-        merged = np.zeros(width, np.int64)
+        merged = np.zeros(width, np.int32)
         for part, strong in zip(singles, heavies):  # the partial sketches of the blocks
             np.add.at(merged, cells(part, row, width), 1)
             np.add.at(merged, cells(strong, row, width), 2)
         count = merged[cells(joined, row, width)]
         estimate = count if estimate is None else np.minimum(estimate, count)
     maybe = np.flatnonzero(estimate >= 2)
-    strong = np.unique(np.concatenate(heavies))
     values, inverse, counts = np.unique(joined[maybe], return_inverse=True, return_counts=True)
-    twice = (counts >= 2) | np.isin(values, strong)
-    found = maybe[twice[inverse]]
-    ids = [i for row in rows["ids"] for i in row]
-    ends = np.cumsum(np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"]]).astype(np.int64))
-    owner = np.searchsorted(ends, found, "right")
-    cuts = np.flatnonzero(np.diff(owner)) + 1
-    for piece in np.split(np.arange(len(found)), cuts) if len(found) else ():
-        yield ids[owner[piece[0]]], joined[found[piece]].tobytes()
+    found = maybe[((counts >= 2) | np.isin(values, np.concatenate(heavies)))[inverse]]
+    done = 0
+    for home, ids, packed, part in zip(rows["home"], rows["ids"], rows["runs"], singles):
+        here = found[np.searchsorted(found, done):np.searchsorted(found, done + len(part))] - done
+        done += len(part)
+        if len(here):
+            runs = np.frombuffer(packed, np.uint32).reshape(-1, 3).astype(np.int64)
+            starts = np.cumsum(runs[:, 2]) - runs[:, 2]
+            run = np.searchsorted(starts, here, "right") - 1
+            again, _ = runs_of(runs[run, 0], runs[run, 1] + here - starts[run])
+            yield home, *localized(again, list(ids))
+
+
+def of_documents(rows: pd.DataFrame) -> Iterator[tuple[object, bytes]]:
+    """Per id of a block its runs, first place and length."""
+    found: dict[object, list[bytes]] = {}
+    for ids, packed in zip(rows["ids"], rows["runs"]):
+        runs = np.frombuffer(packed, np.uint32).reshape(-1, 3)
+        cuts = np.searchsorted(runs[:, 0], np.arange(len(ids) + 1)) if (np.diff(runs[:, 0].astype(np.int64)) >= 0).all() else None
+        for k, i in enumerate(ids):
+            own = runs[cuts[k]:cuts[k + 1]] if cuts is not None else runs[runs[:, 0] == k]
+            found.setdefault(i, []).append(own[:, 1:].tobytes())
+    for i, packed in found.items():
+        yield i, b"".join(packed)
 
 
 def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
-    """``id`` and ``hashes``: the windows of a document that occur twice or more, packed, over several rows."""
+    """``id`` and ``runs``: first places and lengths of the runs of windows that occur twice or more, packed."""
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    # a word and the space behind it have two bytes at least
+    # words of five letters and a space behind them
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 1 << max(0, n_bytes // 6 // SHARD_WINDOWS).bit_length()
+    shards = 1 << max(0, n_bytes // 6 // SHARD_WINDOWS - 1).bit_length()
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = powers(1 << 12)
-        ids, hashes, n = [], [], 0
+        ids, hashes, keys, n = [], [], [], 0
 
         def packed():
-            return pd.DataFrame(list(block_rows(ids, hashes, shards)), columns=["shard", "ids", "counts", "hashes", "heavy"])
+            home = xxhash.xxh64_intdigest(repr((ids[0], ids[-1], n))) >> 1
+            return pd.DataFrame(list(block_rows(ids, hashes, keys, home, shards)),
+                                columns=["shard", "home", "ids", "runs", "hashes", "heavy"])
 
         for batch in batches:
             for i, text in zip(batch["id"].astype(object), batch["text"]):
@@ -156,47 +200,49 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int =
                     continue
                 if len(words) > len(table[0]):
                     table = powers(1 << len(words).bit_length())
+                codes = word_hashes(words)
                 ids.append(None if i is pd.NA or i != i else i)
-                hashes.append(window_hashes(word_hashes(words), window, table))
+                hashes.append(window_hashes(codes, window, table))
+                keys.append(anchors(codes, window, table))
                 n += len(words)
                 if n >= BLOCK_WORDS:
                     yield packed()
-                    ids, hashes, n = [], [], 0
+                    ids, hashes, keys, n = [], [], [], 0
         if ids:
             yield packed()
 
-    sent = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("ids", T.ArrayType(kind)),
-                         *[T.StructField(c, T.BinaryType()) for c in ("counts", "hashes", "heavy")]])
-    found = T.StructType([T.StructField("id", kind), T.StructField("hashes", T.BinaryType())])
+    places = [T.StructField("home", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("runs", T.BinaryType())]
+    sent = T.StructType([T.StructField("shard", T.IntegerType()), *places, *[T.StructField(c, T.BinaryType()) for c in ("hashes", "heavy")]])
+    found = T.StructType([T.StructField("id", kind), T.StructField("runs", T.BinaryType())])
 
     def group(rows: pd.DataFrame) -> pd.DataFrame:
         # negative shards carry what blocks have settled themselves, dealt as evenly as the others
         if rows["shard"].iloc[0] < 0:
-            return pd.DataFrame({"id": [i[0] for i in rows["ids"]], "hashes": rows["hashes"]})
-        return pd.DataFrame(list(repeats_in_shard(rows)), columns=["id", "hashes"])
+            return rows[["home", "ids", "runs"]]
+        return pd.DataFrame(list(repeats_in_shard(rows)), columns=["home", "ids", "runs"])
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(list(of_documents(rows)), columns=["id", "runs"])
 
-    return rows.mapInPandas(blocks, sent).groupBy("shard").applyInPandas(group, found)
+    return (rows.mapInPandas(blocks, sent).groupBy("shard").applyInPandas(group, T.StructType(places))
+            .groupBy("home").applyInPandas(gather, found))
 
 
 def keep(text: str | None, repeated: list[bytes] | None, window: int) -> tuple[list[bytes], np.ndarray]:
-    """The words of a text and which of them stay."""
+    """The words of a text and which of them stay: a run of windows covers its places and a window's length behind them."""
     words = (text or "").encode().split()
     stay = np.ones(len(words), bool)
-    if repeated is not None and len(repeated) and len(words) >= window:
-        hashes = window_hashes(word_hashes(words), window, powers(len(words)))
-        hit = np.isin(hashes, np.frombuffer(b"".join(repeated), np.uint64))
-        edges = np.zeros(len(words) + 1, np.int64)
-        edges[:len(hit)] += hit
-        edges[window:window + len(hit)] -= hit
-        stay = np.cumsum(edges)[:-1] == 0
+    for packed in repeated if repeated is not None else ():
+        for start, length in np.frombuffer(packed, np.uint32).reshape(-1, 2).tolist():
+            stay[start:start + length + window - 1] = False
     return words, stay
 
 
 def with_repeats(docs: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, str]:
-    """The documents with their packed repeated windows in a new column, whose name is returned too."""
+    """The documents with their packed runs of repeated windows in a new column, whose name is returned too."""
     name, key = fresh("repeated", docs), fresh("repeated_id", docs)
     lists = (repeated_windows(docs, id_col, text_col, window).groupBy(F.col("id").alias(key))
-             .agg(F.collect_list("hashes").alias(name)))
+             .agg(F.collect_list("runs").alias(name)))
     return docs.join(lists, F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left"), name
 
 
