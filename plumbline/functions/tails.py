@@ -47,32 +47,64 @@ def _gamma_fraction(a: float, x: float) -> float:
     return value
 
 
-def beta_lower(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function I_x(a, b)."""
+def _stirling_rest(z: float) -> float:
+    """ln gamma(z) less Stirling's formula."""
+    if z < 15:
+        return math.lgamma(z) - (z - 0.5) * math.log(z) + z - 0.5 * math.log(2 * math.pi)
+    s = 1 / (z * z)
+    return (1 / 12 - (1 / 360 - (1 / 1260 - (1 / 1680 - s / 1188) * s) * s) * s) / z
+
+
+def _deviance(x: float, over: float) -> float:
+    """x ln(x / m) + m - x for m = x - ``over``, without cancellation when both are near."""
+    m = x - over
+    if abs(over) >= 0.1 * (x + m):
+        return x * math.log(x / m) - over
+    v = over / (x + m)
+    total, term, k = over * v, 2 * x * v, 1
+    while True:
+        term *= v * v
+        k += 2
+        following = total + term / k
+        if following == total:
+            return total
+        total = following
+
+
+def beta_lower(a: float, b: float, x: float, rest: float | None = None) -> float:
+    """Regularised incomplete beta function I_x(a, b); ``rest`` is 1 - x where the caller knows it better.
+
+    The factor in front of the continued fraction is built from deviances and the errors of
+    Stirling's formula, so it keeps its digits at any size of a and b.
+    """
+    y = 1 - x if rest is None else rest
     if x <= 0:
         return 0.0
-    if x >= 1:
+    if y <= 0:
         return 1.0
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1) / (a + b + 2):
-        return front * _beta_fraction(a, b, x) / a
-    return 1 - front * _beta_fraction(b, a, 1 - x) / b
+    n = a + b
+    over = a * y - b * x  # a less n x, which is also n y less b
+    front = math.sqrt(a * b / (2 * math.pi * n)) * math.exp(
+        _stirling_rest(n) - _stirling_rest(a) - _stirling_rest(b) - _deviance(a, over) - _deviance(b, -over))
+    return front * _beta_fraction(a, b, x, y, over) if over > 0 else 1 - front * _beta_fraction(b, a, y, x, -over)
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
+def _beta_fraction(a: float, b: float, x: float, y: float, over: float) -> float:
+    """Lentz evaluation of the continued fraction of DiDonato and Morris (1992), whose terms hold a y - b x itself."""
     tiny = 1e-300
-    c, d = 1.0, 1 / ((1 - (a + b) * x / (a + 1)) or tiny)
-    value = d
-    for m in range(1, 100000):
-        change = 1.0
-        for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-                     -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 / ((1 + step * d) or tiny)
-            c = (1 + step / c) or tiny
-            change = d * c
-            value *= change
-        if abs(change - 1) < 1e-16:
+    value = c = tiny
+    d, n = 0.0, 0
+    while n < 10_000_000:
+        top = 1.0 if n == 0 else (a + n - 1) / (a + 2 * n - 1) * ((a + b + n - 1) / (a + 2 * n - 1)) * n * (b - n) * x * x
+        bottom = n + (a + n) * ((over + 1 + n * (1 + y)) / (a + 2 * n + 1))
+        if n:
+            bottom += n * (b - n) * x / (a + 2 * n - 1)
+        d = 1 / ((bottom + top * d) or tiny)
+        c = (bottom + top / c) or tiny
+        value *= d * c
+        if abs(d * c - 1) < 1e-16:
             break
+        n += 1
     return value
 
 
@@ -83,12 +115,9 @@ def chi2_sf(x: float, dof: float) -> float:
 def f_sf(x: float, d1: float, d2: float) -> float:
     if x <= 0:
         return 1.0
-    if d2 > 1e5:
-        # the denominator is 1 with variance 2/d2: second-order expansion around chi-square
-        w, half = d1 * x, d1 / 2
-        density = 0.5 * math.exp((half - 1) * math.log(w / 2) - w / 2 - math.lgamma(half))
-        return gamma_upper(half, w / 2) - w * w / d2 * density * ((half - 1) / w - 0.5)
-    return beta_lower(d2 / 2, d1 / 2, d2 / (d2 + d1 * x))
+    if math.isinf(x):
+        return 0.0
+    return beta_lower(d2 / 2, d1 / 2, d2 / (d2 + d1 * x), d1 * x / (d2 + d1 * x))
 
 
 def t_sf2(t: float, dof: float) -> float:

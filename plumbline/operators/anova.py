@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.tails import f_sf, f_tail
 from plumbline.operators.describe import literal_rows, settle
 from plumbline.sources.tables import unpivot
 
-MAX_CELLS = 10_000
-
 
 def _group_sums(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
     """(column, n, k, ss_between, ss_within), over any number of groups."""
@@ -29,11 +27,17 @@ def _group_sums(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
         F.sum(F.col("n") * gap * gap).alias("ss_between"), F.sum(F.col("n") * F.col("v")).alias("ss_within"))
 
 
+def _ratio(between: Column, between_df: Column, within: Column, within_df: Column) -> Column:
+    """The F statistic: infinite when groups differ and do not vary, null without degrees of freedom."""
+    top, bottom = F.try_divide(between, between_df), F.try_divide(within, within_df)
+    return F.when((bottom == 0) & (top > 0), F.lit(float("inf"))).otherwise(F.try_divide(top, bottom))
+
+
 def anova_f_scores(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
     """(column, f, p_value) ordered by F, all columns in one job."""
     s = _group_sums(df, columns, group)
     between, within = F.col("k") - 1, F.col("n") - F.col("k")
-    f = (F.col("ss_between") / between) / (F.col("ss_within") / within)
+    f = _ratio(F.col("ss_between"), between, F.col("ss_within"), within)
     scored = s.withColumn("f", f).withColumn(
         "p_value", f_tail("f", between.cast("double"), within.cast("double")))
     return scored.select("column", "f", "p_value").orderBy(F.desc("f"))
@@ -43,46 +47,55 @@ def anova_oneway(df: DataFrame, value: str, group: str) -> DataFrame:
     """(term, df, ss, ms, f, p_value) for the factor and the residuals."""
     s = _group_sums(df, [value], group)
     between, within = F.col("k") - 1, F.col("n") - F.col("k")
-    f = (F.col("ss_between") / between) / (F.col("ss_within") / within)
+    f = _ratio(F.col("ss_between"), between, F.col("ss_within"), within)
     s = s.withColumn("f", f).withColumn("p_value", f_tail("f", between.cast("double"), within.cast("double")))
     nothing = F.lit(None).cast("double")
     terms = F.array(
         F.struct(F.lit(group).alias("term"), between.alias("df"), F.col("ss_between").alias("ss"),
-                 (F.col("ss_between") / between).alias("ms"), F.col("f").alias("f"), F.col("p_value").alias("p_value")),
+                 F.try_divide("ss_between", between).alias("ms"), F.col("f").alias("f"), F.col("p_value").alias("p_value")),
         F.struct(F.lit("residuals").alias("term"), within.alias("df"), F.col("ss_within").alias("ss"),
-                 (F.col("ss_within") / within).alias("ms"), nothing.alias("f"), nothing.alias("p_value")))
+                 F.try_divide("ss_within", within).alias("ms"), nothing.alias("f"), nothing.alias("p_value")))
     return s.select(F.explode(terms).alias("t")).select("t.*")
 
 
 def anova_twoway(df: DataFrame, value: str, a: str, b: str) -> DataFrame:
     """Sequential sums of squares for a, b given a, their interaction, and the residuals.
 
-    The rows reduce to one (n, mean, variance) per cell; the nested models are
-    weighted least squares over the cells, so unbalanced designs are exact.
+    The rows reduce to one (n, mean, variance) per cell, which the driver holds; the nested
+    models are weighted least squares over the cells, so unbalanced designs are exact.  Normal
+    equations have one unknown per level, whatever the number of cells.
     """
     rows = df.select(F.col(a).alias("a"), F.col(b).alias("b"), F.col(value).cast("double").alias("y")).na.drop()
-    cells = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("m"), F.var_pop("y").alias("v"))
-    table = cells.limit(MAX_CELLS + 1).collect()
-    if len(table) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells")
+    table = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("m"), F.var_pop("y").alias("v")).collect()
     n = np.array([float(r["n"]) for r in table])
     y = np.array([r["m"] for r in table])
-    in_a = np.array([[float(r["a"] == g) for g in sorted({t["a"] for t in table})] for r in table])
-    in_b = np.array([[float(r["b"] == g) for g in sorted({t["b"] for t in table})] for r in table])
+    y = y - np.average(y, weights=n) if len(y) else y
+    places = []
+    for name in ("a", "b"):
+        order = {g: i for i, g in enumerate(sorted({t[name] for t in table}))}
+        places.append(np.array([order[t[name]] for t in table], dtype=int))
+    in_a, in_b = places
+    levels_a, levels_b = (int(p.max(initial=-1)) + 1 for p in places)
     within = float(sum(r["n"] * r["v"] for r in table))
-
-    def fit(design: np.ndarray) -> tuple[float, int]:
-        weight = np.sqrt(n)[:, None]
-        coefficients, *_ = np.linalg.lstsq(design * weight, y * weight[:, 0], rcond=None)
-        return float(np.sum(n * (y - design @ coefficients) ** 2)), int(np.linalg.matrix_rank(design))
-
-    models = [np.ones((len(y), 1)), in_a, np.hstack([in_a, in_b]), np.eye(len(y))]
-    fits = [fit(m) for m in models]
+    total = float(np.sum(n * y * y))
+    # one-factor model: the weighted mean of each level
+    by_a = np.bincount(in_a, n * y, levels_a)
+    sse_a = total - float(np.sum(by_a ** 2 / np.bincount(in_a, n, levels_a)))
+    normal = np.zeros((levels_a + levels_b, levels_a + levels_b))
+    np.add.at(normal, (in_a, in_a), n)
+    np.add.at(normal, (in_b + levels_a, in_b + levels_a), n)
+    np.add.at(normal, (in_a, in_b + levels_a), n)
+    np.add.at(normal, (in_b + levels_a, in_a), n)
+    right = np.concatenate([by_a, np.bincount(in_b, n * y, levels_b)])
+    solved, *_ = np.linalg.lstsq(normal, right, rcond=None)
+    fits = [(total, 1), (sse_a, levels_a), (total - float(right @ solved), int(np.linalg.matrix_rank(normal))), (0.0, len(y))]
     residual_df = int(n.sum()) - len(table)
     out = []
     for term, (sse0, rank0), (sse1, rank1) in zip((a, b, f"{a}:{b}"), fits, fits[1:]):
-        ss, dof = sse0 - sse1, rank1 - rank0
-        f = (ss / dof) / (within / residual_df) if dof else None
-        out.append((term, dof, ss, ss / dof if dof else None, f, f_sf(f, dof, residual_df) if dof else None))
-    out.append(("residuals", residual_df, within, within / residual_df, None, None))
+        ss, dof = max(sse0 - sse1, 0.0), rank1 - rank0
+        f = None
+        if dof and residual_df:
+            f = (ss / dof) / (within / residual_df) if within else float("inf") if ss > 0 else None
+        out.append((term, dof, ss, ss / dof if dof else None, f, None if f is None else f_sf(f, dof, residual_df)))
+    out.append(("residuals", residual_df, within, within / residual_df if residual_df else None, None, None))
     return literal_rows(df.sparkSession, out, "term string, df bigint, ss double, ms double, f double, p_value double")

@@ -15,7 +15,6 @@ from plumbline.plans.gram import gram
 from plumbline.plans.ranks import row_ranks
 
 PAIRS_PER_PASS = 300
-MAX_LEVELS = 1_000
 
 
 def _pair_correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:
@@ -59,12 +58,14 @@ def lower_triangle(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
 def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Variance inflation: the diagonal of the inverse correlation matrix, infinite when singular."""
     r = gram(df, columns).correlation()
+    # one decomposition: the diagonal of the inverse, infinite for columns that a dependency involves
+    sizes, axes = np.linalg.eigh(np.nan_to_num(r))
+    alive = sizes > 1e-12 * max(1.0, float(sizes.max(initial=0.0)))
+    inverse = (axes[:, alive] ** 2 / sizes[alive]).sum(axis=1)
+    tied = (axes[:, ~alive] ** 2).sum(axis=1) > 1e-9
     rows = []
-    for j, c in enumerate(columns):
-        others = [i for i in range(len(columns)) if i != j]
-        solved, *_ = np.linalg.lstsq(r[np.ix_(others, others)], r[others, j], rcond=None)
-        rest = 1 - float(r[others, j] @ solved)
-        value = float("inf") if rest < 1e-12 else 1 / rest
+    for c, value, dependent in zip(columns, inverse, tied):
+        value = float("inf") if dependent else float(value)
         rows.append((c, value, "low" if value < 5 else "moderate" if value < 10 else "high"))
     return literal_rows(df.sparkSession, rows, "column string, vif double, level string")
 
@@ -78,11 +79,8 @@ def cell_counts(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def levels(df: DataFrame, column: str) -> list:
-    """The sorted categories of a column, which must be few."""
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} categories")
-    return sorted(r[0] for r in found)
+    """The sorted categories of a column; the driver holds one value of each."""
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
 def crosstab(df: DataFrame, a: str, b: str, margins: bool = True) -> DataFrame:
@@ -93,8 +91,9 @@ def crosstab(df: DataFrame, a: str, b: str, margins: bool = True) -> DataFrame:
     cells = cell_counts(df, a, b)
     rows, cols = levels(cells, "a"), levels(cells, "b")
     margin = ["All"] if margins else []
-    grid = literal_rows(df.sparkSession, [(str(x), str(y)) for x in [*rows, *margin] for y in [*cols, *margin]],
-                        "a string, b string")
+    # every combination: one row per category of a, spread over those of b
+    grid = literal_rows(df.sparkSession, [(str(x), [str(y) for y in [*cols, *margin]]) for x in [*rows, *margin]],
+                        "a string, bs array<string>").select("a", F.explode("bs").alias("b"))
     if margins:
         cells = cells.cube("a", "b").agg(F.sum("n").alias("n"), F.grouping("a").alias("ga"), F.grouping("b").alias("gb"))
         cells = cells.select(F.when(F.col("ga") == 1, "All").otherwise(F.col("a").cast("string")).alias("a"),

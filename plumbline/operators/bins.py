@@ -13,18 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.normal import normal_ppf
-from plumbline.operators.describe import literal_rows
+from plumbline.operators.describe import literal_rows, settle
 from plumbline.plans.order import exact_quantiles
 from plumbline.plans.ranks import expand_ties, running_counts, survey
-from plumbline.sources.tables import unpivot
-
-MAX_GROUPS = 10_000
+from plumbline.sources.tables import unpivot, value
 
 
 def bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
     """column -> (count, min, max)"""
-    row = df.agg(*[F.struct(F.count(c).alias("n"), F.min(c).cast("double").alias("low"),
-                            F.max(c).cast("double").alias("high")).alias(c) for c in columns]).first()
+    row = df.agg(*[F.struct(F.count(value(c)).alias("n"), F.min(value(c)).alias("low"),
+                            F.max(value(c)).alias("high")).alias(c) for c in columns]).first()
     return {c: tuple(row[c]) for c in columns if row[c]["n"]}
 
 
@@ -61,9 +59,8 @@ def histogram_sturges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """int(1 + log2 n) equal-width bins per column."""
     assigned, edges = {}, {}
     for c, (n, low, high) in bounds(df, columns).items():
-        inside = F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
-        assigned[c], edges[c] = _equal_width(inside, low, high, int(1 + math.log2(n)))
-        assigned[c] = F.when(F.col(c).isNotNull(), assigned[c])
+        assigned[c], edges[c] = _equal_width(value(c), low, high, int(1 + math.log2(n)))
+        assigned[c] = F.when(value(c).isNotNull(), assigned[c])
     return _counted(df, assigned, edges)
 
 
@@ -89,27 +86,23 @@ def histogram_pretty(df: DataFrame, columns: Sequence[str], hint: int | None = N
         breaks = pretty_breaks(low, high, hint or math.ceil(1 + 3.322 * math.log10(n)))
         width = breaks[1] - breaks[0]
         # values a hair above a break still count as on it
-        place = F.ceil((F.col(c) - F.lit(breaks[0])) / F.lit(width) - 1e-7) - 1
-        assigned[c] = F.when(F.col(c).isNotNull(), F.least(F.greatest(place, F.lit(0)), F.lit(len(breaks) - 2)))
+        place = F.ceil((value(c) - F.lit(breaks[0])) / F.lit(width) - 1e-7) - 1
+        assigned[c] = F.when(value(c).isNotNull(), F.least(F.greatest(place, F.lit(0)), F.lit(len(breaks) - 2)))
         edges[c] = breaks
     return _counted(df, assigned, edges)
 
 
 def histogram_by_class(df: DataFrame, columns: Sequence[str], label: str, k: int = 15) -> DataFrame:
     """k bins for every (column, class), each over its own range."""
-    values = unpivot(df.select(label, *[F.col(c).cast("double").alias(c) for c in columns]),
-                     columns, "column", "value", [label]).filter(F.col("value").isNotNull())
-    ranges = values.groupBy("column", label).agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    found = ranges.limit(MAX_GROUPS + 1).collect()
-    if len(found) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} classes")
-    grid = literal_rows(df.sparkSession, [tuple(r) for r in found], ranges.schema)
+    values = unpivot(df.select(label, *[value(c).alias(c) for c in columns]),
+                     columns, "column", "value", [label]).filter(F.col("value").isNotNull() & F.col(label).isNotNull())
+    grid = settle(values.groupBy("column", label).agg(F.min("value").alias("low"), F.max("value").alias("high")))
     flat = F.col("low") == F.col("high")
     grid = grid.select("column", label, F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
                        F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"))
     width = (F.col("high") - F.col("low")) / k
-    # at most MAX_GROUPS rows, checked above
-    placed = values.join(F.broadcast(grid), ["column", label]).withColumn(
+    # few classes are literal rows, which Spark broadcasts; many meet their values in a shuffle
+    placed = values.join(grid, ["column", label]).withColumn(
         "bin", F.least(F.floor((F.col("value") - F.col("low")) / width), F.lit(k - 1)).cast("int"))
     counts = placed.groupBy("column", label, "bin").count()
     frame = grid.withColumn("bin", F.explode(F.array(*[F.lit(i) for i in range(k)])))
@@ -234,16 +227,17 @@ def boxplot_fliers(df: DataFrame, column: str, reach: float = 3.0) -> DataFrame:
 def boxplot_by_group(df: DataFrame, column: str, group: str, reach: float = 1.5) -> DataFrame:
     """Tukey hinges and whiskers per group."""
     ranked = running_counts(df.filter(F.col(group).isNotNull()), column, by=[group])
-    sizes = ranked.groupBy(group).agg(F.sum("n").alias("rows"))
+    # few groups become literal rows, which Spark broadcasts, so no value is moved to its group's task
+    sizes = settle(ranked.groupBy(group).agg(F.sum("n").alias("rows")))
     depth = F.floor((F.col("rows") + 3) / 2) / 2
     places = {"q1": depth, "median": (F.col("rows") + 1) / 2, "q3": F.col("rows") + 1 - depth}
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("n_before") < rank) & (rank <= F.col("n_before") + F.col("n")), F.col("value")))
 
-    hinges = ranked.join(sizes, group).groupBy(group).agg(
+    hinges = settle(ranked.join(sizes, group).groupBy(group).agg(
         F.max("rows").alias("n"),
-        *[((at(F.floor(d)) + at(F.ceil(d))) / 2).alias(name) for name, d in places.items()])
+        *[((at(F.floor(d)) + at(F.ceil(d))) / 2).alias(name) for name, d in places.items()]))
     margin = reach * (F.col("q3") - F.col("q1"))
     inside = (F.col("value") >= F.col("q1") - margin) & (F.col("value") <= F.col("q3") + margin)
     ends = ranked.withColumnRenamed("n", "tied").join(hinges, group).groupBy(group, "n", "q1", "median", "q3").agg(
@@ -283,42 +277,55 @@ def qq_quartile_line(df: DataFrame, column: str) -> DataFrame:
     return literal_rows(df.sparkSession, [(slope, q1 + slope * quartile)], "slope double, intercept double")
 
 
+def quartile_gaps(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, gap): interquartile range of ``value`` in each group, all groups in one pass."""
+    ranked = running_counts(values, "value", by=keys)
+    sizes = settle(ranked.groupBy(*keys).agg(F.sum("n").alias("rows")))
+    found = ranked.join(sizes, list(keys))
+
+    def quartile(share: float) -> Column:
+        place = (F.col("rows") - 1) * F.lit(share)
+        whole = F.floor(place)
+
+        def at(rank: Column) -> Column:
+            return F.max(F.when((F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n")), F.col("value")))
+
+        low, high, part = at(whole), at(F.least(whole + 1, F.col("rows") - 1)), F.max(place - whole)
+        return low * (1 - part) + high * part
+
+    return found.groupBy(*keys).agg((quartile(0.75) - quartile(0.25)).alias("gap"))
+
+
 def kde_curve(df: DataFrame, columns: Sequence[str], label: str | None = None, points: int = 200,
               bandwidth: str = "scott") -> DataFrame:
     """Gaussian density of each column (and class) on an even grid, exact over all rows.
 
     Equal values collapse first; each distinct value then adds to every grid point
-    through a map-side combined sum.
+    through a map-side combined sum.  A column or class without spread (one value, or one
+    row) takes the size of its value as spread, or 1 if that is 0.
     """
     keys = ["column"] + ([label] if label else [])
-    values = unpivot(df.select(*keys[1:], *[F.col(c).cast("double").alias(c) for c in columns]),
-                     columns, "column", "value", keys[1:]).filter(F.col("value").isNotNull())
+    values = unpivot(df.select(*keys[1:], *[value(c).alias(c) for c in columns]),
+                     columns, "column", "value", keys[1:])
+    for c in [*keys, "value"]:
+        values = values.filter(F.col(c).isNotNull())
     stats = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.stddev_samp("value").alias("sd"),
                                       F.min("value").alias("low"), F.max("value").alias("high"))
-    found = stats.limit(MAX_GROUPS + 1).collect()
-    if len(found) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} classes")
-    spreads = {tuple(r[k] for k in keys): r["sd"] for r in found}
     if bandwidth == "nrd0":
-        for key in spreads:
-            part = values.filter(F.col("column") == key[0])
-            part = part.filter(F.col(label) == key[1]) if label else part
-            (q1, q3), = exact_quantiles(part, ["value"], [0.25, 0.75]).values()
-            spreads[key] = min(spreads[key], (q3 - q1) / 1.34) or spreads[key]
-    rows = []
-    for r in found:
-        key = tuple(r[k] for k in keys)
-        h = {"scott": 1.0, "nrd0": 0.9}[bandwidth] * spreads[key] * r["rows"] ** -0.2
-        rows.append((*key, r["rows"], h, r["low"] - 3 * h, (r["high"] - r["low"] + 6 * h) / (points - 1)))
-    key_types = [f"{k} {dict(values.dtypes)[k]}" for k in keys]
-    grid = literal_rows(df.sparkSession, rows, ", ".join(key_types) + ", rows bigint, h double, start double, step double")
+        stats = stats.join(quartile_gaps(values, keys), keys).withColumn(
+            "sd", F.least("sd", F.nullif(F.col("gap") / 1.34, F.lit(0.0))))
+    spread = F.coalesce(F.nullif("sd", F.lit(0.0)), F.nullif(F.abs("low"), F.lit(0.0)), F.lit(1.0))
+    h = F.lit({"scott": 1.0, "nrd0": 0.9}[bandwidth]) * spread * F.pow("rows", F.lit(-0.2))
+    grid = settle(stats.withColumn("h", h).select(
+        *keys, "rows", "h", (F.col("low") - 3 * F.col("h")).alias("start"),
+        ((F.col("high") - F.col("low") + 6 * F.col("h")) / (points - 1)).alias("step")))
     collapsed = values.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    spread_out = collapsed.join(F.broadcast(grid), keys).withColumn(
+    spread_out = collapsed.join(grid, keys).withColumn(
         "g", F.explode(F.array(*[F.lit(i) for i in range(points)])))
     z = (F.col("start") + F.col("g") * F.col("step") - F.col("value")) / F.col("h")
     kernel = F.exp(-z * z / 2) * F.col("n") / (F.col("rows") * F.col("h") * math.sqrt(2 * math.pi))
     summed = spread_out.groupBy(*keys, "g").agg(F.sum(kernel).alias("density"))
-    return summed.join(F.broadcast(grid), keys).select(
+    return summed.join(grid, keys).select(
         *keys, F.col("g").cast("bigint").alias("point"),
         (F.col("start") + F.col("g") * F.col("step")).alias("x"), "density")
 

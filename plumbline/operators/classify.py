@@ -65,6 +65,10 @@ def _decide(df: DataFrame) -> DataFrame:
     return df.withColumn("prediction", best.cast("int"))
 
 
+ROWS_PER_LANE = 100_000
+LEAST_LANES = 8
+
+
 class Classifier:
     """``predict`` adds ``probability`` (array, one entry per class) and ``prediction`` (class index)."""
 
@@ -73,14 +77,14 @@ class Classifier:
 
 
 def spread_out(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Training rows in enough partitions for all cores, and their number.
+    """Training rows dealt over lanes by their content, and their number.
 
-    A table read in few pieces is dealt out once; one in many pieces is left as it is.
+    A lane for every ROWS_PER_LANE rows, LEAST_LANES at least, each in the order of the hash: what is
+    averaged over lanes follows from the rows alone, not from cores, files or the order of a shuffle.
     """
-    size = rows.select(F.spark_partition_id().alias("piece")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("piece").alias("pieces")).first()
-    cores = min(rows.sparkSession.sparkContext.defaultParallelism, size["n"] // 1000)
-    return (rows.repartition(cores) if size["pieces"] < cores else rows), size["n"]
+    n = rows.count()
+    dealt = rows.withColumn("lane", F.xxhash64(*rows.columns))
+    return dealt.repartition(max(LEAST_LANES, n // ROWS_PER_LANE), "lane").sortWithinPartitions("lane").drop("lane"), n
 
 
 @dataclass
@@ -279,7 +283,7 @@ class KernelOptions:
     gamma: float | str = "scale"
     degree: int = 3
     random_features: int = 200
-    max_iter: int = 50
+    max_iter: int = 1000
     seed: int = 42
 
 
@@ -375,7 +379,7 @@ def train_svm(train: DataFrame, features: Sequence[str], classes: int,
     model = SupportVector(features, options, float(gamma), pairs, np.array([m.coefficients.toArray() for m in machines]),
                           np.array([m.intercept for m in machines]), classes)
     margins = model.margins(train).select(array_to_vector("margins").alias("margin_vector"), "label")
-    model.platt = LogisticRegression(featuresCol="margin_vector", predictionCol="", family="multinomial", maxIter=50).fit(margins)
+    model.platt = LogisticRegression(featuresCol="margin_vector", predictionCol="", family="multinomial", maxIter=1000).fit(margins)
     train.unpersist()
     return model
 
@@ -388,16 +392,18 @@ def permuted_copies(df: DataFrame, features: Sequence[str], keys: Sequence[str],
                     per_bucket: int = 50_000) -> DataFrame:
     """Every row once per (feature, repeat) with that feature taken from another row.
 
-    A repeat deals the rows into hash buckets; inside a bucket each feature is passed to
-    the next row of a random order of its own, the last row's to the first.  One shuffle
-    serves all features of a repeat, and no bucket holds more than its share.
+    Rows are dealt once into hash buckets of about ``per_bucket`` rows; inside a bucket each
+    feature is passed, for every repeat, to the next row of a random order of its own, the last
+    row's to the first.  A row's donors are therefore the rows of its bucket.  One shuffle serves
+    all features and repeats, and no bucket holds more than its share.
     """
     n = df.count()
     buckets = max(1, n // per_bucket)
-    copies = df.withColumn("repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)])))
-    dealt = copies.withColumn("bucket", F.pmod(F.xxhash64(*keys, "repeat", F.lit(seed)), F.lit(buckets)))
+    # dealt once; the repeats are made inside the buckets and only sorted anew
+    once = df.withColumn("bucket", F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
+    dealt = once.withColumn("repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)])))
     for f in features:
-        order = Window.partitionBy("repeat", "bucket").orderBy(F.xxhash64(*keys, "repeat", F.lit(f"{seed}{f}")), *keys)
+        order = Window.partitionBy("bucket", "repeat").orderBy(F.xxhash64(*keys, "repeat", F.lit(f"{seed}{f}")), *keys)
         whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         dealt = dealt.withColumn(f"next {f}", F.coalesce(F.lead(f).over(order), F.first(f).over(whole)))
     swapped = F.array(*[F.struct(F.lit(f).alias("feature"), *[F.col(f"next {c}" if c == f else c).alias(c) for c in features])

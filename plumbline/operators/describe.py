@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.plans.order import exact_quantiles, quantiles_and
 from plumbline.plans.ranks import running_counts
-from plumbline.sources.tables import unpivot
+from plumbline.sources.tables import unpivot, value
 
 
 def literal_rows(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -29,7 +29,7 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Counted by a shuffle on (column, value), so no buffer holds all values of a column.
     """
-    values = unpivot(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, "column", "value")
+    values = unpivot(df.select(*[value(c).alias(c) for c in columns]), columns, "column", "value")
     counted = values.filter(F.col("value").isNotNull()).groupBy("column", "value").count()
     best = F.max_by("value", F.struct("count", -F.col("value")))
     return counted.groupBy("column").agg(best.alias("mode"))
@@ -37,7 +37,7 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _table(df: DataFrame, columns: Sequence[str], probs: dict[str, float], measures: dict) -> DataFrame:
     """(column, measures..., quantiles...): the measures ride on the first pass of the exact quantiles."""
-    extra = [build(F.col(c).cast("double")).alias(f"{name} of {c}!") for c in columns for name, build in measures.items()]
+    extra = [build(value(c)).alias(f"{name} of {c}!") for c in columns for name, build in measures.items()]
     found, row = quantiles_and(df, columns, probs.values(), extra)
     rows = [(c, *[row[f"{name} of {c}!"] for name in measures], *found[c]) for c in columns]
     kinds = [f"{name} {'bigint' if name in ('n', 'count') else 'double'}" for name in measures]
@@ -69,7 +69,7 @@ def describe_psych(df: DataFrame, columns: Sequence[str], trim: float = 0.1) ->
         "kurtosis": lambda x: (F.kurtosis(x) + 3) * F.pow(shrink(x), 2.0) - 3,
         "se": lambda x: F.stddev_samp(x) / F.sqrt(F.count(x))})
     medians = {r["column"]: r["median"] for r in table.collect()}
-    away = df.select(*[F.abs(F.col(c) - F.lit(medians[c]).cast("double")).alias(c) for c in columns])
+    away = df.select(*[F.abs(value(c) - F.lit(medians[c]).cast("double")).alias(c) for c in columns])
     mads = [(c, None if q[0] is None else 1.4826 * q[0]) for c, q in exact_quantiles(away, columns, [0.5]).items()]
     return table.join(literal_rows(df.sparkSession, mads, "column string, mad double"), "column").join(
         trimmed_means(df, columns, trim), "column", "left")
@@ -77,7 +77,7 @@ def describe_psych(df: DataFrame, columns: Sequence[str], trim: float = 0.1) ->
 
 def trimmed_means(df: DataFrame, columns: Sequence[str], trim: float = 0.1) -> DataFrame:
     """(column, trimmed): mean after dropping floor(trim * n) values at each end."""
-    values = unpivot(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, "column", "x")
+    values = unpivot(df.select(*[value(c).alias(c) for c in columns]), columns, "column", "x")
     ranked = running_counts(values, "x", by=["column"])
     totals = values.groupBy("column").agg(F.count("x").alias("rows"))
     cut = F.floor(F.col("rows") * trim)

@@ -232,6 +232,13 @@ def ordinary_fit(df: DataFrame, features: Sequence[str], target: str) -> Ordinar
     return OrdinaryFit(features, target, g, np.array([g.mean[k] - slopes @ g.mean[:k], *slopes]), inverse, max(sse, 0.0))
 
 
+def quotient(top: float, bottom: float) -> float | None:
+    """Infinite over zero, and none for zero over zero: an exact fit has no error to compare with."""
+    if bottom:
+        return top / bottom
+    return None if top == 0 else float(np.copysign(np.inf, top))
+
+
 def lm_coefficients(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """(term, estimate, std_error, t, p_value)"""
     fit = ordinary_fit(df, features, target)
@@ -241,8 +248,8 @@ def lm_coefficients(df: DataFrame, features: Sequence[str], target: str) -> Data
     rows = []
     for term, value, v in zip(["intercept", *fit.features], fit.coefficients, variances):
         error = fit.sigma * float(np.sqrt(v))
-        t = float(value) / error
-        rows.append((term, float(value), error, t, t_sf2(t, fit.dof)))
+        t = quotient(float(value), error)
+        rows.append((term, float(value), error, t, None if t is None else t_sf2(t, fit.dof)))
     return literal_rows(df.sparkSession, rows, "term string, estimate double, std_error double, t double, p_value double")
 
 
@@ -253,11 +260,12 @@ def lm_summary(df: DataFrame, features: Sequence[str], target: str) -> DataFrame
     residual = with_residuals(complete_rows(df, [*fit.features, target]), fit).select("residual")
     spread = exact_quantiles(residual, ["residual"], [0, 0.25, 0.5, 0.75, 1])["residual"]
     syy = float(fit.g.cross[k, k])
-    r2 = 1 - fit.sse / syy
-    f = (syy - fit.sse) / k / (fit.sse / fit.dof)
+    r2 = 1 - fit.sse / syy if syy else None
+    f = quotient((syy - fit.sse) / k, fit.sse / fit.dof if fit.dof else 0.0)
+    adjusted = 1 - (1 - r2) * (fit.g.n - 1) / fit.dof if syy and fit.dof else None
     equation = f"{target} = {fit.coefficients[0]:.2f}" + "".join(
         f" + {b:.2f} * {c}" for b, c in zip(fit.coefficients[1:], fit.features))
-    row = (*spread, fit.sigma, fit.dof, r2, 1 - (1 - r2) * (fit.g.n - 1) / fit.dof, f, f_sf(f, k, fit.dof), equation)
+    row = (*spread, fit.sigma, fit.dof, r2, adjusted, f, None if f is None else f_sf(f, k, fit.dof), equation)
     return literal_rows(df.sparkSession, [tuple(v.item() if hasattr(v, "item") else v for v in row)],
                         "min_residual double, q1_residual double, median_residual double, q3_residual double, "
                         "max_residual double, sigma double, df bigint, r2 double, adj_r2 double, f double, "

@@ -106,7 +106,10 @@ def auc_micro(df: DataFrame, label: str, scores: dict[object, str]) -> DataFrame
 
 
 def roc_curve(df: DataFrame, label: str, scores: dict[object, str]) -> DataFrame:
-    """(class, threshold, fpr, tpr) for every distinct score, and the origin at an infinite threshold."""
+    """(class, threshold, fpr, tpr) for every distinct score, and the origin at an infinite threshold.
+
+    A rate without a row to count (a class that never or always occurs) is null.
+    """
     long = class_scores(df, label, scores)
     ranked = running_counts(long, "score", by=["class"], sums={"positive": F.col("positive")})
     totals = long.filter(F.col("score").isNotNull()).groupBy("class").agg(
@@ -115,8 +118,8 @@ def roc_curve(df: DataFrame, label: str, scores: dict[object, str]) -> DataFrame
     joined = ranked.join(F.broadcast(totals), "class")
     above, positive_above = F.col("rows") - F.col("n_before"), F.col("p") - F.col("positive_before")
     points = joined.select("class", F.col("value").alias("threshold"),
-                           ((above - positive_above) / (F.col("rows") - F.col("p"))).alias("fpr"),
-                           (positive_above / F.col("p")).alias("tpr"))
+                           F.try_divide(above - positive_above, F.col("rows") - F.col("p")).alias("fpr"),
+                           F.try_divide(positive_above, F.col("p")).alias("tpr"))
     origin = totals.select("class", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return points.unionByName(origin)
 

@@ -13,15 +13,18 @@ from plumbline.functions.tails import kolmogorov_tail, normal_sf
 from plumbline.operators.association import interpret
 from plumbline.operators.describe import literal_rows
 from plumbline.plans.ranks import add_bucket, expand_ties, running_counts, survey
-from plumbline.sources.tables import unpivot
+from plumbline.sources.tables import unpivot, value
 
 
 def differences(df: DataFrame, key: str, column: str) -> DataFrame:
     """(key, diff): first differences in the order of a unique key.
 
     Rows are bucketed by key range; each bucket takes the last value of the one
-    before it from a table of bucket ends, so no task sorts the whole table.
+    before it from a table of bucket ends, so no task sorts the whole table.  Numbers and
+    timestamps are keys; a text key has no place on the number line and is refused.
     """
+    if df.schema[key].dataType.simpleString() in ("string", "binary", "boolean"):
+        raise ValueError(f"{key} must be a number or a timestamp to order rows by it")
     rows = df.select(F.col(key).cast("double").alias("place"), F.col(key).alias(key), F.col(column).alias("x"))
     rows = rows.filter(F.col("x").isNotNull())
     edges = survey(rows, "place").edges
@@ -46,21 +49,23 @@ def jarque_bera_diff(df: DataFrame, key: str, column: str) -> DataFrame:
 
 def ks_normal(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One-sample Kolmogorov-Smirnov test against a normal with the column's own mean and sample sd."""
-    values = unpivot(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, "column", "x")
+    values = unpivot(df.select(*[value(c).alias(c) for c in columns]), columns, "column", "x")
     stats = values.groupBy("column").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"), F.count("x").alias("rows"))
     ranked = running_counts(values, "x", by=["column"]).join(F.broadcast(stats), "column")
-    p = normal_cdf((F.col("value") - F.col("mean")) / F.col("sd"))
+    # a column without spread has no standardized values: its statistic and p-value are null
+    p = normal_cdf(F.try_divide(F.col("value") - F.col("mean"), "sd"))
     gap = F.greatest((F.col("n_before") + F.col("n")) / F.col("rows") - p, p - F.col("n_before") / F.col("rows"))
     tested = ranked.groupBy("column").agg(F.max("rows").alias("n"), F.max(gap).alias("statistic"))
     return interpret(tested.withColumn("p_value", kolmogorov_tail("statistic", F.col("n").cast("double"))))
 
 
 def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Shapiro-Wilk W for every column (Royston's 1995 weights); p-value for n <= 5000.
+    """Shapiro-Wilk W and its p-value for every column (Royston's 1995 weights).
 
-    The weights only need normal scores by rank, so W is one sum over the ranked rows.
+    The weights only need normal scores by rank, so W is one sum over the ranked rows.  The
+    p-value's approximation was fitted up to 5000 rows; beyond, ``p_is_extrapolated`` is true.
     """
-    values = unpivot(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, "column", "x")
+    values = unpivot(df.select(*[value(c).alias(c) for c in columns]), columns, "column", "x")
     sizes = values.groupBy("column").agg(F.count("x").alias("rows"), F.var_pop("x").alias("var"))
     spread = survey(values, "x")
     ranked = running_counts(values, "x", by=["column"], spread=spread)
@@ -76,11 +81,13 @@ def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = []
     for r in sums.collect():
         w = _w_statistic(r)
-        p = None if w is None or r["n"] > 5000 else _w_p_value(w, r["n"])
-        rows.append((r["column"], r["n"], w, p, None if p is None else p > 0.05))
-    return literal_rows(df.sparkSession, rows, "column string, n bigint, w double, p_value double, is_normal boolean")
+        p = None if w is None else _w_p_value(w, r["n"])
+        rows.append((r["column"], r["n"], w, p, None if p is None else p > 0.05, r["n"] > FITTED_ROWS))
+    return literal_rows(df.sparkSession, rows, "column string, n bigint, w double, p_value double, is_normal boolean, "
+                                               "p_is_extrapolated boolean")
 
 
+FITTED_ROWS = 5000
 # Royston's polynomials for the end weights, lowest power first.
 LAST_WEIGHT = (0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056)
 NEXT_WEIGHT = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)

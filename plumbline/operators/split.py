@@ -10,14 +10,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.operators.association import MAX_LEVELS, levels
+from plumbline.operators.association import levels
 from plumbline.operators.bins import edges_below
+from plumbline.operators.describe import literal_rows
 from plumbline.plans.order import order_statistics
 
 HASH_DIGITS = 13  # hexadecimal digits (52 bits) that a double holds exactly
+# up to so many classes each is a literal in the expressions; more meet their rows in joins, with the same result
+LITERAL_CLASSES = 32
+HASH_BINS = 4_096
 
 
 class PortableKeys(list):
@@ -42,8 +46,11 @@ def label_codes(df: DataFrame, label: str) -> dict:
 
 def label_encode(df: DataFrame, label: str, name: str, codes: dict | None = None) -> DataFrame:
     codes = codes or label_codes(df, label)
-    pairs = [v for k, i in codes.items() for v in (F.lit(k), F.lit(i))]
-    return df.withColumn(name, F.create_map(*pairs)[F.col(label)].cast("int"))
+    if len(codes) <= LITERAL_CLASSES:
+        pairs = [v for k, i in codes.items() for v in (F.lit(k), F.lit(i))]
+        return df.withColumn(name, F.create_map(*pairs)[F.col(label)].cast("int"))
+    known = literal_rows(df.sparkSession, list(codes.items()), f"`code of` {df.schema[label].dataType.simpleString()}, `{name}` int")
+    return df.drop(name).join(known, F.col(label) == F.col("code of"), "left").drop("code of")
 
 
 def target_kind(df: DataFrame, target: str) -> DataFrame:
@@ -92,6 +99,49 @@ def _lowest(df: DataFrame, groups: dict[object, tuple[Column, int, int]], keys:
     return F.coalesce((first < cut) | ((first == cut) & (edge.isNull() | (second <= edge))), F.lit(False))
 
 
+def _binned(df: DataFrame, label: str, h: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows with hash and bin, and for each class and bin its rows ``n`` and those of the bins before it."""
+    rows = df.withColumn("hash", h).withColumn("hash bin", F.floor(F.col("hash") / 16.0 ** HASH_DIGITS * HASH_BINS).cast("int"))
+    counts = rows.filter(F.col(label).isNotNull()).groupBy(label, "hash bin").agg(F.count(F.lit(1)).alias("n"))
+    # at most HASH_BINS rows of a class reach this window
+    through = Window.partitionBy(label).orderBy("hash bin").rowsBetween(Window.unboundedPreceding, -1)
+    return rows, counts.withColumn("before", F.coalesce(F.sum("n").over(through), F.lit(0)))
+
+
+def _lowest_of_many(df: DataFrame, label: str, sizes: dict, keys: Sequence[str], seed: int) -> DataFrame:
+    """``split`` for any number of classes: the bin in which a class's cut lies comes from counts, and only the
+    rows of that bin are ordered."""
+    kind = df.schema[label].dataType.simpleString()
+    wanted = literal_rows(df.sparkSession, list(sizes.items()), f"`cut class` {kind}, size bigint")
+    rows, counts = _binned(df, label, key_hash(keys, seed))
+    rows = rows.withColumn("hash 2", key_hash(keys, seed, 1))
+    ends = counts.join(wanted, F.col(label) == F.col("cut class")).filter(
+        (F.col("before") < F.col("size")) & (F.col("size") <= F.col("before") + F.col("n"))).select(
+        "cut class", F.col("hash bin").alias("cut bin"), (F.col("size") - F.col("before")).alias("room"))
+    order = Window.partitionBy("cut class").orderBy("hash", "hash 2")
+    cuts = rows.join(ends, (F.col(label) == F.col("cut class")) & (F.col("hash bin") == F.col("cut bin"))).select(
+        "cut class", "room", F.col("hash").alias("cut"), F.col("hash 2").alias("cut 2"), F.row_number().over(order).alias("place")).filter(
+        F.col("place") == F.col("room")).drop("room", "place")
+    inside = (F.col("hash") < F.col("cut")) | ((F.col("hash") == F.col("cut")) & (F.col("hash 2") <= F.col("cut 2")))
+    return rows.join(cuts, F.col(label) == F.col("cut class"), "left").withColumn(
+        "split", F.when(F.coalesce(inside, F.lit(False)), "test").otherwise("train")).select(*df.columns, "split")
+
+
+def _folds_of_many(df: DataFrame, label: str, h: Column, folds: int, name: str) -> DataFrame:
+    """Folds within any number of classes: a row's rank is its place in its bin after the bins before it."""
+    rows, counts = _binned(df, label, h)
+    totals = counts.groupBy(label).agg(F.sum("n").alias("class rows")).withColumnRenamed(label, "total class")
+    offsets = counts.select(F.col(label).alias("bin class"), F.col("hash bin").alias("bin"), "before").join(
+        totals, F.col("bin class") == F.col("total class"))
+    rank = F.row_number().over(Window.partitionBy(label, "hash bin").orderBy("hash")) - 1 + F.col("before")
+    # the first ``rows mod folds`` folds have one row more
+    short, longer = F.floor(F.col("class rows") / folds), F.col("class rows") % folds
+    fold = F.when(F.col("rank") < longer * (short + 1), F.floor(F.col("rank") / (short + 1))).otherwise(
+        longer + F.floor(F.try_divide(F.col("rank") - longer * (short + 1), short)))
+    joined = rows.join(offsets, (F.col(label) == F.col("bin class")) & (F.col("hash bin") == F.col("bin")), "left")
+    return joined.withColumn("rank", rank).withColumn(name, fold.cast("int")).select(*df.columns, name)
+
+
 def train_test_split(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``split`` (train or test) with exactly ceil(test_size * n) test rows."""
     n = df.count()
@@ -111,10 +161,8 @@ def shares(sizes: dict, total: int) -> dict:
 
 
 def label_counts(df: DataFrame, label: str) -> dict:
-    """Rows of each category, in sorted order; the categories must be few."""
-    found = df.filter(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{label} has more than {MAX_LEVELS} categories")
+    """Rows of each category, in sorted order; the driver holds one row of each."""
+    found = df.filter(F.col(label).isNotNull()).groupBy(label).count().collect()
     return dict(sorted((r[0], r[1]) for r in found))
 
 
@@ -123,6 +171,8 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size:
     """Adds ``split``; every class keeps its share of the ceil(test_size * n) test rows."""
     counts = counts or label_counts(df, label)
     sizes = shares(counts, math.ceil(test_size * sum(counts.values())))
+    if len(sizes) > LITERAL_CLASSES:
+        return _lowest_of_many(df, label, sizes, keys, seed)
     chosen = _lowest(df, {g: (F.col(label) == F.lit(g), size, counts[g]) for g, size in sizes.items()}, keys, seed)
     return df.withColumn("split", F.when(chosen, "test").otherwise("train"))
 
@@ -141,7 +191,10 @@ def hash_folds(df: DataFrame, keys: Sequence[str], folds: int = 5, seed: int = 4
                name: str = "fold") -> DataFrame:
     """Adds random folds of equal size, within each class when a label is given."""
     h = key_hash(keys, seed, 1)
-    groups = {g: F.col(label) == F.lit(g) for g in levels(df, label)} if label else {0: F.lit(True)}
+    classes = levels(df, label) if label else [0]
+    if len(classes) > LITERAL_CLASSES:
+        return _folds_of_many(df, label, h, folds, name)
+    groups = {g: F.col(label) == F.lit(g) for g in classes} if label else {0: F.lit(True)}
     hashed = df.select(*[F.when(p, h).alias(f"h{i}") for i, p in enumerate(groups.values())])
     sizes = hashed.agg(*[F.count(c).alias(c) for c in hashed.columns]).first()
     ends = {}

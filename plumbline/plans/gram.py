@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXPRESSION_COLUMNS = 14
-MAX_COLUMNS = 2_000
 
 
 @dataclass
@@ -62,8 +63,6 @@ def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def gram_by(df: DataFrame, columns: Sequence[str], by: Column | str | None = None) -> dict[object, Gram]:
     """Gram sums of complete rows for each value of ``by`` (a fold or split: few values)."""
     columns = list(columns)
-    if len(columns) > MAX_COLUMNS:
-        raise ValueError(f"at most {MAX_COLUMNS} columns")
     key = F.lit(0) if by is None else (F.col(by) if isinstance(by, str) else by)
     rows = complete_rows(df, columns).select(
         key.alias("part"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
@@ -107,15 +106,17 @@ def _by_blocks(rows, k):
                 x = np.hstack([group[names].to_numpy(dtype=float) - shift, np.ones((len(group), 1))])
                 sums[part] = sums.get(part, 0) + x.T @ x
         for part, block in sums.items():
-            i, j = np.indices(block.shape)
-            yield pd.DataFrame({"part": part, "i": i.ravel(), "j": j.ravel(), "s": block.ravel()})
+            # the upper triangle, one row of it at a time
+            yield pd.DataFrame({"part": part, "i": np.arange(k + 1), "s": [block[i, i:] for i in range(k + 1)]})
 
     part_type = rows.schema["part"].dataType.simpleString()
-    cells = rows.mapInPandas(blocks, f"part {part_type}, i int, j int, s double")
+    cells = rows.mapInPandas(blocks, f"part {part_type}, i int, s array<double>")
+    sums = cells.withColumn("s", array_to_vector("s")).groupBy("part", "i").agg(Summarizer.sum(F.col("s")).alias("s"))
     out: dict[object, Gram] = {}
     totals: dict[object, np.ndarray] = {}
-    for row in cells.groupBy("part", "i", "j").agg(F.sum("s").alias("s")).collect():
-        totals.setdefault(row["part"], np.zeros((k + 1, k + 1)))[row["i"], row["j"]] = row["s"]
+    for row in sums.collect():
+        i, block = row["i"], totals.setdefault(row["part"], np.zeros((k + 1, k + 1)))
+        block[i, i:] = block[i:, i] = row["s"].toArray()
     for part, block in totals.items():
         n, offset = block[k, k], block[:k, k] / block[k, k]
         out[part] = Gram(n, shift + offset, block[:k, :k] - n * np.outer(offset, offset))

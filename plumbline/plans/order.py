@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from plumbline.sources.tables import value as number_of
+
 BUFFER_VALUES = 100_000
 SKETCH_ACCURACY = 10_000
 
@@ -64,7 +66,7 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[int]], buffer_
 
 
 def _inside(name: str, low, high) -> Column:
-    value = F.col(name).cast("double")
+    value = number_of(name)
     keep = value.isNotNull()
     if low is not None:
         keep = keep & (value > F.lit(low))
@@ -118,7 +120,7 @@ def _narrow(df: DataFrame, searches: list[Search], answers, accuracy: int, guess
         around = [tuple(row[f"e{i}"][2 * j:2 * j + 2]) for i, s in enumerate(searches) for j in range(len(s.ranks))]
     counts = []
     for i, ((s, _), (left, right)) in enumerate(zip(probes, around)):
-        value = F.col(s.column).cast("double")
+        value = number_of(s.column)
         counts.append(F.struct(F.count_if(value < left), F.count_if(value <= left), F.count_if(value < right),
                                F.count_if(value <= right)).alias(f"c{i}"))
     row = df.agg(*counts).first()
@@ -153,7 +155,7 @@ def quantiles_and(df: DataFrame, columns: Iterable[str], probs: Iterable[float],
                   buffer_values: int = BUFFER_VALUES) -> tuple[dict[str, list[float | None]], Row]:
     """Exact quantiles, and the row of ``extra`` aggregates taken in their first pass."""
     columns, probs = list(columns), [float(p) for p in probs]
-    value = {c: F.col(c).cast("double") for c in columns}
+    value = {c: number_of(c) for c in columns}
     sizes = df.agg(*[F.count(value[c]).alias(f"rows of {c}") for c in columns],
                    *[F.approx_count_distinct(value[c]).alias(f"distinct of {c}") for c in columns], *extra).first()
     rows = {c: sizes[f"rows of {c}"] for c in columns}

@@ -17,6 +17,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.sources.tables import value as number_of
+
 VALUES_PER_BUCKET = 200_000
 FIRST_BUCKETS = 256
 MAX_BUCKETS = 8_192
@@ -37,7 +39,7 @@ class Spread:
 
 def survey(df: DataFrame, value: str) -> Spread:
     """One pass of bounded sketches.  No bucket holds more than its share of rows, hot values aside."""
-    v = F.col(value).cast("double")
+    v = number_of(value)
 
     def shares(parts: int) -> list[float]:
         return [i / parts for i in range(1, parts)]
@@ -74,7 +76,7 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (),
     by = list(by)
     sums = dict(sums or {})
     names = ["n", *sums]
-    kept = df.select(*by, F.col(value).cast("double").alias("value"), *[c.alias(n) for n, c in sums.items()])
+    kept = df.select(*by, number_of(value).alias("value"), *[c.alias(n) for n, c in sums.items()])
     # all join keys are filtered here, so both uses of the counts below have one and the same plan
     for c in [*by, "value"]:
         kept = kept.filter(F.col(c).isNotNull())
@@ -105,20 +107,25 @@ def row_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Adds ``<column>_rank``, the average rank of each row's value; rows without a value go.
 
     Few distinct values are broadcast, their number checked.  Otherwise only the hot
-    values are, of which there are fewer than HOT_SHARES by arithmetic, and the other
-    rows meet their ranks in a shuffle where no key is hot.
+    values are, of which there are fewer than HOT_SHARES by arithmetic; their rows pass
+    the shuffle in which the others meet their ranks dealt over keys that match nothing.
+    Each column adds one use of its own counts, so plans grow with the columns and no faster.
     """
-    out = df
+    out = df.withColumns({c: number_of(c) for c in columns})
+    spread_key = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(HOT_SHARES)) + 1
     for c in columns:
         spread = survey(df, c)
         ranks = running_counts(df, c, spread=spread).select(F.col("value").alias(c), "n", average_rank().alias(f"{c}_rank"))
-        out = out.withColumn(c, F.col(c).cast("double"))
         if spread.distinct * 1.25 <= BROADCAST_ROWS:
             out = out.join(F.broadcast(ranks.drop("n")), c)
         else:
             is_hot = F.col("n") * HOT_SHARES > spread.rows
-            hot, cold = F.broadcast(ranks.filter(is_hot).drop("n")), ranks.filter(~is_hot).drop("n")
-            out = out.join(hot, c).unionByName(out.join(hot, c, "left_anti").join(cold, c))
+            hot = ranks.filter(is_hot).select(c, F.col(f"{c}_rank").alias("hot rank"))
+            cold = ranks.filter(~is_hot).select(c, F.lit(0).cast("bigint").alias("deal"), f"{c}_rank")
+            out = out.filter(F.col(c).isNotNull()).join(F.broadcast(hot), c, "left").withColumn(
+                "deal", F.when(F.col("hot rank").isNull(), F.lit(0)).otherwise(spread_key).cast("bigint"))
+            out = out.join(cold, [c, "deal"], "left").withColumn(
+                f"{c}_rank", F.coalesce("hot rank", f"{c}_rank")).drop("hot rank", "deal")
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -40,9 +40,15 @@ def select_columns(df: DataFrame, spec: Mapping[str, tuple[str, int]]) -> DataFr
     return df.select(*picked)
 
 
+def value(column: str | Column) -> Column:
+    """A column as a double in which NaN counts as missing."""
+    x = (F.col(column) if isinstance(column, str) else column).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def to_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Doubles; whatever is not a number becomes null."""
-    return df.withColumns({c: F.col(c).try_cast("double") for c in columns})
+    return df.withColumns({c: value(F.col(c).try_cast("double")) for c in columns})
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -50,10 +56,10 @@ def drop_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, type, missing) from one pass."""
+    """(column, type, missing) from one pass; NaN is missing too."""
     columns = list(columns or df.columns)
     types = dict(df.dtypes)
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counted = df.agg(*[F.count_if((value(c) if types[c] in ("double", "float") else F.col(c)).isNull()).alias(c) for c in columns])
     return unpivot(counted, columns, "column", "missing").select(
         "column", F.create_map(*[F.lit(t) for c in columns for t in (c, types[c])])[F.col("column")].alias("type"),
         "missing")
@@ -90,5 +96,5 @@ def scatter_points(df: DataFrame, pairs: Sequence[tuple[str, str]], label: str |
     return df.select(*keep, F.explode(points).alias("p")).select("p.*", *keep)
 
 
-def unpivot(df: DataFrame, columns: Sequence[str], name: str, value: str, keep: Sequence[str] = ()) -> DataFrame:
-    return df.unpivot(list(keep), list(columns), name, value)
+def unpivot(df: DataFrame, columns: Sequence[str], name: str, measure: str, keep: Sequence[str] = ()) -> DataFrame:
+    return df.unpivot(list(keep), list(columns), name, measure)

@@ -105,8 +105,9 @@ def metrics_compare(spark, sf_dir):
 # Trained models: three grades by a linear rule; a ring around the centre for the kernels.
 
 FEATURES = ["quantity", "discount", "tax"]
-PERCEPTRON = classify.PerceptronOptions(max_iter=12)
-KERNEL = classify.KernelOptions(max_iter=15)
+# trained until patience or tolerance ends it, as the options say by default
+PERCEPTRON = classify.PerceptronOptions()
+KERNEL = classify.KernelOptions()
 
 
 def graded(spark, sf_dir):

@@ -199,16 +199,16 @@ w AS (SELECT f."column", any_value(f.n) AS n, power(sum(x * CASE WHEN i = f.n TH
   ELSE m / scale END), 2) / any_value(ss) AS w FROM m JOIN f ON m."column" = f."column" GROUP BY 1),
 l AS (SELECT *, ln(1 - w) AS y, ln(n) AS u FROM w),
 t AS (SELECT *, 1 - {normal_cdf_sql('''((y - (-1.5861 - 0.31082 * u - 0.083751 * u * u + 0.0038915 * u * u * u)) / exp(-0.4803 - 0.082676 * u + 0.0030302 * u * u))''')} AS tail FROM l)
-SELECT "column", n, w, CASE WHEN n <= 5000 THEN tail END AS p_value, CASE WHEN n <= 5000 THEN tail > 0.05 END AS is_normal FROM t"""
+SELECT "column", n, w, tail AS p_value, tail > 0.05 AS is_normal, n > 5000 AS p_is_extrapolated FROM t"""
 
 
-@query("shapiro_wilk", "column s, n i, w 8, p_value 6, is_normal b",
+@query("shapiro_wilk", "column s, n i, w 8, p_value 6, is_normal b, p_is_extrapolated b",
        f"WITH {shapiro_sql(long_sql(['p_retailprice', 'p_size'], 'part'))}")
 def shapiro_wilk(spark, sf_dir):
     return normality.shapiro_wilk(table(spark, sf_dir, "part"), ["p_retailprice", "p_size"])
 
 
-@query("shapiro_wilk_large", "column s, n i, w 8, p_value 6, is_normal b", f"WITH {shapiro_sql(long_sql(['value'], 'events'))}")
+@query("shapiro_wilk_large", "column s, n i, w 8, p_value 6, is_normal b, p_is_extrapolated b", f"WITH {shapiro_sql(long_sql(['value'], 'events'))}")
 def shapiro_wilk_large(spark, sf_dir):
     return normality.shapiro_wilk(table(spark, sf_dir, "events"), ["value"])
 
