@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.describe import literal_rows
 from plumbline.plans.order import exact_quantiles
+from plumbline.sources.tables import value as number_of
 
 
 def _stats(df: DataFrame, **measures: Column) -> dict:
@@ -25,8 +26,9 @@ def _double(value) -> Column:
 
 def zscores(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:
     """Adds ``z`` (absolute, sample sd) and ``is_outlier`` (strictly above the threshold)."""
-    s = _stats(df, mean=F.avg(column), sd=F.stddev_samp(column))
-    z = F.abs((F.col(column) - _double(s["mean"])) / F.nullif(_double(s["sd"]), F.lit(0.0)))
+    x = number_of(column)
+    s = _stats(df, mean=F.avg(x), sd=F.stddev_samp(x))
+    z = F.abs((x - _double(s["mean"])) / F.nullif(_double(s["sd"]), F.lit(0.0)))
     return df.withColumn("z", z).withColumn("is_outlier", F.coalesce(F.col("z") > threshold, F.lit(False)))
 
 
@@ -39,7 +41,7 @@ def outlier_summary(df: DataFrame, column: str, threshold: float = 3.0) -> DataF
     found = zscores(df.select(column), column, threshold)
     hit = F.col("is_outlier")
     return found.agg(
-        F.lit(float(threshold)).alias("threshold"), F.count_if(hit).alias("n_outliers"), F.count(column).alias("n_rows"),
+        F.lit(float(threshold)).alias("threshold"), F.count_if(hit).alias("n_outliers"), F.count(number_of(column)).alias("n_rows"),
         F.min(F.when(hit, F.col(column))).alias("min_outlier"), F.max(F.when(hit, F.col(column))).alias("max_outlier"),
         F.max(F.when(hit, F.col("z"))).alias("max_z"))
 
@@ -47,9 +49,11 @@ def outlier_summary(df: DataFrame, column: str, threshold: float = 3.0) -> DataF
 def zscore_clean(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:
     """Rows with |z| strictly below the threshold, z by the population sd.
 
-    A constant column has no z, so every row goes; an empty table is an error.
+    A constant column has no z, so every row goes; a row whose value is missing or NaN goes too;
+    an empty table is an error.
     """
-    s = _stats(df, n=F.count(column), mean=F.avg(column), sd=F.stddev_pop(column))
+    x = number_of(column)
+    s = _stats(df, n=F.count(x), mean=F.avg(x), sd=F.stddev_pop(x))
     if s["n"] == 0:
         raise ValueError("empty dataset")
     if s["sd"] == 0:
@@ -59,7 +63,7 @@ def zscore_clean(df: DataFrame, column: str, threshold: float = 3.0) -> DataFram
 
 def normalize(df: DataFrame, column: str, method: str = "l2", name: str = "normalized") -> DataFrame:
     """Divide by the column's l2, l1 or max norm; any other method scales to [0, 1]."""
-    x = F.col(column).cast("double")
+    x = number_of(column)
     s = _stats(df, n=F.count(x), l2=F.sqrt(F.sum(x * x)), l1=F.sum(F.abs(x)), max=F.max(F.abs(x)),
                low=F.min(x), high=F.max(x))
     if s["n"] == 0:
@@ -78,13 +82,13 @@ def clean_and_normalize(df: DataFrame, column: str, threshold: float = 3.0, meth
 
 def clean_counts(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:
     """Rows before, after and removed, from one pass after the column statistics."""
-    s = _stats(df, n=F.count(column), mean=F.avg(column), sd=F.stddev_pop(column))
+    x = number_of(column)
+    s = _stats(df, n=F.count(x), mean=F.avg(x), sd=F.stddev_pop(x))
     if s["n"] == 0:
         raise ValueError("empty dataset")
-    z = F.abs((F.col(column) - F.lit(s["mean"])) / F.nullif(F.lit(s["sd"]), F.lit(0.0)))
+    z = F.abs((x - F.lit(s["mean"])) / F.nullif(F.lit(s["sd"]), F.lit(0.0)))
     kept = F.count_if(z < threshold)
-    return df.agg(F.count(column).alias("n_before"), kept.alias("n_after"),
-                  (F.count(column) - kept).alias("n_removed"))
+    return df.agg(F.count(x).alias("n_before"), kept.alias("n_after"), (F.count(x) - kept).alias("n_removed"))
 
 
 def iqr_fences(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> dict[str, tuple[float, ...]]:
@@ -95,9 +99,9 @@ def iqr_fences(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> dic
 
 
 def outside(fences: Mapping[str, tuple[float, ...]], column: str) -> Column:
-    """Outlier predicate; a null is never an outlier."""
+    """Outlier predicate; a missing value is never an outlier."""
     _, _, low, high = fences[column]
-    return F.coalesce((F.col(column) < F.lit(low)) | (F.col(column) > F.lit(high)), F.lit(False))
+    return F.coalesce((number_of(column) < F.lit(low)) | (number_of(column) > F.lit(high)), F.lit(False))
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
@@ -129,7 +133,7 @@ def iqr_removal_counts(df: DataFrame, columns: Sequence[str], reach: float = 1.5
 
 def scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """column -> (mean, population sd), the sd of a constant column being 1."""
-    row = df.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c) for c in columns]).first()
+    row = df.agg(*[F.struct(F.avg(number_of(c)).alias("mean"), F.stddev_pop(number_of(c)).alias("sd")).alias(c) for c in columns]).first()
     return {c: (row[c]["mean"], row[c]["sd"] or 1.0) for c in columns}
 
 
