@@ -109,6 +109,19 @@ class LabelModel:
 
 def shape(word: str) -> str:
     """Classes of characters, runs shortened: Xx. for a capitalised word with a full stop."""
+    body, end = (word, "") if word.isalpha() else (word[:-1], word[-1])
+    # plain words, with a mark behind them or not, need no search
+    if body.isalpha() and not end.isalnum():
+        if body.islower():
+            return "x" + end
+        if body[0].isupper() and body[1:].islower():
+            return "Xx" + end
+        if body.isascii() and body.isupper():
+            return "X" + end
+    return long_shape(word)
+
+
+def long_shape(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", re.sub(r"\d", "0", word)))
 
 
