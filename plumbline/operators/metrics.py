@@ -23,7 +23,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequen
     return grid.join(cells, ["actual", "predicted"], "left").select("actual", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def _per_class(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def per_class(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(class, support, predicted, hits, precision, recall, f1); 0 where a ratio has no denominator."""
     nothing = F.lit(0).cast("bigint")
     sides = F.array(
@@ -46,7 +46,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, by: Seque
     """Accuracy; macro and micro precision, recall and F1, per value of ``by``."""
     cells = df.groupBy(*by, F.col(label).alias("actual"), F.col(prediction).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
-    classes = _per_class(cells, by)
+    classes = per_class(cells, by)
     accuracy = F.sum("hits") / F.sum("support")
     # every row has one label and one prediction, so the micro averages all equal the accuracy
     return classes.groupBy(*by).agg(
@@ -58,7 +58,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, by: Seque
 def classification_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """(name, precision, recall, f1, support): one row per class, accuracy, macro and weighted averages."""
     cells = df.groupBy(F.col(label).alias("actual"), F.col(prediction).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
-    classes = _per_class(cells)
+    classes = per_class(cells)
     weight = F.sum("support")
     accuracy = F.sum("hits") / weight
     summary = classes.agg(F.array(

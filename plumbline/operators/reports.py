@@ -75,20 +75,40 @@ def _split_for(df: DataFrame, features: Sequence[str], target: str, keys: Sequen
 
 
 def logistic_models(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str],
-                    test_size: float = 0.2) -> DataFrame:
-    """(model, measure, value) of a logistic regression on standardized features."""
+                    test_size: float = 0.2, components: int | float | None = None) -> DataFrame:
+    """(model, measure, value) of a logistic regression on standardized features: accuracies, the test rows' report
+    per class and their confusion cells.  With ``components`` (a number, or the share of variance to keep) the
+    features are principal components of the training rows, and their ratios and loadings are given too.
+    """
     rows = split.label_encode(_split_for(df, features, target, keys, test_size), target, "label")
     train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
-    fitted = clean.scaler(train, features)
+    fitted, extra, used = clean.scaler(train, features), [], list(features)
     train, test = clean.apply_scaler(train, fitted), clean.apply_scaler(test, fitted)
-    model = classify.train_logistic(train, features)
-    cv = classify.cv_accuracy(train, features, keys)
+    if components is not None:
+        given = {"min_variance": components} if isinstance(components, float) else {"count": components}
+        found, _ = linear.fit_components(train, features, **given)
+        used = [f"PC{j + 1}" for j in range(found.count)]
+        scores = {c: linear.dot([F.col(f) for f in features], found.loadings[:, j]) for j, c in enumerate(used)}
+        train, test = train.withColumns(scores), test.withColumns(scores)
+        extra = _component_rows(found, features)
+    model = classify.train_logistic(train, used)
+    cv = classify.cv_accuracy(train, used, keys)
     mean = sum(cv) / len(cv)
     sd = (sum((c - mean) ** 2 for c in cv) / len(cv)) ** 0.5
-    rows = [("logistic", "train accuracy", classify.accuracy_of(model, train)),
-            ("logistic", "test accuracy", classify.accuracy_of(model, test)),
-            ("logistic", "cv mean", mean), ("logistic", "cv sd", sd)]
-    return describe.literal_rows(df.sparkSession, rows, "model string, measure string, value double")
+    scored = model.predict(test)
+    cells = describe.settle(metrics.confusion_matrix(scored.withColumn("guess", F.col("prediction")), "label", "guess"))
+    hits = cells.agg(F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n"))) / F.sum("n")).first()[0]
+    rows = [("train accuracy", classify.accuracy_of(model, train)), ("test accuracy", hits), ("cv mean", mean), ("cv sd", sd)]
+    rows += [(f"confusion {r.actual} {r.predicted}", float(r.n)) for r in cells.collect()]
+    rows += [(f"class {r['class']} {m}", float(r[m])) for r in metrics.per_class(cells).collect()
+             for m in ("precision", "recall", "f1", "support")]
+    return describe.literal_rows(df.sparkSession, [("logistic", m, v) for m, v in [*rows, *extra]],
+                                 "model string, measure string, value double")
+
+
+def _component_rows(found, features: Sequence[str]) -> list[tuple[str, float]]:
+    ratios = [(f"ratio PC{i + 1}", float(r)) for i, r in enumerate(found.ratios)]
+    return ratios + [(f"loading PC{j + 1} {c}", float(found.loadings[i, j])) for j in range(found.count) for i, c in enumerate(features)]
 
 
 def regression_report(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str],
@@ -102,7 +122,17 @@ def regression_report(df: DataFrame, features: Sequence[str], target: str, keys:
 
 def regression_pca_report(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str],
                           test_size: float = 0.2, alpha: float = 1.0, count: int | None = None) -> DataFrame:
-    """(features, model, measure, value): models on features, on components, scree and loadings."""
+    """(features, model, measure, value): models on features, on components, what the components change, scree and
+    loadings; logistic models for a categorical target, else least squares and ridge."""
+    if split.target_kind(df, target).first()["kind"] == "categorical":
+        both = [logistic_models(df, features, target, keys, test_size),
+                logistic_models(df, features, target, keys, test_size, count or 0.95)]
+        shown = ("test accuracy", "cv mean")
+        got = [{r.measure: r.value for r in t.filter(F.col("measure").isin(*shown)).collect()} for t in both]
+        change = describe.literal_rows(df.sparkSession, [("change", "logistic", m, got[1][m] - got[0][m]) for m in shown],
+                                       "features string, model string, measure string, value double")
+        named = [t.select(F.lit(n).alias("features"), "model", "measure", "value") for n, t in zip(("original", "components"), both)]
+        return stack([*named, change])
     rows = _split_for(df, features, target, keys, test_size)
     alphas = {"linear": 0.0, "ridge": alpha}
     p = linear.prepare(rows, features, target, keys)
@@ -111,16 +141,19 @@ def regression_pca_report(df: DataFrame, features: Sequence[str], target: str, k
     named = {**{("original", n): f for n, f in plain.items()}, **{("components", n): f for n, f in reduced.items()}}
     measured = linear.model_rows(p, {f"{kind} {n}": f for (kind, n), f in named.items()})
     out = [(name.split(" ")[0], name.split(" ")[1], m, v) for name, m, v in measured]
-    out += [("components", "pca", f"ratio PC{i + 1}", float(r)) for i, r in enumerate(found.ratios)]
-    out += [("components", "pca", f"loading PC{j + 1} {c}", float(found.loadings[i, j]))
-            for j in range(found.count) for i, c in enumerate(p.features)]
+    out += [("components", "pca", m, v) for m, v in _component_rows(found, p.features)]
+    values = {row[:3]: row[3] for row in out}
+    out += [("change", n, m, values["components", n, m] - values["original", n, m]) for n in alphas
+            for m in ("test r2", "test rmse", "cv mean") if ("original", n, m) in values]
     return describe.literal_rows(df.sparkSession, out, "features string, model string, measure string, value double")
 
 
 def classification_report_full(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
                                perceptron: classify.PerceptronOptions = classify.PerceptronOptions(),
                                kernel: classify.KernelOptions = classify.KernelOptions(), repeats: int = 10) -> DataFrame:
-    """The classification study: description, feature scores, two models, their metrics and importances."""
+    """The classification study: description, normality, feature scores, two models with their metrics, areas, ROC points
+    and confusion cells on train and test rows, importances, the sweep of settings, and the retraining without the weakest
+    feature."""
     features = list(features)
     task = classify.classification_task(df, features, label, keys)
     train = task.train.persist(StorageLevel.MEMORY_AND_DISK)
@@ -128,21 +161,34 @@ def classification_report_full(df: DataFrame, features: Sequence[str], label: st
               "support vector": classify.train_svm(train, features, len(task.classes), kernel)}
     parts = [melt(describe.class_distribution(df, label), [label], "classes"),
              melt(describe.describe_quartiles(df, features), ["column"], "description"),
+             melt(normality.shapiro_wilk(df, features), ["column"], "normality", ["w", "p_value"]),
              melt(anova_f_scores(df, features, label), ["column"], "feature score"),
-             melt(association.corr_matrix(df, features), ["row", "col"], "correlation", ["r"])]
+             melt(association.corr_matrix(df, features), ["row", "col"], "correlation", ["r"]),
+             melt(df.sparkSession.createDataFrame(models["perceptron"].input_importance(), "feature string, importance double"),
+                  ["feature"], "weight importance")]
+    scores = {i: f"p{i}" for i in range(len(task.classes))}
     for name, model in models.items():
-        scored = model.predict(task.rows)
+        scored = model.predict(task.rows).select(
+            "split", "label", "prediction", *[F.col("probability")[i].alias(c) for i, c in scores.items()]).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        named = F.lit(name).alias("model")
         by_split = metrics.classification_metrics(scored, "label", "prediction", ["split"])
-        parts.append(melt(by_split.withColumn("model", F.lit(name)), ["model", "split"], "metrics"))
+        small = [melt(by_split.select(named, "*"), ["model", "split"], "metrics")]
+        for part in ("train", "test"):
+            rows = scored.filter(F.col("split") == part)
+            for area in (metrics.auc_macro, metrics.auc_micro):
+                small.append(melt(area(rows, "label", scores).select(named, F.lit(part).alias("split"), "*"), ["model", "split"], "auc"))
         test = scored.filter(F.col("split") == "test")
-        scores = {i: f"p{i}" for i in range(len(task.classes))}
-        areas = test.select("label", *[F.col("probability")[i].alias(c) for i, c in scores.items()])
-        parts.append(melt(metrics.auc_macro(areas, "label", scores).withColumn("model", F.lit(name)), ["model"], "auc"))
-        parts.append(melt(metrics.auc_micro(areas, "label", scores).withColumn("model", F.lit(name)), ["model"], "auc"))
-        parts.append(melt(metrics.confusion_matrix(test, "label", "prediction", range(len(task.classes))).withColumn(
-            "model", F.lit(name)), ["model", "actual", "predicted"], "confusion", ["n"]))
-    ranked = classify.permutation_importance(models, task.test, features, keys, repeats)
-    parts.append(melt(ranked, ["model", "feature"], "importance"))
+        small.append(melt(metrics.confusion_matrix(test, "label", "prediction", range(len(task.classes))).select(named, "*"),
+                          ["model", "actual", "predicted"], "confusion", ["n"]))
+        small.append(melt(metrics.roc_curve(test, "label", scores).select(named, "*"), ["model", "class", "threshold"], "roc",
+                          ["fpr", "tpr"]))
+        # few rows become literal, so nothing scores again after this; a long curve stays as it is
+        parts += [describe.settle(s) for s in small]
+        scored.unpersist()
+    parts.append(melt(classify.permutation_importance(models, task.test, features, keys, repeats), ["model", "feature"], "importance"))
+    parts.append(melt(classify.parameter_sweep(task, perceptron, kernel), ["family", "configuration"], "sweep"))
+    parts.append(melt(classify.drop_weakest_retrain(df, features, label, keys, perceptron, repeats), ["features", "dropped"], "retrained"))
     result = stack(parts)
     train.unpersist()
     return result

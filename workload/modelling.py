@@ -186,10 +186,12 @@ def regression_metrics(spark, sf_dir):
     return linear.regression_metrics(rows, "charge", "guess", ["flag"])
 
 
-@query("pred_vs_actual", "l_orderkey i, cents i, charge 8, guess 8",
-       f"WITH {LINES} SELECT l_orderkey, cents, charge, price * 0.95 AS guess FROM li")
+@query("pred_vs_actual", "l_orderkey i, cents i, actual 4, predicted 4",
+       f"WITH {SIMPLE} SELECT l_orderkey, cents, price AS actual, b0 + b1 * disc_price AS predicted FROM li, e")
 def pred_vs_actual(spark, sf_dir):
-    return lines(spark, sf_dir).withColumn("guess", F.col("price") * 0.95)
+    rows = lines(spark, sf_dir)
+    fitted = linear.with_residuals(rows, linear.ordinary_fit(rows, ["disc_price"], "price"))
+    return fitted.select("l_orderkey", "cents", F.col("price").alias("actual"), F.col("fitted").alias("predicted"))
 
 
 @query("pca_analysis", "component i, ratio 8, cumulative 8, kept b", f"""WITH {LINES},

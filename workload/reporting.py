@@ -64,6 +64,16 @@ def regression_pca_report(spark, sf_dir):
     return reports.regression_pca_report(lines(spark, sf_dir), [*PREDICTORS, "discount"], TARGET, LINE_KEYS)
 
 
+@query("regression_report_categorical", "model s, measure s, value 6")
+def regression_report_categorical(spark, sf_dir):
+    return reports.regression_report(lines(spark, sf_dir), PREDICTORS, "grade", LINE_KEYS)
+
+
+@query("regression_pca_report_categorical", "features s, model s, measure s, value 6")
+def regression_pca_report_categorical(spark, sf_dir):
+    return reports.regression_pca_report(lines(spark, sf_dir), [*PREDICTORS, "discount"], "grade", LINE_KEYS)
+
+
 @query("classification_report_full", ROW)
 def classification_report_full(spark, sf_dir):
     return reports.classification_report_full(lines(spark, sf_dir), FEATURES, "grade", LINE_KEYS, PERCEPTRON, KERNEL)
