@@ -1,10 +1,12 @@
 """Exact order statistics and quantiles without shuffling or sorting the table.
 
 A sketch brackets each wanted rank, one aggregate counts what lies below the
-bracket, and the bracket shrinks until its distinct values fit a small buffer.
-Every step is a map-side aggregate of bounded size, so the cost is two or
-three column scans whatever the number of rows, and a value holding a third
-of all rows is settled by its count instead of being moved.
+bracket, and the bracket shrinks until few distinct values are left, which are
+counted by a group-by and searched.  Sketches are merged in two levels, lanes
+first, and counts are spread over reducers, so no task receives a buffer from
+every other one.  The cost is two or three column scans whatever the number of
+rows, and a value holding a third of all rows is settled by its count instead
+of being moved.
 """
 
 from __future__ import annotations
@@ -13,13 +15,15 @@ import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from plumbline.sources.tables import value as number_of
 
 BUFFER_VALUES = 100_000
 SKETCH_ACCURACY = 10_000
+# size of a sketch, the rank error it may have, and the lanes of the first merge
+SKETCH_SIZE, SKETCH_ERROR, LANES = 4_096, 0.002, 512
 
 
 def number(value: float) -> str:
@@ -27,6 +31,21 @@ def number(value: float) -> str:
     return f"CAST('{value!r}' AS DOUBLE)"
 
 
+def sketched(df: DataFrame, shares: Mapping[str, tuple[Column, Sequence[float]]], size: int = SKETCH_SIZE) -> dict[str, list[float] | None]:
+    """Approximate quantiles of several columns: one sketch per lane of tasks, then one of the lanes."""
+    if not shares:
+        return {}
+    names = {f"s{i}": name for i, name in enumerate(shares)}
+    values = df.select(*[shares[name][0].alias(k) for k, name in names.items()], (F.spark_partition_id() % LANES).alias("lane"))
+    lanes = values.groupBy("lane").agg(*[F.kll_sketch_agg_double(k, size).alias(k) for k in names],
+                                       *[F.count(k).alias(f"n{k}") for k in names])
+    merged = lanes.agg(*[F.kll_merge_agg_double(k, size).alias(k) for k in names], *[F.sum(f"n{k}").alias(f"n{k}") for k in names])
+    # an empty sketch has no quantiles to ask for
+    row = merged.select(*[F.when(F.col(f"n{k}") > 0, F.kll_sketch_get_quantile_double(
+        k, F.array(*[F.lit(float(p)) for p in shares[name][1]]))).alias(k) for k, name in names.items()]).first()
+    return {name: row[k] for k, name in names.items()}
+
+
 @dataclass
 class Search:
     """Ranks still open in a column, all between two exclusive bounds."""
@@ -92,15 +111,17 @@ def _select(df: DataFrame, searches: list[Search], answers) -> None:
     """Ranks inside bounds whose distinct values fit one aggregation buffer."""
     if not searches:
         return
-    measures = []
-    for i, s in enumerate(searches):
-        # the middle of a rank's own share makes percentile_disc land on exactly that rank
-        shares = ", ".join(number((rank - s.below + 0.5) / s.rows) for rank in s.ranks)
-        measures.append(F.expr(f"percentile_disc(array({shares})) WITHIN GROUP (ORDER BY v{i})").alias(f"q{i}"))
-    values = df.select(*[_inside(s.column, s.low, s.high).alias(f"v{i}") for i, s in enumerate(searches)])
-    row = values.agg(*measures).first()
-    for i, s in enumerate(searches):
-        answers[s.column].update(zip(s.ranks, row[f"q{i}"]))
+    inside = F.array(*[F.struct(F.lit(i).alias("i"), _inside(s.column, s.low, s.high).alias("v")) for i, s in enumerate(searches)])
+    counted = df.select(F.explode(inside).alias("s")).select("s.*").filter(F.col("v").isNotNull()).groupBy("i", "v").agg(
+        F.count(F.lit(1)).alias("n"))
+    # no search has more distinct values than the buffer, so each window stays small
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+    ranks = F.element_at(F.array(*[F.array(*[F.lit(rank - s.below).cast("bigint") for rank in s.ranks]) for s in searches]), F.col("i") + 1)
+    hit = counted.withColumn("upto", upto).withColumn("hit", F.filter(
+        ranks, lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))).filter(F.size("hit") > 0)
+    for row in hit.select("i", "v", "hit").collect():
+        s = searches[row["i"]]
+        answers[s.column].update({rank + s.below: row["v"] for rank in row["hit"]})
 
 
 def _narrow(df: DataFrame, searches: list[Search], answers, accuracy: int, guess) -> list[Search]:
@@ -111,13 +132,12 @@ def _narrow(df: DataFrame, searches: list[Search], answers, accuracy: int, guess
     if guess:
         around = [guess(s.column, rank, s.rows) for s, rank in probes]
     else:
-        slack, sketches = 2.0 / accuracy, []
+        slack, wanted = max(2.0 / accuracy, SKETCH_ERROR), {}
         for i, s in enumerate(searches):
             shares = [(rank - s.below + 0.5) / s.rows for rank in s.ranks]
-            edges = [e for p in shares for e in (max(0.0, p - slack), min(1.0, p + slack))]
-            sketches.append(F.percentile_approx(_inside(s.column, s.low, s.high), edges, accuracy).alias(f"e{i}"))
-        row = df.agg(*sketches).first()
-        around = [tuple(row[f"e{i}"][2 * j:2 * j + 2]) for i, s in enumerate(searches) for j in range(len(s.ranks))]
+            wanted[i] = _inside(s.column, s.low, s.high), [e for p in shares for e in (max(0.0, p - slack), min(1.0, p + slack))]
+        edges = sketched(df, wanted, min(SKETCH_SIZE, max(8, accuracy)))
+        around = [tuple(edges[i][2 * j:2 * j + 2]) for i, s in enumerate(searches) for j in range(len(s.ranks))]
     counts = []
     for i, ((s, _), (left, right)) in enumerate(zip(probes, around)):
         value = number_of(s.column)
@@ -159,15 +179,11 @@ def quantiles_and(df: DataFrame, columns: Iterable[str], probs: Iterable[float],
     sizes = df.agg(*[F.count(value[c]).alias(f"rows of {c}") for c in columns],
                    *[F.approx_count_distinct(value[c]).alias(f"distinct of {c}") for c in columns], *extra).first()
     rows = {c: sizes[f"rows of {c}"] for c in columns}
-    narrow = [c for c in columns if rows[c] and sizes[f"distinct of {c}"] <= buffer_values]
-    wide = [c for c in columns if rows[c] and c not in narrow]
+    filled = [c for c in columns if rows[c]]
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    if narrow:
-        row = df.agg(*[F.percentile(value[c], probs).alias(c) for c in narrow]).first()
-        out.update({c: list(row[c]) for c in narrow})
-    found = order_statistics(df, {c: {r for p in probs for r in _neighbours(rows[c], p)} for c in wide}, buffer_values,
-                             sizes={c: (rows[c], sizes[f"distinct of {c}"]) for c in wide})
-    for c in wide:
+    found = order_statistics(df, {c: {r for p in probs for r in _neighbours(rows[c], p)} for c in filled}, buffer_values,
+                             sizes={c: (rows[c], sizes[f"distinct of {c}"]) for c in filled})
+    for c in filled:
         for i, p in enumerate(probs):
             low, high = _neighbours(rows[c], p)
             share = (rows[c] - 1) * p - low

@@ -17,11 +17,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.plans.order import sketched
 from plumbline.sources.tables import value as number_of
 
 VALUES_PER_BUCKET = 200_000
 FIRST_BUCKETS = 256
-MAX_BUCKETS = 8_192
 BROADCAST_ROWS = 500_000
 HOT_SHARES = 10_000
 
@@ -38,22 +38,21 @@ class Spread:
 
 
 def survey(df: DataFrame, value: str) -> Spread:
-    """One pass of bounded sketches.  No bucket holds more than its share of rows, hot values aside."""
+    """Two passes of bounded sketches.  No bucket holds more than its share of rows, hot values aside."""
     v = number_of(value)
 
     def shares(parts: int) -> list[float]:
         return [i / parts for i in range(1, parts)]
 
-    row = df.agg(F.count(v).alias("rows"), F.approx_count_distinct(v).alias("distinct"),
-                 F.percentile_approx(v, shares(FIRST_BUCKETS), 10_000).alias("edges")).first()
-    edges, wanted = row["edges"] or [], math.ceil(row["distinct"] / VALUES_PER_BUCKET)
+    row = df.agg(F.count(v).alias("rows"), F.approx_count_distinct(v).alias("distinct")).first()
+    edges = sketched(df, {value: (v, shares(FIRST_BUCKETS))})[value] or []
+    wanted = math.ceil(row["distinct"] / VALUES_PER_BUCKET)
     # a value seen at k consecutive edges holds at most k + 1 shares (one more for the sketch error)
     repeats = max(Counter(edges).values(), default=0)
     largest = math.ceil(row["rows"] * (repeats + 2) / FIRST_BUCKETS)
     if wanted > FIRST_BUCKETS:
-        # only a huge column pays a second pass for finer edges
-        parts = min(MAX_BUCKETS, wanted)
-        edges = df.agg(F.percentile_approx(v, shares(parts), 8 * parts)).first()[0]
+        # only a huge column pays a second pass for finer edges; the sketch grows with their number
+        edges = sketched(df, {value: (v, shares(wanted))}, min(65_535, 8 * wanted))[value]
     else:
         spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         step = FIRST_BUCKETS // max(2, wanted, min(spread, FIRST_BUCKETS, math.ceil(row["distinct"] / 1000)))
@@ -90,7 +89,7 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (),
     offsets = totals.select(*by, "bucket", *[F.coalesce(F.sum(f"{n}_total").over(earlier), F.lit(0)).alias(f"{n}_offset")
                                              for n in names])
     if not by:
-        # never more than MAX_BUCKETS rows
+        # a row for every bucket
         offsets = F.broadcast(offsets)
     inner = Window.partitionBy(*by, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.select("*", *[F.coalesce(F.sum(n).over(inner), F.lit(0)).alias(f"{n}_inner") for n in names])
