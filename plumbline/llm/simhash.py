@@ -8,8 +8,8 @@ fingerprints differ in at most ``MAX_BITS`` bits, and groups are the connected c
    independent of each other as they can be.
 3. If thresholds t of the partitions add up so that the sum of (t + 1) is MAX_BITS + 1, a linked pair differs in at most t
    bits of at least one partition. Dynamic programming gives each partition its threshold (-1: not probed) for the least
-   sum of estimated candidate pairs and probe rows: collisions are counted over all fingerprints, what further bits add is
-   estimated from the share of ones in each bit. Two to four partitions are compared.
+   sum of estimated candidate pairs (or points, see 5) and probe rows: collisions are counted over all fingerprints, what
+   further bits add is estimated from the share of ones in each bit. Two to four partitions are compared.
 4. Probe: a fingerprint has one key per partition with threshold 0, one key per left-out bit with threshold 1, and so on.
    Fingerprints that share a key are candidates, and in keys of at most ``BUCKET`` members every pair is verified.
 5. Members of larger keys are linked exactly without pairs: each one goes to the 65 points at most one bit away. Two
@@ -145,7 +145,7 @@ def allocate(costs: list[list[float]], max_bits: int) -> tuple[float, list[int]]
     return best[max_bits + 1]
 
 
-def plan(prints: DataFrame, max_bits: int = MAX_BITS, parts=PARTS) -> list[int]:
+def plan(prints: DataFrame, max_bits: int = MAX_BITS, parts=PARTS, bucket: int = BUCKET) -> list[int]:
     """The masks of all keys."""
     both, n = together(prints)
     if not n:
@@ -155,7 +155,8 @@ def plan(prints: DataFrame, max_bits: int = MAX_BITS, parts=PARTS) -> list[int]:
     choices = [(m, k, part) for m in parts for k, part in enumerate(partitions(both, n, m))]
     keys = F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(mask_of(p))).alias("v"))
                      for i, (_, _, p) in enumerate(choices)])
-    pairs = F.col("c").cast("double") * (F.col("c") - 1) / 2
+    # what a key costs later: its pairs, or the points of its members where it is too large for pairs
+    pairs = F.when(F.col("c") <= bucket, F.col("c").cast("double") * (F.col("c") - 1) / 2).otherwise(F.col("c") * (BITS + 1.0))
     collisions = {r["i"]: r["pairs"] for r in prints.select(F.explode(keys).alias("k")).groupBy("k.i", "k.v")
                   .agg(F.count("*").alias("c")).groupBy("i").agg(F.sum(pairs).alias("pairs")).collect()}
     found = []
@@ -180,7 +181,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) ->
     """Verified links that connect what all links connect: columns ``a`` and ``b``. ``prints`` has each ``fp`` once."""
     if max_bits not in (0, 2):
         raise ValueError("the exact way for large keys needs max_bits 0 or 2")
-    masks = plan(prints, max_bits)
+    masks = plan(prints, max_bits, bucket=bucket)
     if not masks or not max_bits:
         return prints.sparkSession.createDataFrame([], "a long, b long")
     keys = F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(masks)])
