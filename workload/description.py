@@ -1,6 +1,8 @@
 """Descriptive statistics."""
 
-from plumbline.operators import describe
+from pyspark.sql import functions as F
+
+from plumbline.operators import bins, describe
 from workload.registry import LINES, MEASURES, lines, long_sql, query, table
 
 LONG = f"long AS ({long_sql(MEASURES, 'li')})"
@@ -27,6 +29,30 @@ def describe_quartiles(spark, sf_dir):
     return describe.describe_quartiles(lines(spark, sf_dir), MEASURES)
 
 
+# a column in which every third event has NaN, which counts as missing
+@query("describe_quartiles_nan", "column s, count i, mean 8, std 6, min 6, q25 6, q50 6, q75 6, max 6", """
+SELECT 'value' AS "column", count(x) AS count, avg(x) AS mean, stddev_samp(x) AS std, min(x) AS min, quantile_cont(x, 0.25) AS q25,
+  quantile_cont(x, 0.5) AS q50, quantile_cont(x, 0.75) AS q75, max(x) AS max
+FROM (SELECT CASE WHEN event_id % 3 <> 0 THEN value END AS x FROM events)""")
+def describe_quartiles_nan(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    gaps = F.when(F.col("event_id") % 3 == 0, float("nan")).otherwise(F.col("value"))
+    return describe.describe_quartiles(rows.select(gaps.alias("value")), ["value"])
+
+
+# a class whose values are all equal beside an ordinary one
+@query("histogram_by_class_flat", "column s, status s, bin i, lower 6, upper 6, n i", f"""WITH {LINES},
+v AS (SELECT status, CASE WHEN status = 'F' THEN 7.0 ELSE quantity END AS x FROM li),
+b AS (SELECT status, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo, CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v GROUP BY 1),
+g AS (SELECT *, unnest(range(15)) AS bin FROM b),
+c AS (SELECT v.status, least(CAST(floor((x - lo) / ((hi - lo) / 15)) AS INT), 14) AS bin, count(*) AS n FROM v JOIN b USING (status) GROUP BY 1, 2)
+SELECT 'x' AS "column", g.status, g.bin, lo + g.bin * (hi - lo) / 15 AS lower, lo + (g.bin + 1) * (hi - lo) / 15 AS upper, coalesce(n, 0) AS n
+FROM g LEFT JOIN c ON g.status = c.status AND g.bin = c.bin""")
+def histogram_by_class_flat(spark, sf_dir):
+    rows = lines(spark, sf_dir).select("status", F.when(F.col("status") == "F", 7.0).otherwise(F.col("quantity")).alias("x"))
+    return bins.histogram_by_class(rows, ["x"], "status", 15)
+
+
 PSYCH = ["value", "user_id"]
 
 
