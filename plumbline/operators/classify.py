@@ -128,6 +128,7 @@ class PerceptronOptions:
     validation: float = 0.1
     patience: int = 10
     tolerance: float = 1e-4
+    passes: int = 10
     seed: int = 42
 
 
@@ -197,12 +198,12 @@ def _gradient(flat, shapes, x, y, alpha) -> tuple[np.ndarray, float]:
 
 def train_perceptron(train: DataFrame, features: Sequence[str], keys: Sequence[str], classes: int,
                      options: PerceptronOptions = PerceptronOptions()) -> Perceptron:
-    """One Spark job per epoch.
+    """One Spark job per round of ``passes`` epochs.
 
-    Every partition runs Adam over its own mini-batches from the shared weights; weights
-    and moments are then averaged by rows in two distributed steps.  The same pass scores
-    the incoming weights on the held-back rows, which decides when to stop.  Batches
-    stream through the task, so memory does not grow with the partition.
+    Every lane (see spread_out: about ROWS_PER_LANE rows, which its task holds) runs Adam over
+    its own mini-batches from the shared weights; weights and moments are then averaged by rows
+    in two distributed steps.  The same job scores the incoming weights on the held-back rows,
+    which decides when to stop; patience and limit count epochs.
     """
     features = list(features)
     o = options
@@ -218,36 +219,41 @@ def train_perceptron(train: DataFrame, features: Sequence[str], keys: Sequence[s
     held = key_hash(keys, o.seed + 1) < F.lit(o.validation * 16.0 ** 13)
     rows = train.select(*features, F.col("label").cast("int").alias("label"), held.alias("held"))
     spread = spread_out(rows)[0].persist(StorageLevel.MEMORY_AND_DISK)
-    best, best_score, waited, steps, loss, epoch = weights, -1.0, 0, 0.0, math.nan, 0
-    for epoch in range(1, o.max_iter + 2):
-        row = _epoch(spread, features, state, shapes, steps, epoch, o)
+    best, best_score, waited, steps, loss, epochs = weights, -1.0, 0, 0.0, math.nan, 0
+    while True:
+        passes = min(o.passes, o.max_iter - epochs)
+        row = _epoch(spread, features, state, shapes, steps, epochs, passes, o)
         if row["held"] > 0:
             accuracy = row["hits"] / row["held"]
-            waited = 0 if accuracy > best_score + o.tolerance else waited + 1
+            waited = 0 if accuracy > best_score + o.tolerance else waited + passes
             if accuracy > best_score:
                 best, best_score = state[0].copy(), accuracy
-        if waited > o.patience or epoch > o.max_iter:
+        if waited > o.patience or passes <= 0:
             break
         state = np.array(row["state"]).reshape(3, -1)
-        steps, loss = row["steps"], row["loss"]
+        steps, loss, epochs = row["steps"], row["loss"], epochs + passes
     spread.unpersist()
-    return Perceptron(features, shapes, best if best_score >= 0 else state[0], epoch - 1, float(loss))
+    return Perceptron(features, shapes, best if best_score >= 0 else state[0], epochs, float(loss))
 
 
-def _epoch(rows: DataFrame, features, state, shapes, steps, epoch, o: PerceptronOptions):
+def _epoch(rows: DataFrame, features, state, shapes, steps, epochs, passes, o: PerceptronOptions):
     names = list(features)
 
     def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w, m, v = (part.copy() for part in state)
         done, seen, lost, held, hits = steps, 0, 0.0, 0, 0
-        rng = np.random.default_rng([o.seed, epoch])
-        for batch in batches:
-            x, y = batch[names].to_numpy(dtype=float), batch["label"].to_numpy()
-            out = batch["held"].to_numpy(dtype=bool)
-            if out.any():
-                guess = _forward(_layers(state[0], shapes), x[out])[-1].argmax(axis=1)
-                held, hits = held + int(out.sum()), hits + int((guess == y[out]).sum())
-            x, y = x[~out], y[~out]
+        rng = np.random.default_rng([o.seed, epochs])
+        frames = list(batches)
+        if not frames:
+            return
+        table = pd.concat(frames, ignore_index=True)
+        x, y = table[names].to_numpy(dtype=float), table["label"].to_numpy(dtype=int)
+        out = table["held"].to_numpy(dtype=bool)
+        if out.any():
+            guess = _forward(_layers(state[0], shapes), x[out])[-1].argmax(axis=1)
+            held, hits = int(out.sum()), int((guess == y[out]).sum())
+        x, y = x[~out], y[~out]
+        for _ in range(passes):
             order = rng.permutation(len(y))
             for at in range(0, len(y), o.batch):
                 pick = order[at:at + o.batch]
@@ -272,7 +278,7 @@ def _epoch(rows: DataFrame, features, state, shapes, steps, epoch, o: Perceptron
     # lanes first, so no single task receives the states of all partitions
     lanes = weighted.groupBy("lane").agg(mean, F.sum("seen").alias("seen"), *counts)
     return lanes.agg(mean, F.sum("seen").alias("seen"), *counts).select(
-        vector_to_array("vector").alias("state"), (F.col("lost") / F.col("seen")).alias("loss"),
+        vector_to_array("vector").alias("state"), F.try_divide("lost", "seen").alias("loss"),
         "steps", "held", "hits").first()
 
 
