@@ -3,7 +3,8 @@
 A text that zstandard shrinks far below what prose of its length allows repeats itself; one that it hardly shrinks is
 noise (encoded bytes, random characters). Both limits depend on the length, since short inputs give the compressor
 little to refer back to. The same limits are asked of every fixed chunk, so that a repetitive or random stretch inside a
-long text shows although the whole is inconspicuous.
+text shows although the whole is inconspicuous. The last chunk is judged by its own length; a rest of under
+``LEAST_BYTES`` bytes, too short to be told apart, belongs to the chunk before it.
 
 Null and empty texts have no words: all counts are 0, the ratio is null, and ``base_failed`` rejects them. Very long
 texts are compressed whole; repeated rows are judged one by one; an empty table gives an empty table; other columns of
@@ -24,8 +25,10 @@ from plumbline.llm.common import fresh
 
 #: From so many bytes on, the lowest and highest allowed ratio of compressed to plain size.
 BANDS = ((0, 0.0, 9.9), (256, 0.20, 0.95), (1024, 0.20, 0.85), (4096, 0.18, 0.75), (16384, 0.15, 0.70))
-CHUNK_BYTES = 4096
-#: A text goes if more than this share of its whole chunks lies outside the band.
+CHUNK_BYTES = 1024
+#: A shorter rest makes no chunk of its own.
+LEAST_BYTES = 128
+#: A text goes if more than this share of its bytes lies in chunks below the band, or in chunks above it.
 CHUNK_SHARE = 0.3
 LEVEL = 3
 SYMBOLS = tuple(bytes([c]) for c in b"#*$%&|<>")
@@ -64,16 +67,18 @@ def compression(data: bytes, press, bands, chunk_bytes: int, chunk_share: float)
     ratio = len(press(data)) / len(data)
     low, high = band(len(data), bands)
     verdict = "repetitive" if ratio < low else "incompressible" if ratio > high else None
-    starts = range(0, len(data) - chunk_bytes + 1, chunk_bytes) if len(data) >= 2 * chunk_bytes else ()
-    low, high = band(chunk_bytes, bands)
-    ratios = [len(press(data[s:s + chunk_bytes])) / chunk_bytes for s in starts]
-    n_low, n_high = sum(r < low for r in ratios), sum(r > high for r in ratios)
-    if verdict is None and ratios:
-        if n_low > chunk_share * len(ratios):
+    starts = range(0, max(1, len(data) - LEAST_BYTES + 1), chunk_bytes)
+    chunks = [data[s:e] for s, e in zip(starts, [*starts[1:], len(data)])]
+    ratios = [len(press(c)) / len(c) for c in chunks] if len(chunks) > 1 else [ratio]
+    limits = [band(len(c), bands) for c in chunks]
+    under = [len(c) for c, r, (low, _) in zip(chunks, ratios, limits) if r < low]
+    over = [len(c) for c, r, (_, high) in zip(chunks, ratios, limits) if r > high]
+    if verdict is None:
+        if sum(under) > chunk_share * len(data):
             verdict = "repetitive chunks"
-        elif n_high > chunk_share * len(ratios):
+        elif sum(over) > chunk_share * len(data):
             verdict = "incompressible chunks"
-    return ratio, len(ratios), n_low, n_high, verdict
+    return ratio, len(ratios), len(under), len(over), verdict
 
 
 def measured(text: Column, bands=BANDS, chunk_bytes: int = CHUNK_BYTES, chunk_share: float = CHUNK_SHARE) -> Column:

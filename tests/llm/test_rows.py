@@ -122,6 +122,26 @@ def test_compression_bands_by_length_and_chunk():
     assert verdict(clean[:12288] + os.urandom(8192)) in ("incompressible", "incompressible chunks")
 
 
+def test_chunks_of_ordinary_texts_and_last_chunk():
+    import base64
+    import random
+    press = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    prose = " ".join(rng.choice(words) for _ in range(4000)).encode()
+    noise = base64.b64encode(rng.randbytes(6000))
+
+    def judged(data):
+        return quality.compression(data, press, quality.BANDS, quality.CHUNK_BYTES, quality.CHUNK_SHARE)
+
+    for head, tail in ((3800, 4038), (1024, 1000), (3072, 2000)):
+        assert judged(prose[:head])[-1] is None
+        assert judged(prose[:head] + b"again and again " * (tail // 16))[-1] == "repetitive chunks"
+    # chunks of random bytes; the last one is partial
+    assert judged(prose[:2048] + rng.randbytes(1000))[1:] == (3, 0, 1, "incompressible chunks")
+    assert judged(prose[:3800] + noise[:4038])[1] == 8 and judged(prose[:1100])[1] == 1
+
+
 def base_secrets(text):
     found = [("assign", *m.span()) for m in re.finditer(
         r"((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))"
