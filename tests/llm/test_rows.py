@@ -138,10 +138,29 @@ def test_chunks_of_ordinary_texts_and_last_chunk():
         assert judged(prose[:head])[-1] is None
         assert judged(prose[:head] + b"again and again " * (tail // 16))[-1] == "repetitive chunks"
     # chunks of random bytes; the last one is partial
-    assert judged(prose[:2048] + rng.randbytes(1000))[1:] == (3, 0, 1, "incompressible chunks")
+    assert judged(prose[:2048] + rng.randbytes(1000))[1:4] == (3, 0, 1)
     assert judged(prose[:3800] + noise[:4038])[1] == 8 and judged(prose[:1100])[1] == 1
 
 
+def test_base64_is_caught_at_the_length_of_every_band():
+    import base64
+    import random
+    press = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(4)
+
+    def verdict(data):
+        return quality.compression(data, press, quality.BANDS, quality.CHUNK_BYTES, quality.CHUNK_SHARE)[-1]
+
+    starts = [start for start, _, high in quality.BANDS if high < 1]
+    for size in {*starts, *(s - 1 for s in starts[1:]), 500, 2000, 40000}:
+        for _ in range(20):
+            assert verdict(base64.b64encode(rng.randbytes(size))[:size]) == "incompressible", size
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    prose = " ".join(rng.choice(words) for _ in range(4000)).encode()
+    assert all(verdict(prose[:size]) is None for size in (*starts, 500, 2000))
+    assert verdict(prose[:3800] + base64.b64encode(rng.randbytes(3100))[:4038]) == "incompressible chunks"
+
+
 def base_secrets(text):
     found = [("assign", *m.span()) for m in re.finditer(
         r"((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))"
