@@ -199,6 +199,24 @@ def test_network_finds_new_secrets_and_leaves_names(spark):
     assert [s["kind"] for s in got[0]["spans"]] == ["model"] and not got[1]["spans"]
 
 
+def test_long_secrets_are_scored_over_their_whole_length(spark):
+    import random
+    rng = random.Random(6)
+    drawn = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(900))
+    path = "docs/manual-pages/network-setup/guide-lines/common-parts/"
+    texts = [(0, f"auth {drawn} x"), (1, f"the {path}{drawn[:48]} now"), (2, f"the {path}more-words/of-names/2-parts now"),
+             (3, f"auth {drawn[:30]}token=abcdefabcdefabcdef/{drawn[30:90]} x")]
+    got = by_id(secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string"), findings(spark)))
+    model = {k: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "model"] for k, r in got.items()}
+    assert model[0] == [(5, 905)] and model[1] == [(4, 4 + len(path) + 48)] and not model[2]
+    # overlaps a basic finding without lying inside it
+    assert [s["kind"] for s in got[3]["spans"]] == ["model", "assign", "hex"]
+    long = "".join(map(chr, range(200)))
+    read = [w[1] for w in secrets.windows(long, 4, 180)]
+    assert set("".join(read)) == set(long[4:180]) and read[0] == long[4:52] and read[1][:24] == read[0][24:] and read[-1] == long[132:180]
+    assert [w[1] for w in secrets.windows(long, 4, 30)] == [long[4:30]]
+
+
 def test_network_gradient_and_recall(spark):
     import numpy as np
     data = findings(spark, 60).toPandas()
