@@ -199,13 +199,18 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) ->
     return pairs.unionByName(balls).distinct()
 
 
+def components_of(rows: DataFrame, first: Column, max_bits: int) -> DataFrame:
+    """Each ``fp`` with its number of rows ``n``, their ``first`` and its ``component``, stored."""
+    distinct = stored(rows.groupBy("fp").agg(F.count("*").alias("n"), first.alias("first")), "distinct")
+    nodes = components(links(distinct, max_bits)).select(F.col("node").alias("fp"), "component")
+    return stored(distinct.join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "placed")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: the id, ``fingerprint`` (long) and ``component_id``, the smallest id of its group."""
     rows = stored(docs.select(F.col(f"`{id_col}`").alias("id"), fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp")), "prints")
-    distinct = stored(rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("first")), "distinct")
-    nodes = components(links(distinct, max_bits)).select(F.col("node").alias("fp"), "component")
-    placed = stored(distinct.join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "placed")
+    placed = components_of(rows, F.min("id"), max_bits)
     firsts = placed.groupBy("component").agg(F.min("first").alias("component_id"))
     groups = stored(placed.join(firsts, "component").select("fp", "n", "component_id"), "groups")
     many = groups.agg(F.sum("n")).first()[0] or 0
@@ -221,11 +226,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                          max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents whose id is the smallest of their group, with all columns; of rows with equal ids one stays.
-
-    A null id is never the smallest of a group unless all ids in it are null; such rows go.
-    """
-    name = fresh("component_id", docs)
-    first = near_duplicates(docs, id_col, text_col, shingle, max_bits).where(F.col(id_col) == F.col("component_id"))
-    first = first.select(F.col("component_id").alias(name)).distinct()
-    return docs.join(first, F.col(f"`{id_col}`") == F.col(name), "left_semi").dropDuplicates([id_col])
+    """One document of each group, with all columns: the one with the smallest id, a null id only where the group has no
+    other; among equal ids the text with the smallest hash stays, and of rows with equal ids and texts any one."""
+    name = fresh("row_key", docs)
+    ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    # 64 bits of the id and the text name a row; rows of equal texts are always in the same group
+    key = F.xxhash64(ident.isNull(), ident, text)
+    rows = stored(docs.select(ident.alias("id"), key.alias("key"), fingerprint(text, shingle).alias("fp")), "prints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+    kept = components_of(rows, first, max_bits).groupBy("component").agg(F.min("first").alias("first"))
+    kept = stored(kept.select(F.col("first.key").alias(name)), "survivors")
+    return docs.withColumn(name, key).join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

@@ -57,6 +57,17 @@ def test_simhash_equals_brute_force(docs, corpus, none):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({corpus[k][0] for k in groups_of(prints)})
 
 
+def test_one_document_of_each_group_stays_whatever_its_id(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = (" ".join(rng.choice("abcdefgh") * rng.randint(1, 6) for _ in range(80)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (3, b), (7, c), (7, d), (7, d), (2, d), (None, e), (None, e), (9, None), (None, "")]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    assert len(set(groups_of(prints))) == 6
+    for n in (1, 5):
+        kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(n))
+        assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, [(None, a), (3, b), (7, c), (2, d), (None, e), (9, None)]))
+
+
 @pytest.mark.parametrize("bucket", [2, 48])
 def test_links_connect_all_near_fingerprints(spark, bucket):
     """Clusters around centres, dense ones with hundreds of members, with and without the way for large keys."""
