@@ -72,6 +72,21 @@ def test_pii_checksums_and_context():
     assert [s[0] for s in pii.spans_of(near)] == ["ssn"] and not pii.spans_of(far)
 
 
+def test_iban_before_capitals_and_digits():
+    def spans(text):
+        return [text[s:e] for kind, s, e, _ in pii.spans_of(text) if kind == "iban"]
+
+    for account in ("AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00",
+                    "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "AT611904300234573201"):
+        for behind in ("", " BIC BKAUATWW", " EUR 50", " 2024", " BKAUATWW", ", then", " and more", " A1 B2"):
+            assert spans(f"Konto {account}{behind}") == [account], (account, behind)
+    assert spans("ES91 2100 0418 4502 0005 1332 AT61 1904 3002 3457 3201 EUR") == ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201"]
+    assert spans("REF AB12 CDEF 3456 AT61 1904 3002 3457 3201 EUR") == ["AT61 1904 3002 3457 3201"]
+    assert not spans("AT61 1904 3002 3457 3202 BIC BKAUATWW")
+    assert pii.masked("pay AT61 1904 3002 3457 3201 BIC X", pii.THRESHOLD) == "pay [IBAN] BIC X"
+    pii.spans_of("AB12 " * 60_000 + "AB12CDEF" * 40_000)
+
+
 def test_redaction_keeps_rows_and_columns(docs):
     out = by_id(pii.redact_pii(docs))
     assert docs.columns == pii.redact_pii(docs).columns and len(out) == docs.count()
