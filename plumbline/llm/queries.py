@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import classifier, decontaminate, licenses, mixing, pii, quality, secrets, simhash, substring, toxicity
+from plumbline.llm import (bpe, classifier, decontaminate, lexical, licenses, mixing, pii, quality, secrets, simhash, substring,
+                           toxicity, vector_codes)
 from plumbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +117,51 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_mixing"] = mixing.MIX_SQL
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector, what it loses, and a digest of the codebooks learnt from all vectors."""
+    coded, books = vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+ORACLES["op11_vector_codes"] = vector_codes.VECTOR_SQL
+
+
+#: The tokenizer file of ``op12_bpe``.
+TOKENIZER = os.environ.get("PLUMBLINE_TOKENIZER", "byte_bpe_50k.json")
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """A path as it is; a bare name stands for a file of the installed public tokenizers."""
+    if os.path.dirname(name):
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, as a digest, and a digest of the text decoded from them."""
+    path = tokenizer_path()
+
+    @F.pandas_udf("string")
+    def digest(ids: pd.Series) -> pd.Series:
+        return ids.map(lambda x: hashlib.sha256(x.astype("<u4").tobytes()).hexdigest())
+
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), path, keep_text=False)
+    return bpe.decode_ids(encoded, path).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                                                digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    found = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+ORACLES["op13_lexical"] = lexical.SEARCH_SQL
