@@ -29,8 +29,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: White space as Unicode has it; the separators U+001C to U+001F are none, unlike in some regular expressions.
 SPACE = r"\p{White_Space}"
 
-BLOCK_CHARS = 1 << 21
-MEMO_SYMBOLS = 1 << 22
+BLOCK_CHARS = 1 << 19
+MEMO_SYMBOLS = 1 << 20
 NONE = np.int64(1) << np.int64(62)
 
 
