@@ -323,6 +323,8 @@ def test_toxicity_gradient_and_padding():
     texts = [rng.integers(2, 60, n) for n in (5, 1, 0, 9)]
     net = toxicity.TextNetwork(np.ones(toxicity.BUCKETS + 2, bool))
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    for width in toxicity.WIDTHS:
+        net.p[f"b{width}"] += 0.01  # a text without words would lie on the rectifier's kink
     labels, weights = np.array([1.0, 0, 1, 0]), np.array([1.0, 2, 1, 1])
 
     def loss():
