@@ -1,27 +1,23 @@
-"""Classifiers: logistic regression and support vector machines from pyspark.ml, and a
-data-parallel multilayer perceptron with the options pyspark.ml's own lacks."""
+"""Classifiers: logistic regression (``softmax``), support vector machines (``machines``) and perceptrons (``perceptron``),
+with their comparison, importances and reports."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from itertools import combinations_with_replacement
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
 from plumbline.operators.clean import apply_scaler, scaler
 from plumbline.operators.describe import literal_rows
-from plumbline.operators.metrics import classification_metrics
+from plumbline.operators.machines import KernelOptions, SupportVector, train_machines, voted, with_probabilities
+from plumbline.operators.metrics import auc_macro, auc_micro, classification_metrics, confusion_matrix
+from plumbline.operators.perceptron import (Classifier, Perceptron, PerceptronOptions, decide, guessed, spread_out, train_perceptron,
+                                            train_perceptrons)
+from plumbline.operators.softmax import Softmax, fit_softmax, fit_without_each_fold
 from plumbline.operators.split import hash_folds, key_hash, label_counts, label_encode, stratified_split
 
 
@@ -55,338 +51,49 @@ def classification_task(df: DataFrame, features: Sequence[str], label: str, keys
     return Task(apply_scaler(rows, fitted), features, keys, list(codes))
 
 
-def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-
-
-def _decide(df: DataFrame) -> DataFrame:
-    """Adds the class of highest probability."""
-    best = F.array_position("probability", F.array_max("probability")) - 1
-    return df.withColumn("prediction", best.cast("int"))
-
-
-ROWS_PER_LANE = 100_000
-LEAST_LANES = 8
-
-
-class Classifier:
-    """``predict`` adds ``probability`` (array, one entry per class) and ``prediction`` (class index)."""
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        raise NotImplementedError
-
-
-def spread_out(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Training rows dealt over lanes by their content, and their number.
-
-    A lane for every ROWS_PER_LANE rows, LEAST_LANES at least, each in the order of the hash: what is
-    averaged over lanes follows from the rows alone, not from cores, files or the order of a shuffle.
-    """
-    n = rows.count()
-    dealt = rows.withColumn("lane", F.xxhash64(*rows.columns))
-    return dealt.repartition(max(LEAST_LANES, n // ROWS_PER_LANE), "lane").sortWithinPartitions("lane").drop("lane"), n
-
-
 @dataclass
 class Logistic(Classifier):
-    model: LogisticRegressionModel
+    model: Softmax
     features: list[str]
 
     def predict(self, df: DataFrame) -> DataFrame:
-        scored = self.model.transform(_assemble(df, self.features)).withColumn(
-            "probability", vector_to_array("probability"))
-        return _decide(scored.drop("features", "rawPrediction", "prediction"))
+        return decide(df.withColumn("probability", self.model.probability([F.col(c) for c in self.features])))
 
 
 def train_logistic(train: DataFrame, features: Sequence[str], c: float = 1.0, max_iter: int = 1000) -> Logistic:
     """Multinomial fit with an L2 penalty of strength 1 / (C n), weights on the given scale."""
     rows, n = spread_out(train.select(*features, "label"))
-    fitted = LogisticRegression(regParam=1.0 / (c * n), standardization=False, maxIter=max_iter, tol=1e-6,
-                                family="multinomial").fit(_assemble(rows, features))
-    return Logistic(fitted, list(features))
-
-
-def cv_accuracy(train: DataFrame, features: Sequence[str], keys: Sequence[str], folds: int = 5) -> list[float]:
-    """Accuracy of logistic regression on each held-out stratified fold."""
-    folded = hash_folds(train, keys, folds, label="label").persist(StorageLevel.MEMORY_AND_DISK)
-    out = []
-    for f in range(folds):
-        model = train_logistic(folded.filter(F.col("fold") != f), features)
-        hits = model.predict(folded.filter(F.col("fold") == f))
-        out.append(hits.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0])
-    folded.unpersist()
-    return out
-
-
-@dataclass(frozen=True)
-class PerceptronOptions:
-    hidden: tuple[int, ...] = (100, 50)
-    alpha: float = 0.001
-    learning_rate: float = 0.001
-    batch: int = 200
-    max_iter: int = 1000
-    validation: float = 0.1
-    patience: int = 10
-    tolerance: float = 1e-4
-    passes: int = 10
-    seed: int = 42
-
-
-@dataclass
-class Perceptron(Classifier):
-    features: list[str]
-    shapes: list[tuple[int, int]]
-    weights: np.ndarray
-    iterations: int
-    loss: float
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    model = fit_softmax(rows, features, _classes(rows), 1.0 / (c * n), max_iter=max_iter)
+    rows.unpersist()
+    return Logistic(model, list(features))
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        shapes, weights = self.shapes, self.weights
-
-        @F.pandas_udf(ArrayType(DoubleType()))
-        def probabilities(*columns: pd.Series) -> pd.Series:
-            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            return pd.Series(list(_forward(_layers(weights, shapes), x)[-1]))
-
-        scored = df.withColumn("probability", probabilities(*[F.col(c) for c in self.features]))
-        return _decide(scored)
-
-    def input_importance(self) -> list[tuple[str, float]]:
-        """Mean absolute first-layer weight of each input, largest first."""
-        first, _ = _layers(self.weights, self.shapes)[0]
-        sizes = np.abs(first).mean(axis=1)
-        return sorted(zip(self.features, map(float, sizes)), key=lambda p: -p[1])
-
-
-def _layers(flat: np.ndarray, shapes: Sequence[tuple[int, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
-    out, at = [], 0
-    for rows, cols in shapes:
-        out.append((flat[at:at + rows * cols].reshape(rows, cols), flat[at + rows * cols:at + (rows + 1) * cols]))
-        at += (rows + 1) * cols
-    return out
-
-
-def _forward(layers, x: np.ndarray) -> list[np.ndarray]:
-    """Activations of every layer: rectified hidden units, softmax output."""
-    values = [x]
-    for i, (w, b) in enumerate(layers):
-        z = values[-1] @ w + b
-        if i < len(layers) - 1:
-            values.append(np.maximum(z, 0))
-        else:
-            e = np.exp(z - z.max(axis=1, keepdims=True))
-            values.append(e / e.sum(axis=1, keepdims=True))
-    return values
-
-
-def _gradient(flat, shapes, x, y, alpha) -> tuple[np.ndarray, float]:
-    layers = _layers(flat, shapes)
-    values = _forward(layers, x)
-    n = len(y)
-    loss = -np.log(np.clip(values[-1][np.arange(n), y], 1e-12, None)).mean()
-    back = values[-1].copy()
-    back[np.arange(n), y] -= 1
-    back /= n
-    parts: list[np.ndarray] = []
-    for i in reversed(range(len(layers))):
-        w, _ = layers[i]
-        parts[:0] = [(values[i].T @ back + alpha / n * w).ravel(), back.sum(axis=0)]
-        if i:
-            back = (back @ w.T) * (values[i] > 0)
-    return np.concatenate(parts), float(loss)
-
-
-def train_perceptron(train: DataFrame, features: Sequence[str], keys: Sequence[str], classes: int,
-                     options: PerceptronOptions = PerceptronOptions()) -> Perceptron:
-    """One Spark job per round of ``passes`` epochs.
-
-    Every lane (see spread_out: about ROWS_PER_LANE rows, which its task holds) runs Adam over
-    its own mini-batches from the shared weights; weights and moments are then averaged by rows
-    in two distributed steps.  The same job scores the incoming weights on the held-back rows,
-    which decides when to stop; patience and limit count epochs.
-    """
-    features = list(features)
-    o = options
-    sizes = [len(features), *o.hidden, classes]
-    shapes = list(zip(sizes, sizes[1:]))
-    rng = np.random.default_rng(o.seed)
-    start = []
-    for i, (rows, cols) in enumerate(shapes):
-        bound = math.sqrt((6.0 if i < len(shapes) - 1 else 2.0) / (rows + cols))
-        start += [rng.uniform(-bound, bound, rows * cols), rng.uniform(-bound, bound, cols)]
-    weights = np.concatenate(start)
-    state = np.stack([weights, np.zeros_like(weights), np.zeros_like(weights)])
-    held = key_hash(keys, o.seed + 1) < F.lit(o.validation * 16.0 ** 13)
-    rows = train.select(*features, F.col("label").cast("int").alias("label"), held.alias("held"))
-    spread = spread_out(rows)[0].persist(StorageLevel.MEMORY_AND_DISK)
-    best, best_score, waited, steps, loss, epochs = weights, -1.0, 0, 0.0, math.nan, 0
-    while True:
-        passes = min(o.passes, o.max_iter - epochs)
-        row = _epoch(spread, features, state, shapes, steps, epochs, passes, o)
-        if row["held"] > 0:
-            accuracy = row["hits"] / row["held"]
-            waited = 0 if accuracy > best_score + o.tolerance else waited + passes
-            if accuracy > best_score:
-                best, best_score = state[0].copy(), accuracy
-        if waited > o.patience or passes <= 0:
-            break
-        state = np.array(row["state"]).reshape(3, -1)
-        steps, loss, epochs = row["steps"], row["loss"], epochs + passes
-    spread.unpersist()
-    return Perceptron(features, shapes, best if best_score >= 0 else state[0], epochs, float(loss))
-
-
-def _epoch(rows: DataFrame, features, state, shapes, steps, epochs, passes, o: PerceptronOptions):
-    names = list(features)
-
-    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, m, v = (part.copy() for part in state)
-        done, seen, lost, held, hits = steps, 0, 0.0, 0, 0
-        rng = np.random.default_rng([o.seed, epochs])
-        frames = list(batches)
-        if not frames:
-            return
-        table = pd.concat(frames, ignore_index=True)
-        x, y = table[names].to_numpy(dtype=float), table["label"].to_numpy(dtype=int)
-        out = table["held"].to_numpy(dtype=bool)
-        if out.any():
-            guess = _forward(_layers(state[0], shapes), x[out])[-1].argmax(axis=1)
-            held, hits = int(out.sum()), int((guess == y[out]).sum())
-        x, y = x[~out], y[~out]
-        for _ in range(passes):
-            order = rng.permutation(len(y))
-            for at in range(0, len(y), o.batch):
-                pick = order[at:at + o.batch]
-                g, loss = _gradient(w, shapes, x[pick], y[pick], o.alpha)
-                done += 1
-                m = 0.9 * m + 0.1 * g
-                v = 0.999 * v + 0.001 * g * g
-                rate = o.learning_rate * math.sqrt(1 - 0.999 ** done) / (1 - 0.9 ** done)
-                w = w - rate * m / (np.sqrt(v) + 1e-8)
-                seen, lost = seen + len(pick), lost + loss * len(pick)
-        if seen or held:
-            yield pd.DataFrame({"state": [np.concatenate([w, m, v])], "seen": [float(seen)], "lost": [lost],
-                                "steps": [float(done)], "held": [held], "hits": [hits]})
-
-    results = rows.mapInPandas(
-        descend, "state array<double>, seen double, lost double, steps double, held bigint, hits bigint")
-    weighted = results.withColumn("vector", array_to_vector("state")).withColumn("lane", F.spark_partition_id() % 64)
-    counts = [F.sum("lost").alias("lost"), F.max("steps").alias("steps"), F.sum("held").alias("held"),
-              F.sum("hits").alias("hits")]
-    # a partition with only held-back rows moved nothing, so it hardly weighs in
-    mean = Summarizer.mean(F.col("vector"), F.greatest("seen", F.lit(1e-9))).alias("vector")
-    # lanes first, so no single task receives the states of all partitions
-    lanes = weighted.groupBy("lane").agg(mean, F.sum("seen").alias("seen"), *counts)
-    return lanes.agg(mean, F.sum("seen").alias("seen"), *counts).select(
-        vector_to_array("vector").alias("state"), F.try_divide("lost", "seen").alias("loss"),
-        "steps", "held", "hits").first()
-
-
-@dataclass(frozen=True)
-class KernelOptions:
-    kernel: str = "rbf"
-    c: float = 1.0
-    gamma: float | str = "scale"
-    degree: int = 3
-    random_features: int = 200
-    max_iter: int = 1000
-    seed: int = 42
 
+def _classes(rows: DataFrame) -> int:
+    return rows.agg(F.max("label")).first()[0] + 1
 
-@dataclass
-class SupportVector(Classifier):
-    features: list[str]
-    options: KernelOptions
-    gamma: float
-    pairs: list[tuple[int, int]]
-    coefficients: np.ndarray
-    intercepts: np.ndarray
-    classes: int
-    platt: LogisticRegressionModel | None = None
-
-    def margins(self, df: DataFrame) -> DataFrame:
-        """Adds ``margins``: one per pair of classes, positive for the first of the two."""
-        mapping = feature_map(len(self.features), self.options, self.gamma)
-        coefficients, intercepts = self.coefficients, self.intercepts
-
-        @F.pandas_udf(ArrayType(DoubleType()))
-        def sides(*columns: pd.Series) -> pd.Series:
-            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            return pd.Series(list(mapping(x) @ coefficients.T + intercepts))
-
-        return df.withColumn("margins", sides(*[F.col(c) for c in self.features]))
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        """Class with most pairwise votes, the lowest on a tie; probabilities from a logistic
-        fit on the margins."""
-        votes = []
-        for k in range(self.classes):
-            won = F.lit(0)
-            for i, (a, b) in enumerate(self.pairs):
-                side = F.col("margins")[i]
-                if k in (a, b):
-                    won = won + (side > 0 if k == a else side <= 0).cast("int")
-            votes.append(won)
-        tally = F.array(*votes)
-        scored = self.margins(df).withColumn("margin_vector", array_to_vector("margins"))
-        scored = self.platt.transform(scored).withColumn("probability", vector_to_array("probability"))
-        best = F.array_position(tally, F.array_max(tally)) - 1
-        return scored.withColumn("prediction", best.cast("int")).drop("margins", "margin_vector", "rawPrediction")
-
-
-def feature_map(inputs: int, o: KernelOptions, gamma: float):
-    """A function on row blocks whose inner products give (rbf: approximate) the kernel.
-
-    rbf uses random cosine waves; poly all products of exactly ``degree`` inputs, weighted
-    so that dot products equal (gamma <x, z>)^degree.
-    """
-    if o.kernel == "linear":
-        return lambda x: x
-    if o.kernel == "poly":
-        terms = []
-        for combo in combinations_with_replacement(range(inputs), o.degree):
-            orders = math.factorial(o.degree)
-            for i in set(combo):
-                orders //= math.factorial(combo.count(i))
-            terms.append((list(combo), math.sqrt(orders) * gamma ** (o.degree / 2)))
-        return lambda x: np.column_stack([w * x[:, combo].prod(axis=1) for combo, w in terms])
-    rng = np.random.default_rng(o.seed)
-    directions = rng.normal(0.0, math.sqrt(2 * gamma), (inputs, o.random_features))
-    phases = rng.uniform(0, 2 * math.pi, o.random_features)
-    return lambda x: np.cos(x @ directions + phases) * math.sqrt(2.0 / len(phases))
+def cv_accuracy(train: DataFrame, features: Sequence[str], keys: Sequence[str], folds: int = 5) -> list[float]:
+    """Accuracy of logistic regression on each held-out stratified fold; all folds are fitted in the same jobs."""
+    folded = hash_folds(train, keys, folds, label="label").select(*features, "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = dict(folded.groupBy("fold").count().collect())
+    counts = {f: sum(sizes.values()) - n for f, n in sorted(sizes.items())}
+    models = fit_without_each_fold(folded, features, _classes(folded), {f: 1.0 / n for f, n in counts.items()}, counts)
+    held = F.col("fold")
+    probability = reduce(lambda other, f: F.when(held == f, models[f].probability([F.col(c) for c in features])).otherwise(other),
+                         models, F.lit(None).cast("array<double>"))
+    hits = decide(folded.withColumn("probability", probability)).groupBy("fold").agg(
+        F.avg((F.col("label") == F.col("prediction")).cast("double"))).collect()
+    folded.unpersist()
+    return [accuracy for _, accuracy in sorted(map(tuple, hits))]
 
 
 def train_svm(train: DataFrame, features: Sequence[str], classes: int,
               options: KernelOptions = KernelOptions()) -> SupportVector:
-    """Pairwise linear machines on the kernel's feature map; gamma 'scale' is 1 / (d Var(X))."""
-    features = list(features)
-    train = spread_out(train.select(*features, "label"))[0].persist(StorageLevel.MEMORY_AND_DISK)
-    sums = train.agg(*[F.struct(F.avg(c).alias("m"), F.avg(F.col(c) * F.col(c)).alias("s")).alias(c) for c in features]).first()
-    counts = dict(train.groupBy("label").count().collect())
-    gamma = options.gamma
-    if gamma == "scale":
-        mean = sum(sums[c]["m"] for c in features) / len(features)
-        gamma = 1.0 / (len(features) * (sum(sums[c]["s"] for c in features) / len(features) - mean ** 2))
-    mapping = feature_map(len(features), options, gamma)
-
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def mapped(*columns: pd.Series) -> pd.Series:
-        return pd.Series(list(mapping(np.column_stack([c.to_numpy(dtype=float) for c in columns]))))
-
-    pairs = [(a, b) for a in range(classes) for b in range(a + 1, classes) if counts.get(a) and counts.get(b)]
-    machines = []
-    for a, b in pairs:
-        # filtered before the map, so each row is mapped only for its own pairs; LinearSVC caches its blocks
-        two = train.filter(F.col("label").isin(a, b)).select(
-            array_to_vector(mapped(*[F.col(c) for c in features])).alias("features"), (F.col("label") == a).cast("double").alias("side"))
-        base = LinearSVC(labelCol="side", regParam=1.0 / (options.c * (counts[a] + counts[b])), standardization=False,
-                         maxIter=options.max_iter, tol=1e-4)
-        machines.append(base.fit(two))
-    model = SupportVector(features, options, float(gamma), pairs, np.array([m.coefficients.toArray() for m in machines]),
-                          np.array([m.intercept for m in machines]), classes)
-    margins = model.margins(train).select(array_to_vector("margins").alias("margin_vector"), "label")
-    model.platt = LogisticRegression(featuresCol="margin_vector", predictionCol="", family="multinomial", maxIter=1000).fit(margins)
-    train.unpersist()
+    """Pairwise machines on the kernel's feature map, with probabilities."""
+    rows = spread_out(train.select(*features, "label"))[0].persist(StorageLevel.MEMORY_AND_DISK)
+    model = with_probabilities(train_machines(rows, features, classes, [options])[0], rows)
+    rows.unpersist()
     return model
 
 
@@ -432,7 +139,7 @@ def permutation_importance(models: Mapping[str, Classifier], test: DataFrame, fe
     return literal_rows(test.sparkSession, rows, "model string, feature string, importance double, sd double")
 
 
-# the configurations compared with the base settings
+# The settings that the study compares with the base ones.
 PERCEPTRON_VARIANTS = {
     "fewer units (50,25)": {"hidden": (50, 25)},
     "more units (200,100)": {"hidden": (200, 100)},
@@ -450,31 +157,82 @@ KERNEL_VARIANTS = {
 
 
 def parameter_sweep(task: Task, perceptron: PerceptronOptions = PerceptronOptions(),
-                    kernel: KernelOptions = KernelOptions()) -> DataFrame:
-    """(family, configuration, accuracy, iterations) for the base settings and every variant."""
-    train = task.train.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for name, change in {"base": {}, **PERCEPTRON_VARIANTS}.items():
-        model = train_perceptron(train, task.features, task.keys, len(task.classes), replace(perceptron, **change))
-        rows.append(("perceptron", name, accuracy_of(model, task.test), model.iterations))
-    for name, change in {"base": {}, **KERNEL_VARIANTS}.items():
-        model = train_svm(train, task.features, len(task.classes), replace(kernel, **change))
-        rows.append(("support vector", name, accuracy_of(model, task.test), None))
-    train.unpersist()
-    return literal_rows(task.rows.sparkSession, rows,
+                    kernel: KernelOptions = KernelOptions(), trained: Mapping[str, Classifier] | None = None) -> DataFrame:
+    """(family, configuration, accuracy, iterations) for the base settings and every variant.
+
+    All perceptrons are trained in the same jobs, all machines in the same jobs, and one pass over the test rows scores
+    all of them. ``trained`` may hold the models of the base settings, by family.
+    """
+    trained = trained or {}
+    changes = {"perceptron": {"base": {}, **PERCEPTRON_VARIANTS}, "support vector": {"base": {}, **KERNEL_VARIANTS}}
+    settings = {"perceptron": [replace(perceptron, **c) for c in changes["perceptron"].values()],
+                "support vector": [replace(kernel, **c) for c in changes["support vector"].values()]}
+    settings = {family: wanted[1:] if family in trained else wanted for family, wanted in settings.items()}
+    networks = train_perceptrons(task.train, task.features, task.keys, len(task.classes), settings["perceptron"])
+    rows = spread_out(task.train.select(*task.features, "label"))[0].persist(StorageLevel.MEMORY_AND_DISK)
+    machines = train_machines(rows, task.features, len(task.classes), settings["support vector"])
+    rows.unpersist()
+    networks = [m for f, m in trained.items() if f == "perceptron"] + networks
+    machines = [m for f, m in trained.items() if f == "support vector"] + machines
+    guesses = F.concat(guessed(networks), voted(machines))
+    scored = task.test.select("label", guesses.alias("guesses"))
+    names = [(family, name) for family, variants in changes.items() for name in variants]
+    row = scored.agg(*[F.avg((F.col("label") == F.col("guesses")[i]).cast("double")) for i in range(len(names))]).first()
+    iterations = [n.iterations for n in networks] + [None] * len(machines)
+    return literal_rows(task.rows.sparkSession, [(*name, accuracy, n) for name, accuracy, n in zip(names, row, iterations)],
                         "family string, configuration string, accuracy double, iterations bigint")
 
 
-def drop_weakest_retrain(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-                         options: PerceptronOptions = PerceptronOptions(), repeats: int = 10) -> DataFrame:
-    """Metrics of the perceptron on all features and without the least important one."""
-    task = classification_task(df, features, label, keys)
-    full = train_perceptron(task.train, task.features, task.keys, len(task.classes), options)
+@dataclass
+class Retrained:
+    """A perceptron on all features and one without ``weakest``, each with the table it was trained on."""
+
+    weakest: str
+    full: tuple[Task, Perceptron]
+    reduced: tuple[Task, Perceptron]
+
+    def named(self) -> list[tuple[str, str | None, Task, Perceptron]]:
+        return [("all", None, *self.full), ("reduced", self.weakest, *self.reduced)]
+
+
+def retrained_without_weakest(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
+                              options: PerceptronOptions = PerceptronOptions(), repeats: int = 10, task: Task | None = None,
+                              full: Perceptron | None = None) -> Retrained:
+    """The weakest feature is that of least permutation importance; ``task`` and ``full`` spare work already done."""
+    task = task or classification_task(df, features, label, keys)
+    full = full or train_perceptron(task.train, task.features, task.keys, len(task.classes), options)
     ranking = permutation_importance({"perceptron": full}, task.test, task.features, task.keys, repeats)
     weakest = ranking.orderBy("importance", F.desc("feature")).first()["feature"]
     fewer = classification_task(df, [c for c in features if c != weakest], label, keys)
     reduced = train_perceptron(fewer.train, fewer.features, fewer.keys, len(fewer.classes), options)
-    frames = [classification_metrics(model.predict(t.test), "label", "prediction").select(
-        F.lit(name).alias("features"), F.lit(dropped).cast("string").alias("dropped"), "*")
-        for name, dropped, model, t in (("all", None, full, task), ("reduced", weakest, reduced, fewer))]
+    return Retrained(weakest, (task, full), (fewer, reduced))
+
+
+def retrained_metrics(study: Retrained) -> DataFrame:
+    """(features, dropped, metrics, areas, accuracy_change) on the test rows, before and after."""
+    out, before = [], None
+    for name, dropped, task, model in study.named():
+        scored = model.predict(task.test).select("label", "prediction", *[
+            F.col("probability")[i].alias(f"p{i}") for i in range(len(task.classes))]).persist(StorageLevel.MEMORY_AND_DISK)
+        scores = {i: f"p{i}" for i in range(len(task.classes))}
+        row = classification_metrics(scored, "label", "prediction").first()
+        areas = [area(scored, "label", scores).first()[0] for area in (auc_macro, auc_micro)]
+        scored.unpersist()
+        before = row["accuracy"] if before is None else before
+        out.append((name, dropped, *row, *areas, row["accuracy"] - before))
+    columns = ["accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_micro", "recall_micro", "f1_micro", "auc_macro",
+               "auc_micro", "accuracy_change"]
+    return literal_rows(study.full[0].rows.sparkSession, out, "features string, dropped string, " + ", ".join(f"{c} double" for c in columns))
+
+
+def retrained_cells(study: Retrained) -> DataFrame:
+    """(features, dropped, actual, predicted, n): confusion cells on the test rows, before and after."""
+    frames = [confusion_matrix(model.predict(task.test), "label", "prediction", range(len(task.classes))).select(
+        F.lit(name).alias("features"), F.lit(dropped).cast("string").alias("dropped"), "*") for name, dropped, task, model in study.named()]
     return frames[0].unionByName(frames[1])
+
+
+def drop_weakest_retrain(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
+                         options: PerceptronOptions = PerceptronOptions(), repeats: int = 10) -> DataFrame:
+    """Metrics of the perceptron on all features and without the least important one, and the change in accuracy."""
+    return retrained_metrics(retrained_without_weakest(df, features, label, keys, options, repeats))

@@ -187,8 +187,10 @@ def classification_report_full(df: DataFrame, features: Sequence[str], label: st
         parts += [describe.settle(s) for s in small]
         scored.unpersist()
     parts.append(melt(classify.permutation_importance(models, task.test, features, keys, repeats), ["model", "feature"], "importance"))
-    parts.append(melt(classify.parameter_sweep(task, perceptron, kernel), ["family", "configuration"], "sweep"))
-    parts.append(melt(classify.drop_weakest_retrain(df, features, label, keys, perceptron, repeats), ["features", "dropped"], "retrained"))
+    parts.append(melt(classify.parameter_sweep(task, perceptron, kernel, models), ["family", "configuration"], "sweep"))
+    study = classify.retrained_without_weakest(df, features, label, keys, perceptron, repeats, task, models["perceptron"])
+    parts.append(melt(classify.retrained_metrics(study), ["features", "dropped"], "retrained"))
+    parts.append(melt(describe.settle(classify.retrained_cells(study)), ["features", "actual", "predicted"], "retrained confusion", ["n"]))
     result = stack(parts)
     train.unpersist()
     return result

@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import classify, linear, metrics, reports, split
+from plumbline.operators import classify, linear, machines, metrics, perceptron, reports, softmax, split
+from plumbline.plans import newton, sums
 
 RNG = np.random.default_rng(5)
 
@@ -174,9 +175,8 @@ def test_logistic_gradient_vanishes(blobs):
     model = classify.train_logistic(task.train, task.features)
     rows = model.predict(task.train).toPandas()
     p, y = np.stack(rows.probability), np.eye(3)[rows.label]
-    weights = model.model.coefficientMatrix.toArray()
-    gradient = (p - y).T @ rows[task.features].to_numpy() + weights
-    assert np.abs(gradient).max() < 0.05
+    gradient = (p - y).T @ rows[task.features].to_numpy() + model.model.weights
+    assert np.abs(gradient).max() < 0.005 and abs((p - y).sum(axis=0)).max() < 0.005
     assert classify.accuracy_of(model, task.test) > 0.9
 
 
@@ -196,19 +196,76 @@ def test_perceptron_gradient_is_the_slope():
     shapes = [(3, 4), (4, 2)]
     flat = RNG.normal(size=sum((r + 1) * c for r, c in shapes))
     x, y = RNG.normal(size=(10, 3)), RNG.integers(0, 2, 10)
-    g, _ = classify._gradient(flat, shapes, x, y, 0.0)
+    g, _ = perceptron.gradient(flat, shapes, x, y)
     for i in range(0, len(flat), 5):
         step = np.zeros_like(flat)
         step[i] = 1e-6
-        slope = (classify._gradient(flat + step, shapes, x, y, 0.0)[1] - classify._gradient(flat - step, shapes, x, y, 0.0)[1]) / 2e-6
+        slope = (perceptron.gradient(flat + step, shapes, x, y)[1] - perceptron.gradient(flat - step, shapes, x, y)[1]) / 2e-6
         assert g[i] == pytest.approx(slope, abs=1e-5)
 
 
+def plain_adam(x, y, dealt, held, classes, o, epochs):
+    """Adam in one process over the batches of ``batch_numbers``: loss of each epoch and the last weights."""
+    run = perceptron.Run(x.shape[1], classes, int((~held).sum()), o)
+    w, shapes, losses = run.weights.copy(), run.shapes, []
+    m, v, done = np.zeros_like(w), np.zeros_like(w), 0
+    for epoch in range(epochs):
+        number, lost = perceptron.batch_numbers(dealt, o.seed, epoch, run.steps), 0.0
+        for step in range(run.steps):
+            pick = ~held & (number == step)
+            g, loss = perceptron.gradient(w, shapes, x[pick], y[pick])
+            g = (g + o.alpha * run.decays * w) / pick.sum()
+            done, lost = done + 1, lost + loss
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+            w = w - run.rate * (m / (1 - 0.9 ** done)) / (np.sqrt(v / (1 - 0.999 ** done)) + 1e-8 / np.sqrt(1 - 0.999 ** done))
+        losses.append(lost / (~held).sum())
+    return losses, w
+
+
+def test_perceptrons_equal_one_process_and_do_not_depend_on_files(blobs):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    options = [classify.PerceptronOptions(hidden=(8,), learning_rate=0.01, batch=100, max_iter=4, patience=99),
+               classify.PerceptronOptions(hidden=(6, 5), alpha=0.1, batch=300, max_iter=3, patience=99)]
+    got = classify.train_perceptrons(task.train, task.features, task.keys, 3, options)
+    rows = task.train.select(*task.features, "label", F.xxhash64("id").alias("dealt"),
+                             (split.key_hash(["id"], 43) < 0.1 * 16.0 ** 13).alias("held")).toPandas()
+    x, y = rows[task.features].to_numpy(), rows.label.to_numpy()
+    for model, o in zip(got, options):
+        losses, _ = plain_adam(x, y, rows.dealt.to_numpy(), rows.held.to_numpy(), 3, o, o.max_iter)
+        np.testing.assert_allclose(model.losses, losses, rtol=1e-6)
+        assert model.iterations == o.max_iter
+    other = classify.train_perceptrons(task.train.repartition(2, "noise"), task.features, task.keys, 3, options)
+    assert all((a.weights == b.weights).all() for a, b in zip(got, other))
+
+
+def test_perceptron_asks_patience_every_epoch():
+    o = classify.PerceptronOptions(patience=2, batch=10)
+    run = perceptron.Run(1, 2, 10, o)
+    size, asked = len(run.weights), 0
+    while not run.done:
+        run.advance(np.concatenate([np.zeros(size), [1.0, 10.0, 4.0, 3.0]]))  # the same score every epoch
+        asked += 1
+    assert run.epoch == 3 and asked == 4
+    empty = perceptron.Run(1, 2, 0, classify.PerceptronOptions(max_iter=3))
+    while not empty.done:
+        empty.advance(np.zeros(size + 4))
+    assert empty.epoch <= 3 and np.isfinite(empty.weights).all()
+
+
+def test_large_tables_have_few_large_batches():
+    run = perceptron.Run(3, 2, 10 ** 9, classify.PerceptronOptions())
+    assert run.steps == perceptron.MOST_STEPS and 0.001 < run.rate <= perceptron.MOST_RATE
+    small = perceptron.Run(3, 2, 700, classify.PerceptronOptions())
+    assert small.steps == 4 and small.rate == 0.001
+    numbers = perceptron.batch_numbers(np.arange(10_000) * 977, 1, 5, 6)
+    assert np.bincount(numbers, minlength=6).min() > 1500 and (numbers != perceptron.batch_numbers(np.arange(10_000) * 977, 1, 6, 6)).any()
+
+
 def test_kernel_maps():
     x = RNG.normal(size=(20, 2))
-    poly = classify.feature_map(2, classify.KernelOptions("poly"), 0.4)(x)
+    poly = machines.feature_map(2, machines.KernelOptions("poly"), 0.4)(x)
     np.testing.assert_allclose(poly @ poly.T, (0.4 * x @ x.T) ** 3, atol=1e-9)
-    waves = classify.feature_map(2, classify.KernelOptions(random_features=20_000), 0.5)(x)
+    waves = machines.feature_map(2, classify.KernelOptions(random_features=20_000), 0.5)(x)
     gap = ((x[:, None] - x[None]) ** 2).sum(-1)
     np.testing.assert_allclose(waves @ waves.T, np.exp(-0.5 * gap), atol=0.05)
 
@@ -217,11 +274,96 @@ def test_rbf_solves_a_ring(spark):
     x = RNG.uniform(-1, 1, (800, 2))
     pdf = pd.DataFrame(x, columns=["a", "b"]).assign(k=np.where((x ** 2).sum(1) < 0.5, "in", "out"), id=np.arange(800))
     task = classify.classification_task(spark.createDataFrame(pdf), ["a", "b"], "k", ["id"])
-    rbf = classify.train_svm(task.train, task.features, 2, classify.KernelOptions(max_iter=20))
-    flat = classify.train_svm(task.train, task.features, 2, classify.KernelOptions("linear", max_iter=20))
+    rbf = classify.train_svm(task.train, task.features, 2)
+    flat = classify.train_svm(task.train, task.features, 2, classify.KernelOptions("linear"))
     assert classify.accuracy_of(rbf, task.test) > 0.93 > classify.accuracy_of(flat, task.test)
 
 
+def duality_gap(z, side, weights, intercept, c):
+    """Hinge objective of a machine (penalty 1 / (c n)) less a lower bound of its minimum: the dual objective at the
+    nearest feasible multipliers that the machine's own margins suggest."""
+    n = len(side)
+    penalty, t = 1 / (c * n), side * (z @ weights + intercept)
+    primal = np.maximum(1 - t, 0).mean() + penalty / 2 * weights @ weights
+    band = machines.BANDS[-1]
+    a = np.clip((1 + band - t) / (2 * band), 0, 1)
+    plus, minus = a[side > 0].sum(), a[side < 0].sum()
+    a[side > 0] *= min(plus, minus) / plus
+    a[side < 0] *= min(plus, minus) / minus
+    moved = z.T @ (a * side) / n
+    return primal, primal - (a.mean() - moved @ moved / (2 * penalty))
+
+
+@pytest.mark.parametrize("o", [machines.KernelOptions("linear"), machines.KernelOptions("linear", c=0.01), machines.KernelOptions("poly", c=10.0),
+                               machines.KernelOptions(random_features=60), machines.KernelOptions(c=0.1, gamma=2.0, random_features=60)])
+def test_machines_are_optimal(blobs, o):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    model = machines.train_machines(task.train.persist(), task.features, 3, [o])[0]
+    rows = task.train.toPandas()
+    z = machines.feature_map(3, o, model.gamma)(rows[task.features].to_numpy())
+    assert model.pairs == [(0, 1), (0, 2), (1, 2)]
+    for (a, b), weights, intercept in zip(model.pairs, model.coefficients, model.intercepts):
+        mine = rows.label.isin([a, b]).to_numpy()
+        primal, gap = duality_gap(z[mine], np.where(rows.label[mine] == a, 1.0, -1.0), weights, intercept, o.c)
+        assert -1e-9 <= gap < 3e-3
+        # steps down the hinge itself do not gain a thousandth either
+        x, side, best = np.column_stack([z[mine], np.ones(mine.sum())]), np.where(rows.label[mine] == a, 1.0, -1.0), primal
+        w, penalty = np.append(weights, intercept), np.append(np.full(len(weights), 1 / (o.c * mine.sum())), 0.0)
+        for step in range(1, 3000):
+            w = w + 0.3 / step ** 0.7 * ((x * (side * (side * (x @ w) < 1))[:, None]).mean(axis=0) - penalty * w)
+            best = min(best, np.maximum(1 - side * (x @ w), 0).mean() + (penalty * w * w).sum() / 2)
+        assert primal - best < 1e-3
+
+
+def test_machines_together_equal_machines_alone(blobs, monkeypatch):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    rows = task.train.repartition(5).persist()
+    wanted = [machines.KernelOptions(random_features=20), machines.KernelOptions("linear"), machines.KernelOptions(random_features=20, c=10.0)]
+    together = machines.train_machines(rows, task.features, 3, wanted)
+    monkeypatch.setattr(newton, "SYSTEM_CELLS", 10)  # one after another
+    monkeypatch.setattr(sums, "DIRECT_VALUES", 0)  # through lanes
+    for o, other in zip(wanted, together):
+        alone = machines.train_machines(rows, task.features, 3, [o])[0]
+        np.testing.assert_allclose(alone.coefficients, other.coefficients, rtol=1e-6, atol=1e-9)
+    row = task.test.select(machines.voted(together).alias("v"), *task.features, "label")
+    assert [r.v[1] for r in row.collect()] == [r.prediction for r in machines.with_probabilities(together[1], rows).predict(row).collect()]
+
+
+def test_softmax_equals_the_library_and_folds_equal_single_fits(blobs):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    rows = split.hash_folds(task.train, ["id"], 3, label="label").persist()
+    got = softmax.fit_softmax(rows, task.features, 3, 0.01)
+    want = LogisticRegression(regParam=0.01, standardization=False, maxIter=500, tol=1e-12, family="multinomial").fit(
+        VectorAssembler(inputCols=task.features, outputCol="features").transform(rows))
+    np.testing.assert_allclose(got.weights, want.coefficientMatrix.toArray(), atol=1e-4)
+    np.testing.assert_allclose(got.intercepts, want.interceptVector.toArray(), atol=1e-4)
+    counts = {f: rows.filter(F.col("fold") != f).count() for f in range(3)}
+    folds = softmax.fit_without_each_fold(rows, task.features, 3, dict.fromkeys(counts, 0.01), counts)
+    for f in counts:
+        alone = softmax.fit_softmax(rows.filter(F.col("fold") != f), task.features, 3, 0.01)
+        np.testing.assert_allclose(folds[f].weights, alone.weights, atol=1e-6)
+
+
+def test_retraining_without_the_weakest_feature(blobs):
+    o = classify.PerceptronOptions(hidden=(8,), learning_rate=0.02, batch=100, max_iter=12)
+    study = classify.retrained_without_weakest(blobs, ["a", "b", "noise"], "k", ["id"], o, 3)
+    assert study.weakest == "noise"
+    rows = {r.features: r for r in classify.retrained_metrics(study).collect()}
+    cells = classify.retrained_cells(study).toPandas()
+    for name, _, task, model in study.named():
+        table = model.predict(task.test).toPandas()
+        assert rows[name].accuracy == pytest.approx((table.label == table.prediction).mean())
+        mine = cells[cells.features == name]
+        assert mine.n.sum() == len(table) and mine[mine.actual == mine.predicted].n.sum() == (table.label == table.prediction).sum()
+        p, y = np.stack(table.probability), table.label.to_numpy()
+        areas = [np.mean([(u > v) + 0.5 * (u == v) for u in p[y == k, k] for v in p[y != k, k]]) for k in range(3)]
+        assert rows[name].auc_macro == pytest.approx(np.mean(areas))
+    assert rows["reduced"].accuracy_change == pytest.approx(rows["reduced"].accuracy - rows["all"].accuracy)
+
+
 def test_permuted_copies_only_move_one_column(blobs):
     rows = blobs.select("id", "a", "b", F.lit(0).alias("label"))
     got = classify.permuted_copies(rows, ["a", "b"], ["id"], 2, 1, per_bucket=200).toPandas()

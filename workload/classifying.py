@@ -194,6 +194,12 @@ def parameter_sweep(spark, sf_dir):
     return classify.parameter_sweep(ringed(spark, sf_dir), PERCEPTRON, KERNEL)
 
 
-@query("drop_weakest_retrain", "features s, dropped s, accuracy 6, precision_macro 6, recall_macro 6, f1_macro 6")
+@query("drop_weakest_retrain", """features s, dropped s, accuracy 6, precision_macro 6, recall_macro 6, f1_macro 6, auc_macro 6, auc_micro 6,
+  accuracy_change 6""")
 def drop_weakest_retrain(spark, sf_dir):
     return classify.drop_weakest_retrain(lines(spark, sf_dir), FEATURES, "grade", LINE_KEYS, PERCEPTRON)
+
+
+@query("drop_weakest_confusion", "features s, dropped s, actual s, predicted s, n i")
+def drop_weakest_confusion(spark, sf_dir):
+    return classify.retrained_cells(classify.retrained_without_weakest(lines(spark, sf_dir), FEATURES, "grade", LINE_KEYS, PERCEPTRON))
