@@ -12,12 +12,13 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.tails import f_sf, t_sf2
 from plumbline.operators.describe import literal_rows
-from plumbline.operators.split import hash_folds
+from plumbline.operators.split import HASHES, HashedKeys, hash_folds, key_hash, split_with_folds
 from plumbline.plans.gram import Gram, complete_rows, gram, gram_by
 from plumbline.plans.order import exact_quantiles
 
@@ -135,20 +136,32 @@ def fit_models(parts: Mapping[object, Gram], features: Sequence[str], alphas: Ma
 
 @dataclass
 class Prepared:
-    """Complete rows with split and fold, and the training Gram sums per fold."""
+    """Complete rows with split and fold, persisted until ``release``, and the training Gram sums per fold."""
 
     rows: DataFrame
     features: list[str]
     target: str
     parts: dict[object, Gram]
+    kept: DataFrame
 
+    def release(self) -> None:
+        self.kept.unpersist()
 
-def prepare(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str], folds: int = 5) -> Prepared:
-    """``df`` needs a ``split`` column; folds are drawn over its training rows."""
+
+def prepare(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str], folds: int = 5, test_size: float = 0.2) -> Prepared:
+    """Splits ``df`` unless it has a ``split`` column, and draws folds over the training rows. The table is read once; what
+    a fit needs of it, narrow and hashed, is persisted for the passes that find the cuts, the sums and the errors."""
     features = list(features)
-    rows = complete_rows(df, [*features, target])
-    train = hash_folds(rows.filter(F.col("split") == "train"), keys, folds)
-    return Prepared(rows, features, target, gram_by(train, [*features, target], "fold"))
+    columns = list(dict.fromkeys([*features, target]))
+    rows = complete_rows(df, columns).select(*columns, *(["split"] if "split" in df.columns else []),
+                                             *[key_hash(keys, 42, part).alias(name) for part, name in enumerate(HASHES)])
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    hashed = HashedKeys(HASHES)
+    if "split" in df.columns:
+        train = hash_folds(kept.filter(F.col("split") == "train"), hashed, folds)
+        return Prepared(kept, features, target, gram_by(train, [*features, target], "fold"), kept)
+    parted = split_with_folds(kept, hashed, test_size, folds)
+    return Prepared(parted, features, target, gram_by(parted.filter("fold is not null"), [*features, target], "fold"), kept)
 
 
 def model_rows(p: Prepared, fits: Mapping[str, LinearFit]) -> list[tuple[str, str, float]]:
@@ -170,14 +183,32 @@ def model_rows(p: Prepared, fits: Mapping[str, LinearFit]) -> list[tuple[str, st
 
 def regression_models(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str],
                       alphas: Mapping[str, float], components: bool = False, count: int | None = None,
-                      min_variance: float = 0.95) -> DataFrame:
-    """(model, measure, value) for each named ridge strength, on features or on components."""
-    p = prepare(df, features, target, keys)
+                      min_variance: float = 0.95, test_size: float = 0.2) -> DataFrame:
+    """(model, measure, value) for each named ridge strength, on features or on components; see ``prepare`` for the split."""
+    p = prepare(df, features, target, keys, test_size=test_size)
+    rows = _model_table(p, alphas, components, count, min_variance)
+    p.release()
+    return literal_rows(df.sparkSession, rows, MODEL_ROWS)
+
+
+MODEL_ROWS = "model string, measure string, value double"
+
+
+def _model_table(p: Prepared, alphas: Mapping[str, float], components: bool, count: int | None, min_variance: float) -> list[tuple]:
     fits, found = fit_models(p.parts, p.features, alphas, components, count, min_variance)
     rows = model_rows(p, fits)
     if found:
         rows += [(name, "explained variance", float(found.ratios[:found.count].sum())) for name in alphas]
-    return literal_rows(df.sparkSession, rows, "model string, measure string, value double")
+    return rows
+
+
+def regression_on_components(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str], alphas: Mapping[str, float],
+                             count: int | None = None, min_variance: float = 0.95, test_size: float = 0.2) -> DataFrame:
+    """``compare_components`` of the models on features and on components, from one preparation."""
+    p = prepare(df, features, target, keys, test_size=test_size)
+    both = [literal_rows(df.sparkSession, _model_table(p, alphas, c, count, min_variance), MODEL_ROWS) for c in (False, True)]
+    p.release()
+    return compare_components(*both)
 
 
 def compare_models(models: DataFrame, measures: Sequence[str] = ("test r2", "test rmse", "cv mean")) -> DataFrame:

@@ -116,8 +116,7 @@ def regression_report(df: DataFrame, features: Sequence[str], target: str, keys:
     """(model, measure, value): logistic for a categorical target, else least squares and ridge."""
     if split.target_kind(df, target).first()["kind"] == "categorical":
         return logistic_models(df, features, target, keys, test_size)
-    rows = _split_for(df, features, target, keys, test_size)
-    return linear.regression_models(rows, features, target, keys, {"linear": 0.0, "ridge": alpha})
+    return linear.regression_models(df, features, target, keys, {"linear": 0.0, "ridge": alpha}, test_size=test_size)
 
 
 def regression_pca_report(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str],
@@ -133,13 +132,13 @@ def regression_pca_report(df: DataFrame, features: Sequence[str], target: str, k
                                        "features string, model string, measure string, value double")
         named = [t.select(F.lit(n).alias("features"), "model", "measure", "value") for n, t in zip(("original", "components"), both)]
         return stack([*named, change])
-    rows = _split_for(df, features, target, keys, test_size)
     alphas = {"linear": 0.0, "ridge": alpha}
-    p = linear.prepare(rows, features, target, keys)
+    p = linear.prepare(df, features, target, keys, test_size=test_size)
     plain, _ = linear.fit_models(p.parts, p.features, alphas)
     reduced, found = linear.fit_models(p.parts, p.features, alphas, True, count)
     named = {**{("original", n): f for n, f in plain.items()}, **{("components", n): f for n, f in reduced.items()}}
     measured = linear.model_rows(p, {f"{kind} {n}": f for (kind, n), f in named.items()})
+    p.release()
     out = [(name.split(" ")[0], name.split(" ")[1], m, v) for name, m, v in measured]
     out += [("components", "pca", m, v) for m, v in _component_rows(found, p.features)]
     values = {row[:3]: row[3] for row in out}

@@ -1,14 +1,15 @@
 """Label encoding, train/test splits and folds.
 
 Splits follow a hash of the row key, so they do not depend on partitioning and
-survive recomputation.  Exact sizes come from an order statistic of the hash:
-the split itself is then a filter, with no ranking and no shuffle of rows.
+survive recomputation.  Exact sizes come from an order statistic of the hash
+(``plans.hashes``): the split itself is then a filter, with no ranking and no
+shuffle of rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 from plumbline.operators.association import levels
 from plumbline.operators.bins import edges_below
 from plumbline.operators.describe import literal_rows
+from plumbline.plans.hashes import HASH_DIGITS, fold_ends, ranked, split_and_folds
 from plumbline.plans.order import order_statistics
 
-HASH_DIGITS = 13  # hexadecimal digits (52 bits) that a double holds exactly
 # up to so many classes each is a literal in the expressions; more meet their rows in joins, with the same result
 LITERAL_CLASSES = 32
 HASH_BINS = 4_096
@@ -31,8 +32,18 @@ class PortableKeys(list):
     """
 
 
+#: Columns of the two hashes where they are worked out beforehand.
+HASHES = ("first hash of the key", "second hash of the key")
+
+
+class HashedKeys(list):
+    """The columns ``HASHES``, worked out with the seed in use."""
+
+
 def key_hash(keys: Sequence[str], seed: int, part: int = 0) -> Column:
     """A uniform number below 16 ** 13 from the key and seed; ``part`` 0 or 1 picks independent ones."""
+    if isinstance(keys, HashedKeys):
+        return F.col(keys[part])
     if not isinstance(keys, PortableKeys):
         return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(part), *keys), 12).cast("double")
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
@@ -64,39 +75,35 @@ def target_kind(df: DataFrame, target: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(row["rows"], kind)], "rows bigint, kind string")
 
 
-def uniform_guess(_: str, rank: int, rows: int) -> tuple[float, float]:
-    """Hashes are uniform: a rank lies within six standard deviations of its share of the range."""
-    share, top = (rank + 0.5) / rows, 16.0 ** HASH_DIGITS
-    reach = 6 * math.sqrt(share * (1 - share) / rows) + 2 / rows
-    return max(0.0, share - reach) * top, min(1.0, share + reach) * top
+def _numbered(predicates: Sequence[Column]) -> Column:
+    number = F.lit(None).cast("int")
+    for i, inside in enumerate(predicates):
+        number = F.when(inside, F.lit(i)).otherwise(number)
+    return number
 
 
-def _lowest(df: DataFrame, groups: dict[object, tuple[Column, int, int]], keys: Sequence[str], seed: int) -> Column:
-    """Predicate for the rows of lowest hash: (predicate, wanted, rows) of each group."""
+def _lowest(df: DataFrame, groups: Sequence[Column], sizes: Callable[[dict[int, int]], dict[int, int]], keys: Sequence[str],
+            seed: int) -> Column:
+    """Predicate for the rows of lowest hash in each group; ``sizes`` says how many from the groups' numbers of rows."""
     first, second = key_hash(keys, seed), key_hash(keys, seed, 1)
-    wanted = {f"h{i}": group for i, group in enumerate(groups.values()) if group[1] > 0}
-    if not wanted:
-        return F.lit(False)
-    hashed = df.select(*[F.when(inside, first).alias(c) for c, (inside, _, _) in wanted.items()])
-    # hashes are nearly all distinct, so the group sizes stand for their distinct counts
-    found = order_statistics(hashed, {c: [size - 1] for c, (_, size, _) in wanted.items()},
-                             sizes={c: (rows, rows) for c, (_, _, rows) in wanted.items()}, guess=uniform_guess)
-    cuts = {c: found[c][size - 1] for c, (_, size, _) in wanted.items()}
-    around = hashed.agg(*[F.struct(F.count_if(F.col(c) < cut).alias("below"), F.count_if(F.col(c) == cut).alias("at")).alias(c)
-                          for c, cut in cuts.items()]).first()
-    cut, edge = F.lit(None).cast("double"), F.lit(None).cast("double")
-    tied = False
-    for c, (inside, size, _) in wanted.items():
-        cut = F.when(inside, F.lit(cuts[c])).otherwise(cut)
-        room = size - around[c]["below"]
-        if around[c]["at"] > room:
+    wanted: dict[int, int] = {}
+
+    def ranks(rows: dict[int, int]) -> dict[int, list[int]]:
+        wanted.update({g: n for g, n in sizes(rows).items() if n > 0})
+        return {g: [n - 1] for g, n in wanted.items()}
+
+    cuts, _ = ranked(df, len(groups), _numbered(groups), first, ranks)
+    chosen = F.lit(False)
+    for (g, rank), cut in cuts.items():
+        below = first < F.lit(float(cut.value))
+        same = first == F.lit(float(cut.value))
+        room = rank + 1 - cut.below
+        if cut.at > room:
             # several keys share the cutting hash: the second half of the digest decides
-            tied = True
-            last = order_statistics(df.select(F.when(inside & (first == cuts[c]), second).alias("h")), {"h": [room - 1]})
-            edge = F.when(inside, F.lit(last["h"][room - 1])).otherwise(edge)
-    if not tied:
-        return F.coalesce(first <= cut, F.lit(False))
-    return F.coalesce((first < cut) | ((first == cut) & (edge.isNull() | (second <= edge))), F.lit(False))
+            last = order_statistics(df.select(F.when(groups[g] & same, second).alias("h")), {"h": [room - 1]})["h"][room - 1]
+            same = same & (second <= F.lit(float(last)))
+        chosen = F.when(groups[g], below | same).otherwise(chosen)
+    return F.coalesce(chosen, F.lit(False))
 
 
 def _binned(df: DataFrame, label: str, h: Column) -> tuple[DataFrame, DataFrame]:
@@ -144,11 +151,27 @@ def _folds_of_many(df: DataFrame, label: str, h: Column, folds: int, name: str)
 
 def train_test_split(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``split`` (train or test) with exactly ceil(test_size * n) test rows."""
-    n = df.count()
-    chosen = _lowest(df, {0: (F.lit(True), math.ceil(test_size * n), n)}, keys, seed)
+    chosen = _lowest(df, [F.lit(True)], lambda rows: {0: math.ceil(test_size * rows[0])}, keys, seed)
     return df.withColumn("split", F.when(chosen, "test").otherwise("train"))
 
 
+def split_with_folds(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, folds: int = 5, seed: int = 42) -> DataFrame:
+    """``train_test_split`` and, over its training rows, ``hash_folds`` (null for test rows), found together.
+
+    Reads the table three times; give it few columns, persisted.
+    """
+    first, second = F.col("first hash"), F.col("second hash")
+    hashed = df.withColumns({"first hash": key_hash(keys, seed), "second hash": key_hash(keys, seed, 1)})
+    cuts = split_and_folds(hashed, first, second, test_size, folds)
+    if cuts is None:
+        parted = train_test_split(df, keys, test_size, seed)
+        train = hash_folds(parted.filter("split = 'train'"), keys, folds, seed)
+        return train.unionByName(parted.filter("split = 'test'").withColumn("fold", F.lit(None).cast("int")))
+    is_test = cuts.is_test(first, second)
+    return hashed.withColumns({"split": F.when(is_test, "test").otherwise("train"),
+                               "fold": F.when(~is_test, edges_below(second, cuts.ends)).cast("int")}).drop("first hash", "second hash")
+
+
 def shares(sizes: dict, total: int) -> dict:
     """``total`` divided in proportion to the sizes, largest remainders first."""
     everything = sum(sizes.values())
@@ -173,7 +196,7 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size:
     sizes = shares(counts, math.ceil(test_size * sum(counts.values())))
     if len(sizes) > LITERAL_CLASSES:
         return _lowest_of_many(df, label, sizes, keys, seed)
-    chosen = _lowest(df, {g: (F.col(label) == F.lit(g), size, counts[g]) for g, size in sizes.items()}, keys, seed)
+    chosen = _lowest(df, [F.col(label) == F.lit(g) for g in sizes], lambda _: dict(enumerate(sizes.values())), keys, seed)
     return df.withColumn("split", F.when(chosen, "test").otherwise("train"))
 
 
@@ -194,15 +217,10 @@ def hash_folds(df: DataFrame, keys: Sequence[str], folds: int = 5, seed: int = 4
     classes = levels(df, label) if label else [0]
     if len(classes) > LITERAL_CLASSES:
         return _folds_of_many(df, label, h, folds, name)
-    groups = {g: F.col(label) == F.lit(g) for g in classes} if label else {0: F.lit(True)}
-    hashed = df.select(*[F.when(p, h).alias(f"h{i}") for i, p in enumerate(groups.values())])
-    sizes = hashed.agg(*[F.count(c).alias(c) for c in hashed.columns]).first()
-    ends = {}
-    for c in hashed.columns:
-        lengths = [sizes[c] // folds + (i < sizes[c] % folds) for i in range(folds)]
-        ends[c] = [sum(lengths[:i + 1]) - 1 for i in range(folds - 1)]
-    found = order_statistics(hashed, ends, sizes={c: (sizes[c], sizes[c]) for c in hashed.columns}, guess=uniform_guess)
+    groups = [F.col(label) == F.lit(g) for g in classes] if label else [F.lit(True)]
+    cuts, sizes = ranked(df, len(groups), _numbered(groups), h, lambda rows: {g: fold_ends(n, folds) for g, n in rows.items()})
     fold = F.lit(None).cast("int")
-    for c, predicate in zip(hashed.columns, groups.values()):
-        fold = F.when(predicate, edges_below(F.col("fold hash"), [found[c][e] for e in ends[c]])).otherwise(fold)
-    return df.withColumn("fold hash", h).withColumn(name, fold).drop("fold hash")
+    for g, inside in enumerate(groups):
+        ends = [cuts[g, e].value for e in fold_ends(sizes[g], folds)]
+        fold = F.when(inside, edges_below(F.col("fold hash"), ends)).otherwise(fold)
+    return df.withColumn("fold hash", h).withColumn(name, fold.cast("int")).drop("fold hash")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import classify, linear, machines, metrics, perceptron, reports, softmax, split
-from plumbline.plans import newton, sums
+from plumbline.plans import hashes, newton, sums
 
 RNG = np.random.default_rng(5)
 
@@ -57,6 +57,52 @@ def test_folds(spark):
     assert set(per_class) <= {2, 3} and per_class.sum() == 23
 
 
+@pytest.mark.parametrize("n,share,folds", [(503, 0.2, 5), (40, 0.5, 7), (7, 0.3, 5), (3, 0.9, 2)])
+def test_split_and_folds_found_together(spark, n, share, folds):
+    df = spark.range(n).repartition(3)
+    for keys in (["id"], split.PortableKeys(["id"])):
+        got = split.split_with_folds(df, keys, share, folds).toPandas()
+        apart = split.train_test_split(df, keys, share)
+        want = split.hash_folds(apart.filter("split = 'train'"), keys, folds).select("id", "fold").toPandas()
+        assert dict(zip(want.id, want.fold)) == dict(zip(got[got.split == "train"].id, got[got.split == "train"].fold))
+        assert set(got[got.split == "test"].id) == {r.id for r in apart.filter("split = 'test'").collect()}
+
+
+@pytest.mark.parametrize("bins,buffer", [(4096, 20_000), (64, 3), (64, 1)])
+def test_cuts_equal_sorted_hashes_at_any_size_of_bins(spark, monkeypatch, bins, buffer):
+    monkeypatch.setattr(hashes, "BINS", bins)
+    monkeypatch.setattr(hashes, "BUFFER", buffer)
+    rng = np.random.default_rng(2)
+    h = rng.integers(0, 1 << 52, 800)
+    h[:200] = h[200]  # many equal ones
+    h[300:330] = h[400:430]
+    g = rng.integers(0, 3, 800)
+    df = spark.createDataFrame([(int(a) if a < 2 else None, float(b)) for a, b in zip(g, h)], "g int, h double").repartition(3)
+    ranks = {0: [0, 5, 100], 1: [3, 150]}
+    cuts, sizes = hashes.ranked(df, 2, F.col("g"), F.col("h"), lambda n: ranks)
+    assert sizes == {0: (g == 0).sum(), 1: (g == 1).sum()}
+    for group, places in ranks.items():
+        mine = np.sort(h[g == group])
+        for r in places:
+            cut = cuts[group, r]
+            assert (cut.value, cut.below, cut.at) == (mine[r], (mine < mine[r]).sum(), (mine == mine[r]).sum())
+    assert (hashes.split_and_folds(df.withColumn("x", F.col("h")), F.col("h"), F.col("x"), 0.25, 4) is None) == (buffer < 200 and bins == 64)
+
+
+def test_the_source_is_read_once_for_a_regression(spark):
+    pdf, df = frame(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    seen = df.mapInPandas(watched, df.schema)
+    linear.regression_models(seen, ["a", "b"], "y", ["id"], {"m": 0.0}).collect()
+    assert read.value == len(pdf)
+
+
 def test_target_kind_and_codes(spark):
     df = spark.range(100).select(F.col("id").alias("many"), (F.col("id") % 3).alias("few"), (F.col("id") % 10).alias("tenth"))
     assert [split.target_kind(df, c).first().kind for c in ("many", "few", "tenth")] == ["continuous", "categorical", "continuous"]

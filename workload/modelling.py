@@ -49,26 +49,62 @@ FEATURES = ["quantity", "disc_price"]
 TARGET = "price"
 
 
-def split_lines(spark, sf_dir, target=TARGET):
-    return split.train_test_split(lines(spark, sf_dir).select(*LINE_KEYS, *FEATURES, target), PORTABLE, 0.2)
-
-
-def models_sql(alpha: float, name: str, pca: bool = False) -> str:
-    """Two predictors (or their first component) by Cramer's rule on centred sums, with five folds."""
-    second = "0.0" if pca else "z2"
-    first = "(z1 + sign(r) * z2) / sqrt(2.0)" if pca else "z1"
-    det = "(s11 + {a}) * (s22 + {a}) - s12 * s12".format(a=alpha if not pca else 0.0)
-    if pca:
-        b1, b2 = f"s1y / (s11 + {alpha})", "0.0"
+def model_lines(spark, sf_dir, features=FEATURES):
+    return lines(spark, sf_dir).select(*LINE_KEYS, *features, TARGET)
+
+
+def eigen_sql(source: str) -> str:
+    """``eig``: eigenvalues and signed unit vectors of the correlation matrix whose entries a, b, c (of the first and second,
+    first and third, second and third feature) are in a source of one row.
+
+    Eigenvalues by the cosines of a third of an angle; a vector is at right angles to two rows of the matrix less the value,
+    those whose cross product is longest; its largest entry is positive.
+    """
+    return f"""ang AS (SELECT a, b, c, sqrt((a * a + b * b + c * c) / 3) AS p FROM {source}),
+phi AS (SELECT *, acos(greatest(-1.0, least(1.0, a * b * c / power(p, 3)))) / 3 AS t FROM ang),
+val AS (SELECT a, b, c, unnest([1, 2, 3]) AS component,
+  unnest([1 + 2 * p * cos(t), 1 - 2 * p * cos(t) - 2 * p * cos(t + 2 * pi() / 3), 1 + 2 * p * cos(t + 2 * pi() / 3)]) AS l FROM phi),
+dif AS (SELECT component, l, a, b, c, 1 - l AS d FROM val),
+crs AS (SELECT component, l, a * c - b * d AS x, b * a - d * c AS y, d * d - a * a AS z FROM dif
+  UNION ALL SELECT component, l, a * d - b * c, b * b - d * d, d * c - a * b FROM dif
+  UNION ALL SELECT component, l, d * d - c * c, c * b - a * d, a * c - d * b FROM dif),
+lng AS (SELECT *, sqrt(x * x + y * y + z * z) AS n FROM crs QUALIFY row_number() OVER (PARTITION BY component ORDER BY n DESC) = 1),
+eig AS (SELECT component, l, x / n * s AS x, y / n * s AS y, z / n * s AS z FROM (SELECT *, CASE WHEN abs(x) >= abs(y) AND abs(x) >= abs(z) THEN sign(x)
+  WHEN abs(y) >= abs(z) THEN sign(y) ELSE sign(z) END AS s FROM lng) AS signed)"""
+
+
+#: Two predictors; the first component of two; or two components of three, as the 95 % rule finds them.
+PLAIN, FIRST, TWO_OF_THREE = "plain", "first", "two of three"
+MORE = ["quantity", "disc_price", "charge"]
+PAIR = ["disc_price", "charge"]
+
+
+def models_sql(alpha: float, name: str, kind: str = PLAIN, features=FEATURES) -> str:
+    """Models on two variables u and v (or u alone) by Cramer's rule on centred sums, with five folds."""
+    if kind == FIRST:
+        b1, b2, terms = f"s1y / (s11 + {alpha})", "0.0", [("PC1", "b1")]
+        first, second, vectors, explained = "(z1 + sign(a) * z2) / sqrt(2.0)", "0.0", "one AS (SELECT 1 AS one)", "SELECT (1 + abs(a)) / 2 FROM sc"
     else:
+        det = f"(s11 + {alpha}) * (s22 + {alpha}) - s12 * s12"
         b1, b2 = f"((s22 + {alpha}) * s1y - s12 * s2y) / ({det})", f"((s11 + {alpha}) * s2y - s12 * s1y) / ({det})"
-    return f"""sp AS (SELECT quantity AS x1, disc_price AS x2, {TARGET} AS y, {hash_sql(LINE_KEYS, 42, 1)} AS h, {split_sql('li', LINE_KEYS, 0.2)} AS split FROM li),
+        terms = list(zip(features if kind == PLAIN else ("PC1", "PC2"), ("b1", "b2")))
+        first, second, vectors, explained = "z1", "z2", "one AS (SELECT 1 AS one)", None
+    if kind == TWO_OF_THREE:
+        first, second = "x1v * z1 + y1v * z2 + z1v * z3", "x2v * z1 + y2v * z2 + z2v * z3"
+        vectors = f"""{eigen_sql('sc')}, one AS (SELECT f.x AS x1v, f.y AS y1v, f.z AS z1v, s.x AS x2v, s.y AS y2v, s.z AS z2v
+  FROM eig AS f, eig AS s WHERE f.component = 1 AND s.component = 2)"""
+        explained = "SELECT sum(l) / 3 FROM eig WHERE component <= 2"
+    x1, x2, x3 = features if len(features) == 3 else (*features, "0.0")
+    z3 = "(x3 - m3) / d3" if len(features) == 3 else "0.0"
+    weights = " ".join(f"UNION ALL SELECT 'coefficient {t}', {b} FROM c WHERE f = 5" for t, b in terms)
+    return f"""sp AS (SELECT {x1} AS x1, {x2} AS x2, {x3} AS x3, {TARGET} AS y, {hash_sql(LINE_KEYS, 42, 1)} AS h, {split_sql('li', LINE_KEYS, 0.2)} AS split FROM li),
 tr AS (SELECT *, row_number() OVER (ORDER BY h) - 1 AS i, count(*) OVER () AS n FROM sp WHERE split = 'train'),
-sc AS (SELECT avg(x1) AS m1, stddev_pop(x1) AS d1, avg(x2) AS m2, stddev_pop(x2) AS d2, corr(x1, x2) AS r FROM tr),
-z0 AS (SELECT split, y, 0 AS i, 1 AS n, (x1 - m1) / d1 AS z1, (x2 - m2) / d2 AS z2, r FROM sp, sc),
+sc AS (SELECT avg(x1) AS m1, stddev_pop(x1) AS d1, avg(x2) AS m2, stddev_pop(x2) AS d2, avg(x3) AS m3, stddev_pop(x3) AS d3,
+  corr(x1, x2) AS a{", corr(x1, x3) AS b, corr(x2, x3) AS c" if len(features) == 3 else ""} FROM tr), {vectors},
+z0 AS (SELECT split, y, (x1 - m1) / d1 AS z1, (x2 - m2) / d2 AS z2, {z3} AS z3, a FROM sp, sc),
 t0 AS (SELECT y, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1) ELSE (i - n % 5) // (n // 5) END AS fold,
-  (x1 - m1) / d1 AS z1, (x2 - m2) / d2 AS z2, r FROM tr, sc),
-z AS (SELECT split, y, {first} AS u, {second} AS v FROM z0), t AS (SELECT fold, y, {first} AS u, {second} AS v FROM t0),
+  (x1 - m1) / d1 AS z1, (x2 - m2) / d2 AS z2, {z3} AS z3, a FROM tr, sc),
+z AS (SELECT split, y, {first} AS u, {second} AS v FROM z0, one), t AS (SELECT fold, y, {first} AS u, {second} AS v FROM t0, one),
 f AS (SELECT unnest(range(6)) AS f),
 s AS (SELECT f, avg(u) AS mu, avg(v) AS mv, avg(y) AS my, covar_pop(u, u) * count(*) AS s11, covar_pop(v, v) * count(*) AS s22, covar_pop(u, v) * count(*) AS s12,
   covar_pop(u, y) * count(*) AS s1y, covar_pop(v, y) * count(*) AS s2y FROM f JOIN t ON fold <> f GROUP BY f),
@@ -76,16 +112,16 @@ b AS (SELECT f, {b1} AS b1, {b2} AS b2, my, mu, mv FROM s), c AS (SELECT *, my -
 cv AS (SELECT f, 1 - sum(power(y - b0 - b1 * u - b2 * v, 2)) / (var_pop(y) * count(*)) AS r2 FROM t JOIN c ON fold = f GROUP BY f),
 m AS (SELECT split, sqrt(avg(power(y - b0 - b1 * u - b2 * v, 2))) AS rmse, 1 - avg(power(y - b0 - b1 * u - b2 * v, 2)) / var_pop(y) AS r2,
   avg(abs(y - b0 - b1 * u - b2 * v) / greatest(abs(y), 2.220446049250313e-16)) AS mape FROM z JOIN c ON f = 5 GROUP BY split),
-{name} AS ({'' if pca else "SELECT 'intercept' AS measure, b0 AS value FROM c WHERE f = 5 UNION ALL SELECT 'coefficient quantity', b1 FROM c WHERE f = 5 UNION ALL SELECT 'coefficient disc_price', b2 FROM c WHERE f = 5 UNION ALL "}
-  SELECT split || ' rmse' AS measure, rmse AS value FROM m UNION ALL SELECT split || ' r2', r2 FROM m UNION ALL SELECT split || ' mape', mape FROM m
+{name} AS (SELECT 'intercept' AS measure, b0 AS value FROM c WHERE f = 5 {weights}
+  UNION ALL SELECT split || ' rmse' AS measure, rmse AS value FROM m UNION ALL SELECT split || ' r2', r2 FROM m UNION ALL SELECT split || ' mape', mape FROM m
   UNION ALL SELECT 'cv mean', avg(r2) FROM cv UNION ALL SELECT 'cv sd', stddev_pop(r2) FROM cv
-  {"UNION ALL SELECT 'explained variance', (1 + abs(r)) / 2 FROM sc" if pca else ''})"""
+  {f"UNION ALL SELECT 'explained variance', ({explained})" if explained else ''})"""
 
 
 def _models(key: str, name: str, alpha: float):
     @query(key, "model s, measure s, value 6", f"WITH {LINES}, {models_sql(alpha, 'res')} SELECT '{name}' AS model, measure, value FROM res")
     def build(spark, sf_dir):
-        return linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, PORTABLE, {name: alpha})
+        return linear.regression_models(model_lines(spark, sf_dir), FEATURES, TARGET, PORTABLE, {name: alpha})
 
 
 _models("linear_regression", "linear", 0.0)
@@ -94,11 +130,9 @@ _models("ridge_regression", "ridge", 1000.0)
 
 
 def _component_models(key: str, name: str, alpha: float):
-    @query(key, "model s, measure s, value 6", f"WITH {LINES}, {models_sql(alpha, 'res', True)} SELECT '{name}' AS model, measure, value FROM res")
+    @query(key, "model s, measure s, value 6", f"WITH {LINES}, {models_sql(alpha, 'res', TWO_OF_THREE, MORE)} SELECT '{name}' AS model, measure, value FROM res")
     def build(spark, sf_dir):
-        # weights on a component carry its arbitrary sign, so they are left out of the comparison
-        found = linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, PORTABLE, {name: alpha}, True, 1)
-        return found.filter(~F.col("measure").startswith("coefficient") & (F.col("measure") != "intercept"))
+        return linear.regression_models(model_lines(spark, sf_dir, MORE), MORE, TARGET, PORTABLE, {name: alpha}, True)
 
 
 _component_models("pca_linear_regression", "linear", 0.0)
@@ -111,20 +145,22 @@ SHOWN = "max(value) FILTER (measure = 'test r2') AS test_r2, max(value) FILTER (
 SELECT 'linear' AS model, {SHOWN} FROM (WITH {LINES}, {models_sql(0.0, 'res')} SELECT * FROM res) AS plain
 UNION ALL SELECT 'ridge', {SHOWN} FROM (WITH {LINES}, {models_sql(1000.0, 'res')} SELECT * FROM res) AS penalised""")
 def compare_models(spark, sf_dir):
-    models = linear.regression_models(split_lines(spark, sf_dir), FEATURES, TARGET, PORTABLE, {"linear": 0.0, "ridge": 1000.0})
+    models = linear.regression_models(model_lines(spark, sf_dir), FEATURES, TARGET, PORTABLE, {"linear": 0.0, "ridge": 1000.0})
     return linear.compare_models(models)
 
 
-@query("compare_pca", "model s, test_r2 8, pca_test_r2 8, diff_test_r2 8, test_rmse 6, pca_test_rmse 6, cv_mean 8, pca_cv_mean 8", f"""
-WITH a AS (SELECT {SHOWN} FROM (WITH {LINES}, {models_sql(0.0, 'res')} SELECT * FROM res) AS plain),
-p AS (SELECT {SHOWN} FROM (WITH {LINES}, {models_sql(0.0, 'res', True)} SELECT * FROM res) AS reduced)
-SELECT 'linear' AS model, a.test_r2, p.test_r2 AS pca_test_r2, p.test_r2 - a.test_r2 AS diff_test_r2, a.test_rmse, p.test_rmse AS pca_test_rmse,
-  a.cv_mean, p.cv_mean AS pca_cv_mean FROM a, p""")
+def compared_sql(name: str, alpha: float) -> str:
+    return f"""SELECT '{name}' AS model, a.test_r2, p.test_r2 AS pca_test_r2, p.test_r2 - a.test_r2 AS diff_test_r2, a.test_rmse, p.test_rmse AS pca_test_rmse,
+  p.test_rmse - a.test_rmse AS diff_test_rmse, a.cv_mean, p.cv_mean AS pca_cv_mean, p.cv_mean - a.cv_mean AS diff_cv_mean
+FROM (SELECT {SHOWN} FROM (WITH {LINES}, {models_sql(alpha, 'res', PLAIN, PAIR)} SELECT * FROM res) AS plain) AS a,
+  (SELECT {SHOWN} FROM (WITH {LINES}, {models_sql(alpha, 'res', FIRST, PAIR)} SELECT * FROM res) AS reduced) AS p"""
+
+
+@query("compare_pca", """model s, test_r2 8, pca_test_r2 8, diff_test_r2 8, test_rmse 6, pca_test_rmse 6, diff_test_rmse 6, cv_mean 8,
+  pca_cv_mean 8, diff_cv_mean 8""", f"{compared_sql('linear', 0.0)} UNION ALL {compared_sql('ridge', 1000.0)}")
 def compare_pca(spark, sf_dir):
-    rows = split_lines(spark, sf_dir)
-    plain = linear.regression_models(rows, FEATURES, TARGET, PORTABLE, {"linear": 0.0})
-    reduced = linear.regression_models(rows, FEATURES, TARGET, PORTABLE, {"linear": 0.0}, True, 1)
-    return linear.compare_components(plain, reduced)
+    # two nearly equal predictors, of which the rule keeps one component
+    return linear.regression_on_components(model_lines(spark, sf_dir, PAIR), PAIR, TARGET, PORTABLE, {"linear": 0.0, "ridge": 1000.0})
 
 
 @query("kfold_cv", "fold i, r2 8", """
@@ -201,27 +237,33 @@ def pca_analysis(spark, sf_dir):
     return linear.pca_variance(lines(spark, sf_dir), FEATURES)
 
 
-# three features: the top eigenvector of the correlation matrix by power iteration
-TOP_VECTOR = f"""{LINES}, r AS (SELECT corr(price, discount) AS a, corr(price, disc_price) AS b, corr(discount, disc_price) AS c FROM li),
-it AS (SELECT 0 AS i, 1.0::DOUBLE AS x, 0.5::DOUBLE AS y, 1.0::DOUBLE AS z FROM r
-  UNION ALL SELECT i + 1, (x + a * y + b * z) / greatest(abs(x + a * y + b * z), abs(a * x + y + c * z), abs(b * x + c * y + z)),
-    (a * x + y + c * z) / greatest(abs(x + a * y + b * z), abs(a * x + y + c * z), abs(b * x + c * y + z)),
-    (b * x + c * y + z) / greatest(abs(x + a * y + b * z), abs(a * x + y + c * z), abs(b * x + c * y + z)) FROM it, r WHERE i < 200),
-v AS (SELECT x / sqrt(x * x + y * y + z * z) AS x, y / sqrt(x * x + y * y + z * z) AS y, z / sqrt(x * x + y * y + z * z) AS z FROM it WHERE i = 200)"""
 THREE = ["price", "discount", "disc_price"]
+THREE_SQL = f"""{LINES}, sc AS (SELECT corr(price, discount) AS a, corr(price, disc_price) AS b, corr(discount, disc_price) AS c FROM li), {eigen_sql('sc')}"""
 
 
-@query("pca_loadings", "component i, feature s, size 6", f"""WITH RECURSIVE {TOP_VECTOR}
-SELECT 1 AS component, 'price' AS feature, abs(x) AS size FROM v UNION ALL SELECT 1, 'discount', abs(y) FROM v UNION ALL SELECT 1, 'disc_price', abs(z) FROM v""")
+@query("pca_variance_three", "component i, ratio 8, cumulative 8, kept b", f"""WITH {THREE_SQL}
+SELECT component, l / 3 AS ratio, sum(l) OVER (ORDER BY component) / 3 AS cumulative, coalesce(sum(l) OVER (ORDER BY component ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) / 3 < 0.95, true) AS kept FROM eig""")
+def pca_variance_three(spark, sf_dir):
+    return linear.pca_variance(lines(spark, sf_dir), THREE)
+
+
+@query("pca_loadings", "component i, feature s, loading 6, size 6, is_top b", f"""WITH {THREE_SQL},
+w AS (SELECT component, unnest(['price', 'discount', 'disc_price']) AS feature, unnest([x, y, z]) AS loading FROM eig)
+SELECT *, abs(loading) AS size, abs(loading) = max(abs(loading)) OVER (PARTITION BY component) AS is_top FROM w""")
 def pca_loadings(spark, sf_dir):
-    return linear.pca_loadings(lines(spark, sf_dir), THREE).filter("component = 1")
+    return linear.pca_loadings(lines(spark, sf_dir), THREE)
+
+
+def _score_sql(component: int) -> str:
+    return f"""(SELECT x FROM eig WHERE component = {component}) * (price - m1) / d1 + (SELECT y FROM eig WHERE component = {component}) * (discount - m2) / d2
+  + (SELECT z FROM eig WHERE component = {component}) * (disc_price - m3) / d3 AS "PC{component}" """
 
 
-@query("pca_scores", "l_orderkey i, cents i, PC1 4", f"""WITH RECURSIVE {TOP_VECTOR},
+@query("pca_scores", "l_orderkey i, cents i, PC1 4, PC2 4, PC3 4", f"""WITH {THREE_SQL},
 m AS (SELECT avg(price) AS m1, stddev_pop(price) AS d1, avg(discount) AS m2, stddev_pop(discount) AS d2, avg(disc_price) AS m3, stddev_pop(disc_price) AS d3 FROM li)
-SELECT l_orderkey, cents, x * (price - m1) / d1 + y * (discount - m2) / d2 + z * (disc_price - m3) / d3 AS "PC1" FROM li, m, v""")
+SELECT l_orderkey, cents, {', '.join(map(_score_sql, (1, 2, 3)))} FROM li, m""")
 def pca_scores(spark, sf_dir):
-    return linear.pca_scores(lines(spark, sf_dir), THREE, 1)
+    return linear.pca_scores(lines(spark, sf_dir), THREE, 3)
 
 
 @query("pca_embeddings", "component i, ratio 6, cumulative 6, kept b")
