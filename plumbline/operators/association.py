@@ -2,33 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.tails import chi2_tail, t_tail
 from plumbline.operators.describe import literal_rows, settle
-from plumbline.plans.gram import gram
+from plumbline.plans.gram import gram, pairwise_moments
 from plumbline.plans.ranks import row_ranks
+from plumbline.sources.tables import value
 
-PAIRS_PER_PASS = 300
+#: Pairs of columns up to which JVM aggregates are one pass; more go through numpy blocks, also in one pass.
+EXPRESSION_PAIRS = 120
+#: Buckets over which levels are numbered, and cells of a task's counts before they are handed on.
+LEVEL_BUCKETS = 64
+CELLS_IN_TASK = 1 << 20
 
 
 def _pair_correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:
-    """Pearson r of every pair over the rows where both have a value."""
+    """Pearson r of every pair over the rows where both have a value, from one pass."""
     pairs = list(combinations(columns, 2))
-    out: dict[tuple[str, str], float | None] = {}
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        some = pairs[start:start + PAIRS_PER_PASS]
-        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                       for i, (a, b) in enumerate(some)]).first()
-        for i, pair in enumerate(some):
-            r = row[f"r{i}"]
-            out[pair] = None if r is None or np.isnan(r) else r
-    return out
+    if len(pairs) > EXPRESSION_PAIRS:
+        r = pairwise_moments(df, columns).correlation()
+        place = {c: i for i, c in enumerate(columns)}
+        found = [(pair, float(r[place[pair[0]], place[pair[1]]])) for pair in pairs]
+    else:
+        row = df.agg(*[F.corr(value(a), value(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first() if pairs else []
+        found = list(zip(pairs, row))
+    return {pair: None if r is None or np.isnan(r) else r for pair, r in found}
 
 
 def _matrix(df: DataFrame, columns: Sequence[str], found, name: str) -> DataFrame:
@@ -83,23 +88,38 @@ def levels(df: DataFrame, column: str) -> list:
     return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
+def complete_grid(rows: DataFrame, cols: DataFrame) -> DataFrame:
+    """(a, b) for every value of the first frame's column with every value of the second's; neither is collected.
+
+    The second's values are numbered inside hash buckets. Every value of the first meets all numbers, a range made in its
+    task, and these meet their values in an ordinary join.
+    """
+    a, b = rows.columns[0], cols.columns[0]
+    numbered = cols.select(F.col(b).alias("b")).distinct().withColumn("bucket", F.pmod(F.xxhash64("b"), F.lit(LEVEL_BUCKETS)).cast("int"))
+    numbered = numbered.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("b")))
+    # one row per bucket
+    sizes = F.broadcast(numbered.groupBy("bucket").agg(F.max("place").alias("size")))
+    spread = rows.select(F.col(a).alias("a")).distinct().select("a", F.explode(F.sequence(F.lit(0), F.lit(LEVEL_BUCKETS - 1))).alias("bucket"))
+    places = spread.join(sizes, "bucket").select("a", "bucket", F.explode(F.sequence(F.lit(1), F.col("size"))).alias("place"))
+    return places.join(numbered, ["bucket", "place"]).select("a", "b")
+
+
 def crosstab(df: DataFrame, a: str, b: str, margins: bool = True) -> DataFrame:
     """(a, b, n) with every combination of categories, and ``All`` rows for the margins.
 
-    The table is cut to its cells first; the cube runs over the cells.
+    The table is cut to its cells first; the cube runs over the cells, and zero cells are made where they are missing.
     """
     cells = cell_counts(df, a, b)
-    rows, cols = levels(cells, "a"), levels(cells, "b")
-    margin = ["All"] if margins else []
-    # every combination: one row per category of a, spread over those of b
-    grid = literal_rows(df.sparkSession, [(str(x), [str(y) for y in [*cols, *margin]]) for x in [*rows, *margin]],
-                        "a string, bs array<string>").select("a", F.explode("bs").alias("b"))
+    sides = [cells.select(F.col(side).cast("string").alias(side)) for side in ("a", "b")]
     if margins:
+        margin = df.sparkSession.createDataFrame([("All",)], "level string")
+        sides = [side.union(margin) for side in sides]
         cells = cells.cube("a", "b").agg(F.sum("n").alias("n"), F.grouping("a").alias("ga"), F.grouping("b").alias("gb"))
         cells = cells.select(F.when(F.col("ga") == 1, "All").otherwise(F.col("a").cast("string")).alias("a"),
                              F.when(F.col("gb") == 1, "All").otherwise(F.col("b").cast("string")).alias("b"), "n")
     else:
         cells = cells.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "n")
+    grid = complete_grid(*sides)
     return grid.join(cells, ["a", "b"], "left").select("a", "b", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -173,17 +193,61 @@ def _strength(value: Column, cuts, last: str) -> Column:
     return text.otherwise(last)
 
 
+def pair_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(var_a, var_b, a, b, n): the cells of every pair of categorical columns, over the rows where all have a value.
+
+    One scan, whatever the number of columns: a task codes each column's values once, counts the cells of a pair from the
+    codes, and hands on what it has counted; Spark adds up by cell.
+    """
+    names, pairs = list(columns), list(combinations(range(len(columns)), 2))
+    texts = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(names)]).na.drop()
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: list[dict[str, int]] = [{} for _ in names]
+        counted: dict[int, dict[int, int]] = {k: {} for k in range(len(pairs))}
+        held = 0
+
+        def handed_on() -> Iterator[pd.DataFrame]:
+            words = [np.array(list(k), dtype=object) for k in known]
+            for k, (i, j) in enumerate(pairs):
+                if counted[k]:
+                    cell = np.fromiter(counted[k], np.int64, len(counted[k]))
+                    yield pd.DataFrame({"var_a": names[i], "var_b": names[j], "a": words[i][cell >> 32], "b": words[j][cell & 0xFFFFFFFF],
+                                        "n": np.fromiter(counted[k].values(), np.int64, len(cell))})
+                    counted[k].clear()
+            for k in known:
+                k.clear()
+
+        for batch in batches:
+            codes = []
+            for i, c in enumerate(batch.columns):
+                local, found = pd.factorize(batch[c])
+                codes.append(np.array([known[i].setdefault(v, len(known[i])) for v in found], np.int64)[local])
+            for k, (i, j) in enumerate(pairs):
+                width = len(known[j])
+                if len(known[i]) * width <= 4 * len(batch):
+                    block = np.bincount(codes[i] * width + codes[j], minlength=1)
+                    cell = np.flatnonzero(block)
+                    n, cell = block[cell], (cell // width) << 32 | cell % width
+                else:
+                    cell, n = np.unique(codes[i] << 32 | codes[j], return_counts=True)
+                mine = counted[k]
+                held -= len(mine)
+                for at, more in zip(cell.tolist(), n.tolist()):
+                    mine[at] = mine.get(at, 0) + more
+                held += len(mine)
+            if held > CELLS_IN_TASK:
+                yield from handed_on()
+                held = 0
+        yield from handed_on()
+
+    parts = texts.mapInPandas(count, "var_a string, var_b string, a string, b string, n bigint")
+    return parts.groupBy("var_a", "var_b", "a", "b").agg(F.sum("n").alias("n"))
+
+
 def chi2_all_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The test for every pair of categorical columns, in one job."""
-    pairs = F.array(*[F.struct(F.lit(x).alias("var_a"), F.lit(y).alias("var_b"), F.col(x).cast("string").alias("a"),
-                               F.col(y).cast("string").alias("b")) for x, y in combinations(columns, 2)])
-    # rows collapse on the columns themselves before they are spread over the pairs
-    small = df
-    for c in columns:
-        small = small.filter(F.col(c).isNotNull())
-    small = small.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
-    cells = settle(small.select("rows", F.explode(pairs).alias("p")).select("rows", "p.*").groupBy(
-        "var_a", "var_b", "a", "b").agg(F.sum("rows").alias("n")))
+    cells = settle(pair_cells(df, columns))
     return _test_cells(cells, ["var_a", "var_b"]).select("var_a", "var_b", "chi2", "p_value", "dof", "n", "reject_h0")
 
 

@@ -7,19 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.association import levels
-from plumbline.operators.describe import literal_rows
+from plumbline.operators.association import complete_grid
+from plumbline.operators.describe import literal_rows, settle
 from plumbline.plans.ranks import running_counts
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
-    """(actual, predicted, n) for every pair of classes."""
-    if classes is None:
-        classes = sorted(set(levels(df, label)) | set(levels(df, prediction)))
+    """(actual, predicted, n) for every pair of classes; those that occur on either side, or the given ones."""
     kind = df.schema[label].dataType.simpleString()
-    grid = literal_rows(df.sparkSession, [(a, b) for a in classes for b in classes], f"actual {kind}, predicted {kind}")
-    cells = df.groupBy(F.col(label).alias("actual"), F.col(prediction).cast(kind).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n"))
+    cells = settle(df.groupBy(F.col(label).alias("actual"), F.col(prediction).cast(kind).alias("predicted")).agg(F.count(F.lit(1)).alias("n")))
+    if classes is None:
+        either = cells.select(F.explode(F.array("actual", "predicted")).alias("class")).filter(F.col("class").isNotNull())
+    else:
+        either = literal_rows(df.sparkSession, [(c,) for c in classes], f"class {kind}")
+    grid = complete_grid(either, either).select(F.col("a").alias("actual"), F.col("b").alias("predicted"))
     return grid.join(cells, ["actual", "predicted"], "left").select("actual", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -12,9 +12,12 @@ from plumbline.functions.normal import normal_cdf, normal_ppf
 from plumbline.functions.tails import kolmogorov_tail, normal_sf
 from plumbline.operators.association import interpret
 from plumbline.operators.describe import literal_rows
-from plumbline.plans.ranks import add_bucket, expand_ties, running_counts, survey
+from plumbline.plans.ranks import BROADCAST_ROWS, add_bucket, expand_ties, running_counts, survey
 from plumbline.sources.tables import unpivot, value
 
+#: Buckets that are scanned together.
+BUCKETS_PER_BLOCK = 1_000
+
 
 def differences(df: DataFrame, key: str, column: str) -> DataFrame:
     """(key, diff): first differences in the order of a unique key.
@@ -29,14 +32,25 @@ def differences(df: DataFrame, key: str, column: str) -> DataFrame:
     rows = rows.filter(F.col("x").isNotNull())
     edges = survey(rows, "place").edges
     rows = add_bucket(rows, "place", edges)
-    ends = {r["bucket"]: r["x"] for r in rows.groupBy("bucket").agg(F.max_by("x", key).alias("x")).collect()}
-    carried, last = [], None
-    for b in range(len(edges) + 2):
-        carried.append(F.lit(last).cast("double"))
-        last = ends.get(b, last)
+    carried = bucket_ends(rows.groupBy("bucket").agg(F.max_by("x", key).alias("x")))
+    # a row for every bucket that has rows
+    carried = F.broadcast(carried) if len(edges) < BROADCAST_ROWS else carried
     in_order = Window.partitionBy("bucket").orderBy(key)
-    before = F.coalesce(F.lag("x").over(in_order), F.get(F.array(*carried), F.col("bucket")))
-    return rows.select(key, (F.col("x") - before).alias("diff")).filter(F.col("diff").isNotNull())
+    lagged = rows.withColumn("before", F.lag("x").over(in_order)).join(carried, "bucket", "left")
+    return lagged.select(key, (F.col("x") - F.coalesce("before", "carried")).alias("diff")).filter(F.col("diff").isNotNull())
+
+
+def bucket_ends(ends: DataFrame) -> DataFrame:
+    """(bucket, carried): the last value before each bucket, from one row (bucket, x) for each that has any.
+
+    Buckets are scanned in blocks, and the blocks' last values in one short scan, so the plan does not grow with them.
+    """
+    blocks = ends.withColumn("block", F.floor(F.col("bucket") / BUCKETS_PER_BLOCK))
+    inside = blocks.withColumn("in block", F.lag("x").over(Window.partitionBy("block").orderBy("bucket")))
+    # one row per block
+    last = blocks.groupBy("block").agg(F.max_by("x", "bucket").alias("x"))
+    before = last.select("block", F.lag("x").over(Window.orderBy("block")).alias("before block"))
+    return inside.join(F.broadcast(before), "block").select("bucket", F.coalesce("in block", "before block").alias("carried"))
 
 
 def jarque_bera_diff(df: DataFrame, key: str, column: str) -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.plans.sums import add_up
+from plumbline.sources.tables import value as number_of
+
 EXPRESSION_COLUMNS = 14
 
 
@@ -121,3 +124,61 @@ def _by_blocks(rows, k):
         n, offset = block[k, k], block[:k, k] / block[k, k]
         out[part] = Gram(n, shift + offset, block[:k, :k] - n * np.outer(offset, offset))
     return out
+
+
+@dataclass
+class PairMoments:
+    """For every pair (i, j) of columns, over the rows where both have a value: rows, sums of i, sums of squares of i, and
+    sums of products, all after a shift of each column."""
+
+    n: np.ndarray
+    total: np.ndarray
+    square: np.ndarray
+    product: np.ndarray
+
+    def correlation(self) -> np.ndarray:
+        """NaN where a pair has no spread."""
+        with np.errstate(invalid="ignore", divide="ignore"):
+            spread = self.square - self.total ** 2 / self.n
+            # what rounding leaves of a constant column is no spread
+            spread = np.where(spread > 1e-13 * self.square, spread, np.nan)
+            r = (self.product - self.total * self.total.T / self.n) / np.sqrt(spread * spread.T)
+        return np.clip(r, -1.0, 1.0)
+
+
+#: Rows whose means shift the columns, and how many deviations a mean may lie off before the pass is repeated with it.
+SHIFT_ROWS, MOST_OFF = 1_000, 1_000.0
+
+
+def pairwise_moments(df: DataFrame, columns: Sequence[str]) -> PairMoments:
+    """One scan: values, squares and presence, as matrices of an Arrow batch, multiplied by one another and added up.
+
+    The shift keeps the sums small; it is the mean of a few rows. Should a column lie far from it, the scan is repeated
+    with its true means, which the first one gives. NaN counts as missing.
+    """
+    columns = list(columns)
+    rows = df.select(*[number_of(c).alias(f"x{i}") for i, c in enumerate(columns)])
+    few = rows.limit(SHIFT_ROWS).toPandas().to_numpy(dtype=float)
+    shift = np.array([x[~np.isnan(x)].mean() if (~np.isnan(x)).any() else 0.0 for x in few.T])
+    tasks, k = rows.rdd.getNumPartitions(), len(columns)
+    for _ in range(2):
+        def measure(batches: Iterator[pd.DataFrame], shift: np.ndarray = shift) -> dict[int, np.ndarray]:
+            out = np.zeros((4, k, k))
+            for batch in batches:
+                x = batch.to_numpy(dtype=float) - shift
+                there = ~np.isnan(x)
+                x[~there] = 0.0
+                there = there.astype(float)
+                out += there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x
+            return {i: part.ravel() for i, part in enumerate(out)}
+
+        found = add_up(rows, tasks, measure, 4 * k * k)
+        n, total, square, product = (found[i].reshape(k, k) if found else np.zeros((k, k)) for i in range(4))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mean = np.diag(total) / np.diag(n)
+            sd = np.sqrt(np.diag(square) / np.diag(n) - mean ** 2)
+            off = np.abs(mean) > MOST_OFF * sd
+        if not (off & (mean != 0)).any():
+            break
+        shift = shift + np.nan_to_num(mean)
+    return PairMoments(n, total, square, product)

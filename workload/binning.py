@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import association, bins, describe
+from plumbline.operators import association, bins, describe, lowess
 from workload.registry import LINES, MEASURES, lines, long_sql, normal_ppf_sql, polish_sql, query, table
 
 LONG = f"long AS ({long_sql(MEASURES, 'li')})"
@@ -197,6 +197,32 @@ def trend_binned(spark, sf_dir):
     return bins.trend_binned(lines(spark, sf_dir), "price", "disc_price")
 
 
+def lowess_sql(source: str, rounds: int = 3) -> str:
+    """(x, trend) at the anchors of rows (x, y), every neighbourhood from sorted distances."""
+    parts = [f"""ev AS (SELECT x, y, 1.0::DOUBLE AS trust FROM ({source}) AS given),
+st AS (SELECT min(x) AS lo, max(x) AS hi, count(*) AS n FROM ev),
+an AS (SELECT lo AS a FROM st UNION SELECT max(x) FROM ev, st GROUP BY ceil((x - lo) / (0.01::DOUBLE * (hi - lo)))),
+hs AS (SELECT a, gap AS h FROM (SELECT a, abs(x - a) AS gap, row_number() OVER (PARTITION BY a ORDER BY abs(x - a)) AS i FROM an, ev) AS g, st
+  WHERE i = greatest(least(floor(2.0::DOUBLE / 3 * n + 1e-7), n), 2)),
+e0 AS (SELECT * FROM ev)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""w{r} AS (SELECT a, x - a AS o, y, trust * CASE WHEN abs(x - a) > 0.999 * h THEN 0 WHEN abs(x - a) <= 0.001 * h THEN 1
+  ELSE power(1 - power(abs(x - a) / h, 3), 3) END AS w FROM hs, e{r}),
+m{r} AS (SELECT a, sum(w * o) / sum(w) AS mx, sum(w * y) / sum(w) AS my, sum(w * o * o) / sum(w) AS mxx, sum(w * o * y) / sum(w) AS mxy FROM w{r} GROUP BY a),
+f{r} AS (SELECT a, my - CASE WHEN sqrt(greatest(mxx - mx * mx, 0)) > 0.001 * (hi - lo) THEN (mxy - mx * my) / (mxx - mx * mx) ELSE 0 END * mx AS t FROM m{r}, st)""")
+        if r < rounds:
+            parts.append(f"""s{r} AS (SELECT a, t, lead(a) OVER (ORDER BY a) AS b, lead(t) OVER (ORDER BY a) AS u FROM f{r}),
+g{r} AS (SELECT x, y, abs(y - (t + CASE WHEN b IS NULL THEN 0 ELSE (u - t) * (x - a) / (b - a) END)) AS g FROM ev ASOF JOIN s{r} ON ev.x >= s{r}.a),
+c{r} AS (SELECT 6 * median(g) AS c FROM g{r}),
+e{r + 1} AS (SELECT x, y, CASE WHEN g > 0.999 * c THEN 0 WHEN g <= 0.001 * c THEN 1 ELSE power(1 - power(g / c, 2), 2) END AS trust FROM g{r}, c{r})""")
+    return f"WITH {', '.join(parts)} SELECT a AS x, t AS trend FROM f{rounds}"
+
+
+@query("lowess_trend", "x 6, trend 6", lowess_sql("SELECT CAST(user_id AS DOUBLE) AS x, value AS y FROM events"))
+def lowess_trend(spark, sf_dir):
+    return lowess.lowess(table(spark, sf_dir, "events"), "user_id", "value")
+
+
 CORRELATED = ["quantity", "price", "discount", "disc_price", "charge"]
 
 
