@@ -5,8 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import association, bins, lowess, metrics, normality
-from plumbline.plans import gram
+from plumbline.operators import anova, association, bins, lowess, metrics, normality
+from plumbline.plans import gram, wide
 
 RNG = np.random.default_rng(17)
 
@@ -179,3 +179,72 @@ def test_lowess_of_degenerate_tables(spark):
     rows = spark.createDataFrame([(0.5,), (None,), (-9.0,)], "x double")
     back = rows.withColumn("t", lowess.trend_at(F.col("x"), spark.createDataFrame([(0.0, 1.0), (1.0, 3.0)], "x double, trend double"))).collect()
     assert [r.t for r in back] == [2.0, None, 1.0]
+
+
+def plain_twoway(pdf):
+    """Sums of squares and ranks of the nested models by dense least squares."""
+    y = pdf.y.to_numpy()
+    a, b = (pd.get_dummies(pdf[c]).to_numpy(float) for c in ("a", "b"))
+    cells = pd.get_dummies(pdf.a.astype(str) + "|" + pdf.b.astype(str)).to_numpy(float)
+    fits = []
+    for design in (np.ones((len(y), 1)), a, np.hstack([a, b]), cells):
+        fits.append((((y - design @ np.linalg.lstsq(design, y, rcond=None)[0]) ** 2).sum(), np.linalg.matrix_rank(design)))
+    return [(s0 - s1, r1 - r0) for (s0, r0), (s1, r1) in zip(fits, fits[1:])] + [(fits[-1][0], len(y) - fits[-1][1])]
+
+
+@pytest.mark.parametrize("n,p,q,parts", [(800, 6, 9, 1), (300, 40, 25, 1), (500, 12, 12, 3), (60, 30, 30, 1), (400, 1, 5, 1)])
+def test_twoway_equals_dense_least_squares(spark, n, p, q, parts):
+    part = RNG.integers(0, parts, n)  # parts of the design that share no level
+    a, b = RNG.integers(0, p, n) * parts + part, RNG.integers(0, q, n) * parts + part
+    pdf = pd.DataFrame({"a": a, "b": [f"b{i}" for i in b], "y": 1e4 + a + 0.3 * b + RNG.normal(size=n)})
+    got = anova.anova_twoway(spark.createDataFrame(pdf).repartition(3), "y", "a", "b").collect()
+    for r, (ss, dof) in zip(got, plain_twoway(pdf)):
+        assert r.df == dof and r.ss == pytest.approx(ss, rel=1e-6, abs=1e-5)
+
+
+def test_twoway_of_very_many_levels(spark):
+    n, p, q = 40_000, 9_000, 6_000
+    a, b = RNG.integers(0, p, n), RNG.integers(0, q, n)
+    effect_a, effect_b = RNG.normal(size=p), RNG.normal(size=q)
+    pdf = pd.DataFrame({"a": a, "b": b, "y": effect_a[a] + effect_b[b]})  # no noise: nothing is left to the interaction
+    got = {r.term: r for r in anova.anova_twoway(spark.createDataFrame(pdf).repartition(4), "y", "a", "b").collect()}
+    total = ((pdf.y - pdf.y.mean()) ** 2).sum()
+    means = pdf.groupby("a").y.transform("mean")
+    assert got["a"].ss == pytest.approx(((means - pdf.y.mean()) ** 2).sum())
+    assert got["b"].ss == pytest.approx(total - got["a"].ss, rel=1e-6) and got["a:b"].ss < 1e-4 * total
+
+
+def test_linked_sets():
+    label = anova.joined_sets(np.array([5, 1, 7, 2, 2]), np.array([4, 7, 3, 2, 9]), 10)
+    assert label.tolist() == [0, 1, 2, 1, 4, 4, 6, 1, 8, 2]
+    chain = RNG.permutation(3000)
+    assert (anova.joined_sets(chain[:-1], chain[1:], 3000) == 0).all()
+
+
+def test_leading_components_of_wide_vectors(spark):
+    n, k = 600, 800
+    x = RNG.normal(size=(n, 12)) * np.linspace(6, 1, 12) @ RNG.normal(size=(12, k)) + RNG.normal(size=(n, k)) * 0.5 + 100
+    x[:, 7] = 3.0  # constant
+    rows = [(x[i].tolist(),) for i in range(n)] + [(None,), ([1.0],), ([float("nan")] * k,)]
+    df = spark.createDataFrame(rows, "e array<double>").repartition(4)
+    got = wide.wide_components(df, "e", 6)
+    kept = np.delete(np.arange(k), 7)
+    z = (x[:, kept] - x[:, kept].mean(0)) / x[:, kept].std(0)
+    _, sizes, axes = np.linalg.svd(z, full_matrices=False)
+    np.testing.assert_allclose(got.ratios, sizes[:6] ** 2 / n / (k - 1), rtol=1e-8)
+    for j in range(6):
+        want = axes[j] * np.sign(axes[j][np.abs(axes[j]).argmax()])
+        np.testing.assert_allclose(got.loadings[kept, j], want, atol=1e-6)
+    assert got.loadings[7] == pytest.approx(0) and got.passes <= 5
+    scored = wide.wide_scores(df, "e", got).toPandas().scores
+    assert scored.isna().sum() == 3 and np.stack(scored.dropna()).var(axis=0) == pytest.approx(sizes[:6] ** 2 / n, rel=1e-6)
+
+
+def test_all_components_of_flat_vectors(spark):
+    x = RNG.normal(size=(300, 30))
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "e array<float>")
+    got = wide.wide_components(df, "e", 4)
+    values = np.sort(np.linalg.eigvalsh(np.corrcoef(x.T)))[::-1]
+    np.testing.assert_allclose(got.ratios, values[:4] / 30, rtol=1e-5)
+    with pytest.raises(ValueError):
+        wide.wide_components(df.limit(0), "e", 2)

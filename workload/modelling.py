@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import linear, split
+from plumbline.operators import association, linear, split
+from plumbline.plans.wide import wide_components
 from workload.registry import LINE_KEYS, LINES, hash_sql, lines, query, t_tail_sql, table
 
 # hashed so that SQL can repeat the splits
@@ -272,3 +273,21 @@ def pca_embeddings(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     names = [f"e{i}" for i in range(64)]
     return linear.pca_variance(rows.select(*[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]), names)
+
+
+@query("pca_embeddings_leading", "component i, element i, loading 6, ratio 6")
+def pca_embeddings_leading(spark, sf_dir):
+    """Four leading components of the embeddings, whose covariance is never made."""
+    found = wide_components(table(spark, sf_dir, "embeddings"), "embedding", 4)
+    rows = [(j + 1, i, float(found.loadings[i, j]), float(found.ratios[j])) for j in range(4) for i in range(len(found.centre))]
+    return spark.createDataFrame(rows, "component int, element int, loading double, ratio double")
+
+
+@query("corr_matrix_wide", "row s, col s, r 6", """WITH x AS (SELECT vec_id, unnest(range(64)) AS i, unnest(embedding) AS x FROM embeddings)
+SELECT 'e' || a.i AS "row", 'e' || b.i AS col, CASE WHEN a.i = b.i THEN 1.0 ELSE corr(a.x::DOUBLE, b.x::DOUBLE) END AS r
+FROM x AS a JOIN x AS b USING (vec_id) GROUP BY a.i, b.i""")
+def corr_matrix_wide(spark, sf_dir):
+    """All pairs of 64 columns from one scan."""
+    names = [f"e{i}" for i in range(64)]
+    rows = table(spark, sf_dir, "embeddings").select(*[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
+    return association.corr_matrix(rows, names)
