@@ -41,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(ident, text):
+    """64 bits that name a row by its id, null or not, and its text: rows that share them are repetitions of each other."""
+    return F.xxhash64(ident.isNull(), ident, text)
+
+
 def fresh(name: str, df: DataFrame) -> str:
     """A column name that the frame does not have."""
     while name.lower() in {c.lower() for c in df.columns}:

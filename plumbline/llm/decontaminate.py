@@ -15,9 +15,9 @@ stretch of ``slack`` more words than the window has.
 
 The terms and windows of the benchmark are joined without a hint: Spark broadcasts them if their stored size is below its
 threshold and shuffles otherwise. Null and empty texts have no words and match nothing; an item without words gives no
-window; very long texts are indexed whole; rows with equal ids must have equal texts and get equal results; a null id is
-an id of its own; an empty corpus gives an empty table, an empty benchmark no match. Other columns, whatever their names,
-stay untouched in ``drop_contaminated`` and are not read elsewhere.
+window; very long texts are indexed whole; documents are told apart by 64 bits of id and text, so rows with null or equal ids
+are documents of their own, and equal rows get equal results; an empty corpus gives an empty table, an empty benchmark no
+match. Other columns, whatever their names, stay untouched in ``drop_contaminated`` and are not read elsewhere.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import LETTERED, fresh, lowered, stored
+from plumbline.llm.common import LETTERED, fresh, lowered, row_key, stored
 
 WINDOW = 10
 SLACK = 5
@@ -45,7 +45,7 @@ def item_windows(items: DataFrame, item_col: str, text_col: str, window: int) ->
 
 def build_index(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Postings ``term``, ``doc``, ``pos`` of the given terms (columns ``word`` and ``term``), stored."""
-    tokens = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(words(F.col(f"`{text_col}`"))).alias("pos", "word"))
+    tokens = docs.select(row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("doc"), F.posexplode(words(F.col(f"`{text_col}`"))).alias("pos", "word"))
     return stored(tokens.join(terms, "word").select("term", "doc", "pos"), "postings")
 
 
@@ -78,7 +78,7 @@ class Index:
 def meet(wanted: DataFrame, postings: DataFrame) -> DataFrame:
     """Rows of ``wanted`` (doc, pos, term) that are postings."""
     p = postings.select(F.col("term").alias("p_term"), F.col("doc").alias("p_doc"), F.col("pos").alias("p_pos"))
-    return wanted.join(p, F.col("doc").eqNullSafe(F.col("p_doc")) & (F.col("pos") == F.col("p_pos"))
+    return wanted.join(p, (F.col("doc") == F.col("p_doc")) & (F.col("pos") == F.col("p_pos"))
                        & (F.col("term") == F.col("p_term")), "left_semi")
 
 
@@ -121,7 +121,7 @@ def proximity_matches(index: Index, slack: int = SLACK) -> DataFrame:
     celled = index.postings.join(widths, F.col("term") == F.col("w_term")).select(
         F.col("term").alias("p_term"), F.col("doc").alias("p_doc"), F.col("pos").alias("p_pos"), "p_width",
         F.floor(F.col("pos") / F.col("p_width")).alias("p_cell")).distinct()
-    near = (asked.join(celled, F.col("doc").eqNullSafe(F.col("p_doc")) & (F.col("term") == F.col("p_term"))
+    near = (asked.join(celled, (F.col("doc") == F.col("p_doc")) & (F.col("term") == F.col("p_term"))
                        & (F.col("cell") == F.col("p_cell")) & (F.col("width") == F.col("p_width")))
             .where(F.abs(F.col("p_pos") - F.col("anchor")) < F.col("width"))
             .groupBy("id", "doc", "anchor", "width", "terms")
@@ -135,24 +135,30 @@ def proximity_matches(index: Index, slack: int = SLACK) -> DataFrame:
             .unionByName(anchors.where("terms = 1").select("id", "doc", "pos")))
 
 
+def items_of(matches: DataFrame, index: Index, name: str) -> DataFrame:
+    """Per ``doc`` the items of its matched windows, sorted as strings."""
+    return (matches.select("doc", "id").distinct().join(index.items, "id")
+            .select("doc", F.col("item").cast("string").alias("item")).distinct()
+            .groupBy("doc").agg(F.array_sort(F.collect_list("item")).alias(name)))
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+                  item_text_col: str = "text", window: int = WINDOW, slack: int = SLACK) -> DataFrame:
     """Per document: ``n_words``, ``n_hit`` words inside matched windows, ``items``, those of the matched windows, sorted
-    as strings, and ``contaminated``."""
+    as strings, ``contaminated``, and ``near_items``, those of windows whose words all stand near each other."""
     index = Index(docs, items, id_col, text_col, item_col, item_text_col, window)
     matches = stored(phrase_matches(index), "matches")
     hit = (matches.select("doc", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("pos"))
            .distinct().groupBy("doc").agg(F.count("*").alias("n_hit")))
-    named = (matches.select("doc", "id").distinct().join(index.items, "id")
-             .select("doc", F.col("item").cast("string").alias("item")).distinct()
-             .groupBy("doc").agg(F.array_sort(F.collect_list("item")).alias("items")))
-    found = hit.join(named, hit["doc"].eqNullSafe(named["doc"])).select(hit["doc"].alias("hit_doc"), "n_hit", "items")
-    counts = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(LETTERED.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60"))), F.lit(0))
-    return (docs.select(F.col(f"`{id_col}`").alias("doc"), counts.cast("long").alias("n_words"))
-            .join(found, F.col("doc").eqNullSafe(F.col("hit_doc")), "left")
-            .select(F.col("doc").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                    F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-                    (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
+    near = items_of(stored(proximity_matches(index, slack), "near"), index, "near_items")
+    found = hit.join(items_of(matches, index, "items"), "doc").join(near, "doc", "full_outer").withColumnRenamed("doc", "hit_doc")
+    ident, text, none = F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.array().cast("array<string>")
+    counts = F.coalesce(F.regexp_count(text, F.lit(LETTERED.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60"))), F.lit(0))
+    return (docs.select(ident.alias("id"), row_key(ident, text).alias("doc"), counts.cast("long").alias("n_words"))
+            .join(found, F.col("doc") == F.col("hit_doc"), "left")
+            .select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+                    F.coalesce("items", none).alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+                    F.coalesce("near_items", none).alias("near_items")))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -161,7 +167,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     name = fresh("leak", docs)
     index = Index(docs, items, id_col, text_col, item_col, item_text_col, window)
     leaks = stored(phrase_matches(index).select(F.col("doc").alias(name)).distinct(), "leaks")
-    return docs.join(leaks, F.col(f"`{id_col}`").eqNullSafe(F.col(name)), "left_anti")
+    return docs.join(leaks, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")) == F.col(name), "left_anti")
 
 
 #: The same in DuckDB's SQL, windows compared as lists of words.
@@ -177,7 +183,19 @@ places AS (SELECT doc_id, start, length, array_to_string(words[start:start + len
 matches AS (SELECT doc_id, start, p.length, item_id FROM places p JOIN windows w ON p.sequence = w.sequence AND p.length = w.length),
 hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(start, start + length)) AS place FROM matches) GROUP BY 1),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM matches) GROUP BY 1)
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM matches) GROUP BY 1),
+asked AS (SELECT sequence, length, unnest(list_distinct(string_split(sequence, ' '))) AS word FROM (SELECT DISTINCT sequence, length FROM windows)),
+sizes AS (SELECT sequence, count(*) AS terms FROM asked GROUP BY 1),
+words AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM docs),
+whole AS (SELECT doc_id, sequence FROM (SELECT DISTINCT doc_id, word FROM words) JOIN asked USING (word) JOIN sizes USING (sequence)
+    GROUP BY doc_id, sequence, terms HAVING count(*) = terms),
+found AS (SELECT doc_id, sequence, length, pos, word FROM whole JOIN asked USING (sequence) JOIN words USING (doc_id, word)),
+close AS (SELECT DISTINCT doc_id, sequence FROM (SELECT a.doc_id, a.sequence, a.pos FROM found a JOIN found b ON a.doc_id = b.doc_id
+    AND a.sequence = b.sequence AND b.pos >= a.pos AND b.pos < a.pos + a.length + 5 JOIN sizes s ON s.sequence = a.sequence
+    GROUP BY a.doc_id, a.sequence, a.pos, s.terms HAVING count(DISTINCT b.word) = s.terms)),
+near AS (SELECT doc_id, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near_items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM close JOIN windows USING (sequence)) GROUP BY 1)
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id"""
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+    CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, sha256(coalesce(near_items, '')) AS near_sha256
+FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id LEFT JOIN near r ON d.doc_id = r.doc_id"""

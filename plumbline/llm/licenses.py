@@ -10,8 +10,9 @@ Fixed phrases (``PHRASES``) are looked up in the same k-grams, wherever their wo
 
 The templates are a small table of fixed length (``template_grams`` refuses more than ``MOST_GRAMS`` rows), so it is
 broadcast; no other row of a document than those that match leaves its task. Null and empty texts have no words, no
-places and score 0; texts shorter than k words can still hold a phrase; very long texts are scanned whole; rows with
-equal ids must have equal texts and get equal results; an empty table gives an empty table; other columns are not read.
+places and score 0; texts shorter than k words can still hold a phrase; very long texts are scanned whole; rows are told
+apart by 64 bits of id and text, so null or equal ids do not matter; an empty table gives an empty table; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import LETTERED, LOWER, UPPER, lowered, stored
+from plumbline.llm.common import LETTERED, LOWER, UPPER, lowered, row_key, stored
 
 K = 4
 SLACK = 3
@@ -94,7 +95,7 @@ def hits(docs: DataFrame, id_col: str, text_col: str, templates=TEMPLATES, phras
     """Places of phrases (``phrase``) and matches of template k-grams (``template`` and its columns)."""
     tokens = F.regexp_extract_all(lowered(F.col(f"`{text_col}`")), F.lit(LETTERED), F.lit(0))
     # the words are a column of their own, so that they are cut once and not for every shifted copy
-    rows = (docs.select(F.col(f"`{id_col}`").alias("id"), tokens.alias("words"))
+    rows = (docs.select(row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("id"), tokens.alias("words"))
             .select("id", F.posexplode(grams(F.col("words"), k)).alias("pos", "gram"))
             .select("id", "pos", "gram.*"))
     marked = rows.withColumn("hash", F.xxhash64(*[f"w{i}" for i in range(k)])).withColumn("phrase", phrase_label(phrases))
@@ -151,8 +152,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nothing = F.array().cast("array<string>")
     base_set = F.coalesce(F.col("base_set"), nothing)
     count = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(LETTERED.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60"))), F.lit(0))
-    return (docs.select(F.col(f"`{id_col}`").alias("id"), count.cast("long").alias("n_words"))
-            .join(both, F.col("id").eqNullSafe(F.col("hit_id")), "left")
+    ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    return (docs.select(ident.alias("id"), row_key(ident, text).alias("key"), count.cast("long").alias("n_words"))
+            .join(both, F.col("key") == F.col("hit_id"), "left")
             .select(F.col("id").alias(id_col), "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
                     F.col("first").cast("long").alias("first_word"), F.col("last").cast("long").alias("last_word"),
                     F.array_join(F.array_sort(base_set), ",").alias("base_labels"),

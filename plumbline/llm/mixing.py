@@ -12,8 +12,9 @@ lies is found from these sums, and only its rows (a few thousandths of the sourc
 decided by comparing its rank with the cut of its source, on the row itself.
 
 ``u`` comes from the md5 of id and seed, so reruns agree and SQL can repeat it. Null or empty texts have size 0 and take
-nothing; null is a source of its own; rows with equal ids go in or stay out together; a null id counts as an empty one;
-an empty table gives an empty table. All input columns stay, whatever their names; the columns that the operator adds
+nothing; null is a source of its own; a null id counts as an empty one; rows with equal ids share their random number and
+are ordered by 64 bits of their text, so only rows equal in both go in or stay out together; an empty table gives an empty
+table. All input columns stay, whatever their names; the columns that the operator adds
 replace those of the same name. The table of sources has one row each and is the only thing ordered in one task.
 """
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SPACED, stored
+from plumbline.llm.common import SPACED, fresh, row_key, stored
 
 WEIGHTS = (3, 1, 2)
 BUDGET_SHARE = 1.5
@@ -79,7 +80,7 @@ def bucket(q: Column, buckets: int) -> Column:
 
 
 def cut_table(sized: DataFrame, targets: DataFrame, seed: int, buckets: int) -> DataFrame:
-    """The targets with the place in the order at which each source's sample ends: a bucket and, in it, a rank and id."""
+    """The targets with the place in the order at which each source's sample ends: a bucket and, in it, a rank and row key."""
     of = targets.select(F.col("source").alias("of"), "p", "missing")
     ranked = (sized.join(of, F.col("source").eqNullSafe(F.col("of"))).withColumn("q", rank(uniform(F.col("id"), seed), F.col("p")))
               .where(F.col("q").isNotNull()).withColumn("bucket", bucket(F.col("q"), buckets)))
@@ -89,12 +90,12 @@ def cut_table(sized: DataFrame, targets: DataFrame, seed: int, buckets: int) ->
             .where((F.col("before") <= F.col("missing")) & (F.col("missing") < F.col("before") + F.col("words")))
             .select(F.col("of").alias("end_of"), F.col("bucket").alias("end_bucket"), "before"))
     edge = (ranked.join(ends, F.col("of").eqNullSafe(F.col("end_of")) & (F.col("bucket") == F.col("end_bucket")))
-            .groupBy("of", "end_bucket", "before", "missing", "q", "id").agg(F.sum("size").alias("words")))
-    order = Window.partitionBy("of").orderBy("q", "id").rowsBetween(Window.unboundedPreceding, -1)
+            .groupBy("of", "end_bucket", "before", "missing", "q", "key").agg(F.sum("size").alias("words")))
+    order = Window.partitionBy("of").orderBy("q", "key").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("before") + F.coalesce(F.sum("words").over(order), F.lit(0)) + F.col("words") / 2
-    # the struct has no null field besides a null id, which sorts first, so max gives the last one taken
+    # max gives the last one taken
     cuts = (edge.withColumn("taken", middle <= F.col("missing")).groupBy(F.col("of").alias("cut_of"), F.col("end_bucket"))
-            .agg(F.max(F.when(F.col("taken"), F.struct("q", "id"))).alias("last")))
+            .agg(F.max(F.when(F.col("taken"), F.struct("q", "key"))).alias("last")))
     return (targets.join(cuts, F.col("source").eqNullSafe(F.col("cut_of")), "left")
             .select(F.col("source").alias("of"), "source_size", "target", "whole", "p", "end_bucket", "last"))
 
@@ -103,23 +104,23 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
                 weights=WEIGHTS, budget_share: float = BUDGET_SHARE, max_copies: float = MAX_COPIES, seed: int = SEED,
                 buckets: int = BUCKETS) -> DataFrame:
     """Every document with its size, its source's size and target, its copies in the mix and the words these hold."""
-    key, source = F.col(f"`{id_col}`"), F.col(f"`{source_col}`")
-    size = words_in(F.col(f"`{text_col}`"))
-    sized = stored(docs.select(key.alias("id"), source.alias("source"), size.alias("size")), "sizes")
+    ident, source, text = (F.col(f"`{c}`") for c in (id_col, source_col, text_col))
+    size, key = words_in(text), row_key(ident, text)
+    sized = stored(docs.select(ident.alias("id"), key.alias("key"), source.alias("source"), size.alias("size")), "sizes")
     targets = stored(source_targets(sized, weights, budget_share, max_copies), "targets")
     cuts = stored(cut_table(sized, targets, seed, buckets), "cuts")
-    plan = cuts.select(F.struct("*").alias("mixing_plan"))
-    q = rank(uniform(key, seed), F.col("mixing_plan.p"))
-    last, end = F.col("mixing_plan.last"), F.col("mixing_plan.end_bucket")
+    name = fresh("mixing_plan", docs)
+    plan = cuts.select(F.struct("*").alias(name))
+    q = rank(uniform(ident, seed), F.col(f"{name}.p"))
+    last, end = F.col(f"{name}.last"), F.col(f"{name}.end_bucket")
     # no end: the words of all ranks together do not reach what is missing, so all go in (or none are sampled: q is null)
     inside = (end.isNull() | (bucket(q, buckets) < end)
-              | ((bucket(q, buckets) == end) & last.isNotNull()
-                 & ((q < last["q"]) | ((q == last["q"]) & (key.isNull() | (key <= last["id"]))))))
-    copies = (F.col("mixing_plan.whole") + F.coalesce((q.isNotNull() & inside).cast("long"), F.lit(0))).cast("long")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
-    return (docs.join(plan, source.eqNullSafe(F.col("mixing_plan.of")))
-            .select(*kept, size.alias("size"), F.col("mixing_plan.source_size").alias("source_size"),
-                    F.col("mixing_plan.target").alias("target"), copies.alias("copies"))
+              | ((bucket(q, buckets) == end) & last.isNotNull() & ((q < last["q"]) | ((q == last["q"]) & (key <= last["key"])))))
+    copies = (F.col(f"{name}.whole") + F.coalesce((q.isNotNull() & inside).cast("long"), F.lit(0))).cast("long")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ADDED]
+    return (docs.join(plan, source.eqNullSafe(F.col(f"{name}.of")))
+            .select(*kept, size.alias("size"), F.col(f"{name}.source_size").alias("source_size"),
+                    F.col(f"{name}.target").alias("target"), copies.alias("copies"))
             .withColumn("taken", F.col("size") * F.col("copies")))
 
 

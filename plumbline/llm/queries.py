@@ -47,7 +47,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in windows of benchmark items, and these items."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+                        F.size("near_items").cast("long").alias("n_near"), F.sha2(F.array_join("near_items", ","), 256).alias("near_sha256"))
 
 
 ORACLES["op2_decontamination"] = decontaminate.CONTAMINATION_SQL

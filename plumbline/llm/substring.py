@@ -16,8 +16,8 @@ Nothing is broadcast. Windows are compared by all 64 bits of the hash: with n wi
 are taken for equal are n * n / 2**65 (0.0005 for 130 million).
 
 Null and empty texts have no words; texts shorter than a window lose nothing; very long texts are read whole; equal rows
-are repetitions of each other; rows with equal ids must have equal texts; an empty table gives an empty table; other
-columns, whatever their names, stay untouched in ``drop_repeats`` and are not read elsewhere.
+are repetitions of each other; rows are told apart by 64 bits of id and text, so null or equal ids do not matter; an empty
+table gives an empty table; other columns, whatever their names, stay untouched in ``drop_repeats`` and are not read elsewhere.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import fresh
+from plumbline.llm.common import fresh, row_key
 
 WINDOW = 35
 BLOCK_WORDS = 1 << 20
@@ -241,9 +241,10 @@ def keep(text: str | None, repeated: list[bytes] | None, window: int) -> tuple[l
 def with_repeats(docs: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, str]:
     """The documents with their packed runs of repeated windows in a new column, whose name is returned too."""
     name, key = fresh("repeated", docs), fresh("repeated_id", docs)
-    lists = (repeated_windows(docs, id_col, text_col, window).groupBy(F.col("id").alias(key))
-             .agg(F.collect_list("runs").alias(name)))
-    return docs.join(lists, F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left"), name
+    named = row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    rows = docs.select(named.alias("key"), F.col(f"`{text_col}`").alias("text"))
+    lists = repeated_windows(rows, "key", "text", window).groupBy(F.col("id").alias(key)).agg(F.collect_list("runs").alias(name))
+    return docs.join(lists, named == F.col(key), "left"), name
 
 
 def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:

@@ -11,8 +11,10 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from plumbline.llm import components, decontaminate, mixing, queries, simhash, substring
+from plumbline.llm import components, decontaminate, licenses, mixing, queries, simhash, substring
+from plumbline.llm.common import row_key
 
 ASCII_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 SPACED, LETTERED = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -190,10 +192,11 @@ def test_proximity_equals_brute_force(spark):
     rng = random.Random(1)
     texts = [(k, " ".join(rng.choice("a b c d e f g h".split()) for _ in range(60))) for k in range(40)] + [(50, "b x a"), (51, None)]
     items = [(1, "a b c d"), (2, "h"), (3, "a a g")]
-    index = decontaminate.Index(spark.createDataFrame(texts, "doc_id long, text string"),
-                                spark.createDataFrame(items, "item_id long, text string"), "doc_id", "text", "item_id", "text", 10)
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = {r["key"]: r["doc_id"] for r in frame.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key")).collect()}
+    index = decontaminate.Index(frame, spark.createDataFrame(items, "item_id long, text string"), "doc_id", "text", "item_id", "text", 10)
     names = {r["id"]: r["item"] for r in index.items.collect()}
-    got = {(names[r["id"]], r["doc"]) for r in decontaminate.proximity_matches(index, 2).collect()}
+    got = {(names[r["id"]], rows[r["doc"]]) for r in decontaminate.proximity_matches(index, 2).collect()}
     expected = set()
     for item, text in items:
         terms = set(text.split())
@@ -278,3 +281,50 @@ def test_pipeline_stages(spark, tmp_path):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SMALL).count() == 0
+
+
+def test_null_and_equal_ids_with_unlike_texts(spark):
+    """Every row has the result of its own text, whatever ids it shares."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passage = " ".join(word() for _ in range(40))
+    texts = [passage, "nothing like it", passage + " more", " ".join(word() for _ in range(45)), "all rights reserved here", "x " * 5, None, ""]
+    rows = [(k, t) for k in (None, 1) for t in texts]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(7, " ".join(passage.split()[5:20]))], "item_id long, text string")
+    plain = dict(zip(texts, plain_contamination(texts, [(7, " ".join(passage.split()[5:20]))])))
+    want = Counter((k, *plain[t][:2]) for k, t in rows)
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"]) for r in decontaminate.contamination(frame, bench).collect()) == want
+    clean = Counter((r["doc_id"], r["text"]) for r in decontaminate.drop_contaminated(frame, bench).collect())
+    assert clean == Counter((k, t) for k, t in rows if not plain[t][1])
+    base = Counter((r["doc_id"], r["n_words"], r["n_base"]) for r in licenses.scan_licenses(frame).collect())
+    assert base == Counter((k, len(re.findall("[a-z]+", t or "")), int("rights reserved" in (t or ""))) for k, t in rows)
+    removed = Counter((r["doc_id"], r["n_words"], r["n_removed"]) for r in substring.mark_repeats(frame).collect())
+    lengths = {t: len((t or "").split()) for t in texts}
+    # each text stands twice, once under each id, so every window of 35 words goes
+    gone = {t: 40 if t and t.startswith(passage) else lengths[t] if lengths[t] >= 35 else 0 for t in texts}
+    gone[texts[2]] = 41
+    assert removed == Counter((k, lengths[t], gone[t]) for k, t in rows)
+    alone = Counter((r["doc_id"], r["n_removed"]) for r in substring.mark_repeats(frame.where("doc_id = 1")).collect())
+    assert alone == Counter((1, 40 if (t or "").startswith(passage) else 0) for t in texts)
+
+
+@pytest.mark.parametrize("ident", [None, 7])
+def test_mix_of_tied_random_numbers(spark, ident):
+    rows = [(ident, f"{k} " + "w " * 49, "abc"[k % 3], "x", "x") for k in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, mixing_plan string, taken string").repartition(5)
+    mixed = mixing.mix_sources(frame).collect()
+    assert "mixing_plan" in mixed[0].asDict() and len(mixed) == 600
+    for s in "abc":
+        own = [r for r in mixed if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 25
+    again = mixing.mix_sources(frame.repartition(2)).collect()
+    assert {(r["text"], r["copies"]) for r in mixed} == {(r["text"], r["copies"]) for r in again}
+
+
+def test_near_windows_are_reported_beside_exact_ones(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    loose = "alpha beta INSERTED gamma delta epsilon zeta kappa eta theta iota"
+    docs = spark.createDataFrame([(1, item), (2, loose), (3, "alpha " + "x " * 20 + item[6:]), (4, None)], "doc_id long, text string")
+    got = by_id(decontaminate.contamination(docs, spark.createDataFrame([(5, item)], "item_id long, text string")))
+    assert [(got[k]["items"], got[k]["near_items"]) for k in (1, 2, 3, 4)] == [(["5"], ["5"]), ([], ["5"]), ([], []), ([], [])]
