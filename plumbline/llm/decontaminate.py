@@ -11,7 +11,7 @@ orders a window's terms by the number of their postings, all counted:
 So frequent words are read once, against few candidates, and a window with a word that the corpus lacks is dropped before
 any posting is read. Postings meet candidates by document and position, which no frequent word, passage or document can
 concentrate in one task. ``proximity_matches`` gives the places where all terms of a window stand, in any order, within a
-stretch of ``slack`` more words than the window has.
+stretch of ``slack`` more words than the window has; ``contamination`` takes both from the same search.
 
 The terms and windows of the benchmark are joined without a hint: Spark broadcasts them if their stored size is below its
 threshold and shuffles otherwise. Null and empty texts have no words and match nothing; an item without words gives no
@@ -29,6 +29,8 @@ from plumbline.llm.common import LETTERED, fresh, lowered, row_key, stored
 
 WINDOW = 10
 SLACK = 5
+#: Words of a cell in which places meet; a window and its slack reach into one neighbour at most.
+CELL = 64
 
 
 def words(text: Column) -> Column:
@@ -101,38 +103,59 @@ def phrase_matches(index: Index) -> DataFrame:
     return first.where("length = 1").unionByName(two.where("length = 2")).unionByName(others)
 
 
-def proximity_matches(index: Index, slack: int = SLACK) -> DataFrame:
-    """``id``, ``doc`` and ``pos`` of a window's rarest term where all its distinct terms stand within length + slack words.
+def in_cells(wanted: DataFrame, place: str) -> DataFrame:
+    """Adds ``cell``: the cell of a place, and the one beside it where ``width`` words reach over the border."""
+    cell, within = F.floor(F.col(place) / CELL), F.col(place) % CELL
+    reach = F.least(F.col("width"), F.lit(CELL))
+    return wanted.withColumn("cell", F.explode(F.sequence(cell - F.when(within < reach, 1).otherwise(0),
+                                                          cell + F.when(within >= CELL - reach, 1).otherwise(0))))
+
+
+def near_places(index: Index, slack: int) -> DataFrame:
+    """``id``, ``doc``, ``anchor`` (a place of the window's rarest term, ``rare``) and ``places``, all places of the window's terms
+    less than ``width`` (its length and the slack) away, where each term has one.
 
-    Positions are put into cells of that width; the rarest term asks its own and both neighbouring cells for each other
-    term, and the nearest stretch of the found places is checked from every possible first word.
+    The second rarest term is asked for first, and only what it leaves for the others. Places meet in cells of CELL words.
     """
-    distinct = (index.windows.select("id", "length", F.explode("order").alias("t")).groupBy("id", "length", "t.term")
-                .agg(F.min("t.n").alias("n")).groupBy("id", "length").agg(F.array_sort(F.collect_list(F.struct("n", "term"))).alias("order")))
-    width = F.col("length") + slack
-    rarest = distinct.select("id", "length", F.size("order").alias("terms"), F.col("order")[0]["term"].alias("term"),
-                             F.slice("order", 2, 1 << 20)["term"].alias("rest"))
-    anchors = stored(index.postings.join(rarest, "term").distinct(), "anchors")
-    asked = (anchors.where("terms > 1").select("id", "doc", F.col("pos").alias("anchor"), width.alias("width"), "terms",
-                                               F.explode("rest").alias("term"))
-             .withColumn("cell", F.explode(F.sequence(F.floor(F.col("anchor") / F.col("width")) - 1,
-                                                      F.floor(F.col("anchor") / F.col("width")) + 1))))
-    widths = distinct.select((F.col("length") + slack).alias("p_width"), F.explode("order.term").alias("w_term")).distinct()
-    celled = index.postings.join(widths, F.col("term") == F.col("w_term")).select(
-        F.col("term").alias("p_term"), F.col("doc").alias("p_doc"), F.col("pos").alias("p_pos"), "p_width",
-        F.floor(F.col("pos") / F.col("p_width")).alias("p_cell")).distinct()
-    near = (asked.join(celled, (F.col("doc") == F.col("p_doc")) & (F.col("term") == F.col("p_term"))
-                       & (F.col("cell") == F.col("p_cell")) & (F.col("width") == F.col("p_width")))
-            .where(F.abs(F.col("p_pos") - F.col("anchor")) < F.col("width"))
-            .groupBy("id", "doc", "anchor", "width", "terms")
-            .agg(F.collect_set(F.struct(F.col("p_pos").alias("pos"), "term")).alias("places")))
-    # a stretch begins at the anchor or at one of the found places before it
-    first = F.array_append(F.transform("places", lambda p: p["pos"]), F.col("anchor"))
-    whole = F.exists(first, lambda s: (s <= F.col("anchor")) & (s + F.col("width") > F.col("anchor")) & (F.size(F.array_distinct(
-        F.transform(F.filter("places", lambda p: (p["pos"] >= s) & (p["pos"] < s + F.col("width"))), lambda p: p["term"])))
-        == F.col("terms") - 1))
-    return (near.where(whole).select("id", "doc", F.col("anchor").alias("pos"))
-            .unionByName(anchors.where("terms = 1").select("id", "doc", "pos")))
+    terms = (index.windows.select("id", (F.col("length") + slack).alias("width"), F.explode("order").alias("t")).groupBy("id", "width", "t.term")
+             .agg(F.min("t.n").alias("n")).groupBy("id", "width").agg(F.array_sort(F.collect_list(F.struct("n", "term"))).alias("order")))
+    terms = stored(terms.select("id", "width", F.transform("order", lambda t: t["term"]).alias("terms")), "near-terms")
+    p = index.postings.select(F.col("term").alias("p_term"), F.col("doc").alias("p_doc"), F.col("pos").alias("p_pos"),
+                              F.floor(F.col("pos") / CELL).alias("p_cell"))
+    close = ((F.col("doc") == F.col("p_doc")) & (F.col("cell") == F.col("p_cell")) & (F.col("term") == F.col("p_term"))
+             & (F.abs(F.col("p_pos") - F.col("anchor")) < F.col("width")))
+    rarest = terms.select("id", "width", F.col("terms")[0].alias("p_term"), F.get("terms", F.lit(1)).alias("term"))
+    anchors = p.join(rarest, "p_term").select("id", F.col("p_doc").alias("doc"), F.col("p_pos").alias("anchor"), "width", "term")
+    second = p.join(terms.where(F.size("terms") > 1).select(F.col("terms")[1].alias("p_term")).distinct(), "p_term", "left_semi")
+    two = in_cells(anchors.where("term is not null"), "anchor").join(second, close, "left_semi").select("id", "doc", "anchor").distinct()
+    left = stored(two.unionByName(anchors.where("term is null").select("id", "doc", "anchor")), "near-candidates")
+    asked = left.join(terms.select("id", "width", F.size("terms").alias("many"), F.col("terms")[0].alias("rare"),
+                                         F.explode("terms").alias("term")), "id")
+    found = (in_cells(asked, "anchor").join(p, close).groupBy("id", "doc", "anchor", "width", "many", "rare")
+             .agg(F.collect_set(F.struct(F.col("p_pos").alias("pos"), "term")).alias("places")))
+    return found.where(F.size(F.array_distinct(F.transform("places", lambda p: p["term"]))) == F.col("many"))
+
+
+def near_and_exact(index: Index, slack: int = SLACK) -> tuple[DataFrame, DataFrame]:
+    """What ``proximity_matches`` and ``phrase_matches`` give, from one search: an occurrence is near as well, so the few
+    places that are left are compared word by word, offset-adjusted."""
+    found = stored(near_places(index, slack), "near-places")
+    width = F.col("width")
+    # a stretch begins at one of the places before the anchor
+    whole = F.exists("places", lambda b: (b["pos"] <= F.col("anchor")) & (b["pos"] + width > F.col("anchor")) & (F.size(F.array_distinct(
+        F.transform(F.filter("places", lambda p: (p["pos"] >= b["pos"]) & (p["pos"] < b["pos"] + width)), lambda p: p["term"]))) == F.col("many")))
+    near = found.where(whole).select("id", "doc", F.col("anchor").alias("pos"))
+    ordered = found.join(index.windows, "id")
+    starts = F.transform(F.filter("order", lambda o: o["term"] == F.col("rare")), lambda o: F.col("anchor") - o["offset"])
+    there = F.filter(starts, lambda s: (s >= 0) & F.forall("order", lambda o: F.exists(
+        "places", lambda p: (p["pos"] == s + o["offset"]) & (p["term"] == o["term"]))))
+    exact = ordered.select("id", "length", "doc", F.explode(there).alias("start")).distinct()
+    return near, exact
+
+
+def proximity_matches(index: Index, slack: int = SLACK) -> DataFrame:
+    """``id``, ``doc`` and ``pos`` of a window's rarest term where all its distinct terms stand within length + slack words."""
+    return near_and_exact(index, slack)[0]
 
 
 def items_of(matches: DataFrame, index: Index, name: str) -> DataFrame:
@@ -147,10 +170,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """Per document: ``n_words``, ``n_hit`` words inside matched windows, ``items``, those of the matched windows, sorted
     as strings, ``contaminated``, and ``near_items``, those of windows whose words all stand near each other."""
     index = Index(docs, items, id_col, text_col, item_col, item_text_col, window)
-    matches = stored(phrase_matches(index), "matches")
+    close, exact = near_and_exact(index, slack)
+    matches = stored(exact, "matches")
     hit = (matches.select("doc", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("pos"))
            .distinct().groupBy("doc").agg(F.count("*").alias("n_hit")))
-    near = items_of(stored(proximity_matches(index, slack), "near"), index, "near_items")
+    near = items_of(close, index, "near_items")
     found = hit.join(items_of(matches, index, "items"), "doc").join(near, "doc", "full_outer").withColumnRenamed("doc", "hit_doc")
     ident, text, none = F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.array().cast("array<string>")
     counts = F.coalesce(F.regexp_count(text, F.lit(LETTERED.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60"))), F.lit(0))

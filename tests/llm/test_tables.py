@@ -206,6 +206,9 @@ def test_proximity_equals_brute_force(spark):
             if any(terms <= set(words[i:i + width]) for i in range(len(words))):
                 expected.add((item, doc))
     assert got == expected
+    _, exact = decontaminate.near_and_exact(index, 2)
+    alone = decontaminate.phrase_matches(index)
+    assert sorted(map(tuple, exact.select(*alone.columns).collect())) == sorted(map(tuple, alone.collect()))
 
 
 SMALL = "/root/testdata/sf0.001"
