@@ -31,6 +31,7 @@ WINDOW = 10
 SLACK = 5
 #: Words of a cell in which places meet; a window and its slack reach into one neighbour at most.
 CELL = 64
+END = "\x00"
 
 
 def words(text: Column) -> Column:
@@ -46,8 +47,11 @@ def item_windows(items: DataFrame, item_col: str, text_col: str, window: int) ->
 
 
 def build_index(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Postings ``term``, ``doc``, ``pos`` of the given terms (columns ``word`` and ``term``), stored."""
-    tokens = docs.select(row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("doc"), F.posexplode(words(F.col(f"`{text_col}`"))).alias("pos", "word"))
+    """Postings ``term``, ``doc``, ``pos`` of the given terms (columns ``word`` and ``term``), stored. Behind its last word
+    every text has the word END, no word of any text, so its place is the number of words."""
+    named = docs.select(row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    ended = F.concat(F.coalesce(words(F.col("text")), F.array().cast("array<string>")), F.array(F.lit(END)))
+    tokens = named.select("doc", F.posexplode(ended).alias("pos", "word"))
     return stored(tokens.join(terms, "word").select("term", "doc", "pos"), "postings")
 
 
@@ -55,14 +59,17 @@ class Index:
     """Postings of a corpus for the terms of a benchmark, and the windows with their terms from the rarest on.
 
     ``windows`` has ``id``, ``length`` and ``order``, an array of (n, offset, term) that is sorted by the number n of
-    postings; only windows all of whose terms occur are in it. ``items`` has ``id`` and ``item``.
+    postings; only windows all of whose terms occur are in it. ``items`` has ``id`` and ``item``; ``lengths`` the number of
+    words (``pos``) of each ``doc``.
     """
 
     def __init__(self, docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int):
         all_windows = stored(item_windows(items, item_col, item_text_col, window), "windows")
         terms = stored(all_windows.select(F.explode("window").alias("word")).distinct()
                        .withColumn("term", F.monotonically_increasing_id()), "terms")
-        self.postings = build_index(docs, terms, id_col, text_col)
+        end = docs.sparkSession.createDataFrame([(END, -1)], "word string, term bigint")
+        everything = build_index(docs, terms.unionByName(end), id_col, text_col)
+        self.postings, self.lengths = everything.where("term >= 0"), everything.where("term < 0").select("doc", "pos").distinct()
         counts = self.postings.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
         sequences = stored(all_windows.select("window").distinct().withColumn("id", F.monotonically_increasing_id()), "sequences")
         placed = sequences.select("id", F.size("window").alias("length"), F.posexplode("window").alias("offset", "word"))
@@ -177,9 +184,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     near = items_of(close, index, "near_items")
     found = hit.join(items_of(matches, index, "items"), "doc").join(near, "doc", "full_outer").withColumnRenamed("doc", "hit_doc")
     ident, text, none = F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.array().cast("array<string>")
-    counts = F.coalesce(F.regexp_count(text, F.lit(LETTERED.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60"))), F.lit(0))
-    return (docs.select(ident.alias("id"), row_key(ident, text).alias("doc"), counts.cast("long").alias("n_words"))
-            .join(found, F.col("doc") == F.col("hit_doc"), "left")
+    counted = index.lengths.select("doc", F.col("pos").cast("long").alias("n_words")).join(
+        found, F.col("doc") == F.col("hit_doc"), "left").withColumnRenamed("doc", "counted_doc")
+    return (docs.select(ident.alias("id"), row_key(ident, text).alias("doc"))
+            .join(counted, F.col("doc") == F.col("counted_doc"))
             .select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", none).alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
                     F.coalesce("near_items", none).alias("near_items")))
