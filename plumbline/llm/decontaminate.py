@@ -65,10 +65,10 @@ class Index:
 
     def __init__(self, docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int):
         all_windows = stored(item_windows(items, item_col, item_text_col, window), "windows")
+        end = docs.sparkSession.range(1).select(F.lit(END).alias("word"), F.lit(-1).cast("long").alias("term"))
         terms = stored(all_windows.select(F.explode("window").alias("word")).distinct()
-                       .withColumn("term", F.monotonically_increasing_id()), "terms")
-        end = docs.sparkSession.createDataFrame([(END, -1)], "word string, term bigint")
-        everything = build_index(docs, terms.unionByName(end), id_col, text_col)
+                       .withColumn("term", F.monotonically_increasing_id()).unionByName(end), "terms")
+        everything = build_index(docs, terms, id_col, text_col)
         self.postings, self.lengths = everything.where("term >= 0"), everything.where("term < 0").select("doc", "pos").distinct()
         counts = self.postings.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
         sequences = stored(all_windows.select("window").distinct().withColumn("id", F.monotonically_increasing_id()), "sequences")
