@@ -88,8 +88,9 @@ class LabelModel:
         patterns = sorted(counts)
         n = np.array([counts[p] for p in patterns], float)
         seen = np.array([[[c == v for v in (GOOD, BAD, NONE)] for c in p] for p in patterns], float)
-        seen = seen.reshape(len(patterns), len(LABELLERS), 3)
-        self.share, self.accuracy = 0.5, np.full((2, len(LABELLERS), 2), 0.5)  # what is known without documents
+        labellers = len(patterns[0]) if patterns else len(LABELLERS)
+        seen = seen.reshape(len(patterns), labellers, 3)
+        self.share, self.accuracy = 0.5, np.full((2, labellers, 2), 0.5)  # what is known without documents
         # the start is the majority of the votes; it also says which class is the good one
         good, bad = seen[:, :, 0].sum(1), seen[:, :, 1].sum(1)
         posterior = (good + 0.5) / (good + bad + 1)
