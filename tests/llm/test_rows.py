@@ -214,6 +214,35 @@ def test_network_finds_new_secrets_and_leaves_names(spark):
     assert [s["kind"] for s in got[0]["spans"]] == ["model"] and not got[1]["spans"]
 
 
+def test_strings_planted_in_texts_are_found_by_a_network_of_the_tables(spark):
+    """Kinds unlike the basic findings; random lower-case letters are hard to tell from glued words and are not held to the bar."""
+    import base64
+    import random
+    import uuid
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    net, rng = secrets.train(secrets.labelled_findings(table).toPandas()), random.Random(3)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+
+    def drawn(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    kinds = {"prefixed": lambda: "ghp_" + drawn(low + up + digits, 36), "base64": lambda: base64.b64encode(rng.randbytes(30)).decode(),
+             "dotted": lambda: "eyJ" + drawn(low + up + digits + "-_", 30) + "." + drawn(low + up + digits + "-_", 60),
+             "capital hexadecimal": lambda: drawn(digits + "ABCDEF", 32), "parts": lambda: "xoxb-" + drawn(digits, 12) + "-" + drawn(low + up + digits, 24),
+             "words before": lambda: "sk_live_" + drawn(low + up + digits, 24), "base32": lambda: drawn(up + "234567", 32),
+             "letters and digits": lambda: drawn(low + digits, 25), "uuid": lambda: str(uuid.UUID(int=rng.getrandbits(128)))}
+    texts = [r["text"] for r in table.where("lang is not null and length(text) > 400").orderBy("doc_id").limit(100).collect()]
+    shares = {}
+    for kind, make in kinds.items():
+        found = 0
+        for text in texts:
+            at, secret = text.find(" ", rng.randrange(200)) + 1, make()
+            read = list(secrets.windows(text[:at] + secret + " " + text[at:], at, at + len(secret)))
+            found += net.probability(secrets.encode(read)).max() >= net.threshold
+        shares[kind] = found / len(texts)
+    assert shares.pop("uuid") <= 0.1 and min(shares.values()) >= 0.9, shares
+
+
 def test_long_secrets_are_scored_over_their_whole_length(spark):
     import random
     rng = random.Random(6)
