@@ -7,13 +7,15 @@
    about ``SHARD_WINDOWS`` windows, so the sketch grows with the input and no task with it. A window's shard follows from
    the smallest hash of the ``ANCHOR``-word sequences inside it: equal windows have equal ones, and neighbours mostly the
    same, so a block sends each shard runs of neighbouring windows, packed: their hashes and, for each run, where it is. A
-   shard adds up the partial sketches of all blocks; a sum of counters is never below a window's true count.
+   sequence that very many windows would follow (a line shared by unlike texts) is found beforehand by counts over all
+   texts; its windows go where their own hash says. A shard adds up the partial sketches of all blocks; a sum of counters is never below a window's true count.
 3. A second pass over the shard's own parts exactly groups only the windows whose estimate is two or more. Those found
    twice go back, as runs of places, to the block they came from and from there to its documents. None is lost, since
    estimates are never too low.
 
-Nothing is broadcast. Windows are compared by all 64 bits of the hash: with n windows the odds that any two different ones
-are taken for equal are n * n / 2**65 (0.0005 for 130 million).
+Only these frequent sequences travel to all tasks, at most ``BLOCK_WORDS / LEAST_HOT`` of them. A block's work follows from its
+windows, not from the number of shards. Windows are compared by all 64 bits of the hash, and only within a shard: n windows
+in shards of S make n * S / 2**65 false matches in the mean (0.00001 for 130 million, 0.9 for 100 TB of text).
 
 Null and empty texts have no words; texts shorter than a window lose nothing; very long texts are read whole; equal rows
 are repetitions of each other; rows are told apart by 64 bits of id and text, so null or equal ids do not matter; an empty
@@ -38,6 +40,8 @@ WINDOW = 35
 BLOCK_WORDS = 1 << 20
 SHARD_WINDOWS = 1 << 21
 ANCHOR = 8
+#: A sequence is frequent if it stands for half a shard's windows, but at least for twice this many in the mean of all blocks.
+LEAST_HOT = 64
 #: Rows of the sketch; each has at least four counters per window of its shard.
 DEPTH = 2
 SEED = 6
@@ -125,11 +129,11 @@ def block_rows(ids: list, hashes: list[np.ndarray], keys: list[np.ndarray], home
     single = np.flatnonzero(~repeated)
     single = single[np.argsort(shard[single], kind="stable")]
     stands = stands[np.argsort(shard[stands], kind="stable")]
-    ends = [(np.searchsorted(shard[x], np.arange(shards + 1)), x) for x in (single, stands)]
-    for s in range(shards):
-        part, strong = (x[cut[s]:cut[s + 1]] for cut, x in ends)
-        if len(part) or len(strong):
-            yield s, home, *localized(runs_of(owner[part], place[part])[0], ids), joined[part].tobytes(), joined[strong].tobytes()
+    present = np.union1d(shard[single], shard[stands])
+    ends = [(np.searchsorted(shard[x], present), np.searchsorted(shard[x], present, "right"), x) for x in (single, stands)]
+    for k, s in enumerate(present.tolist()):
+        part, strong = (x[first[k]:last[k]] for first, last, x in ends)
+        yield s, home, *localized(runs_of(owner[part], place[part])[0], ids), joined[part].tobytes(), joined[strong].tobytes()
 
 
 def numbers(packed: bytes) -> np.ndarray:
@@ -176,44 +180,74 @@ def of_documents(rows: pd.DataFrame) -> Iterator[tuple[object, bytes]]:
         yield i, b"".join(packed)
 
 
-def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
-    """``id`` and ``runs``: first places and lengths of the runs of windows that occur twice or more, packed."""
-    kind = docs.schema[id_col].dataType
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+def hashed_blocks(batches: Iterator[pd.DataFrame], window: int) -> Iterator[tuple[list, list[np.ndarray], list[np.ndarray], int]]:
+    """Ids, hashes of windows and their anchors, and the number of words, of about ``BLOCK_WORDS`` words at a time."""
+    table = powers(1 << 12)
+    ids, hashes, keys, n = [], [], [], 0
+    for batch in batches:
+        for i, text in zip(batch["id"].astype(object), batch["text"]):
+            words = (text or "").encode().split()
+            if len(words) < window:
+                continue
+            if len(words) > len(table[0]):
+                table = powers(1 << len(words).bit_length())
+            codes = word_hashes(words)
+            ids.append(None if i is pd.NA or i != i else i)
+            hashes.append(window_hashes(codes, window, table))
+            keys.append(anchors(codes, window, table))
+            n += len(words)
+            if n >= BLOCK_WORDS:
+                yield ids, hashes, keys, n
+                ids, hashes, keys, n = [], [], [], 0
+    if ids:
+        yield ids, hashes, keys, n
+
+
+def frequent_anchors(rows: DataFrame, n_words: int, window: int) -> np.ndarray:
+    """The anchors of very many windows, rising. Blocks leave out anchors that are rare in them, half of what is asked in all."""
+    n_blocks = n_words // BLOCK_WORDS + 1
+    wanted = max(SHARD_WINDOWS // 2, 2 * LEAST_HOT * n_blocks)
+    least = wanted // (2 * n_blocks)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, _, keys, _ in hashed_blocks(batches, window):
+            values, counts = np.unique(np.concatenate(keys), return_counts=True)
+            often = counts >= least
+            yield pd.DataFrame({"anchor": values[often].view(np.int64), "n": counts[often]})
+
+    found = (rows.mapInPandas(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+             .where(F.col("n") >= wanted // 2).select("anchor").toPandas())
+    return np.sort(found["anchor"].to_numpy(np.int64).view(np.uint64))
+
+
+def sent_windows(rows: DataFrame, window: int) -> DataFrame:
+    """Rows of ``id`` and ``text`` as packed rows for the shards."""
     # words of five letters and a space behind them
-    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 1 << max(0, n_bytes // 6 // SHARD_WINDOWS - 1).bit_length()
+    n_words = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    shards = 1 << max(0, n_words // SHARD_WINDOWS - 1).bit_length()
+    frequent = frequent_anchors(rows, n_words, window) if shards > 1 else np.zeros(0, np.uint64)
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = powers(1 << 12)
-        ids, hashes, keys, n = [], [], [], 0
-
-        def packed():
+        for ids, hashes, keys, n in hashed_blocks(batches, window):
+            if len(frequent):
+                keys = [np.where(np.isin(k, frequent), h * np.uint64(MIX[1]), k) for k, h in zip(keys, hashes)]
             home = xxhash.xxh64_intdigest(repr((ids[0], ids[-1], n))) >> 1
-            return pd.DataFrame(list(block_rows(ids, hashes, keys, home, shards)),
-                                columns=["shard", "home", "ids", "runs", "hashes", "heavy"])
-
-        for batch in batches:
-            for i, text in zip(batch["id"].astype(object), batch["text"]):
-                words = (text or "").encode().split()
-                if len(words) < window:
-                    continue
-                if len(words) > len(table[0]):
-                    table = powers(1 << len(words).bit_length())
-                codes = word_hashes(words)
-                ids.append(None if i is pd.NA or i != i else i)
-                hashes.append(window_hashes(codes, window, table))
-                keys.append(anchors(codes, window, table))
-                n += len(words)
-                if n >= BLOCK_WORDS:
-                    yield packed()
-                    ids, hashes, keys, n = [], [], [], 0
-        if ids:
-            yield packed()
-
-    places = [T.StructField("home", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("runs", T.BinaryType())]
-    sent = T.StructType([T.StructField("shard", T.IntegerType()), *places, *[T.StructField(c, T.BinaryType()) for c in ("hashes", "heavy")]])
-    found = T.StructType([T.StructField("id", kind), T.StructField("runs", T.BinaryType())])
+            yield pd.DataFrame(list(block_rows(ids, hashes, keys, home, shards)),
+                               columns=["shard", "home", "ids", "runs", "hashes", "heavy"])
+
+    return rows.mapInPandas(blocks, T.StructType([
+        T.StructField("shard", T.IntegerType()), *places(rows), *[T.StructField(c, T.BinaryType()) for c in ("hashes", "heavy")]]))
+
+
+def places(rows: DataFrame) -> list[T.StructField]:
+    return [T.StructField("home", T.LongType()), T.StructField("ids", T.ArrayType(rows.schema["id"].dataType)),
+            T.StructField("runs", T.BinaryType())]
+
+
+def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
+    """``id`` and ``runs``: first places and lengths of the runs of windows that occur twice or more, packed."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    found = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("runs", T.BinaryType())])
 
     def group(rows: pd.DataFrame) -> pd.DataFrame:
         # negative shards carry what blocks have settled themselves, dealt as evenly as the others
@@ -224,7 +258,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int =
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(list(of_documents(rows)), columns=["id", "runs"])
 
-    return (rows.mapInPandas(blocks, sent).groupBy("shard").applyInPandas(group, T.StructType(places))
+    return (sent_windows(rows, window).groupBy("shard").applyInPandas(group, T.StructType(places(rows)))
             .groupBy("home").applyInPandas(gather, found))
 
 

@@ -144,6 +144,23 @@ def test_substring_with_rows_of_equal_ids(spark):
     assert got == [(0, 50), (1, 50), (1, 50), (2, 40)]
 
 
+def test_a_line_in_unlike_texts_fills_no_shard(spark, monkeypatch):
+    rng = random.Random(8)
+    line = " ".join(f"line{k}" for k in range(20))
+    texts = [(k, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(30)) + f" {line} " + " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(30)))
+             for k in range(20_000)]
+    texts += [(20_000, texts[7][1]), (20_001, "new " * 3 + texts[9][1])]
+    rows = spark.createDataFrame(texts, "id long, text string").repartition(4)
+    monkeypatch.setattr(substring, "SHARD_WINDOWS", 1 << 16)
+    sizes = [r[0] for r in substring.sent_windows(rows, 35).groupBy("shard").agg(F.sum(F.octet_length("hashes"))).where("shard >= 0")
+             .drop("shard").collect()]
+    assert len(sizes) >= 16 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    hot = substring.frequent_anchors(rows, 1_600_000, 35)
+    assert 1 <= len(hot) <= substring.BLOCK_WORDS // substring.LEAST_HOT
+    gone = {r["id"]: r["n_removed"] for r in substring.mark_repeats(rows, "id").where("n_removed > 0").collect()}
+    assert gone == {7: 80, 20_000: 80, 9: 80, 20_001: 80}
+
+
 def test_sketch_never_estimates_too_low():
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 1 << 62, 5000).astype(np.uint64)
