@@ -18,6 +18,9 @@ from plumbline.plans.order import exact_quantiles
 from plumbline.plans.ranks import expand_ties, running_counts, survey
 from plumbline.sources.tables import unpivot, value
 
+#: Classes that are broadcast to their values.
+BROADCAST_CLASSES = 10_000
+
 
 def bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
     """column -> (count, min, max)"""
@@ -96,13 +99,13 @@ def histogram_by_class(df: DataFrame, columns: Sequence[str], label: str, k: int
     """k bins for every (column, class), each over its own range."""
     values = unpivot(df.select(label, *[value(c).alias(c) for c in columns]),
                      columns, "column", "value", [label]).filter(F.col("value").isNotNull() & F.col(label).isNotNull())
-    grid = settle(values.groupBy("column", label).agg(F.min("value").alias("low"), F.max("value").alias("high")))
+    grid = settle(values.groupBy("column", label).agg(F.min("value").alias("low"), F.max("value").alias("high"),
+                                                      F.count(F.lit(1)).alias("rows")))
     flat = F.col("low") == F.col("high")
-    grid = grid.select("column", label, F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
+    grid = grid.select("column", label, "rows", F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
                        F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"))
     width = (F.col("high") - F.col("low")) / k
-    # few classes are literal rows, which Spark broadcasts; many meet their values in a shuffle
-    placed = values.join(grid, ["column", label]).withColumn(
+    placed = _beside_their_class(values, grid, label).withColumn(
         "bin", F.least(F.floor((F.col("value") - F.col("low")) / width), F.lit(k - 1)).cast("int"))
     counts = placed.groupBy("column", label, "bin").count()
     frame = grid.withColumn("bin", F.explode(F.array(*[F.lit(i) for i in range(k)])))
@@ -111,6 +114,19 @@ def histogram_by_class(df: DataFrame, columns: Sequence[str], label: str, k: int
         (F.col("low") + (F.col("bin") + 1) * width).alias("upper"), F.coalesce("count", F.lit(0)).alias("n"))
 
 
+def _beside_their_class(values: DataFrame, grid: DataFrame, label: str) -> DataFrame:
+    """Values joined with the row of their column and class. The classes with most rows, fewer than ``BROADCAST_CLASSES`` by
+    arithmetic, are broadcast, so no task receives a whole large class; the others meet their values in a shuffle."""
+    by = ["column", label]
+    if grid.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES:
+        return values.join(F.broadcast(grid), by)
+    everything = grid.agg(F.sum("rows")).first()[0]
+    large = settle(grid.filter(F.col("rows") * BROADCAST_CLASSES > everything), BROADCAST_CLASSES)
+    known = F.broadcast(large.select(*by))
+    rest = values.join(known, by, "left_anti").join(grid.join(known, by, "left_anti"), by)
+    return values.join(F.broadcast(large), by).unionByName(rest)
+
+
 def equal_width_edges(df: DataFrame, columns: Sequence[str], k: int = 5) -> dict[str, list[float]]:
     """k + 1 edges, the lowest one moved down by 0.1 % of the range."""
     out = {}

@@ -118,3 +118,14 @@ def test_trend_follows_a_line(spark):
     df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(500)], "x double, y double")
     for r in bins.trend_binned(df, "x", "y").collect():
         assert r.trend == pytest.approx(2 * r.x + 1)
+
+
+def test_histogram_by_class_broadcasts_large_classes(spark, monkeypatch):
+    rows = [("big", float(i % 40)) for i in range(400)] + [(f"k{i}", float(i + j)) for i in range(12) for j in range(3)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    plain = bins.histogram_by_class(df, ["x"], "k", 4)
+    plan = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan or "leftHint=(strategy=broadcast)" in plan
+    want = sorted(map(tuple, plain.collect()))
+    monkeypatch.setattr(bins, "BROADCAST_CLASSES", 5)
+    assert sorted(map(tuple, bins.histogram_by_class(df, ["x"], "k", 4).collect())) == want and len(want) == 13 * 4
