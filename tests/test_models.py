@@ -426,3 +426,63 @@ def test_regression_report_picks_the_model_by_target(spark):
     df = df.withColumn("side", (F.col("a") > 3).cast("int"))
     assert {r.model for r in reports.regression_report(df, ["a", "b"], "side", ["id"]).collect()} == {"logistic"}
     assert {r.model for r in reports.regression_report(df, ["a", "b"], "y", ["id"]).collect()} == {"linear", "ridge"}
+
+
+def test_search_on_parts_ends_at_the_minimum_of_all_rows(blobs, monkeypatch):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    rows, n = classify.spread_out(task.train.select(*task.features, "label"))
+    rows = rows.persist()
+    options = [machines.KernelOptions("linear"), machines.KernelOptions(random_features=30)]
+    plain, whole = machines.train_machines(rows, task.features, 3, options), softmax.fit_softmax(rows, task.features, 3, 1.0 / n)
+    monkeypatch.setattr(sums, "START_ROWS", 60)
+    monkeypatch.setattr(sums, "GROWTH", 4)
+    assert sums.shares(n) == [16, 4] and sums.shares(200) == []
+    jobs, measured = [], newton._measured
+    monkeypatch.setattr(newton, "_measured", lambda rows, *rest: jobs.append(rows.count()) or measured(rows, *rest))
+    parted, fit = machines.train_machines(rows, task.features, 3, options), softmax.fit_softmax(rows, task.features, 3, 1.0 / n)
+    x, y = rows.toPandas()[task.features].to_numpy(), rows.toPandas().label.to_numpy()
+    np.testing.assert_allclose(fit.weights, whole.weights, atol=1e-3)
+    for a, b in zip(plain, parted):
+        assert b.jobs < a.jobs
+        for i, (p, q) in enumerate(a.pairs):
+            mine = (y == p) | (y == q)
+            objective = [np.maximum(0, 1 - np.where(y[mine] == p, 1, -1) * m.sides()(x[mine])[:, i]).mean()
+                         + (m.coefficients[i] ** 2).sum() / 2 / mine.sum() for m in (a, b)]
+            assert objective[1] == pytest.approx(objective[0], rel=0.01, abs=1e-3)
+    assert jobs[-1] == n and jobs.count(n) < len(jobs) / 2
+
+
+def test_perceptron_on_parts_ends_on_all_rows(blobs, monkeypatch):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    monkeypatch.setattr(sums, "START_ROWS", 200)
+    monkeypatch.setattr(sums, "GROWTH", 4)
+    monkeypatch.setattr(perceptron, "BLOCK", 32)
+    seen, step = [], perceptron._step
+    monkeypatch.setattr(perceptron, "_step", lambda *given: seen.append(given[0].count()) or step(*given))
+    o = classify.PerceptronOptions(hidden=(12, 6), learning_rate=0.02, batch=50, max_iter=5, patience=2)
+    model = classify.train_perceptron(task.train, task.features, task.keys, 3, o)
+    most = max(seen)
+    assert seen[-1] == most and most >= 32 and min(seen) < most / 2
+    assert len(model.losses) == model.iterations == seen.count(most) // perceptron.MOST_STEPS
+    assert classify.accuracy_of(model, task.test) > 0.9
+    again = classify.train_perceptron(task.train.repartition(3, "noise"), task.features, task.keys, 3, o)
+    assert (again.weights == model.weights).all()
+    run = perceptron.Run(1, 2, 10, o)
+    run.best, run.best_score = run.weights + 1, 1.0
+    run.go_on(100)
+    start, size = run.weights, len(run.weights)
+    run.advance(np.concatenate([np.ones(size), [1.0, 10.0, 4.0, 4.0]]))
+    while run.epoch < 1:
+        run.advance(np.concatenate([np.ones(size), [1.0, 10.0, 0.0, 0.0]]))
+    run.advance(np.concatenate([np.ones(size), [1.0, 10.0, 4.0, 3.0]]))
+    assert (run.best != start).any()  # worse on the held-back rows, but trained on all
+
+
+def test_probabilities_of_few_and_many_classes_agree(spark, monkeypatch):
+    model = softmax.Softmax(RNG.normal(size=(3, 2)), RNG.normal(size=3))
+    df = spark.createDataFrame([(1.0, 2.0), (-800.0, 900.0), (0.0, 0.0)], "a double, b double")
+    plain = df.select(model.probability([F.col("a"), F.col("b")]).alias("p"))
+    assert "lambda" not in plain._jdf.queryExecution().analyzed().toString()
+    got = [r.p for r in plain.collect()]
+    monkeypatch.setattr(softmax, "PLAIN_CLASSES", 0)
+    assert got == [r.p for r in df.select(model.probability([F.col("a"), F.col("b")]).alias("p")).collect()]
