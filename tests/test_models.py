@@ -486,3 +486,34 @@ def test_probabilities_of_few_and_many_classes_agree(spark, monkeypatch):
     got = [r.p for r in plain.collect()]
     monkeypatch.setattr(softmax, "PLAIN_CLASSES", 0)
     assert got == [r.p for r in df.select(model.probability([F.col("a"), F.col("b")]).alias("p")).collect()]
+
+
+def test_parts_take_little_patience_and_all_rows_take_short_steps(blobs, monkeypatch):
+    run = perceptron.Run(3, 2, 10 ** 7, classify.PerceptronOptions())
+    first = run.rate
+    run.go_on(10 ** 8)
+    assert run.rate < first and run.patience == 10
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    monkeypatch.setattr(sums, "START_ROWS", 200)
+    monkeypatch.setattr(sums, "GROWTH", 4)
+    waits, ends = [], perceptron.Run._ends
+    monkeypatch.setattr(perceptron.Run, "_ends", lambda self, score: waits.append((self.went_on, self.patience, self.kind)) or ends(self, score))
+    classify.train_perceptron(task.train, task.features, task.keys, 3, classify.PerceptronOptions(hidden=(6,), max_iter=3, patience=9))
+    assert set(waits) == {(False, perceptron.PART_PATIENCE, np.float32), (True, 9, np.float32)}
+
+
+def test_classes_alone_are_those_of_the_prediction(blobs, monkeypatch):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    models = {"net": classify.train_perceptron(task.train, task.features, task.keys, 3, classify.PerceptronOptions(hidden=(8,), max_iter=3)),
+              "svm": classify.train_svm(task.train, task.features, 3, machines.KernelOptions("linear")),
+              "logit": classify.train_logistic(task.train, task.features)}
+    for model in models.values():
+        got = model.predict_class(task.test, "class").toPandas().sort_values("id")
+        assert (got["class"].to_numpy() == model.predict(task.test).toPandas().sort_values("id").prediction.to_numpy()).all()
+    dealt, copies = [], classify.permuted_copies
+    monkeypatch.setattr(classify, "permuted_copies", lambda *a: dealt.append(1) or copies(*a))
+    together = {(r.model, r.feature): r.importance for r in classify.permutation_importance(
+        models, task.test, task.features, task.keys, 2).collect()}
+    apart = {(r.model, r.feature): r.importance for n, m in models.items() for r in classify.permutation_importance(
+        {n: m}, task.test, task.features, task.keys, 2).collect()}
+    assert together == pytest.approx(apart) and len(together) == 9 and len(dealt) == 4
