@@ -425,3 +425,32 @@ def test_toxicity_learns_words_and_never_sees_held_out_rows(spark):
     assert all(abs(score[k] - again[k]) < 1e-9 for k in late)
     assert {r["score"] for r in toxicity.score_toxicity(docs, known.where("toxic = 0")).collect()} == {0.0}
     assert toxicity.score_toxicity(docs.limit(0), known).count() == 0
+
+
+def test_toxicity_trains_and_calibrates_on_all_labelled_rows(spark, monkeypatch):
+    import numpy as np
+    import pytest
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    common = [f"plain{k}" for k in range(30)]
+    texts, marks = [], rng.integers(0, 2, 300)
+    for k, mark in enumerate(marks):
+        texts.append(" ".join([*rng.choice(common, 12), *(["nasty" if k % 2 else "vile"] if mark else [])]))
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    known = spark.createDataFrame([(k, int(m)) for k, m in enumerate(marks)], "doc_id long, toxic int")
+    rows, sample, share = toxicity.training_rows(docs, known, F.lit(True), "doc_id", "text", "lang", "toxic", 30, 10_000)
+    assert rows.count() == 300 and len(sample) == 60 and share == pytest.approx(marks.mean())
+    apart = {r["id"]: r["held"] for r in rows.collect()}
+    assert all(apart[i] == h for i, h in zip(sample["id"], sample["held"]))
+    learnt = [np.unique(toxicity.word_ids(t)) for k, t in enumerate(texts) if not apart[k]]
+    buckets, n = np.unique(np.concatenate(learnt), return_counts=True)
+    assert (toxicity.common_buckets(rows) == buckets[n >= toxicity.MIN_TEXTS]).all()
+    seen, adjust = [], toxicity.TextNetwork.calibrate
+    monkeypatch.setattr(toxicity.TextNetwork, "calibrate", lambda self, z, y, langs, share, counts=None: seen.append(
+        len(z) if counts is None else counts.sum()) or adjust(self, z, y, langs, share, counts))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, known, most=30).collect()}
+    assert seen[-1] == sum(apart.values())
+    assert np.mean([(got[k] >= 0.5) == m for k, m in enumerate(marks)]) > 0.95
+    again = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs.repartition(5, "text"), known, most=30).collect()}
+    assert all(again[k] == pytest.approx(v, abs=1e-4) for k, v in got.items())
