@@ -517,3 +517,22 @@ def test_classes_alone_are_those_of_the_prediction(blobs, monkeypatch):
     apart = {(r.model, r.feature): r.importance for n, m in models.items() for r in classify.permutation_importance(
         {n: m}, task.test, task.features, task.keys, 2).collect()}
     assert together == pytest.approx(apart) and len(together) == 9 and len(dealt) == 4
+
+
+def test_copies_are_scored_where_they_are_made(blobs):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    models = {"net": classify.train_perceptron(task.train, task.features, task.keys, 3, classify.PerceptronOptions(hidden=(8,), max_iter=3)),
+              "logit": classify.train_logistic(task.train, task.features)}
+    test = task.test.select("id", *task.features, "label")
+    copies = classify.permuted_copies(test, task.features, ["id"], 3, 5, 100)
+    counted = classify.permuted_copies(test, task.features, ["id"], 3, 5, 100, models)
+    whole, found = test.count(), {}
+    for r in counted.groupBy("feature", "repeat").agg(F.sum("n"), F.sum("class 0"), F.sum("class 1")).collect():
+        assert r[2] == whole
+        found[r.feature, r.repeat] = r[3:]
+    for i, model in enumerate(models.values()):
+        for r in model.predict_class(copies, "c").groupBy("feature", "repeat").agg(F.sum((F.col("c") == F.col("label")).cast("int"))).collect():
+            assert found[r.feature, r.repeat][i] == r[2]
+        assert found[None, None][i] == model.predict_class(test, "c").filter("c = label").count()
+    # no sort of every copy is left, and no copy reaches another operator
+    assert "Window" not in counted._jdf.queryExecution().toString() and "Generate" not in counted._jdf.queryExecution().toString()
