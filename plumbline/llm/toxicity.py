@@ -32,7 +32,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import stored
 from plumbline.plans.sums import add_up
 
 MOST_ROWS = 2000
@@ -44,6 +43,8 @@ DROPPED, DECAY = 0.2, 1e-2
 DIM, FILTERS, WIDTHS = 16, 8, (1, 2, 3)
 #: Epochs over all rows after the fit on a part, steps of an epoch, their rate, and rows of a task.
 EPOCHS, STEPS, RATE, LANE_ROWS = 4, 16, 0.004, 20_000
+#: Bits of the bitmap of labelled ids, two to the power of, at most; with more ids it leaves out fewer texts.
+MOST_BITS = 26
 #: Logits of the rows held back are counted in steps of this size.
 LOGIT_STEP = 1 / 256
 #: Words of a block that is scored at once.
@@ -220,52 +221,71 @@ def blocks(texts: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, lang_col: str,
                   label_col: str, most: int, most_chars: int) -> tuple[DataFrame, pd.DataFrame, float]:
-    """All labelled rows as a stored table, the bounded part that training starts on, and the share of ones among all usable
-    labels."""
-    known = (labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("label"))
+    """The words of all labelled rows, persisted in the lanes of the training, the bounded part that training starts on, and
+    the share of ones among all usable labels.
+
+    Texts are cut where they are read, and a bitmap of the labelled ids' hashes, of bounded size, leaves out most others
+    before; so little more than the words of the labelled rows is shuffled, once, at any size.
+    """
+    kind = docs.select(F.col(f"`{id_col}`").alias("id")).union(labels.select(F.col(f"`{id_col}`").alias("id"))).schema["id"].dataType
+    ident, order = F.col(f"`{id_col}`").cast(kind).alias("id"), F.xxhash64(F.col("id").cast("string"))
+    known = (labels.select(ident, F.col(f"`{label_col}`").cast("double").alias("label"))
              .where(F.col("id").isNotNull() & F.col("label").isNotNull()).where(usable)
-             .groupBy("id").agg(F.max("label").alias("label")).withColumn("order", F.xxhash64(F.col("id").cast("string"))))
-    share = known.agg(F.avg("label")).first()[0]
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
-    rows = stored(texts.join(known, "id").select("order", "id", "text", "lang", "label"), "labelled")
+             .groupBy("id").agg(F.max("label").alias("label")).withColumn("order", order).persist())
+    n, share = known.agg(F.count("*"), F.avg("label")).first()
+    texts = (docs.select(ident, F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
+             .where(F.col("id").isNotNull()).withColumn("order", order))
     chosen = [known.where(F.col("label") == k).orderBy("order", "id").limit(most) for k in (0, 1)]
-    few = F.broadcast(chosen[0].unionByName(chosen[1]).select("id"))
-    sample = rows.where(F.length(F.coalesce("text", F.lit(""))) <= most_chars).join(few, "id", "left_semi").toPandas()
+    few = F.broadcast(chosen[0].unionByName(chosen[1]).select("id", "label"))
+    sample = texts.where(F.length(F.coalesce("text", F.lit(""))) <= most_chars).join(few, "id").select("order", "id", "text", "lang", "label").toPandas()
     sample = sample.sort_values(["order", "id", "text"], ignore_index=True)
     sample["held"] = sample["order"] // 7 % 5 == 0
-    return rows.withColumn("held", F.expr("pmod(`order` div 7 - if(`order` < 0 and `order` % 7 != 0, 1, 0), 5) = 0")), sample, float(share or 0.0)
+
+    place = F.shiftrightunsigned("order", 64 - min(MOST_BITS, max(15, int(n * 8).bit_length())))
+    cells = known.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("cell")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    likely = texts.withColumn("cell", F.bitmap_bucket_number(place)).join(F.broadcast(cells), "cell").where(
+        F.getbit(byte, (at % 8).cast("int")) == 1)
+
+    @F.pandas_udf("binary")
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([word_ids(t).astype(np.int32).tobytes() for t in texts], dtype=object)
+
+    tasks = max(4, n // LANE_ROWS)
+    words = likely.select("order", "id", "lang", cut("text").alias("words")).repartition(tasks, "order", "id")
+    # a broadcast on small tables would leave the shuffle of all words behind on large ones
+    rows = words.join(known.repartition(tasks, "order", "id").hint("merge"), ["order", "id"])
+    rows = rows.withColumn("held", F.expr("pmod(`order` div 7 - if(`order` < 0 and `order` % 7 != 0, 1, 0), 5) = 0"))
+    return rows.sortWithinPartitions("order", "words", "lang").persist(), sample, float(share or 0.0)
 
 
 def common_buckets(rows: DataFrame) -> np.ndarray:
     """The buckets that enough of the texts learnt from hold; the driver keeps one number of each, as the network does."""
-    @F.pandas_udf("array<bigint>")
-    def held_by(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(word_ids(t)) for t in texts], dtype=object)
+    @F.pandas_udf("array<int>")
+    def held_by(words: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(np.frombuffer(w, np.int32)) for w in words], dtype=object)
 
-    found = rows.where(~F.col("held")).select(F.explode(held_by("text")).alias("bucket")).groupBy("bucket").count()
+    found = rows.where(~F.col("held")).select(F.explode(held_by("words")).alias("bucket")).groupBy("bucket").count()
     return np.sort(np.array([r["bucket"] for r in found.where(F.col("count") >= MIN_TEXTS).select("bucket").collect()], np.int64))
 
 
-def train_on_all(network: TextNetwork, rows: DataFrame, n: int, share: float, seed: int = 9) -> TextNetwork:
+def train_on_all(network: TextNetwork, dealt: DataFrame, share: float, seed: int = 9) -> TextNetwork:
     """Epochs over all labelled rows from where the network stands; of these the one with the lowest loss on all rows held
-    back is kept, and calibrated on them. Lanes, batches and dropped words follow from the rows, not from files or cores."""
-    counts = {(r["held"], r["label"]): r["count"] for r in rows.groupBy("held", "label").count().collect()}
+    back is kept, and calibrated on them. Lanes, batches and dropped words follow from the rows, not from files or cores; a
+    step's tasks are handed the rows of its batch only."""
+    counts = {(r["held"], r["label"]): r["count"] for r in dealt.groupBy("held", "label").count().collect()}
     of = {k: counts.get((False, float(k)), 0) for k in (0, 1)}
-    tasks = max(4, n // LANE_ROWS)
-
-    @F.pandas_udf("binary")
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([word_ids(t).astype(np.int32).tobytes() for t in texts], dtype=object)
-
-    # words are cut once; equal rows come in any order
-    dealt = rows.select("order", "label", "lang", "held", cut("text").alias("words")).repartition(tasks, "order", "words").sortWithinPartitions(
-        "order", "words", "lang").persist()
+    tasks = dealt.rdd.getNumPartitions()
     names, best, least, first, second, step = [k for k in network.p if k != "embed"], network.p, np.inf, {}, {}, 0
     ends, context = np.cumsum([0] + [network.p[k].size for k in names]), dealt.sparkSession.sparkContext
     for epoch in range(EPOCHS + 1):
         # the first step of an epoch also measures the loss of the weights as they are; a last one only that
         for at in range(STEPS if epoch < EPOCHS else 1):
             learning, sent = epoch < EPOCHS, context.broadcast(network)
+            turn = F.crc32(F.concat(F.lit(f"{seed} {epoch} "), F.col("order").cast("string")).cast("binary")) % STEPS
+            wanted = (F.col("held") & F.lit(at == 0)) | (~F.col("held") & F.lit(learning) & (turn == at))
 
             def measure(batches: Iterator[pd.DataFrame]) -> dict[int, np.ndarray]:
                 network = sent.value
@@ -273,8 +293,7 @@ def train_on_all(network: TextNetwork, rows: DataFrame, n: int, share: float, se
                 for batch in batches:
                     orders, label = batch["order"].to_numpy(), batch["label"].to_numpy(float)
                     held = batch["held"].to_numpy(bool)
-                    turn = np.array([zlib.crc32(f"{seed} {epoch} {o}".encode()) % STEPS for o in orders])
-                    pick = np.flatnonzero(~held & (turn == at)) if learning else []
+                    pick = np.flatnonzero(~held)
                     for s in range(0, len(pick), 128):
                         some = pick[s:s + 128]
                         drawn = []
@@ -286,7 +305,7 @@ def train_on_all(network: TextNetwork, rows: DataFrame, n: int, share: float, se
                         total[:-1] += np.concatenate([np.ravel(g[k]) for k in names]) * weights.sum()
                         total[-1] += weights.sum()
                         embed += g["embed"] * weights.sum()
-                    if at == 0 and held.any():
+                    if held.any():
                         places = np.flatnonzero(held)
                         z = np.concatenate([network.logits(block) for block in blocks([np.frombuffer(batch["words"][i], np.int32) for i in places])])
                         for k in (0, 1):
@@ -295,7 +314,7 @@ def train_on_all(network: TextNetwork, rows: DataFrame, n: int, share: float, se
                 # of the embeddings those that the batch touched
                 return {0: np.concatenate([total, lost]), **{int(r) + 1: embed[r] for r in np.flatnonzero(embed.any(axis=1))}}
 
-            found = add_up(dealt, tasks, measure, network.p["embed"].size // 4)
+            found = add_up(dealt.where(wanted).select("order", "label", "held", "words"), tasks, measure, network.p["embed"].size // 4)
             sent.destroy()
             sums = found.pop(0)
             if at == 0 and epoch:
@@ -323,7 +342,6 @@ def train_on_all(network: TextNetwork, rows: DataFrame, n: int, share: float, se
         return pd.Series(np.round(np.concatenate(found) / LOGIT_STEP).astype(np.int64) if found else [], dtype="int64")
 
     cells = dealt.where("held").select(place_of("words").alias("place"), "label", "lang").groupBy("place", "label", "lang").count().toPandas()
-    dealt.unpersist()
     cells = cells.sort_values(["place", "label", "lang"], ignore_index=True)
     return network.calibrate(cells["place"].to_numpy() * LOGIT_STEP, cells["label"].to_numpy(float), cells["lang"].to_numpy(object), share,
                              cells["count"].to_numpy(float))
@@ -340,7 +358,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     more = n > len(sample) and len(set(sample["label"][~sample["held"]])) == len(set(sample["label"][sample["held"]])) == 2
     network = train(sample, share, known=common_buckets(rows) if more else None)
     if more:
-        network = train_on_all(network, rows, n, share)
+        network = train_on_all(network, rows, share)
+    rows.unpersist()
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

@@ -454,3 +454,21 @@ def test_toxicity_trains_and_calibrates_on_all_labelled_rows(spark, monkeypatch)
     assert np.mean([(got[k] >= 0.5) == m for k, m in enumerate(marks)]) > 0.95
     again = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs.repartition(5, "text"), known, most=30).collect()}
     assert all(again[k] == pytest.approx(v, abs=1e-4) for k, v in got.items())
+
+
+def test_toxicity_shuffles_only_words_of_labelled_rows(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rows = [(k, f"word{k % 7} and more", "en") for k in range(-2000, 2000)] + [(5, "twice given", None), (None, "no id", "en"), (8, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = [(k, int(k % 2 == 0)) for k in range(-40, 60)] + [(9999, 1), (None, 1), (7, None), (6, 0)]
+    known = spark.createDataFrame(marks, "doc_id int, toxic int")
+    got, _, share = toxicity.training_rows(docs, known, F.col("id") != 3, "doc_id", "text", "lang", "toxic", 30, 10_000)
+    found = sorted((r["id"], r["label"], tuple(np.frombuffer(r["words"], np.int32))) for r in got.collect())
+    want = sorted((i, float(i % 2 == 0), tuple(toxicity.word_ids(t))) for i, t, _ in rows if i is not None and -40 <= i < 60 and i != 3)
+    assert found == want and share == 51 / 100
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # one way at any size: texts go no further than the task that reads them, and rows meet labels in a merge
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+    got.unpersist()
