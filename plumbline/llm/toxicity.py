@@ -225,7 +225,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, id_col: st
     the share of ones among all usable labels.
 
     Texts are cut where they are read, and a bitmap of the labelled ids' hashes, of bounded size, leaves out most others
-    before; so little more than the words of the labelled rows is shuffled, once, at any size.
+    before; so little more than the words of the labelled rows is shuffled, to their labels and to their lanes, at any size.
     """
     kind = docs.select(F.col(f"`{id_col}`").alias("id")).union(labels.select(F.col(f"`{id_col}`").alias("id"))).schema["id"].dataType
     ident, order = F.col(f"`{id_col}`").cast(kind).alias("id"), F.xxhash64(F.col("id").cast("string"))
@@ -254,11 +254,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, id_col: st
         return pd.Series([word_ids(t).astype(np.int32).tobytes() for t in texts], dtype=object)
 
     tasks = max(4, n // LANE_ROWS)
-    words = likely.select("order", "id", "lang", cut("text").alias("words")).repartition(tasks, "order", "id")
+    words = likely.select("id", "lang", cut("text").alias("words"))
     # a broadcast on small tables would leave the shuffle of all words behind on large ones
-    rows = words.join(known.repartition(tasks, "order", "id").hint("merge"), ["order", "id"])
+    rows = words.join(known.hint("merge"), "id")
     rows = rows.withColumn("held", F.expr("pmod(`order` div 7 - if(`order` < 0 and `order` % 7 != 0, 1, 0), 5) = 0"))
-    return rows.sortWithinPartitions("order", "words", "lang").persist(), sample, float(share or 0.0)
+    return rows.repartition(tasks, "order", "words").sortWithinPartitions("order", "words", "lang").persist(), sample, float(share or 0.0)
 
 
 def common_buckets(rows: DataFrame) -> np.ndarray:
@@ -283,12 +283,13 @@ def train_on_all(network: TextNetwork, dealt: DataFrame, share: float, seed: int
     for epoch in range(EPOCHS + 1):
         # the first step of an epoch also measures the loss of the weights as they are; a last one only that
         for at in range(STEPS if epoch < EPOCHS else 1):
-            learning, sent = epoch < EPOCHS, context.broadcast(network)
+            learning, sent = epoch < EPOCHS, context.broadcast((network.known, network.p))
             turn = F.crc32(F.concat(F.lit(f"{seed} {epoch} "), F.col("order").cast("string")).cast("binary")) % STEPS
             wanted = (F.col("held") & F.lit(at == 0)) | (~F.col("held") & F.lit(learning) & (turn == at))
 
             def measure(batches: Iterator[pd.DataFrame]) -> dict[int, np.ndarray]:
-                network = sent.value
+                network = TextNetwork(np.zeros(0, np.int64))
+                network.known, network.p = sent.value
                 total, lost, embed = np.zeros(ends[-1] + 1), np.zeros(4), np.zeros(network.p["embed"].shape)
                 for batch in batches:
                     orders, label = batch["order"].to_numpy(), batch["label"].to_numpy(float)
