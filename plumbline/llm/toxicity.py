@@ -25,14 +25,14 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.plans.sums import add_up
+from plumbline.plans.sums import DIRECT_VALUES
 
 MOST_ROWS = 2000
 MOST_CHARS = 20_000
@@ -43,6 +43,8 @@ DROPPED, DECAY = 0.2, 1e-2
 DIM, FILTERS, WIDTHS = 16, 8, (1, 2, 3)
 #: Epochs over all rows after the fit on a part, steps of an epoch, their rate, and rows of a task.
 EPOCHS, STEPS, RATE, LANE_ROWS = 4, 16, 0.004, 20_000
+#: Tasks of a step at most, or as many as the cluster has cores; embeddings whose slopes travel in one row.
+STEP_TASKS, SLOPE_ROWS = 64, 1024
 #: Bits of the bitmap of labelled ids, two to the power of, at most; with more ids it leaves out fewer texts.
 MOST_BITS = 26
 #: Logits of the rows held back are counted in steps of this size.
@@ -271,15 +273,70 @@ def common_buckets(rows: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["bucket"] for r in found.where(F.col("count") >= MIN_TEXTS).select("bucket").collect()], np.int64))
 
 
+def step_sums(rows: DataFrame, tasks: int, measure: Callable[[Iterator[pd.DataFrame]], tuple[np.ndarray, np.ndarray]],
+              embeddings: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all lanes of what ``measure`` gives for a lane: a vector, and a matrix with ``embeddings`` rows of which few
+    differ from zero.
+
+    A lane is measured by itself; the lanes of a task are added up there, so what leaves the tasks grows with ``tasks``, not
+    with the lanes, and of the matrix only rows that the task touched leave it. Where all tasks together are few enough
+    values, the driver takes them in order and nothing is shuffled; otherwise one shuffle adds them up by their place.
+    """
+    def places(array: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        touched = np.flatnonzero(array.any(axis=1)).astype(np.int32)
+        cuts = np.flatnonzero(np.diff(touched // SLOPE_ROWS)) + 1
+        for some in np.split(touched, cuts) if len(touched) else ():
+            yield int(some[0]) // SLOPE_ROWS, some, array[some]
+
+    def packed(found: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        found = list(found)
+        return pd.DataFrame({"place": [f[0] for f in found], "at": [f[1].tobytes() for f in found], "s": [f[2].tobytes() for f in found]})
+
+    def lane(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vector, matrix = measure(batches)
+        yield packed([(-1, np.zeros(0, np.int32), vector), *places(matrix)])
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for place, at, s in zip(batch["place"], batch["at"], batch["s"]):
+                at, s = np.frombuffer(at, np.int32) % SLOPE_ROWS, np.frombuffer(s)
+                if place < 0:
+                    sums[place] = sums[place] + s if place in sums else s
+                else:
+                    sums.setdefault(place, np.zeros((SLOPE_ROWS, DIM)))[at] += s.reshape(-1, DIM)
+        vectors = [(-1, np.zeros(0, np.int32), sums.pop(-1))] if -1 in sums else []
+        for place in sorted(sums):
+            at = np.flatnonzero(sums[place].any(axis=1))
+            vectors.append((place, (at + place * SLOPE_ROWS).astype(np.int32), sums[place][at]))
+        yield packed(vectors)
+
+    schema = "place int, at binary, s binary"
+    parts = rows.mapInPandas(lane, schema)
+    if rows.rdd.getNumPartitions() > tasks:
+        parts = parts.coalesce(tasks).mapInPandas(added, schema)
+    if tasks * embeddings * DIM // 4 > DIRECT_VALUES:
+        parts = parts.repartition(tasks, "place").mapInPandas(added, schema)
+    vector, matrix = np.zeros(0), np.zeros((embeddings, DIM))
+    for r in parts.collect():
+        at, s = np.frombuffer(r["at"], np.int32), np.frombuffer(r["s"])
+        if r["place"] < 0:
+            vector = vector + s if len(vector) else s
+        else:
+            matrix[at] += s.reshape(-1, DIM)
+    return vector, matrix
+
+
 def train_on_all(network: TextNetwork, dealt: DataFrame, share: float, seed: int = 9) -> TextNetwork:
     """Epochs over all labelled rows from where the network stands; of these the one with the lowest loss on all rows held
     back is kept, and calibrated on them. Lanes, batches and dropped words follow from the rows, not from files or cores; a
     step's tasks are handed the rows of its batch only."""
     counts = {(r["held"], r["label"]): r["count"] for r in dealt.groupBy("held", "label").count().collect()}
     of = {k: counts.get((False, float(k)), 0) for k in (0, 1)}
-    tasks = dealt.rdd.getNumPartitions()
+    context = dealt.sparkSession.sparkContext
+    tasks = max(4, min(sum(counts.values()) // LANE_ROWS, max(STEP_TASKS, context.defaultParallelism)))
     names, best, least, first, second, step = [k for k in network.p if k != "embed"], network.p, np.inf, {}, {}, 0
-    ends, context = np.cumsum([0] + [network.p[k].size for k in names]), dealt.sparkSession.sparkContext
+    ends = np.cumsum([0] + [network.p[k].size for k in names])
     for epoch in range(EPOCHS + 1):
         # the first step of an epoch also measures the loss of the weights as they are; a last one only that
         for at in range(STEPS if epoch < EPOCHS else 1):
@@ -287,7 +344,7 @@ def train_on_all(network: TextNetwork, dealt: DataFrame, share: float, seed: int
             turn = F.crc32(F.concat(F.lit(f"{seed} {epoch} "), F.col("order").cast("string")).cast("binary")) % STEPS
             wanted = (F.col("held") & F.lit(at == 0)) | (~F.col("held") & F.lit(learning) & (turn == at))
 
-            def measure(batches: Iterator[pd.DataFrame]) -> dict[int, np.ndarray]:
+            def measure(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
                 network = TextNetwork(np.zeros(0, np.int64))
                 network.known, network.p = sent.value
                 total, lost, embed = np.zeros(ends[-1] + 1), np.zeros(4), np.zeros(network.p["embed"].shape)
@@ -312,12 +369,10 @@ def train_on_all(network: TextNetwork, dealt: DataFrame, share: float, seed: int
                         for k in (0, 1):
                             mine = z[label[places] == k]
                             lost[2 * k:2 * k + 2] += np.logaddexp(0, -mine if k else mine).sum(), len(mine)
-                # of the embeddings those that the batch touched
-                return {0: np.concatenate([total, lost]), **{int(r) + 1: embed[r] for r in np.flatnonzero(embed.any(axis=1))}}
+                return np.concatenate([total, lost]), embed
 
-            found = add_up(dealt.where(wanted).select("order", "label", "held", "words"), tasks, measure, network.p["embed"].size // 4)
+            sums, slope = step_sums(dealt.where(wanted).select("order", "label", "held", "words"), tasks, measure, len(network.p["embed"]))
             sent.destroy()
-            sums = found.pop(0)
             if at == 0 and epoch:
                 now = sum(0.5 * sums[-4 + 2 * k] / max(1.0, sums[-3 + 2 * k]) for k in (0, 1))
                 if now < least:
@@ -325,10 +380,7 @@ def train_on_all(network: TextNetwork, dealt: DataFrame, share: float, seed: int
             if learning and sums[-5]:
                 step += 1
                 slopes = {k: sums[b:e].reshape(network.p[k].shape) for k, b, e in zip(names, ends, ends[1:])}
-                slopes["embed"] = np.zeros(network.p["embed"].shape)
-                for r, slope in found.items():
-                    slopes["embed"][r - 1] = slope
-                for k, slope in slopes.items():
+                for k, slope in {**slopes, "embed": slope}.items():
                     g = (slope / sums[-5] + DECAY * network.p[k]).astype(np.float32)
                     first[k] = 0.9 * first.get(k, 0) + 0.1 * g
                     second[k] = 0.999 * second.get(k, 0) + 0.001 * g * g

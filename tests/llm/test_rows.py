@@ -472,3 +472,48 @@ def test_toxicity_shuffles_only_words_of_labelled_rows(spark):
     # one way at any size: texts go no further than the task that reads them, and rows meet labels in a merge
     assert "SortMergeJoin" in plan and "bitmap_construct_agg" in plan and got.rdd.getNumPartitions() == 4
     got.unpersist()
+
+
+def test_toxicity_step_sends_no_more_from_many_lanes(spark, monkeypatch):
+    import numpy as np
+
+    wide = toxicity.SLOPE_ROWS * 3
+    rows = spark.range(4000).selectExpr("cast(id as int) as id").repartition(200, "id")
+
+    def measure(batches):
+        vector, matrix = np.zeros(2), np.zeros((wide, toxicity.DIM))
+        for batch in batches:
+            vector += len(batch), batch["id"].sum()
+            np.add.at(matrix, batch["id"].to_numpy() % wide, 1.0)
+        return vector, matrix
+
+    want = np.bincount(np.arange(4000) % wide, minlength=wide)[:, None] * np.ones(toxicity.DIM)
+    collect, sent = type(rows).collect, []
+    monkeypatch.setattr(type(rows), "collect", lambda self: sent.append(
+        (len(out := collect(self)), self._jdf.queryExecution().optimizedPlan().toString())) or out)
+    vector, matrix = toxicity.step_sums(rows, 4, measure, wide)
+    assert (vector == [4000, 3999 * 2000]).all() and (matrix == want).all()
+    # four tasks send a vector and three places each, whatever the lanes, and shuffle nothing (but what deals the lanes here)
+    assert sent[0][0] == 4 * 4 and "Repartition 4, false" in sent[0][1] and sent[0][1].count("RepartitionByExpression") == 1
+    monkeypatch.setattr(toxicity, "DIRECT_VALUES", 0)
+    again, shuffled = toxicity.step_sums(rows, 4, measure, wide)
+    assert (again == vector).all() and (shuffled == want).all() and sent[1][0] == 4 and sent[1][1].count("RepartitionByExpression") == 2
+    nothing = toxicity.step_sums(rows.limit(0), 4, measure, wide)
+    assert not nothing[0].any() and not nothing[1].any()
+
+
+def test_toxicity_trains_over_many_partitions_without_shuffling_slopes(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    texts = [[*rng.integers(0, 3000, 12), 9 if k % 2 else 8] for k in range(600)]
+    rows = spark.createDataFrame([(k * 7919, np.array(t, np.int32).tobytes(), "en", float(k % 2), k % 5 == 0) for k, t in enumerate(texts)],
+                                 "order long, words binary, lang string, label double, held boolean").repartition(90, "order").persist()
+    steps, mapped = [], type(rows).mapInPandas
+    monkeypatch.setattr(type(rows), "mapInPandas", lambda self, *a, **b: steps.append(self.rdd.getNumPartitions()) or mapped(self, *a, **b))
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    network = toxicity.train_on_all(toxicity.TextNetwork(np.arange(3000)), rows, 0.5)
+    # lanes of 90 partitions are added up in 4 tasks before anything leaves them
+    assert steps == [90, 4] * 3 and network.thresholds.keys() == {"en"}
+    rows.unpersist()
