@@ -536,3 +536,29 @@ def test_copies_are_scored_where_they_are_made(blobs):
         assert found[None, None][i] == model.predict_class(test, "c").filter("c = label").count()
     # no sort of every copy is left, and no copy reaches another operator
     assert "Window" not in counted._jdf.queryExecution().toString() and "Generate" not in counted._jdf.queryExecution().toString()
+
+
+def test_first_part_keeps_its_size_on_any_table():
+    # most steps of a search are taken there, so their cost must not grow with the table
+    for n in (1_600_000, 2_520_000, 10_000_000, 25_200_000, 151_200_000, 2_000_000_000):
+        found = sums.shares(n)
+        assert sums.START_ROWS <= n / found[0] < sums.LEAST_GROWTH * sums.START_ROWS and found == sorted(found, reverse=True)
+        assert found[-1] == sums.GROWTH or len(found) == 1
+    assert sums.shares(25_200_000) == [128, 16] and sums.shares(1_000_000) == []
+
+
+def test_networks_of_a_step_share_rows_and_stay_apart(blobs):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    rows = perceptron.spread_out(task.train.select(*task.features, "label", F.xxhash64("id").alias("dealt"), perceptron.key_hash(["id"], 43).alias("held 42")))[0]
+    blocks = perceptron._blocks(rows, task.features, [(42, 0.1)])
+    runs = [perceptron.Run(3, 3, 100, classify.PerceptronOptions(hidden=h, batch=20), k)
+            for h, k in (((8,), np.float64), ((6, 4), np.float64), ((8,), np.float32))]
+    plan = {i: r.task() for i, r in enumerate(runs)}
+    together = perceptron._step(blocks, 8, 3, plan)
+    for i, given in plan.items():
+        np.testing.assert_allclose(perceptron._step(blocks, 8, 3, {i: given})[i], together[i], rtol=1e-12, atol=1e-12)
+    pdf = task.train.withColumn("dealt", F.xxhash64("id")).withColumn("held", perceptron.key_hash(["id"], 43)).toPandas()
+    away = pdf.held.to_numpy() < 0.1 * 16.0 ** perceptron.HASH_DIGITS
+    pick = ~away & (perceptron.batch_numbers(pdf.dealt.to_numpy(), 42, 0, runs[0].steps) == 0)
+    g, loss = perceptron.gradient(runs[0].weights, runs[0].shapes, pdf[task.features].to_numpy()[pick], pdf.label.to_numpy()[pick])
+    np.testing.assert_allclose(together[0], [*g, loss, pick.sum(), away.sum(), together[0][-1]], rtol=1e-9, atol=1e-9)
