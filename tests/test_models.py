@@ -562,3 +562,25 @@ def test_networks_of_a_step_share_rows_and_stay_apart(blobs):
     pick = ~away & (perceptron.batch_numbers(pdf.dealt.to_numpy(), 42, 0, runs[0].steps) == 0)
     g, loss = perceptron.gradient(runs[0].weights, runs[0].shapes, pdf[task.features].to_numpy()[pick], pdf.label.to_numpy()[pick])
     np.testing.assert_allclose(together[0], [*g, loss, pick.sum(), away.sum(), together[0][-1]], rtol=1e-9, atol=1e-9)
+
+
+def test_waves_of_single_precision_keep_far_values():
+    o, x = machines.KernelOptions(), np.array([[0.3, -1.2], [1e5, -3e5], [2e6, 1.0]])
+    for kernel in ("rbf", "linear", "poly"):
+        exact, single = (machines.feature_map(2, machines.KernelOptions(kernel), 0.5, kind)(x) for kind in (np.float64, np.float32))
+        assert single.dtype == np.float32
+        np.testing.assert_allclose(single, exact, rtol=1e-6, atol=1e-6)
+
+
+def test_machines_of_large_tables_are_those_of_double_precision(blobs, monkeypatch):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    rows = classify.spread_out(task.train.select(*task.features, "label"))[0].persist()
+    options = [machines.KernelOptions(random_features=30), machines.KernelOptions("poly")]
+    double = machines.train_machines(rows, task.features, 3, options)
+    monkeypatch.setattr(machines, "shares", lambda n: [16])
+    single = machines.train_machines(rows, task.features, 3, options)
+    x = task.test.toPandas()[task.features].to_numpy()
+    for a, b in zip(double, single):
+        assert (a.kind, b.kind) == (np.float64, np.float32)
+        assert (a.rule()(x) == b.rule()(x)).mean() > 0.98
+        assert (machines.with_probabilities(b, rows).predict(task.test).toPandas().prediction.to_numpy() == b.rule()(x)).all()
