@@ -267,7 +267,7 @@ def qq_points(df: DataFrame, column: str, positions: str = "filliben") -> DataFr
     """(i, theoretical, sample) for every row; positions ``filliben`` or ``ppoints``."""
     spread = survey(df, column)
     n = spread.rows
-    points = expand_ties(running_counts(df, column, spread=spread), spread.largest)
+    points = expand_ties(running_counts(df, column, spread=spread), spread.largest, mean=spread.mean)
     i = F.col("i").cast("double")
     if positions == "filliben":
         end = 0.5 ** (1.0 / n)

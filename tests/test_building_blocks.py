@@ -122,3 +122,14 @@ def test_tails():
     # tabulated value of the exact Kolmogorov distribution
     assert tails.kolmogorov_sf(0.274, 10) == pytest.approx(1 - 0.6285, abs=1e-3)
     assert tails.kolmogorov_sf(0.05, 399) == pytest.approx(tails.kolmogorov_sf(0.05, 401), abs=5e-3)
+
+
+def test_a_few_long_blocks_are_ranked_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "LONGEST_PIECE", 100)
+    df = spark.range(9_000).select((F.col("id") % 3).cast("double").alias("x"))
+    spread = ranks.survey(df, "x")
+    assert spread.mean >= ranks.LONG_BLOCKS
+    rows = ranks.expand_ties(ranks.running_counts(df, "x", spread=spread), spread.largest, mean=spread.mean)
+    got = rows.withColumn("task", F.spark_partition_id()).toPandas().sort_values("i")
+    assert got.i.tolist() == list(range(1, 9_001)) and got.value.tolist() == [v for v in (0.0, 1.0, 2.0) for _ in range(3_000)]
+    assert got.task.nunique() > 1

@@ -584,3 +584,17 @@ def test_machines_of_large_tables_are_those_of_double_precision(blobs, monkeypat
         assert (a.kind, b.kind) == (np.float64, np.float32)
         assert (a.rule()(x) == b.rule()(x)).mean() > 0.98
         assert (machines.with_probabilities(b, rows).predict(task.test).toPandas().prediction.to_numpy() == b.rule()(x)).all()
+
+
+def test_sweep_trains_all_models_once(blobs, monkeypatch):
+    task = classify.classification_task(blobs, ["a", "b", "noise"], "k", ["id"])
+    calls, train = [], {n: getattr(classify, n) for n in ("train_perceptrons", "train_machines")}
+    for name in train:
+        monkeypatch.setattr(classify, name, lambda *given, name=name: calls.append(name) or train[name](*given))
+    o, kernel = classify.PerceptronOptions(hidden=(6,), max_iter=2), machines.KernelOptions(random_features=20, max_iter=8)
+    trained = classify.sweep_models(task, o, kernel, probabilities=True)
+    assert trained["support vector"]["base"].predict(task.test).select("probability").first()[0]
+    given = {(r.family, r.configuration): (r.accuracy, r.iterations) for r in classify.parameter_sweep(task, o, kernel, trained).collect()}
+    assert calls == ["train_perceptrons", "train_machines"] and len(given) == 12
+    alone = classify.train_perceptron(task.train, task.features, task.keys, 3, o)
+    assert given["perceptron", "base"] == (pytest.approx(classify.accuracy_of(alone, task.test)), alone.iterations)
