@@ -564,6 +564,24 @@ def test_networks_of_a_step_share_rows_and_stay_apart(blobs):
     np.testing.assert_allclose(together[0], [*g, loss, pick.sum(), away.sum(), together[0][-1]], rtol=1e-9, atol=1e-9)
 
 
+def test_gradients_of_single_precision_are_those_of_double():
+    run, rng = perceptron.Run(3, 3, 100, classify.PerceptronOptions(hidden=(9, 5))), np.random.default_rng(3)
+    x, y = rng.normal(size=(700, 3)), rng.integers(0, 3, 700)
+    (exact, loss), (single, other) = (perceptron.gradient(run.weights.astype(kind), run.shapes, x.astype(kind), y) for kind in (np.float64, np.float32))
+    np.testing.assert_allclose(single, exact, rtol=1e-3, atol=1e-2)
+    assert single.dtype == np.float32 and other == pytest.approx(loss, rel=1e-5)
+    many = rng.normal(size=(5, 12))
+    np.testing.assert_allclose(perceptron.softmax(many), np.exp(many) / np.exp(many).sum(axis=1, keepdims=True))
+
+
+def test_large_systems_are_eliminated_and_singular_ones_are_not():
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=(150, 150))
+    for system in (a @ a.T + np.eye(150), np.diag([1.0] * 149 + [0.0])):
+        gradient = system @ rng.normal(size=150)
+        np.testing.assert_allclose(newton._eliminated(system, gradient), newton._least_squares(system, gradient), rtol=1e-6, atol=1e-6)
+
+
 def test_waves_of_single_precision_keep_far_values():
     o, x = machines.KernelOptions(), np.array([[0.3, -1.2], [1e5, -3e5], [2e6, 1.0]])
     for kernel in ("rbf", "linear", "poly"):
